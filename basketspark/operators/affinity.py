@@ -9,7 +9,7 @@ Two physical forms with equal results:
 * ``sets`` (default): one shuffle on the basket builds its sorted set of group keys; the
   ordered half pairs ``x < y`` are generated inside that task by higher-order functions,
   counted with map-side partial aggregation, then mirrored. Group counts and the basket
-  total come from the same per-basket sets. Pairs per basket are bounded by the session
+  total come from the same per-basket sets, which are written once (``pin``). Pairs per basket are bounded by the session
   filter (at most 30 groups, so at most 435 half pairs).
 * ``join``: the original form - distinct (group, basket) rows, a self-join on the basket
   with ``key_X != key_Y``, and a distinct count per pair. Kept as the reference form.
@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 
 from basketspark.config import RARE_GROUP_PERCENTILE
 from basketspark.functions.columns import confidence, lift, pairs_of_sorted, support
+from basketspark.runtime import materialize
 
 MATRIX_COLUMNS = (
     "coupon_key_X",
@@ -77,11 +78,12 @@ def pair_matrix(
     t: float = RARE_GROUP_PERCENTILE,
     by: Sequence[str] = (),
     method: str = "sets",
+    pin: bool = True,
 ) -> Affinity:
     by = list(by)
     rows = _clean(baskets, by)
     if method == "sets":
-        return _pairs_from_sets(rows, t, by)
+        return _pairs_from_sets(rows, t, by, pin)
     if method == "join":
         return _pairs_from_join(rows, t, by)
     raise ValueError(f"unknown method {method!r}")
@@ -108,28 +110,43 @@ def _side(frequent: DataFrame, by: list[str], tag: str) -> DataFrame:
 
 
 def _assemble(counts, thresholds, frequent, totals, pair_counts, by: list[str], mirrored: bool) -> Affinity:
-    """Attach names and counts of both groups, mirror half pairs, add the metrics."""
+    """Mirror half pairs, attach names and counts of both groups, add the metrics."""
+    if mirrored:
+        # Both orientations from one row (a generator, not a union of two plans).
+        orient = F.explode(
+            F.array(
+                F.struct(F.col("coupon_key_X").alias("a"), F.col("coupon_key_Y").alias("b")),
+                F.struct(F.col("coupon_key_Y").alias("a"), F.col("coupon_key_X").alias("b")),
+            )
+        ).alias("o")
+        pair_counts = pair_counts.select(*by, "basket_count_XY", orient).select(
+            *by, F.col("o.a").alias("coupon_key_X"), F.col("o.b").alias("coupon_key_Y"), "basket_count_XY"
+        )
     pairs = pair_counts.join(_side(frequent, by, "X"), [*by, "coupon_key_X"], "inner").join(
         _side(frequent, by, "Y"), [*by, "coupon_key_Y"], "inner"
     )
-    if mirrored:
-        swap = {f"{c}_X": f"{c}_Y" for c in ("coupon_key", "coupon", "basket_count")}
-        swap.update({v: k for k, v in swap.items()})
-        pairs = pairs.unionByName(pairs.select(*by, "basket_count_XY", *[F.col(k).alias(v) for k, v in swap.items()]))
     matrix = _attach(pairs, totals, by, "total_basket_count")
     matrix = (
         matrix.withColumn("confidence", confidence("basket_count_XY", "basket_count_X"))
-        .withColumn("lift", lift("confidence", "basket_count_Y", "total_basket_count"))
-        .withColumn("support", support("basket_count_XY", "total_basket_count"))
+        .withColumns(
+            {
+                "lift": lift("confidence", "basket_count_Y", "total_basket_count"),
+                "support": support("basket_count_XY", "total_basket_count"),
+            }
+        )
         .select(*by, *MATRIX_COLUMNS)
     )
     return Affinity(counts=counts, frequent=frequent, totals=totals, thresholds=thresholds, matrix=matrix)
 
 
-def _pairs_from_sets(rows: DataFrame, t: float, by: list[str]) -> Affinity:
+def _pairs_from_sets(rows: DataFrame, t: float, by: list[str], pin: bool) -> Affinity:
     sets = rows.groupBy(*by, "basket_key").agg(
         F.array_sort(F.collect_set(F.struct("coupon_key", "coupon"))).alias("groups")
     )
+    if pin:
+        # One row per basket, read by the group counts, the total, the threshold and the
+        # pair generation: written once instead of re-shuffling the basket rows for each.
+        sets = materialize(sets, "basket-sets")
     counts = (
         sets.select(*by, F.explode("groups").alias("g"))
         .groupBy(*by, F.col("g.coupon_key").alias("coupon_key"), F.col("g.coupon").alias("coupon"))

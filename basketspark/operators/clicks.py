@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from basketspark.config import MAX_GROUPS_PER_BASKET
 from basketspark.functions.columns import account_no, normalised_list, trimmed
 from basketspark.operators.indexing import dense_rank_keys
+from basketspark.runtime import materialize
 
 CLICK_COLUMNS = ("session_key", "visit_id", "visit_number", "time_stamp", "account_no", "prod_id")
 
@@ -141,12 +142,19 @@ def to_baskets(clicks: DataFrame, kept: DataFrame) -> DataFrame:
     return clicks.join(kept, ["session_key"], "inner").withColumnRenamed("session_key", "basket_key")
 
 
-def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET):
-    """The whole click step. Returns (baskets, viewed SKUs, group keys, keyed clicks)."""
+def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET, pin: bool = True):
+    """The whole click step. Returns (baskets, viewed SKUs, group keys, keyed clicks, group map).
+
+    With ``pin`` the grouped clicks are written once to the shared checkpoint folder: the
+    group numbering, the session statistics, the baskets and every later step read them
+    instead of parsing the hits again.
+    """
     parsed = parse_hits(sources.hits, sources.visit_sessions, window)
     active = drop_discontinued(parsed, sources.products)
     gmap = read_group_map(sources.prod_feature)
     grouped = assign_groups(active, gmap)
+    if pin:
+        grouped = materialize(grouped, "clicks")
     keys = group_keys(gmap, grouped)
     keyed = attach_group_keys(grouped, keys)
     baskets = to_baskets(keyed, keep_sessions(session_stats(keyed), max_groups))

@@ -4,7 +4,7 @@
 are range-partitioned on the order, sorted inside each partition and numbered locally;
 the offset of each partition is the sum of the sizes of the partitions before it. Only
 one count per partition (bounded by the partition count, not by the data) reaches the
-driver. The ranged rows are checkpointed first so that partition ids and local positions
+driver. The ranged rows are written once to the shared checkpoint folder so that partition ids and local positions
 are pinned before they are read twice.
 """
 
@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.runtime import checkpoint_root
+from basketspark.runtime import materialize
 
 _PID = "_bs_pid"
 _POS = "_bs_pos"
@@ -39,17 +39,16 @@ def global_index(
     on distinct keys it is ``dense_rank``.
     """
     spark = df.sparkSession
-    checkpoint_root(spark)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc() for c in partition_by] + [_sort_col(c) for c in order]
     pid = F.spark_partition_id()
     ranged = (
         df.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
-        .withColumn(_PID, pid)
-        .withColumn(_POS, F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33))
+        .withColumns({_PID: pid, _POS: F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)})
     )
-    ranged = ranged.checkpoint(eager=True)
+    # Pin partition ids and local positions: written once, then read twice.
+    ranged = materialize(ranged, "index")
 
     # Rows of one group are contiguous inside a partition (the sort starts with the group),
     # so a row's position in its group is its local position minus the group's first one

@@ -33,8 +33,12 @@ SKU_PAIR_COLUMNS = (
     "cvm_score",
 )
 
-# Order of recommendations for one viewed SKU: score, then views, then sales of Y.
-RANK_ORDER = (F.desc("cvm_score"), F.desc("sku_basket_count_Y"), F.desc("sku_sales_Y"))
+# Order of recommendations for one viewed SKU: score, then views, then sales of Y (all descending).
+RANK_KEYS = ("cvm_score", "sku_basket_count_Y", "sku_sales_Y")
+
+
+def _rank_order():
+    return [F.desc(c) for c in RANK_KEYS]
 
 
 def confident_pairs(matrix: DataFrame, group_sales: DataFrame, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
@@ -83,7 +87,7 @@ def rank_top_k(scored: DataFrame, k: int | None = TOP_K) -> DataFrame:
     With a cut-off, Spark plans a partial window group limit before the shuffle, so a
     viewed SKU with many candidates sends at most its top ranks from each task.
     """
-    w = Window.partitionBy("sku_X").orderBy(*RANK_ORDER)
+    w = Window.partitionBy("sku_X").orderBy(*_rank_order())
     ranked = scored.withColumn("cvm_rank", F.dense_rank().over(w))
     if k is not None:
         ranked = ranked.where(F.col("cvm_rank") <= k)
@@ -102,7 +106,7 @@ def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: i
     if k is None:
         return rank_top_k(expand_to_skus(pairs, prod_views, sales), None)
     cand = _with_sku(pairs, prod_views, sales, "Y").withColumn("cvm_score", cvm_score("sku_basket_count_Y", "confidence"))
-    per_group = Window.partitionBy("coupon_key_X").orderBy(*RANK_ORDER)
+    per_group = Window.partitionBy("coupon_key_X").orderBy(*_rank_order())
     cand = cand.withColumn("_group_rank", F.dense_rank().over(per_group)).where(F.col("_group_rank") <= k).drop("_group_rank")
     expanded = _with_sku(cand, prod_views, sales, "X").select(*SKU_PAIR_COLUMNS)
     return rank_top_k(expanded, k)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from basketspark.runtime import materialize
+
 MONEY = "decimal(18,2)"
 
 
@@ -43,9 +45,17 @@ def group_sales(grouped_sales: DataFrame) -> DataFrame:
     )
 
 
-def build_sales(sources, window, viewed: DataFrame, keys: DataFrame, exclude_discontinued: bool = True, how: str = "left"):
-    """The whole sales step. Returns (per-SKU sales of viewed SKUs, per-group sales)."""
+def build_sales(
+    sources, window, viewed: DataFrame, keys: DataFrame, exclude_discontinued: bool = True, how: str = "left", pin: bool = True
+):
+    """The whole sales step. Returns (per-SKU sales of viewed SKUs, SKU sales with groups, per-group sales).
+
+    With ``pin`` the per-SKU sales (one row per SKU) are written once, so the invoice
+    table is scanned and aggregated once although both SKU sides and the group sales use it.
+    """
     per_sku = restrict_to_viewed(sku_sales(sources.invoices, sources.products, window, exclude_discontinued), viewed)
+    if pin:
+        per_sku = materialize(per_sku, "sku-sales")
     grouped = attach_groups(per_sku, keys, how)
     if how == "inner":  # SKUs without a group leave the per-SKU sales too
         per_sku = per_sku.join(keys.select("prod_id"), ["prod_id"], "left_semi")

@@ -218,10 +218,12 @@ def q_order_brand_matrix(spark, sf_dir):
 def q_clicks_stream(spark, sf_dir):
     """The click-cleaning step run as a stream over the landed order-line files."""
     src = fixture_sources(spark, sf_dir)
-    lineitem_path = f"{sf_dir.rstrip('/')}/lineitem.parquet"
     schema = read_testdata(spark, sf_dir, "lineitem").schema
     out, ckpt = scratch_path(spark, "clicks-stream"), scratch_path(spark, "clicks-stream-ckpt")
-    query = start_clicks_stream(spark, lineitem_path, schema, hits_view, src.visit_sessions, fixture_config().window, out, ckpt)
+    query = start_clicks_stream(
+        spark, sf_dir, schema, hits_view, src.visit_sessions, fixture_config().window, out, ckpt,
+        file_glob="lineitem*.parquet",
+    )
     query.awaitTermination()
     return spark.read.parquet(out)
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from basketspark.config import RunConfig
 from basketspark.errors import CoverageError
 from basketspark.operators import affinity, clicks, publish, quality, recommend, sales
+from basketspark.runtime import materialize
 from basketspark.sources.readers import Sources
 
 log = logging.getLogger("basketspark")
@@ -30,21 +31,17 @@ class JobFrames:
     lists: DataFrame | None
 
 
-def build(sources: Sources, cfg: RunConfig, pin_baskets: bool = False) -> JobFrames:
-    """All frames of the job, lazily (only the group numbering runs a small job).
-
-    ``pin_baskets`` checkpoints the basket rows to the shared checkpoint folder: they feed
-    the matrix, the SKU counts and the permutation test, and the checkpoint cuts their
-    lineage so a lost executor does not replay the click parsing.
+def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
+    """All frames of the job. With ``pin`` (the default) the keyed clicks are written once
+    to the shared checkpoint folder and everything after reads them; the group numbering
+    also writes its small ranged table. The rest is lazy.
     """
     window = cfg.window
-    baskets, viewed, keys, _, gmap = clicks.build_clicks(sources, window, cfg.max_groups_per_basket)
-    if pin_baskets:
-        baskets = baskets.checkpoint(eager=True)
+    baskets, viewed, keys, _, gmap = clicks.build_clicks(sources, window, cfg.max_groups_per_basket, pin)
     per_sku, _, per_group = sales.build_sales(
-        sources, window, viewed, keys, cfg.exclude_discontinued_sales, cfg.sales_group_join
+        sources, window, viewed, keys, cfg.exclude_discontinued_sales, cfg.sales_group_join, pin
     )
-    aff = affinity.pair_matrix(baskets, t=cfg.percentile_t, method=cfg.pair_method)
+    aff = affinity.pair_matrix(baskets, t=cfg.percentile_t, method=cfg.pair_method, pin=pin)
     pairs = recommend.confident_pairs(aff.matrix, per_group, cfg.min_confidence)
     ranked, prod_views = recommend.recommend(pairs, baskets, per_sku, cfg.top_k, cfg.prune_candidates)
     lists = recommend.rec_lists(ranked) if cfg.publish_list else None
@@ -71,17 +68,17 @@ def run(
     """Validate, compute and (with ``out_root``) publish. Returns frames, detail, report."""
     if cfg.check_coverage:
         check_coverage(sources, cfg)
-    frames = build(sources, cfg, pin_baskets=True)
+    frames = build(sources, cfg)
     quality.require_not_empty_map(frames.group_map)
     if cfg.division == "LSG":
         quality.require_sales(frames.sku_sales)
-    matrix, obs = quality.observe_confidence(frames.affinity.matrix)
+    observed, obs = quality.observe_confidence(frames.affinity.matrix)
+    # The matrix feeds the checks, the ranking and the report: written once (its write
+    # also fills the observed confidence counts, so the checks cost no extra job).
+    matrix = materialize(observed, "pair-matrix")
     frames.affinity = dataclasses.replace(frames.affinity, matrix=matrix)
-    # The matrix feeds the ranking and the checks; it is small next to the baskets.
-    matrix = matrix.persist()
     pairs = recommend.confident_pairs(matrix, frames.group_sales, cfg.min_confidence)
     ranked, _ = recommend.recommend(pairs, frames.baskets, frames.sku_sales, cfg.top_k, cfg.prune_candidates)
-    matrix.count()
     report = dict(obs.get)
     quality.check_confidence(report)
     frames.pairs, frames.ranked = pairs, ranked

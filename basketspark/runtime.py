@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -32,12 +32,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write the frame once as parquet below the shared checkpoint root and read it back.
+
+    Cuts the lineage (a lost executor re-reads files instead of replaying the plan) and
+    keeps later plans small. Unlike an eager ``checkpoint()`` the input is computed once.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def local_session(app: str = "basketspark", cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """A local session for tests and the benchmark (the cluster passes its own)."""
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")

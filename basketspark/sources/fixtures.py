@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketspark.functions.columns import day_key_of
-from basketspark.sources.readers import Sources
+from basketspark.sources.readers import Sources, spread_narrow_scan
 
 TABLES = ("lineitem", "orders", "part")
 
@@ -110,7 +110,7 @@ def invoices_view(lineitem: DataFrame) -> DataFrame:
 
 
 def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    lineitem = read_testdata(spark, sf_dir, "lineitem")
+    lineitem = spread_narrow_scan(read_testdata(spark, sf_dir, "lineitem"))
     orders = read_testdata(spark, sf_dir, "orders")
     part = read_testdata(spark, sf_dir, "part")
     return Sources(

@@ -39,6 +39,17 @@ def load(spark: SparkSession, ref: DataFrame | str, fmt: str = "parquet") -> Dat
     return spark.read.table(ref)
 
 
+def spread_narrow_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a source whose scan has fewer partitions than the cluster has cores.
+
+    A large source on a cluster splits into many scan tasks and is returned unchanged;
+    a few big unsplittable files (one row group each) would otherwise run the whole
+    parse chain up to the first shuffle in a handful of tasks.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> DataFrame:
     """A JDBC table; filters and projections applied later are pushed into its query."""
     return spark.read.jdbc(url, table, properties=dict(properties or {}))

@@ -45,6 +45,7 @@ def start_clicks_stream(
     checkpoint_path: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    file_glob: str | None = None,
 ) -> StreamingQuery:
     """Read new parquet files of ``source_path`` and append cleaned clicks to ``out_path``.
 
@@ -52,6 +53,8 @@ def start_clicks_stream(
     Exactly-once output comes from the file sink's log and the checkpoint folder.
     """
     reader = spark.readStream.schema(source_schema)
+    if file_glob:  # only files of the landing folder whose name matches
+        reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     cleaned = clean_clicks_stream(to_hits(reader.parquet(source_path)), visit_sessions, window)
