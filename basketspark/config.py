@@ -25,7 +25,10 @@ def _parse_day(value: str | _dt.date) -> _dt.date:
     text = value.strip().replace("-", "")
     if len(text) != 8 or not text.isdigit():
         raise InputNotValidError(f"start_date must be YYYYMMDD or YYYY-MM-DD, got {value!r}")
-    return _dt.date(int(text[:4]), int(text[4:6]), int(text[6:]))
+    try:
+        return _dt.date(int(text[:4]), int(text[4:6]), int(text[6:]))
+    except ValueError as exc:
+        raise InputNotValidError(f"start_date {value!r} is not a calendar day") from exc
 
 
 def day_key(day: _dt.date) -> int:
