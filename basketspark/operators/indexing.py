@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -42,13 +43,17 @@ def global_index(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc() for c in partition_by] + [_sort_col(c) for c in order]
     pid = F.spark_partition_id()
+    # The range partitioner samples its input in a job of its own before the write job:
+    # keep the input for the two passes instead of computing it twice.
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (
-        df.repartitionByRange(n, *keys)
+        src.repartitionByRange(n, *keys)
         .sortWithinPartitions(*keys)
         .withColumns({_PID: pid, _POS: F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)})
     )
     # Pin partition ids and local positions: written once, then read twice.
     ranged = materialize(ranged, "index")
+    src.unpersist()
 
     # Rows of one group are contiguous inside a partition (the sort starts with the group),
     # so a row's position in its group is its local position minus the group's first one
