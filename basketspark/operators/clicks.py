@@ -145,9 +145,9 @@ def to_baskets(clicks: DataFrame, kept: DataFrame) -> DataFrame:
 def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET, pin: bool = True):
     """The whole click step. Returns (baskets, viewed SKUs, group keys, keyed clicks, group map).
 
-    With ``pin`` the grouped clicks are written once to the shared checkpoint folder: the
-    group numbering, the session statistics, the baskets and every later step read them
-    instead of parsing the hits again.
+    With ``pin`` the grouped clicks are written once to the shared checkpoint folder (the
+    group numbering, the session statistics and the baskets read them instead of parsing
+    the hits again), and so are the baskets (the session statistics run once).
     """
     parsed = parse_hits(sources.hits, sources.visit_sessions, window)
     active = drop_discontinued(parsed, sources.products)
@@ -156,6 +156,10 @@ def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_
     if pin:
         grouped = materialize(grouped, "clicks")
     keys = group_keys(gmap, grouped)
+    if pin:  # one row per (SKU, group): read by the clicks and by the sales
+        keys = materialize(keys, "group-keys")
     keyed = attach_group_keys(grouped, keys)
     baskets = to_baskets(keyed, keep_sessions(session_stats(keyed), max_groups))
+    if pin:  # read by the pair matrix, the SKU counts and the permutation test
+        baskets = materialize(baskets, "baskets")
     return baskets, viewed_skus(grouped), keys, keyed, gmap

@@ -56,10 +56,19 @@ def next_run_id(registry: DataFrame | None) -> int:
     return int(registry.agg((F.coalesce(F.max("master_id"), F.lit(0)) + 1).alias("next")).first()["next"])
 
 
+def number_records(ranked: DataFrame) -> DataFrame:
+    """Add ``record_id``: the position in the published order, numbered distributed."""
+    return global_index(ranked, list(RECORD_ORDER), "record_id")
+
+
 def stamp_detail(ranked: DataFrame, master_id: int, cfg: RunConfig) -> DataFrame:
-    """Run constants, a global record number and the fixed 20-column layout."""
+    """Run constants, a global record number and the fixed 20-column layout.
+
+    Rows already numbered by ``number_records`` keep their ``record_id``.
+    """
     lo, hi = date_window(cfg.start_date, cfg.period_days)
-    numbered = global_index(ranked, list(RECORD_ORDER), "RECORD_ID")
+    numbered = ranked if "record_id" in ranked.columns else number_records(ranked)
+    numbered = numbered.withColumnRenamed("record_id", "RECORD_ID")
     return numbered.select(
         F.lit(master_id).cast("bigint").alias("MASTER_ID"),
         F.col("RECORD_ID").cast("bigint").alias("RECORD_ID"),

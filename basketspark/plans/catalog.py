@@ -124,11 +124,16 @@ def q_sku_pairs_scored(spark, sf_dir):
 
 
 def q_sku_topk(spark, sf_dir):
-    return _job(spark, sf_dir).ranked
+    return _job(spark, sf_dir).ranked.drop("record_id")
 
 
 def q_sku_topk_full_expansion(spark, sf_dir):
-    return _job(spark, sf_dir, prune_candidates=False).ranked
+    return _job(spark, sf_dir, prune_candidates=False).ranked.drop("record_id")
+
+
+def q_ccg_ranked(spark, sf_dir):
+    """The second division: all invoiced SKUs, group match required, ranked without cut-off."""
+    return _job(spark, sf_dir, division="CCG", top_k=None).ranked.drop("record_id")
 
 
 def q_rec_lists(spark, sf_dir):
@@ -250,6 +255,7 @@ QUERIES: dict[str, Query] = {
     "sku_topk": q_sku_topk,
     "sku_topk_full_expansion": q_sku_topk_full_expansion,
     "rec_lists": q_rec_lists,
+    "ccg_ranked": q_ccg_ranked,
     "published_detail": q_published_detail,
     "published_csv_roundtrip": q_published_csv_roundtrip,
     "archive_overwrite_roundtrip": q_archive_overwrite_roundtrip,

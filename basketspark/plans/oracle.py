@@ -177,6 +177,28 @@ def detail_select(master_id: int) -> str:
 FROM sku_topk"""
 
 
+CCG_CTES = """
+ccg_sales_sku AS (SELECT DISTINCT prod_id, sales FROM sales_grouped_inner),
+ccg_pairs AS (
+  SELECT * FROM pair_matrix WHERE confidence >= 0.2
+    AND coupon_key_X IN (SELECT coupon_key FROM group_sales_inner)
+    AND coupon_key_Y IN (SELECT coupon_key FROM group_sales_inner)),
+ccg_scored AS (
+  SELECT m.*, px.prod_id AS sku_X, coalesce(px.sku_basket_count, 0) AS sku_basket_count_X,
+         py.prod_id AS sku_Y, coalesce(py.sku_basket_count, 0) AS sku_basket_count_Y,
+         coalesce(sx.sales, CAST(0 AS DECIMAL(18,2))) AS sku_sales_X,
+         coalesce(sy.sales, CAST(0 AS DECIMAL(18,2))) AS sku_sales_Y,
+         coalesce(py.sku_basket_count, 0) * m.confidence AS cvm_score
+  FROM ccg_pairs m
+  LEFT JOIN sku_basket_counts px ON m.coupon_key_X = px.coupon_key
+  LEFT JOIN sku_basket_counts py ON m.coupon_key_Y = py.coupon_key
+  LEFT JOIN ccg_sales_sku sx ON px.prod_id = sx.prod_id
+  LEFT JOIN ccg_sales_sku sy ON py.prod_id = sy.prod_id),
+ccg_ranked AS (
+  SELECT *, CAST(dense_rank() OVER (PARTITION BY sku_X
+                 ORDER BY cvm_score DESC, sku_basket_count_Y DESC, sku_sales_Y DESC) AS BIGINT) AS cvm_rank
+  FROM ccg_scored)"""
+
 PERMUTATION_CTES = """
 perm_left AS (SELECT basket_key, row_number() OVER (ORDER BY basket_key, prod_id, coupon_key) AS idx FROM baskets),
 perm_right AS (
@@ -201,6 +223,7 @@ ALL_CTES = ",".join(
         SALES_CTES,
         matrix_ctes("", "baskets"),
         RECOMMEND_CTES,
+        CCG_CTES,
         PERMUTATION_CTES,
         matrix_ctes("perm_", "perm_baskets"),
         ORDER_BRAND_CTES,
@@ -242,6 +265,7 @@ def oracle_sql() -> dict[str, str]:
             "sku_pairs_scored",
             "sku_topk",
             "rec_lists",
+            "ccg_ranked",
         )
     }
     q["pair_matrix_selfjoin"] = q["pair_matrix"]

@@ -44,8 +44,8 @@ def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
     aff = affinity.pair_matrix(baskets, t=cfg.percentile_t, method=cfg.pair_method, pin=pin)
     pairs = recommend.confident_pairs(aff.matrix, per_group, cfg.min_confidence)
     ranked, prod_views = recommend.recommend(pairs, baskets, per_sku, cfg.top_k, cfg.prune_candidates)
-    if pin:  # the published rows: read by the detail, the list and the registry count
-        ranked = materialize(ranked, "ranked")
+    if pin:  # the published rows, written once while they get their record number
+        ranked = publish.number_records(ranked)
     lists = recommend.rec_lists(ranked) if cfg.publish_list else None
     return JobFrames(baskets, viewed, keys, gmap, per_sku, per_group, aff, pairs, ranked, prod_views, lists)
 
@@ -81,7 +81,7 @@ def run(
     frames.affinity = dataclasses.replace(frames.affinity, matrix=matrix)
     pairs = recommend.confident_pairs(matrix, frames.group_sales, cfg.min_confidence)
     ranked, _ = recommend.recommend(pairs, frames.baskets, frames.sku_sales, cfg.top_k, cfg.prune_candidates)
-    ranked = materialize(ranked, "ranked")
+    ranked = publish.number_records(ranked)
     report = dict(obs.get)
     quality.check_confidence(report)
     frames.pairs, frames.ranked = pairs, ranked
