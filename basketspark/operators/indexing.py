@@ -80,6 +80,40 @@ def global_index(
     )
 
 
+def global_cumsum(
+    df: DataFrame, order: Sequence[Column | str], weight: str, name: str = "cum", num_partitions: int | None = None
+) -> DataFrame:
+    """Add ``name``: the running sum of ``weight`` over the whole frame in ``order`` (inclusive).
+
+    Range partitions on the order, a running sum inside each range partition (a window on
+    the partition id: one range partition per task, balanced by the range bounds), and the
+    totals of earlier partitions as offsets (one value per partition reaches the driver).
+    Meant for distinct keys, e.g. (value, count) pairs; repeated keys would all sit in one
+    range partition.
+    """
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [_sort_col(c) for c in order]
+    src = df.persist(StorageLevel.MEMORY_AND_DISK)
+    ranged = src.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id())
+    from pyspark.sql.window import Window
+
+    running = Window.partitionBy(_PID).orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranged = materialize(ranged.withColumn("_bs_local", F.sum(weight).over(running)), "cumsum")
+    src.unpersist()
+    totals = sorted(ranged.groupBy(_PID).agg(F.sum(weight).alias("_t")).collect(), key=lambda r: r[_PID])
+    offsets, acc = [], 0
+    for row in totals:
+        offsets.append((row[_PID], acc))
+        acc += row["_t"]
+    offset_df = spark.createDataFrame(offsets, f"{_PID} int, {_OFF} long")
+    return (
+        ranged.join(F.broadcast(offset_df), [_PID], "inner")
+        .withColumn(name, F.col(_OFF) + F.col("_bs_local"))
+        .drop(_PID, _OFF, "_bs_local")
+    )
+
+
 def dense_rank_keys(df: DataFrame, key: str, name: str) -> DataFrame:
     """Distinct values of ``key`` with their dense rank (ascending) in column ``name``."""
     return global_index(df.select(key).distinct(), [key], name=name)

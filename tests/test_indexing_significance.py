@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketspark.operators import significance
-from basketspark.operators.indexing import dense_rank_keys, global_index
+from basketspark.operators.indexing import dense_rank_keys, global_cumsum, global_index
 
 
 def test_global_index_equals_row_number(spark):
@@ -21,6 +21,18 @@ def test_global_index_equals_row_number(spark):
     assert a == b
 
 
+def test_global_cumsum(spark):
+    rnd = random.Random(2)
+    rows = [(i * 3, rnd.randint(1, 9)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "k int, w long")
+    got = {r.k: r.cum for r in global_cumsum(df, ["k"], "w", "cum", num_partitions=6).collect()}
+    acc, want = 0, {}
+    for k, w in rows:
+        acc += w
+        want[k] = acc
+    assert got == want
+
+
 def test_dense_rank_keys(spark):
     df = spark.createDataFrame([(c,) for c in "dbadccb"], "c string")
     assert {r.c: r.k for r in dense_rank_keys(df, "c", "k").collect()} == {"a": 1, "b": 2, "c": 3, "d": 4}
