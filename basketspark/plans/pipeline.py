@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 import logging
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from basketspark.config import RunConfig
 from basketspark.errors import CoverageError
@@ -24,30 +24,47 @@ class JobFrames:
     group_map: DataFrame
     sku_sales: DataFrame
     group_sales: DataFrame
-    affinity: affinity.Affinity
-    pairs: DataFrame
-    ranked: DataFrame
-    prod_views: DataFrame
-    lists: DataFrame | None
+    affinity: affinity.Affinity | None = None
+    pairs: DataFrame | None = None
+    ranked: DataFrame | None = None
+    prod_views: DataFrame | None = None
+    lists: DataFrame | None = None
+    confidence_obs: Observation | None = None
 
 
-def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
-    """All frames of the job. With ``pin`` (the default) the keyed clicks are written once
-    to the shared checkpoint folder and everything after reads them; the group numbering
-    also writes its small ranged table. The rest is lazy.
-    """
+def build_inputs(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
+    """Clicks, baskets, group keys and sales. With ``pin`` the reused frames are written
+    once to the shared checkpoint folder (grouped clicks, group keys, baskets, SKU sales)."""
     window = cfg.window
     baskets, viewed, keys, _, gmap = clicks.build_clicks(sources, window, cfg.max_groups_per_basket, pin)
     per_sku, _, per_group = sales.build_sales(
         sources, window, viewed, keys, cfg.exclude_discontinued_sales, cfg.sales_group_join, pin
     )
-    aff = affinity.pair_matrix(baskets, t=cfg.percentile_t, method=cfg.pair_method, pin=pin)
-    pairs = recommend.confident_pairs(aff.matrix, per_group, cfg.min_confidence)
-    ranked, prod_views = recommend.recommend(pairs, baskets, per_sku, cfg.top_k, cfg.prune_candidates)
-    if pin:  # the published rows, written once while they get their record number
+    return JobFrames(baskets, viewed, keys, gmap, per_sku, per_group)
+
+
+def build_outputs(frames: JobFrames, cfg: RunConfig, pin: bool = True) -> JobFrames:
+    """Pair matrix, ranked SKU pairs and lists. With ``pin`` the matrix is written once (its
+    write also fills the confidence-bound counts) and the published rows are written once
+    while they get their record number."""
+    aff = affinity.pair_matrix(frames.baskets, t=cfg.percentile_t, method=cfg.pair_method, pin=pin)
+    matrix = aff.matrix
+    if pin:
+        matrix, frames.confidence_obs = quality.observe_confidence(matrix)
+        matrix = materialize(matrix, "pair-matrix")
+        aff = dataclasses.replace(aff, matrix=matrix)
+    pairs = recommend.confident_pairs(matrix, frames.group_sales, cfg.min_confidence)
+    ranked, prod_views = recommend.recommend(pairs, frames.baskets, frames.sku_sales, cfg.top_k, cfg.prune_candidates)
+    if pin:
         ranked = publish.number_records(ranked)
-    lists = recommend.rec_lists(ranked) if cfg.publish_list else None
-    return JobFrames(baskets, viewed, keys, gmap, per_sku, per_group, aff, pairs, ranked, prod_views, lists)
+    frames.affinity, frames.pairs, frames.ranked, frames.prod_views = aff, pairs, ranked, prod_views
+    frames.lists = recommend.rec_lists(ranked) if cfg.publish_list else None
+    return frames
+
+
+def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
+    """All frames of the job (no checks, no publishing)."""
+    return build_outputs(build_inputs(sources, cfg, pin), cfg, pin)
 
 
 def check_coverage(sources: Sources, cfg: RunConfig) -> None:
@@ -67,29 +84,30 @@ def run(
     out_root: str | None = None,
     registry: DataFrame | None = None,
 ) -> tuple[JobFrames, DataFrame, dict]:
-    """Validate, compute and (with ``out_root``) publish. Returns frames, detail, report."""
+    """Validate, compute and (with ``out_root``) publish. Returns frames, detail, report.
+
+    Checks run where the original job ran them: coverage and the group map before any
+    heavy work, empty sales before the pair matrix, confidence bounds after it.
+    """
     if cfg.check_coverage:
         check_coverage(sources, cfg)
-    frames = build(sources, cfg)
-    quality.require_not_empty_map(frames.group_map)
+    quality.require_not_empty_map(clicks.read_group_map(sources.prod_feature))
+    frames = build_inputs(sources, cfg)
     if cfg.division == "LSG":
         quality.require_sales(frames.sku_sales)
-    observed, obs = quality.observe_confidence(frames.affinity.matrix)
-    # The matrix feeds the checks, the ranking and the report: written once (its write
-    # also fills the observed confidence counts, so the checks cost no extra job).
-    matrix = materialize(observed, "pair-matrix")
-    frames.affinity = dataclasses.replace(frames.affinity, matrix=matrix)
-    pairs = recommend.confident_pairs(matrix, frames.group_sales, cfg.min_confidence)
-    ranked, _ = recommend.recommend(pairs, frames.baskets, frames.sku_sales, cfg.top_k, cfg.prune_candidates)
-    ranked = publish.number_records(ranked)
-    report = dict(obs.get)
+    frames = build_outputs(frames, cfg)
+    report = dict(frames.confidence_obs.get)
     quality.check_confidence(report)
-    frames.pairs, frames.ranked = pairs, ranked
-    frames.lists = recommend.rec_lists(ranked) if cfg.publish_list else None
+    # Row counts for the run log: the frames are written tables, so these read little.
+    report.update(
+        basket_rows=frames.baskets.count(),
+        sku_sales_rows=frames.sku_sales.count(),
+        published_rows=frames.ranked.count(),
+    )
     if out_root is not None and registry is None:
         registry = publish.read_if_exists(spark, f"{out_root.rstrip('/')}/model_master")
     master_id = publish.next_run_id(registry)
-    detail = publish.stamp_detail(ranked, master_id, cfg)
+    detail = publish.stamp_detail(frames.ranked, master_id, cfg)
     report["master_id"] = master_id
     if out_root is not None:
         report["paths"] = publish.publish(spark, detail, frames.lists, master_id, cfg, out_root)
