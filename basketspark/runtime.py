@@ -15,12 +15,18 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir).
     Only when neither is set - local tests - a private temporary folder is created.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: only the configuration is visible
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
+    if not configured:  # local tests only
         configured = tempfile.mkdtemp(prefix="basketspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

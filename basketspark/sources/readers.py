@@ -46,8 +46,12 @@ def spread_narrow_scan(df: DataFrame) -> DataFrame:
     a few big unsplittable files (one row group each) would otherwise run the whole
     parse chain up to the first shuffle in a handful of tasks.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # no RDD view (remote session): leave the scan as it is
+        return df
+    return df.repartition(target) if narrow else df
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> DataFrame:

@@ -188,3 +188,39 @@ def test_quality_errors(spark):
     bad = spark.createDataFrame([(1.5,), (-0.1,), (0.5,)], "confidence double")
     row = quality.confidence_report(bad).first()
     assert (row.pairs, row.confidence_above_1, row.confidence_below_0) == (3, 1, 1)
+
+
+def test_hot_session_and_hot_group(spark):
+    """One basket with a third of the rows and one group in most baskets: same answer as
+    counting by hand (the plan spreads them; the result must not change)."""
+    rows = []
+    for i in range(300):  # hot basket 0: many clicks of the same 3 groups
+        rows.append((0, f"S{i % 7}", "HOT" if i % 3 == 0 else f"G{i % 3}"))
+    for b in range(1, 601):  # other baskets: the hot group plus one or two others
+        rows.append((b, "S0", "HOT"))
+        rows.append((b, f"S{b % 5}", f"G{b % 4}"))
+        if b % 2:
+            rows.append((b, f"S{b % 9}", f"G{(b + 1) % 4}"))
+    names = sorted({r[2] for r in rows})
+    key = {g: i + 1 for i, g in enumerate(names)}
+    df = spark.createDataFrame(
+        [(b, p, g, key[g]) for b, p, g in rows], "basket_key bigint, prod_id string, coupon string, coupon_key bigint"
+    )
+    sets = {}
+    for b, _, g in rows:
+        sets.setdefault(b, set()).add(g)
+    n = len(sets)
+    count = {g: sum(g in s for s in sets.values()) for g in names}
+    import numpy as np
+
+    thr = max(float(np.percentile(list(count.values()), 20)), 1.0)
+    freq = {g for g in names if count[g] > thr}
+    want = {}
+    for s in sets.values():
+        for x in s & freq:
+            for y in s & freq:
+                if x != y:
+                    want[(x, y)] = want.get((x, y), 0) + 1
+    for method in ("sets", "join"):
+        got = {(r.coupon_X, r.coupon_Y): (r.basket_count_XY, r.support) for r in affinity.pair_matrix(df, method=method).matrix.collect()}
+        assert got == {k: (v, v / n) for k, v in want.items()}
