@@ -46,6 +46,7 @@ def start_clicks_stream(
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
     file_glob: str | None = None,
+    watermark_delay: str = "30 days",
 ) -> StreamingQuery:
     """Read new parquet files of ``source_path`` and append cleaned clicks to ``out_path``.
 
@@ -57,7 +58,7 @@ def start_clicks_stream(
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    cleaned = clean_clicks_stream(to_hits(reader.parquet(source_path)), visit_sessions, window)
+    cleaned = clean_clicks_stream(to_hits(reader.parquet(source_path)), visit_sessions, window, watermark_delay)
     writer = (
         cleaned.writeStream.format("parquet")
         .outputMode("append")
