@@ -41,3 +41,18 @@ def test_invariants(spark, sf_small):
     assert joined.where(F.abs(F.col("lift") - F.col("lift_m")) > 1e-9 * F.abs(F.col("lift"))).count() == 0
     assert frames.ranked.agg(F.max("cvm_rank")).first()[0] <= 35
     assert frames.lists.count() == frames.ranked.select("sku_X").distinct().count()
+
+
+def test_ccg_run_publishes_without_list(spark, sf_small):
+    from basketspark.config import RunConfig
+    from basketspark.sources.fixtures import FIXTURE_PERIOD_DAYS, FIXTURE_START_DATE
+
+    cfg = RunConfig.for_division("CCG", start_date=FIXTURE_START_DATE, period_days=FIXTURE_PERIOD_DAYS)
+    root = scratch_path(spark, "test-publish-ccg")
+    frames, detail, report = pipeline.run(spark, fixture_sources(spark, sf_small), cfg, out_root=root)
+    assert frames.lists is None and not any(k.startswith("csv_") for k in report["paths"])
+    table = spark.read.parquet(report["paths"]["table"])
+    assert table.count() == report["published_rows"] > 0
+    # no cut-off: every confident pair of SKUs is ranked
+    assert table.agg(F.max("CVM_RANK")).first()[0] >= 1
+    assert table.select("RECORD_ID").distinct().count() == table.count()
