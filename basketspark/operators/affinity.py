@@ -30,6 +30,10 @@ from basketspark.config import RARE_GROUP_PERCENTILE
 from basketspark.functions.columns import confidence, lift, pairs_of_sorted, support
 from basketspark.runtime import materialize
 
+# Basket sets with more groups than this are paired by several tasks (the session filter
+# keeps job baskets at 30 groups or fewer, so they never take that path).
+SPLIT_ABOVE = 64
+
 MATRIX_COLUMNS = (
     "coupon_key_X",
     "coupon_X",
@@ -79,11 +83,12 @@ def pair_matrix(
     by: Sequence[str] = (),
     method: str = "sets",
     pin: bool = True,
+    split_above: int = SPLIT_ABOVE,
 ) -> Affinity:
     by = list(by)
     rows = _clean(baskets, by)
     if method == "sets":
-        return _pairs_from_sets(rows, t, by, pin)
+        return _pairs_from_sets(rows, t, by, pin, split_above)
     if method == "join":
         return _pairs_from_join(rows, t, by)
     raise ValueError(f"unknown method {method!r}")
@@ -139,7 +144,25 @@ def _assemble(counts, thresholds, frequent, totals, pair_counts, by: list[str],
     return Affinity(counts=counts, frequent=frequent, totals=totals, thresholds=thresholds, matrix=matrix)
 
 
-def _pairs_from_sets(rows: DataFrame, t: float, by: list[str], pin: bool) -> Affinity:
+def _half_pairs(sets: DataFrame, by: list[str], split_above: int) -> DataFrame:
+    """Half pairs of every basket set. Sets above ``split_above`` groups (possible outside
+    the session filter, e.g. permuted baskets keep their row counts, not their group
+    counts) are cut into slices of first elements spread over tasks, so one basket's
+    quadratic pair list is never generated by a single task."""
+    keys = F.transform("groups", lambda g: g["coupon_key"])
+    n = F.size("groups")
+    small = sets.where(n <= split_above).select(*by, F.explode(pairs_of_sorted(keys)).alias("p"))
+    slices = F.sequence(F.lit(0), (F.ceil(n / F.lit(split_above)) - 1).cast("int"))
+    big = (
+        sets.where(n > split_above)
+        .select(*by, "basket_key", keys.alias("k"), F.explode(slices).alias("slice"))
+        .repartition(*by, "basket_key", "slice")
+        .select(*by, F.explode(pairs_of_sorted("k", start=F.col("slice") * split_above, count=split_above)).alias("p"))
+    )
+    return small.unionByName(big)
+
+
+def _pairs_from_sets(rows: DataFrame, t: float, by: list[str], pin: bool, split_above: int) -> Affinity:
     sets = rows.groupBy(*by, "basket_key").agg(
         F.array_sort(F.collect_set(F.struct("coupon_key", "coupon"))).alias("groups")
     )
@@ -156,9 +179,8 @@ def _pairs_from_sets(rows: DataFrame, t: float, by: list[str], pin: bool) -> Aff
     thresholds, frequent = _frequent(counts, t, by)
     # Pair counts do not depend on which other groups are pruned, so rare groups are
     # removed after counting (a join on the small pair table, not on the basket rows).
-    keys = F.transform("groups", lambda g: g["coupon_key"])
     half = (
-        sets.select(*by, F.explode(pairs_of_sorted(keys)).alias("p"))
+        _half_pairs(sets, by, split_above)
         .groupBy(*by, F.col("p.x").alias("coupon_key_X"), F.col("p.y").alias("coupon_key_Y"))
         .agg(F.count(F.lit(1)).alias("basket_count_XY"))
     )

@@ -224,3 +224,17 @@ def test_hot_session_and_hot_group(spark):
     for method in ("sets", "join"):
         got = {(r.coupon_X, r.coupon_Y): (r.basket_count_XY, r.support) for r in affinity.pair_matrix(df, method=method).matrix.collect()}
         assert got == {k: (v, v / n) for k, v in want.items()}
+
+
+def test_big_baskets_are_paired_in_slices(spark):
+    """Sets above the split size take the sliced path; counts equal the self-join form."""
+    import random
+
+    rnd = random.Random(5)
+    groups = [f"G{i:02d}" for i in range(24)]
+    sets = {b: set(rnd.sample(groups, rnd.randint(1, 20))) for b in range(1, 80)}
+    b = _baskets(spark, {k: sorted(v) for k, v in sets.items()})
+    ref = {tuple(r) for r in affinity.pair_matrix(b, t=10, method="join").matrix.collect()}
+    for split in (2, 3, 7, 64):
+        got = {tuple(r) for r in affinity.pair_matrix(b, t=10, method="sets", split_above=split).matrix.collect()}
+        assert got == ref
