@@ -4,8 +4,9 @@
 are range-partitioned on the order, sorted inside each partition and numbered locally;
 the offset of each partition is the sum of the sizes of the partitions before it. Only
 one count per partition (bounded by the partition count, not by the data) reaches the
-driver. The ranged rows are written once to the shared checkpoint folder so that partition ids and local positions
-are pinned before they are read twice.
+driver. The ranged rows are written once to the shared checkpoint folder, so partition
+ids and local positions are pinned before they are read twice. The order should split
+(distinct keys, or tie-breakers): rows with one equal key all land in one range.
 """
 
 from __future__ import annotations
