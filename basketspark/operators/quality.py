@@ -51,14 +51,14 @@ def coverage_report(df: DataFrame, key_col: str, window: tuple[int, int], table:
     need_lo, need_hi = shift_key(lo, -1), shift_key(hi, -1)
     return df.agg(
         F.lit(table).alias("table_name"),
-        F.min(key_col).alias("min_key"),
-        F.max(key_col).alias("max_key"),
+        F.min(key_col).cast("bigint").alias("min_key"),
+        F.max(key_col).cast("bigint").alias("max_key"),
     ).select(
         "table_name",
         "min_key",
         "max_key",
-        F.lit(need_lo).alias("required_lo"),
-        F.lit(need_hi).alias("required_hi"),
+        F.lit(need_lo).cast("bigint").alias("required_lo"),
+        F.lit(need_hi).cast("bigint").alias("required_hi"),
         F.coalesce((F.col("min_key") <= need_lo) & (F.col("max_key") >= need_hi), F.lit(False)).alias("covered"),
     )
 
