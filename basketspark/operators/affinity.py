@@ -9,8 +9,9 @@ Two physical forms with equal results:
 * ``sets`` (default): one shuffle on the basket builds its sorted set of group keys; the
   ordered half pairs ``x < y`` are generated inside that task by higher-order functions,
   counted with map-side partial aggregation, then mirrored. Group counts and the basket
-  total come from the same per-basket sets, which are written once (``pin``). Pairs per basket are bounded by the session
-  filter (at most 30 groups, so at most 435 half pairs).
+  total come from the same per-basket sets, which are written once (``pin``). Pairs per
+  basket are bounded by the session filter (at most 30 groups, so at most 435 half
+  pairs); larger sets are paired in slices by several tasks (``split_above``).
 * ``join``: the original form - distinct (group, basket) rows, a self-join on the basket
   with ``key_X != key_Y``, and a distinct count per pair. Kept as the reference form.
 
