@@ -28,6 +28,12 @@ def _sort_col(c: Column | str) -> Column:
     return F.col(c).asc() if isinstance(c, str) else c
 
 
+def _by_range(df: DataFrame, keys: list[Column], num_partitions: int | None) -> DataFrame:
+    """Range partitions in key order. Without an explicit count AQE sizes them: it only
+    merges neighbouring ranges, so partition ids stay in key order."""
+    return df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+
+
 def global_index(
     df: DataFrame,
     order: Sequence[Column | str],
@@ -41,14 +47,13 @@ def global_index(
     on distinct keys it is ``dense_rank``.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [F.col(c).asc() for c in partition_by] + [_sort_col(c) for c in order]
     pid = F.spark_partition_id()
     # The range partitioner samples its input in a job of its own before the write job:
     # keep the input for the two passes instead of computing it twice.
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (
-        src.repartitionByRange(n, *keys)
+        _by_range(src, keys, num_partitions)
         .sortWithinPartitions(*keys)
         .withColumns({_PID: pid, _POS: F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)})
     )
@@ -93,10 +98,9 @@ def global_cumsum(
     range partition.
     """
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [_sort_col(c) for c in order]
     src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = src.repartitionByRange(n, *keys).withColumn(_PID, F.spark_partition_id())
+    ranged = _by_range(src, keys, num_partitions).withColumn(_PID, F.spark_partition_id())
     from pyspark.sql.window import Window
 
     running = Window.partitionBy(_PID).orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
