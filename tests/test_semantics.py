@@ -238,3 +238,25 @@ def test_big_baskets_are_paired_in_slices(spark):
     for split in (2, 3, 7, 64):
         got = {tuple(r) for r in affinity.pair_matrix(b, t=10, method="sets", split_above=split).matrix.collect()}
         assert got == ref
+
+
+def test_sources_bind_by_name(spark):
+    from basketspark.runtime import scratch_path
+
+    root = scratch_path(spark, "sources")
+    spark.createDataFrame(
+        [("A|", "P1", 0, "V1", T0, 20200105)],
+        "demandbase string, prod_list string, visit_return_count bigint, post_visid_combined string, "
+        "hit_time_gmt_ts timestamp_ntz, hit_time_gmt_dt_key int",
+    ).write.parquet(f"{root}/hits")
+    spark.createDataFrame([("P1", Decimal("1.00"), 20200105)], "prod_prc_ref_sku string, ext_net_sls_pmar_amt decimal(18,2), invc_dt_key int").write.parquet(f"{root}/inv")
+    other = {
+        "visit_sessions": spark.createDataFrame([(0, "V1", 1)], VS_SCHEMA),
+        "products": spark.createDataFrame([("P1", "S")], "sku string, stk_type_cd string"),
+        "prod_feature": spark.createDataFrame([("P1", "G1")], "sku_nbr string, size_grp string"),
+    }
+    src = Sources.from_refs(spark, {"hits": f"{root}/hits", "invoices": f"{root}/inv", **other})
+    assert {"time_stamp", "dt_key"} <= set(src.hits.columns)
+    assert {"sku", "amt", "dt_key"} <= set(src.invoices.columns)
+    with pytest.raises(ValueError):
+        Sources.from_refs(spark, {"hits": other["products"], "invoices": f"{root}/inv", **other})
