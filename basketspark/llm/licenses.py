@@ -58,7 +58,9 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     lines = F.split(t, "\n", -1)
     paragraphs = F.filter(F.split(t, "\n[ \t\r]*\n", -1), lambda p: F.contains(p, F.lit("\n")))
-    units = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.posexplode(F.concat(lines, paragraphs)).alias("unit", "part"))
+    # The number of a row is taken before its units are exploded, so all of them share it.
+    numbered = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.concat(lines, paragraphs).alias("units"))
+    units = numbered.select("doc_id", "row", F.posexplode("units").alias("unit", "part"))
     sized = units.select("doc_id", "row", "unit", bigrams(F.col("part")).alias("a")).withColumn("size_a", F.size("a"))
     # Dice >= t needs t / (2 - t) <= |A| / |B| <= (2 - t) / t.
     least, most = threshold / (2 - threshold), (2 - threshold) / threshold

@@ -23,7 +23,8 @@ def tokenizer_file(name: str) -> str:
 
 
 def op1_quality_rules(spark, sf_dir):
-    return quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+    found = quality_rules.quality_rules(_table(spark, sf_dir, "documents"))
+    return found.withColumn("host_rate", F.round("host_rate", 6))
 
 
 def op2_simhash(spark, sf_dir):

@@ -26,17 +26,18 @@ from pyspark.sql.window import Window
 from basketspark.llm.text import text_keys
 from basketspark.runtime import materialize
 
-#: Kind, role, pattern (group 1: the value), least length of the value. The first
-#: three are strong and in the order in which equal starts are listed; the rest are weak.
+#: Kind, role, pattern (group 1: the value), least length of the value, what the
+#: value must hold besides. The first three are strong and in the order in which equal starts
+#: are listed; the rest are weak.
 STRONG = (
-    ("assign", "secret", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 8),
-    ("access", "identity", r"(AKIA[A-Z0-9]+)", 16),
-    ("hex", "secret", r"([0-9a-f]{32,})", 32),
+    ("assign", "secret", r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 8, ()),
+    ("access", "identity", r"(AKIA[A-Z0-9]+)", 16, ()),
+    ("hex", "secret", r"([0-9a-f]{32,})", 32, ()),
 )
 WEAK = (
-    ("user", "identity", r"(?i:\b(?:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|key_?id))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.@-]+)", 3),
-    ("opaque", "secret", r"(?<![A-Za-z0-9+/_=-])((?=[A-Za-z+/_=-]{0,80}[0-9])(?=[a-z0-9+/_=-]{0,80}[A-Z])(?=[A-Z0-9+/_=-]{0,80}[a-z])[A-Za-z0-9+/_=-]{20,})", 20),
-    ("endpoint", "endpoint", r"((?:https?|ftp|ssh|jdbc:[a-z]+|postgres(?:ql)?|mysql|redis|mongodb|amqps?)://[^\s\"'<>]+)", 10),
+    ("user", "identity", r"\b(?i:user(?:_?name|_?id)?|login|account(?:_?id)?|client_?id|key_?id)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.@-]+)", 3, ()),
+    ("opaque", "secret", r"([A-Za-z0-9+/_=-]{20,})", 20, ("[0-9]", "[A-Z]", "[a-z]")),
+    ("endpoint", "endpoint", r"((?:https?|ftp|ssh|postgres(?:ql)?|mysql|redis|mongodb|amqps?)://[^\s\"'<>]+)", 10, ()),
 )
 ORDER = {kind: i for i, (kind, *_) in enumerate(STRONG + WEAK)}
 ROLE = {kind: role for kind, role, *_ in STRONG + WEAK}
@@ -45,21 +46,24 @@ MARK = "[SECRET]"
 
 
 def _matches(text: Column, pattern: str) -> Column:
-    """For each match of the pattern in order: length of the gap before, of the match, of its value."""
+    """For each match of the pattern in order: length of the gap before and of the match, and its value."""
     gaps, matches, values = [F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern})"), F.lit(g)) for g in (1, 2, 3)]
-    of = lambda x, i: F.struct(F.length(x).alias("gap"), F.length(F.get(matches, i)).alias("all"), F.length(F.get(values, i)).alias("value"))
+    of = lambda x, i: F.struct(F.length(x).alias("gap"), F.length(F.get(matches, i)).alias("all"), F.get(values, i).alias("value"))
     return F.transform(gaps, of)
 
 
 def find_parts(texts: DataFrame, kinds) -> DataFrame:
     """(k1, k2, kind, start, stop) of all finds of the kinds. texts: k1, k2, text, distinct."""
     found = []
-    for kind, _, pattern, least in kinds:
+    for kind, _, pattern, least, holds in kinds:
         some = texts.where(F.col("text").rlike(pattern)).select("k1", "k2", F.posexplode(_matches(F.col("text"), pattern)).alias("i", "m"))
         before = Window.partitionBy("k1", "k2").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         stop = F.sum(F.col("m.gap") + F.col("m.all")).over(before)
-        placed = some.select("k1", "k2", F.lit(kind).alias("kind"), (stop - F.col("m.all")).cast("long").alias("start"), stop.cast("long").alias("stop"), (F.col("m.value") >= least).alias("long_enough"))
-        found.append(placed.where("long_enough").drop("long_enough"))
+        placed = some.select("k1", "k2", F.lit(kind).alias("kind"), (stop - F.col("m.all")).cast("long").alias("start"), stop.cast("long").alias("stop"), F.col("m.value").alias("value"))
+        right = placed.where(F.length("value") >= least)
+        for need in holds:
+            right = right.where(F.col("value").rlike(need))
+        found.append(right.drop("value"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -96,8 +100,8 @@ def find_secrets(docs: DataFrame, text="text", scope_chars: int = SCOPE_CHARS) -
     """(k1, k2, spans): for each distinct text with finds its spans (start, rank, kind, stop),
     sorted. k1 and k2 identify the text. Written once."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    strong = "|".join(f"(?:{p})" for _, _, p, _ in STRONG)
-    weak = "|".join(f"(?:{p})" for _, _, p, _ in WEAK)
+    strong = "|".join(f"(?:{p})" for _, _, p, *_ in STRONG)
+    weak = "|".join(f"(?:{p})" for _, _, p, *_ in WEAK)
     # Texts without any find end here; copies of a text are scanned once.
     able = docs.select(t.alias("text")).where(F.col("text").rlike(strong) | F.col("text").rlike(weak))
     able = able.groupBy(*text_keys(F.col("text"))).agg(F.first("text").alias("text"))
