@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import datetime as _dt
+import enum
 
 from basketspark.errors import InputNotValidError
 
@@ -19,6 +20,12 @@ PREDICT_PERIOD_DAYS = 14
 DIVISIONS = ("LSG", "CCG")
 
 
+class Preset(enum.Enum):
+    """Values that the division decides."""
+
+    DIVISION = "division"
+
+
 def _parse_day(value: str | _dt.date) -> _dt.date:
     if isinstance(value, _dt.date):
         return value
@@ -63,7 +70,7 @@ class RunConfig:
     ``division`` selects the preset rules: ``LSG`` drops discontinued SKUs from sales,
     keeps SKUs without a group in the sales (left join), cuts the ranked list at ``top_k``
     and publishes a pipe-joined list; ``CCG`` keeps every invoiced SKU, needs a group
-    match (inner join), and publishes the ranked pairs without cut-off or list.
+    match (inner join), and publishes the ranked pairs without cut-off, also as files.
     """
 
     start_date: str
@@ -71,15 +78,15 @@ class RunConfig:
     division: str = "LSG"
     percentile_t: float = RARE_GROUP_PERCENTILE
     min_confidence: float = MIN_CONFIDENCE
-    top_k: int | None = TOP_K
+    top_k: int | None | Preset = Preset.DIVISION  # LSG: 35, CCG: no cut-off; an explicit value wins
     max_groups_per_basket: int = MAX_GROUPS_PER_BASKET
     model_type: str = MODEL_TYPE
     model_name: str = MODEL_NAME
     train_period_days: int = TRAIN_PERIOD_DAYS
     predict_period_days: int = PREDICT_PERIOD_DAYS
-    table_name: str = "cvm_recommendations"
+    table_name: str = "recommendations"
     check_coverage: bool = True
-    pair_method: str = "sets"  # "sets" (one shuffle per basket) or "join" (self-join)
+    pair_method: str = "half"  # "half" (pruned half pairs) or "join" (the original self-join)
     prune_candidates: bool = True  # rank per group before expanding to SKUs
 
     def __post_init__(self):
@@ -87,14 +94,14 @@ class RunConfig:
             raise InputNotValidError(f"Division {self.division!r} is not defined; use one of {DIVISIONS}")
         if not 0 <= self.percentile_t <= 100:
             raise InputNotValidError("percentile_t must be within [0, 100]")
-        if self.pair_method not in ("sets", "join"):
-            raise InputNotValidError("pair_method must be 'sets' or 'join'")
+        if self.pair_method not in ("half", "join"):
+            raise InputNotValidError("pair_method must be 'half' or 'join'")
+        if self.top_k is Preset.DIVISION:
+            object.__setattr__(self, "top_k", TOP_K if self.division == "LSG" else None)
         date_window(self.start_date, self.period_days)  # validates the date
 
     @classmethod
     def for_division(cls, division: str, **kwargs) -> "RunConfig":
-        if division == "CCG":
-            kwargs.setdefault("top_k", None)
         return cls(division=division, **kwargs)
 
     @property

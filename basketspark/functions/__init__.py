@@ -7,7 +7,6 @@ from basketspark.functions.columns import (
     day_key_of,
     lift,
     normalised_list,
-    pairs_of_sorted,
     support,
     trimmed,
 )
@@ -19,7 +18,6 @@ __all__ = [
     "day_key_of",
     "lift",
     "normalised_list",
-    "pairs_of_sorted",
     "support",
     "trimmed",
 ]

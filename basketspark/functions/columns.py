@@ -58,28 +58,3 @@ def support(n_xy: Column | str, n_total: Column | str) -> Column:
 def cvm_score(sku_count_y: Column | str, conf: Column | str) -> Column:
     """Ranking score of a recommended SKU: its basket count times the group confidence."""
     return _c(sku_count_y) * _c(conf)
-
-
-def pairs_of_sorted(
-    keys: Column | str, left: str = "x", right: str = "y", start: Column | None = None, count: int | None = None
-) -> Column:
-    """All pairs ``(a, b)`` with ``a`` before ``b`` in an array (strictly increasing if sorted).
-
-    With ``start`` (0-based) and ``count`` only the pairs whose first element is one of
-    ``keys[start : start + count]`` - a slice of the work of one array, so the pairs of a
-    very large array can be generated by several tasks. Pure higher-order functions: no
-    self-join, no Python.
-    """
-    keys = _c(keys)
-    size = F.greatest(F.size(keys), F.lit(1))
-    offset = F.lit(0) if start is None else start
-    firsts = keys if start is None else F.slice(keys, offset + 1, F.lit(count))
-    return F.flatten(
-        F.transform(
-            firsts,
-            lambda x, i: F.transform(
-                F.slice(keys, offset + i + 2, size),
-                lambda y: F.struct(x.alias(left), y.alias(right)),
-            ),
-        )
-    )

@@ -6,17 +6,16 @@ one per name), plus optional ``by`` columns that split the input into independen
 
 Two physical forms with equal results:
 
-* ``sets`` (default): one shuffle on the basket builds its sorted set of group keys; the
-  ordered half pairs ``x < y`` are generated inside that task by higher-order functions,
-  counted with map-side partial aggregation, then mirrored. Group counts and the basket
-  total come from the same per-basket sets, which are written once (``pin``). Pairs per
-  basket are bounded by the session filter (at most 30 groups, so at most 435 half
-  pairs); larger sets are paired in slices by several tasks (``split_above``).
+* ``half`` (default): the distinct (basket, group) rows are written once (``pin``); groups at
+  or below the threshold are removed; the rest meets itself on the basket with ``x < y``, and
+  the half pairs are counted with map-side partial aggregation, then mirrored. Pairs are rows,
+  never an array of a whole basket, and a basket with very many groups is a skewed join key
+  that adaptive execution splits.
 * ``join``: the original form - distinct (group, basket) rows, a self-join on the basket
   with ``key_X != key_Y``, and a distinct count per pair. Kept as the reference form.
 
 Scalars (basket total, percentile threshold) stay on the cluster: scalar subqueries when
-``by`` is empty, otherwise one row per ``by`` group joined back (bounded by that count).
+``by`` is empty, otherwise one row per ``by`` group joined back.
 """
 
 from __future__ import annotations
@@ -28,13 +27,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from basketspark.config import RARE_GROUP_PERCENTILE
-from basketspark.functions.columns import confidence, lift, pairs_of_sorted, support
+from basketspark.functions.columns import confidence, lift, support
 from basketspark.runtime import materialize
 
-# Basket sets with more groups than this are paired by several tasks (the session filter
-# keeps job baskets at 30 groups or fewer, so they never take that path).
-SPLIT_ABOVE = 64
-
 MATRIX_COLUMNS = (
     "coupon_key_X",
     "coupon_X",
@@ -68,8 +63,7 @@ def _attach(df: DataFrame, values: DataFrame, by: Sequence[str], name: str) -> D
     """Attach a per-run scalar: a scalar subquery without ``by``, else a join on ``by``."""
     if not by:
         return df.withColumn(name, values.select(name).scalar())
-    # One row per run: bounded by the number of runs, never by the data.
-    return df.join(F.broadcast(values), list(by), "inner")
+    return df.join(values, list(by), "inner")  # one row per run: Spark picks the join by its size
 
 
 def _clean(baskets: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -82,14 +76,13 @@ def pair_matrix(
     baskets: DataFrame,
     t: float = RARE_GROUP_PERCENTILE,
     by: Sequence[str] = (),
-    method: str = "sets",
+    method: str = "half",
     pin: bool = True,
-    split_above: int = SPLIT_ABOVE,
 ) -> Affinity:
     by = list(by)
     rows = _clean(baskets, by)
-    if method == "sets":
-        return _pairs_from_sets(rows, t, by, pin, split_above)
+    if method == "half":
+        return _half_pairs(rows, t, by, pin)
     if method == "join":
         return _pairs_from_join(rows, t, by)
     raise ValueError(f"unknown method {method!r}")
@@ -145,44 +138,22 @@ def _assemble(counts, thresholds, frequent, totals, pair_counts, by: list[str],
     return Affinity(counts=counts, frequent=frequent, totals=totals, thresholds=thresholds, matrix=matrix)
 
 
-def _half_pairs(sets: DataFrame, by: list[str], split_above: int) -> DataFrame:
-    """Half pairs of every basket set. Sets above ``split_above`` groups (possible outside
-    the session filter, e.g. permuted baskets keep their row counts, not their group
-    counts) are cut into slices of first elements spread over tasks, so one basket's
-    quadratic pair list is never generated by a single task."""
-    keys = F.transform("groups", lambda g: g["coupon_key"])
-    n = F.size("groups")
-    small = sets.where(n <= split_above).select(*by, F.explode(pairs_of_sorted(keys)).alias("p"))
-    slices = F.sequence(F.lit(0), (F.ceil(n / F.lit(split_above)) - 1).cast("int"))
-    big = (
-        sets.where(n > split_above)
-        .select(*by, "basket_key", keys.alias("k"), F.explode(slices).alias("slice"))
-        .repartition(*by, "basket_key", "slice")
-        .select(*by, F.explode(pairs_of_sorted("k", start=F.col("slice") * split_above, count=split_above)).alias("p"))
-    )
-    return small.unionByName(big)
-
-
-def _pairs_from_sets(rows: DataFrame, t: float, by: list[str], pin: bool, split_above: int) -> Affinity:
-    sets = rows.groupBy(*by, "basket_key").agg(
-        F.array_sort(F.collect_set(F.struct("coupon_key", "coupon"))).alias("groups")
-    )
-    if pin:
-        # One row per basket, read by the group counts, the total, the threshold and the
-        # pair generation: written once instead of re-shuffling the basket rows for each.
-        sets = materialize(sets, "basket-sets")
-    counts = (
-        sets.select(*by, F.explode("groups").alias("g"))
-        .groupBy(*by, F.col("g.coupon_key").alias("coupon_key"), F.col("g.coupon").alias("coupon"))
-        .agg(F.count(F.lit(1)).alias("basket_count"))
-    )
-    totals = (sets.groupBy(*by) if by else sets).agg(F.count(F.lit(1)).alias("total_basket_count"))
+def _half_pairs(rows: DataFrame, t: float, by: list[str], pin: bool) -> Affinity:
+    rows = rows.distinct()
+    if pin:  # read by the group counts, the total and both sides of the pairs
+        rows = materialize(rows, "basket-groups")
+    counts = rows.groupBy(*by, "coupon_key", "coupon").agg(F.count(F.lit(1)).alias("basket_count"))
+    if pin:  # one row per group: read by the threshold, the pruning and the matrix
+        counts = materialize(counts, "group-counts")
+    totals = (rows.groupBy(*by) if by else rows).agg(F.count_distinct("basket_key").alias("total_basket_count"))
     thresholds, frequent = _frequent(counts, t, by)
-    # Pair counts do not depend on which other groups are pruned, so rare groups are
-    # removed after counting (a join on the small pair table, not on the basket rows).
+    side = rows.join(frequent.select(*by, "coupon_key"), [*by, "coupon_key"], "left_semi").select(*by, "basket_key", "coupon_key")
+    x = side.withColumnRenamed("coupon_key", "coupon_key_X")
+    y = side.withColumnRenamed("coupon_key", "coupon_key_Y")
     half = (
-        _half_pairs(sets, by, split_above)
-        .groupBy(*by, F.col("p.x").alias("coupon_key_X"), F.col("p.y").alias("coupon_key_Y"))
+        x.join(y, [*by, "basket_key"], "inner")
+        .where(F.col("coupon_key_X") < F.col("coupon_key_Y"))
+        .groupBy(*by, "coupon_key_X", "coupon_key_Y")
         .agg(F.count(F.lit(1)).alias("basket_count_XY"))
     )
     return _assemble(counts, thresholds, frequent, totals, half, by, mirrored=True)

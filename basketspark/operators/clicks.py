@@ -159,7 +159,8 @@ def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_
     if pin:  # one row per (SKU, group): read by the clicks and by the sales
         keys = materialize(keys, "group-keys")
     keyed = attach_group_keys(grouped, keys)
-    baskets = to_baskets(keyed, keep_sessions(session_stats(keyed), max_groups))
+    seen = keyed.where(F.col("session_key").isNotNull())  # no session, no basket
+    baskets = to_baskets(seen, keep_sessions(session_stats(seen), max_groups))
     if pin:  # read by the pair matrix, the SKU counts and the permutation test
         baskets = materialize(baskets, "baskets")
     return baskets, viewed_skus(grouped), keys, keyed, gmap

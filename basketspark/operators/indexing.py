@@ -2,9 +2,8 @@
 
 ``Window.orderBy(...)`` with no ``partitionBy`` moves every row into one task. Here the rows
 are range-partitioned on the order, sorted inside each partition and numbered locally;
-the offset of each partition is the sum of the sizes of the partitions before it. Only
-one count per partition (bounded by the partition count, not by the data) reaches the
-driver. The ranged rows are written once to the shared checkpoint folder, so partition
+the offset of each partition is the sum of the sizes of the partitions before it, a window
+over one count per partition (bounded by the partition count, not by the data). The ranged rows are written once to the shared checkpoint folder, so partition
 ids and local positions are pinned before they are read twice. The order should split
 (distinct keys, or tie-breakers): rows with one equal key all land in one range.
 """
@@ -13,9 +12,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from basketspark.runtime import materialize
 
@@ -46,41 +45,26 @@ def global_index(
     Equal to ``row_number() over (partition by ... order by ...)`` when the order is total;
     on distinct keys it is ``dense_rank``.
     """
-    spark = df.sparkSession
     keys = [F.col(c).asc() for c in partition_by] + [_sort_col(c) for c in order]
     pid = F.spark_partition_id()
-    # The range partitioner samples its input in a job of its own before the write job:
-    # keep the input for the two passes instead of computing it twice.
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
     ranged = (
-        _by_range(src, keys, num_partitions)
+        _by_range(df, keys, num_partitions)
         .sortWithinPartitions(*keys)
         .withColumns({_PID: pid, _POS: F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)})
     )
     # Pin partition ids and local positions: written once, then read twice.
     ranged = materialize(ranged, "index")
-    src.unpersist()
 
     # Rows of one group are contiguous inside a partition (the sort starts with the group),
     # so a row's position in its group is its local position minus the group's first one
-    # in that partition, plus the sizes of the group in earlier partitions.
-    sizes = (
-        ranged.groupBy(_PID, *partition_by)
-        .agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
-        .collect()
-    )
-    offsets: dict[tuple, int] = {}
-    running: dict[tuple, int] = {}
-    for row in sorted(sizes, key=lambda r: r[_PID]):
-        group = tuple(row[c] for c in partition_by)
-        offsets[(row[_PID],) + group] = running.get(group, 0) - row["_first"]
-        running[group] = running.get(group, 0) + row["_n"]
-    schema = ", ".join([f"{_PID} int"] + [f"`{c}` {dict(df.dtypes)[c]}" for c in partition_by] + [f"{_OFF} long"])
-    offset_rows = [k + (v,) for k, v in offsets.items()]
-    offset_df = spark.createDataFrame(offset_rows, schema)
-    # One row per (partition, group): size bounded by the partition count times the groups.
+    # in that partition, plus the sizes of the group in earlier partitions: a window over
+    # one row per partition (and group).
+    sizes = ranged.groupBy(_PID, *partition_by).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
+    before = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
+    offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
+    offsets = sizes.select(_PID, *partition_by, offset.alias(_OFF))
     return (
-        ranged.join(F.broadcast(offset_df), [_PID, *partition_by], "inner")
+        ranged.join(offsets, [_PID, *partition_by], "inner")
         .withColumn(name, F.col(_OFF) + F.col(_POS) + F.lit(1))
         .drop(_PID, _POS, _OFF)
     )
@@ -93,27 +77,19 @@ def global_cumsum(
 
     Range partitions on the order, a running sum inside each range partition (a window on
     the partition id: one range partition per task, balanced by the range bounds), and the
-    totals of earlier partitions as offsets (one value per partition reaches the driver).
+    totals of earlier partitions as offsets (a window over one row per partition).
     Meant for distinct keys, e.g. (value, count) pairs; repeated keys would all sit in one
     range partition.
     """
-    spark = df.sparkSession
     keys = [_sort_col(c) for c in order]
-    src = df.persist(StorageLevel.MEMORY_AND_DISK)
-    ranged = _by_range(src, keys, num_partitions).withColumn(_PID, F.spark_partition_id())
-    from pyspark.sql.window import Window
-
+    ranged = _by_range(df, keys, num_partitions).withColumn(_PID, F.spark_partition_id())
     running = Window.partitionBy(_PID).orderBy(*keys).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranged = materialize(ranged.withColumn("_bs_local", F.sum(weight).over(running)), "cumsum")
-    src.unpersist()
-    totals = sorted(ranged.groupBy(_PID).agg(F.sum(weight).alias("_t")).collect(), key=lambda r: r[_PID])
-    offsets, acc = [], 0
-    for row in totals:
-        offsets.append((row[_PID], acc))
-        acc += row["_t"]
-    offset_df = spark.createDataFrame(offsets, f"{_PID} int, {_OFF} long")
+    totals = ranged.groupBy(_PID).agg(F.sum(weight).alias("_t"))
+    earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offsets = totals.select(_PID, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias(_OFF))
     return (
-        ranged.join(F.broadcast(offset_df), [_PID], "inner")
+        ranged.join(offsets, [_PID], "inner")
         .withColumn(name, F.col(_OFF) + F.col("_bs_local"))
         .drop(_PID, _OFF, "_bs_local")
     )

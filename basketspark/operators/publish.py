@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 from basketspark.config import RunConfig, date_window
 from basketspark.operators.indexing import global_index
+from basketspark.runtime import discard, exists, rename
 
 DETAIL_COLUMNS = (
     "MASTER_ID",
@@ -49,11 +51,23 @@ REGISTRY_COLUMNS = (
 RECORD_ORDER = ("sku_X", "cvm_rank", "sku_Y", "coupon_key_X", "coupon_key_Y")
 
 
-def next_run_id(registry: DataFrame | None) -> int:
-    """Last run id + 1 (1 for an empty or absent registry). Collects one value."""
-    if registry is None:
-        return 1
-    return int(registry.agg((F.coalesce(F.max("master_id"), F.lit(0)) + 1).alias("next")).first()["next"])
+def _table_path(root: str, cfg: RunConfig) -> str:
+    return f"{root.rstrip('/')}/tables/{cfg.table_name}"
+
+
+def _archive_path(root: str, cfg: RunConfig) -> str:
+    return f"{root.rstrip('/')}/archive/{cfg.table_name}"
+
+
+def next_run_id(spark: SparkSession, cfg: RunConfig, root: str) -> int:
+    """One more than the largest id in the registry, the table or the archive (1 at first), so
+    an id is never used again, wherever an earlier run stopped. Collects one value each."""
+    seen = [0]
+    for path, column in ((f"{root.rstrip('/')}/model_master", "master_id"), (_table_path(root, cfg), "MASTER_ID"), (_archive_path(root, cfg), "MASTER_ID")):
+        found = read_if_exists(spark, path)
+        if found is not None and column.lower() in [c.lower() for c in found.columns]:
+            seen.append(found.agg(F.max(column).alias("m")).first()["m"] or 0)
+    return int(max(seen)) + 1
 
 
 def number_records(ranked: DataFrame) -> DataFrame:
@@ -95,12 +109,7 @@ def stamp_detail(ranked: DataFrame, master_id: int, cfg: RunConfig) -> DataFrame
 
 def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
     """The parquet table at ``path``, or None when it does not exist (any other error raises)."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            return None
-        raise
+    return spark.read.parquet(path) if exists(spark, path) else None
 
 
 def registry_row(spark: SparkSession, master_id: int, cfg: RunConfig, record_count: int) -> DataFrame:
@@ -124,36 +133,48 @@ def registry_row(spark: SparkSession, master_id: int, cfg: RunConfig, record_cou
     return spark.createDataFrame([row], schema)
 
 
-def publish(
-    spark: SparkSession,
-    detail: DataFrame,
-    lists: DataFrame | None,
-    master_id: int,
-    cfg: RunConfig,
-    root: str,
-    csv_targets: tuple[str, ...] = ("QA", "DEV"),
-) -> dict[str, str]:
-    """Archive the current table, overwrite it, write the CSV list, append the registry row.
-
-    Layout below ``root``: ``tables/<name>``, ``archive/<name>/master_id=<n>``,
-    ``csv/<target>/CSV_Pipes_<start>.csv``, ``model_master``.
-    """
+def replace_table(
+    spark: SparkSession, detail: DataFrame, lists: DataFrame | None, master_id: int, cfg: RunConfig, root: str, csv_targets: tuple[str, ...] = ("QA", "DEV")
+) -> tuple[dict[str, str], int]:
+    """``publish`` up to the registry row. Returns the paths written and the rows published."""
     root = root.rstrip("/")
-    table = f"{root}/tables/{cfg.table_name}"
-    paths = {"table": table, "registry": f"{root}/model_master"}
+    table = _table_path(root, cfg)
+    paths = {"table": table}
+    staged = f"{root}/staging/{cfg.table_name}-{uuid.uuid4().hex[:12]}"
+    detail.write.mode("errorifexists").parquet(staged)
+    record_count = spark.read.parquet(staged).count()
     old = read_if_exists(spark, table)
     if old is not None:
         last = old.agg(F.max("MASTER_ID").alias("m")).first()["m"]
-        paths["archive"] = f"{root}/archive/{cfg.table_name}/master_id={last}"
-        old.write.mode("overwrite").parquet(paths["archive"])
-    detail.write.mode("overwrite").parquet(table)
-    written = spark.read.parquet(table)
-    record_count = written.count()
+        if last is None:
+            discard(spark, [table])
+        else:
+            paths["archive"] = f"{_archive_path(root, cfg)}/master_id={last}"
+            rename(spark, table, paths["archive"])
+    rename(spark, staged, table)
+    spark.catalog.refreshByPath(table)
     if lists is not None:
         _, hi = date_window(cfg.start_date, cfg.period_days)
         for target in csv_targets:
             path = f"{root}/csv/{target}/CSV_Pipes_{hi}.csv"
             lists.write.mode("overwrite").option("header", True).csv(path)
             paths[f"csv_{target}"] = path
+    return paths, record_count
+
+
+def publish(
+    spark: SparkSession, detail: DataFrame, lists: DataFrame | None, master_id: int, cfg: RunConfig, root: str, csv_targets: tuple[str, ...] = ("QA", "DEV")
+) -> dict[str, str]:
+    """Archive the current table, replace it, write the files, append the registry row.
+
+    Layout below ``root``: ``tables/<name>``, ``archive/<name>/master_id=<n>``,
+    ``csv/<target>/CSV_Pipes_<start>.csv``, ``model_master``. The new rows are written to a
+    staging folder first; then the current table is moved to the archive, under its own id and
+    never over rows archived before, and the staged one takes its place. A run that stops at
+    any point leaves the earlier rows in the table or in the archive. An empty table has no
+    id and nothing to archive.
+    """
+    paths, record_count = replace_table(spark, detail, lists, master_id, cfg, root, csv_targets)
+    paths["registry"] = f"{root.rstrip('/')}/model_master"
     registry_row(spark, master_id, cfg, record_count).write.mode("append").parquet(paths["registry"])
     return paths

@@ -35,14 +35,19 @@ def observe_confidence(matrix: DataFrame, name: str = "confidence_bounds") -> tu
 
 
 def check_confidence(values: dict) -> None:
-    if values.get("confidence_above_1", 0):
-        raise OutputOutOfBoundError(
-            f"Confidence should never be larger than 1 but there are {values['confidence_above_1']} such pairs."
-        )
-    if values.get("confidence_below_0", 0):
-        raise OutputOutOfBoundError(
-            f"Confidence should never be negative but there are {values['confidence_below_0']} such pairs."
-        )
+    """Raise when the observed counts show pairs whose confidence is no probability."""
+    for count, side in (("confidence_above_1", "above 1"), ("confidence_below_0", "below 0")):
+        if values.get(count, 0):
+            raise OutputOutOfBoundError(f"pair matrix: {values[count]} of {values.get('pairs', '?')} pairs have a confidence {side}")
+
+
+def uncovered_days(df: DataFrame, key_col: str, window: tuple[int, int]) -> list[int]:
+    """Of the two boundary days (one below the window, its last day) those that the table
+    doesn't reach. Each is a filtered look for one row, which day partitions answer."""
+    lo, hi = window
+    first, last = shift_key(lo, -1), shift_key(hi, -1)
+    key = F.col(key_col)
+    return [day for day, side in ((first, key <= first), (last, key >= last)) if df.where(side).select(key_col).isEmpty()]
 
 
 def coverage_report(df: DataFrame, key_col: str, window: tuple[int, int], table: str) -> DataFrame:
@@ -63,9 +68,12 @@ def coverage_report(df: DataFrame, key_col: str, window: tuple[int, int], table:
     )
 
 
-def require_not_empty_map(group_map: DataFrame) -> None:
+def require_not_empty_map(prod_feature: DataFrame) -> None:
+    """The product feature table must give some SKU a group (tested before the map is built)."""
     require_rows(
-        group_map, DataValidityError, "No product group information; check the group column of the product feature table."
+        prod_feature.where(F.col("size_grp").isNotNull() & (F.col("size_grp") != "T")),
+        DataValidityError,
+        "No product group information; check the group column of the product feature table.",
     )
 
 

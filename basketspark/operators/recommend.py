@@ -11,7 +11,6 @@ from pyspark.sql.window import Window
 
 from basketspark.config import MIN_CONFIDENCE, TOP_K
 from basketspark.functions.columns import cvm_score
-from basketspark.operators.sales import MONEY
 
 SKU_PAIR_COLUMNS = (
     "coupon_key_X",
@@ -71,7 +70,7 @@ def _with_sku(df: DataFrame, prod_views: DataFrame, sales: DataFrame, tag: str)
         df.join(_sku_side(prod_views, tag), [f"coupon_key_{tag}"], "left")
         .join(per_sku_sales, [f"sku_{tag}"], "left")
         .withColumn(f"sku_basket_count_{tag}", F.coalesce(f"sku_basket_count_{tag}", F.lit(0).cast("bigint")))
-        .withColumn(f"sku_sales_{tag}", F.coalesce(f"sku_sales_{tag}", F.lit(0).cast(MONEY)))
+        .withColumn(f"sku_sales_{tag}", F.coalesce(f"sku_sales_{tag}", F.lit(0).cast(sales.schema["sales"].dataType)))
     )
 
 
@@ -94,6 +93,11 @@ def rank_top_k(scored: DataFrame, k: int | None = TOP_K) -> DataFrame:
     return ranked.withColumn("cvm_rank", F.col("cvm_rank").cast("bigint"))
 
 
+def rank_expanded(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K) -> DataFrame:
+    """The full expansion, ranked: the naive form of ``top_k_pruned``."""
+    return rank_top_k(expand_to_skus(pairs, prod_views, sales), k)
+
+
 def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K) -> DataFrame:
     """Same rows as ``rank_top_k(expand_to_skus(...), k)`` without the full expansion.
 
@@ -104,7 +108,7 @@ def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: i
     again per SKU.
     """
     if k is None:
-        return rank_top_k(expand_to_skus(pairs, prod_views, sales), None)
+        return rank_expanded(pairs, prod_views, sales, None)
     cand = _with_sku(pairs, prod_views, sales, "Y").withColumn("cvm_score", cvm_score("sku_basket_count_Y", "confidence"))
     per_group = Window.partitionBy("coupon_key_X").orderBy(*_rank_order())
     cand = cand.withColumn("_group_rank", F.dense_rank().over(per_group)).where(F.col("_group_rank") <= k).drop("_group_rank")
@@ -116,10 +120,3 @@ def rec_lists(ranked: DataFrame) -> DataFrame:
     """(sku_X, recs): recommended SKUs joined by '|', in rank order then SKU."""
     ordered = F.array_sort(F.collect_list(F.struct("cvm_rank", "sku_Y")))
     return ranked.groupBy("sku_X").agg(F.array_join(F.transform(ordered, lambda s: s["sku_Y"]), "|").alias("recs"))
-
-
-def recommend(pairs: DataFrame, baskets: DataFrame, sales: DataFrame, k: int | None = TOP_K, prune: bool = True):
-    """Scored-and-ranked SKU pairs plus the list output (None when k is None, i.e. CCG)."""
-    prod_views = sku_basket_counts(baskets)
-    ranked = top_k_pruned(pairs, prod_views, sales, k) if prune else rank_top_k(expand_to_skus(pairs, prod_views, sales), k)
-    return ranked, prod_views

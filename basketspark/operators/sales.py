@@ -7,21 +7,21 @@ from pyspark.sql import functions as F
 
 from basketspark.runtime import materialize
 
-MONEY = "decimal(18,2)"
-
 
 def sku_sales(invoices: DataFrame, products: DataFrame | None, window: tuple[int, int], exclude_discontinued: bool = True) -> DataFrame:
     """(prod_id, sales): net sales of the window per upper-cased SKU.
 
     With ``exclude_discontinued`` the invoice SKU must exist in ``products`` with a
-    non-null code other than 'D' (an inner join; the match is case-sensitive).
+    non-null code other than 'D' (an inner join; the match is case-sensitive). Amounts are
+    summed at the scale of the source, per raw SKU first: the join sees a row per SKU.
     """
     lo, hi = window
     inv = invoices.where((F.col("dt_key") < hi) & (F.col("dt_key") >= lo) & F.col("sku").isNotNull())
+    inv = inv.groupBy("sku").agg(F.sum("amt").alias("amt"))
     if exclude_discontinued:
         active = products.where(F.col("stk_type_cd") != "D").select("sku")
         inv = inv.join(active, ["sku"], "inner")
-    return inv.groupBy(F.upper("sku").alias("prod_id")).agg(F.sum(F.col("amt").cast(MONEY)).cast(MONEY).alias("sales"))
+    return inv.groupBy(F.upper("sku").alias("prod_id")).agg(F.sum("amt").alias("sales"))
 
 
 def restrict_to_viewed(sales: DataFrame, viewed: DataFrame) -> DataFrame:
@@ -40,7 +40,7 @@ def group_sales(grouped_sales: DataFrame) -> DataFrame:
     """(coupon, coupon_key, coupon_sales) for groups with strictly positive sales."""
     return (
         grouped_sales.groupBy("coupon", "coupon_key")
-        .agg(F.sum("sales").cast(MONEY).alias("coupon_sales"))
+        .agg(F.sum("sales").alias("coupon_sales"))
         .where(F.col("coupon_sales") > 0)
     )
 

@@ -12,9 +12,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketspark.config import RunConfig
+from basketspark.errors import BasketError
+from basketspark.functions.columns import day_key_of
 from basketspark.operators import affinity, clicks, indexing, publish, quality, recommend, sales, significance
 from basketspark.plans import pipeline
-from basketspark.runtime import scratch_path
+from basketspark.runtime import materialize, scratch_path
 from basketspark.sources.fixtures import FIXTURE_PERIOD_DAYS, FIXTURE_START_DATE, fixture_sources, hits_view, read_testdata
 from basketspark.streaming.clicks_stream import start_clicks_stream
 
@@ -25,49 +27,43 @@ def fixture_config(**overrides) -> RunConfig:
     return RunConfig(start_date=FIXTURE_START_DATE, period_days=FIXTURE_PERIOD_DAYS, **overrides)
 
 
-def _steps(spark: SparkSession, sf_dir: str):
-    """The click step, one operator at a time (for queries that stop early)."""
-    src = fixture_sources(spark, sf_dir)
-    window = fixture_config().window
-    parsed = clicks.parse_hits(src.hits, src.visit_sessions, window)
-    active = clicks.drop_discontinued(parsed, src.products)
-    gmap = clicks.read_group_map(src.prod_feature)
-    grouped = clicks.assign_groups(active, gmap)
-    return src, window, parsed, active, gmap, grouped
+def _sources(spark: SparkSession, sf_dir: str):
+    return fixture_sources(spark, sf_dir, fixture_config().window)
+
 
+def _job(spark: SparkSession, sf_dir: str, **overrides) -> pipeline.Job:
+    """The job's frames; a query builds only those that it asks for."""
+    return pipeline.build(_sources(spark, sf_dir), fixture_config(**overrides))
 
-def _job(spark: SparkSession, sf_dir: str, **overrides) -> pipeline.JobFrames:
-    return pipeline.build(fixture_sources(spark, sf_dir), fixture_config(**overrides))
+
+def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src = _sources(spark, sf_dir)
+    return clicks.parse_hits(src.hits, src.visit_sessions, fixture_config().window)
 
 
 def q_hits_parsed(spark, sf_dir):
-    return _steps(spark, sf_dir)[2]
+    return _parsed(spark, sf_dir)
 
 
 def q_clicks_active(spark, sf_dir):
-    return _steps(spark, sf_dir)[3]
+    return clicks.drop_discontinued(_parsed(spark, sf_dir), _sources(spark, sf_dir).products)
 
 
 def q_clicks_grouped(spark, sf_dir):
-    return _steps(spark, sf_dir)[5]
+    return clicks.assign_groups(q_clicks_active(spark, sf_dir), clicks.read_group_map(_sources(spark, sf_dir).prod_feature))
 
 
 def q_group_keys(spark, sf_dir):
-    *_, gmap, grouped = _steps(spark, sf_dir)
-    return clicks.group_keys(gmap, grouped)
-
-
-def _keyed(spark, sf_dir):
-    *_, gmap, grouped = _steps(spark, sf_dir)
-    return clicks.attach_group_keys(grouped, clicks.group_keys(gmap, grouped))
+    gmap = clicks.read_group_map(_sources(spark, sf_dir).prod_feature)
+    return clicks.group_keys(gmap, materialize(q_clicks_grouped(spark, sf_dir), "clicks"))
 
 
 def q_session_stats(spark, sf_dir):
-    return clicks.session_stats(_keyed(spark, sf_dir))
+    return clicks.session_stats(q_clicks_grouped(spark, sf_dir))
 
 
 def q_sessions_kept(spark, sf_dir):
-    return clicks.keep_sessions(clicks.session_stats(_keyed(spark, sf_dir)))
+    return clicks.keep_sessions(q_session_stats(spark, sf_dir))
 
 
 def q_baskets(spark, sf_dir):
@@ -75,13 +71,23 @@ def q_baskets(spark, sf_dir):
 
 
 def q_sku_sales(spark, sf_dir):
-    src = fixture_sources(spark, sf_dir)
+    src = _sources(spark, sf_dir)
     return sales.sku_sales(src.invoices, src.products, fixture_config().window, exclude_discontinued=True)
 
 
 def q_sku_sales_all(spark, sf_dir):
-    src = fixture_sources(spark, sf_dir)
-    return sales.sku_sales(src.invoices, None, fixture_config().window, exclude_discontinued=False)
+    return sales.sku_sales(_sources(spark, sf_dir).invoices, None, fixture_config().window, exclude_discontinued=False)
+
+
+def q_sku_sales_fine(spark, sf_dir):
+    """Amounts of four decimals: price times discount, not rounded before they are summed."""
+    src = _sources(spark, sf_dir)
+    fine = read_testdata(spark, sf_dir, "lineitem").select(
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("sku"),
+        day_key_of("l_shipdate").alias("dt_key"),
+        (F.col("l_extendedprice").cast("decimal(12,2)") * F.col("l_discount").cast("decimal(5,2)")).cast("decimal(18,4)").alias("amt"),
+    )
+    return sales.sku_sales(fine, src.products, fixture_config().window, exclude_discontinued=True)
 
 
 def q_group_sales(spark, sf_dir):
@@ -89,17 +95,18 @@ def q_group_sales(spark, sf_dir):
 
 
 def q_group_sales_inner(spark, sf_dir):
-    src, window, _, _, gmap, grouped = _steps(spark, sf_dir)
-    keys = clicks.group_keys(gmap, grouped)
-    return sales.build_sales(src, window, clicks.viewed_skus(grouped), keys, exclude_discontinued=False, how="inner")[2]
+    job = _job(spark, sf_dir)
+    return sales.build_sales(
+        job.sources, job.cfg.window, job.viewed, job.keys, exclude_discontinued=False, how="inner"
+    )[2]
 
 
 def q_group_basket_counts(spark, sf_dir):
-    return _job(spark, sf_dir).affinity.counts
+    return affinity.pair_matrix(_job(spark, sf_dir).baskets).counts
 
 
 def q_frequent_groups(spark, sf_dir):
-    return _job(spark, sf_dir).affinity.frequent
+    return affinity.pair_matrix(_job(spark, sf_dir).baskets).frequent
 
 
 def q_pair_matrix(spark, sf_dir):
@@ -124,55 +131,108 @@ def q_sku_pairs_scored(spark, sf_dir):
 
 
 def q_sku_topk(spark, sf_dir):
-    return _job(spark, sf_dir).ranked.drop("record_id")
+    return _job(spark, sf_dir).unnumbered
 
 
 def q_sku_topk_full_expansion(spark, sf_dir):
-    return _job(spark, sf_dir, prune_candidates=False).ranked.drop("record_id")
+    return _job(spark, sf_dir, prune_candidates=False).unnumbered
 
 
 def q_ccg_ranked(spark, sf_dir):
     """The second division: all invoiced SKUs, group match required, ranked without cut-off."""
-    return _job(spark, sf_dir, division="CCG", top_k=None).ranked.drop("record_id")
+    return _job(spark, sf_dir, division="CCG").unnumbered
 
 
 def q_rec_lists(spark, sf_dir):
-    return _job(spark, sf_dir).lists
+    job = _job(spark, sf_dir)
+    return job.output_rows(job.unnumbered)
 
 
 def q_published_detail(spark, sf_dir):
     return publish.stamp_detail(_job(spark, sf_dir).ranked, 1, fixture_config())
 
 
+def _published(spark, sf_dir, cfg: RunConfig, root: str | None = None, runs: int = 1, registered: bool = True) -> str:
+    """The same job published several times. Without ``registered`` every run stops before
+    its registry row, as a failure there would."""
+    root = root or scratch_path(spark, "publish")
+    job = pipeline.build(_sources(spark, sf_dir), cfg)
+    for _ in range(runs):
+        master_id = publish.next_run_id(spark, cfg, root)
+        detail = publish.stamp_detail(job.ranked, master_id, cfg)
+        steps = publish.publish if registered else publish.replace_table
+        steps(spark, detail, job.lists, master_id, cfg, root, csv_targets=("QA",))
+    return root
+
+
+def _csv(spark, sf_dir, cfg: RunConfig) -> DataFrame:
+    root = _published(spark, sf_dir, cfg)
+    return spark.read.option("header", True).csv(f"{root}/csv/QA/CSV_Pipes_{cfg.window[1]}.csv")
+
+
 def q_published_csv_roundtrip(spark, sf_dir):
-    path = scratch_path(spark, "csv-roundtrip")
-    _job(spark, sf_dir).lists.write.option("header", True).csv(path)
-    return spark.read.option("header", True).csv(path)
+    return _csv(spark, sf_dir, fixture_config())
 
 
-def _publish_runs(spark, sf_dir, runs: int) -> str:
-    root = scratch_path(spark, "publish")
-    cfg = fixture_config()
-    for _ in range(runs):
-        frames = _job(spark, sf_dir)
-        registry = publish.read_if_exists(spark, f"{root}/model_master")
-        master_id = publish.next_run_id(registry)
-        detail = publish.stamp_detail(frames.ranked, master_id, cfg)
-        publish.publish(spark, detail, frames.lists, master_id, cfg, root, csv_targets=())
-    return root
+def q_ccg_published_csv(spark, sf_dir):
+    """The ranked rows of the second division as its files hold them (all columns are text)."""
+    rows = _csv(spark, sf_dir, fixture_config(division="CCG"))
+    return rows.select("sku_X", "coupon_X", "sku_Y", "coupon_Y", F.col("basket_count_XY").cast("bigint"), F.col("cvm_rank").cast("bigint"))
+
+
+def _archive_and_table(spark, root: str, cfg: RunConfig, archived: int) -> DataFrame:
+    out = spark.read.parquet(f"{root}/tables/{cfg.table_name}")
+    for n in range(1, archived + 1):
+        out = out.unionByName(spark.read.parquet(f"{root}/archive/{cfg.table_name}/master_id={n}"))
+    return out
 
 
 def q_archive_overwrite_roundtrip(spark, sf_dir):
-    root = _publish_runs(spark, sf_dir, 2)
     cfg = fixture_config()
-    archived = spark.read.parquet(f"{root}/archive/{cfg.table_name}/master_id=1")
-    current = spark.read.parquet(f"{root}/tables/{cfg.table_name}")
-    return archived.unionByName(current)
+    return _archive_and_table(spark, _published(spark, sf_dir, cfg, runs=2), cfg, 1)
+
+
+def q_publish_after_failed_registry(spark, sf_dir):
+    """Three runs that stop before the registry row: each has its own id, all rows remain."""
+    cfg = fixture_config()
+    return _archive_and_table(spark, _published(spark, sf_dir, cfg, runs=3, registered=False), cfg, 2)
 
 
 def q_run_registry(spark, sf_dir):
-    root = _publish_runs(spark, sf_dir, 1)
-    return spark.read.parquet(f"{root}/model_master")
+    return spark.read.parquet(f"{_published(spark, sf_dir, fixture_config())}/model_master")
+
+
+def q_run_job(spark, sf_dir):
+    """The checked end-to-end run: the table that it publishes."""
+    root = scratch_path(spark, "run")
+    _, _, report = pipeline.run(spark, fixture_sources(spark, sf_dir), fixture_config(), out_root=root, keep_frames=False)
+    return spark.read.parquet(report["paths"]["table"])
+
+
+def q_check_outcomes(spark, sf_dir):
+    """What each check raises on the test tables and on tables cut so that it must."""
+    src, cfg = fixture_sources(spark, sf_dir), fixture_config()
+    job = _job(spark, sf_dir)
+    none = F.lit(False)
+    cases = {
+        "group_map": lambda: quality.require_not_empty_map(src.prod_feature),
+        "group_map_empty": lambda: quality.require_not_empty_map(src.prod_feature.where(F.col("size_grp") == "T")),
+        "sales": lambda: quality.require_sales(job.sku_sales),
+        "sales_empty": lambda: quality.require_sales(sales.sku_sales(src.invoices.where(none), src.products, cfg.window)),
+        "coverage": lambda: pipeline.check_coverage(src, cfg),
+        "coverage_short": lambda: pipeline.check_coverage(_sources(spark, sf_dir), cfg),
+        "division": lambda: fixture_config(division="XYZ"),
+        "start_date": lambda: RunConfig(start_date="20011301"),
+    }
+
+    def outcome(case) -> str:
+        try:
+            case()
+        except BasketError as error:
+            return type(error).__name__
+        return "passed"
+
+    return spark.createDataFrame([(name, outcome(case)) for name, case in cases.items()], "check_name string, outcome string")
 
 
 def q_coverage_check(spark, sf_dir):
@@ -185,52 +245,71 @@ def q_coverage_check(spark, sf_dir):
 
 def q_quality_report(spark, sf_dir):
     job = _job(spark, sf_dir)
-    kept_baskets = job.baskets.select("basket_key").distinct()
 
     def n(df: DataFrame):
         return df.agg(F.count(F.lit(1))).scalar()
 
+    baskets = job.baskets.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("basket_key").alias("k"))
     return quality.confidence_report(job.affinity.matrix).select(
         "*",
         n(job.group_map).alias("group_map_rows"),
         n(job.sku_sales).alias("sales_rows"),
-        n(_steps(spark, sf_dir)[2]).alias("click_rows"),
-        n(job.baskets).alias("basket_rows"),
-        n(kept_baskets).alias("baskets_kept"),
+        n(_parsed(spark, sf_dir)).alias("click_rows"),
+        baskets.select("n").scalar().alias("basket_rows"),
+        baskets.select("k").scalar().alias("baskets_kept"),
     )
 
 
 def q_permutation_null(spark, sf_dir):
-    baskets = _job(spark, sf_dir).baskets
-    return significance.permutation_null(baskets, seed=42, perm_times=1)
+    return significance.permutation_null(_job(spark, sf_dir).baskets, seed=42, perm_times=1)
+
+
+def q_permutation_null_multi(spark, sf_dir):
+    return significance.permutation_null(_job(spark, sf_dir).baskets, seed=42, perm_times=3)
 
 
 def q_permutation_threshold(spark, sf_dir):
     return significance.significance_threshold(q_permutation_null(spark, sf_dir), 0.05)
 
 
-def q_order_brand_matrix(spark, sf_dir):
-    """The pair matrix on plain order lines: order = basket, part = SKU, brand = group."""
-    lines = read_testdata(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey")
+def _order_brands(spark, sf_dir, basket) -> DataFrame:
+    lines = read_testdata(spark, sf_dir, "lineitem").select(basket.alias("basket_key"), "l_partkey")
     part = read_testdata(spark, sf_dir, "part").select("p_partkey", "p_brand")
     rows = lines.join(part, lines.l_partkey == part.p_partkey, "inner").select(
-        F.col("l_orderkey").alias("basket_key"), F.col("l_partkey").cast("string").alias("prod_id"), F.col("p_brand").alias("coupon")
+        "basket_key", F.col("l_partkey").cast("string").alias("prod_id"), F.col("p_brand").alias("coupon")
     )
     keyed = rows.join(indexing.dense_rank_keys(rows, "coupon", "coupon_key"), ["coupon"], "inner")
     return affinity.pair_matrix(keyed).matrix
 
 
+def q_order_brand_matrix(spark, sf_dir):
+    """The pair matrix on plain order lines: order = basket, part = SKU, brand = group."""
+    return _order_brands(spark, sf_dir, F.col("l_orderkey"))
+
+
+def q_month_part_matrix(spark, sf_dir):
+    """Uncapped baskets: all lines of a supplier and ship month together, each part a group."""
+    month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
+    rows = read_testdata(spark, sf_dir, "lineitem").select(
+        (F.col("l_suppkey") * 1000000 + month).cast("bigint").alias("basket_key"),
+        F.col("l_partkey").cast("string").alias("prod_id"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("coupon"),
+        F.col("l_partkey").cast("bigint").alias("coupon_key"),
+    )
+    return affinity.pair_matrix(rows).matrix
+
+
 def q_clicks_stream(spark, sf_dir):
-    """The click-cleaning step run as a stream over the landed order-line files."""
+    """The click-cleaning step as a stream: the lines land in three parts, newest first, and
+    each part is a micro-batch of its own (or several)."""
     src = fixture_sources(spark, sf_dir)
-    schema = read_testdata(spark, sf_dir, "lineitem").schema
-    out, ckpt = scratch_path(spark, "clicks-stream"), scratch_path(spark, "clicks-stream-ckpt")
-    query = start_clicks_stream(
-        spark, sf_dir, schema, hits_view, src.visit_sessions, fixture_config().window, out, ckpt,
-        file_glob="lineitem*.parquet",
-    )
-    query.awaitTermination()
-    return spark.read.parquet(out)
+    lines = read_testdata(spark, sf_dir, "lineitem")
+    landing, out, state = (scratch_path(spark, f"clicks-stream-{n}") for n in ("in", "out", "state"))
+    year = F.year("l_shipdate")
+    for part in (year >= 1999, (year >= 1997) & (year < 1999), year < 1997):
+        lines.where(part).write.mode("append").parquet(landing)
+        start_clicks_stream(spark, landing, lines.schema, hits_view, src.visit_sessions, fixture_config().window, out, state).awaitTermination()
+    return spark.read.parquet(out).select(*clicks.CLICK_COLUMNS)
 
 
 QUERIES: dict[str, Query] = {
@@ -243,6 +322,7 @@ QUERIES: dict[str, Query] = {
     "baskets": q_baskets,
     "sku_sales": q_sku_sales,
     "sku_sales_all": q_sku_sales_all,
+    "sku_sales_fine": q_sku_sales_fine,
     "group_sales": q_group_sales,
     "group_sales_inner": q_group_sales_inner,
     "group_basket_counts": q_group_basket_counts,
@@ -258,12 +338,18 @@ QUERIES: dict[str, Query] = {
     "ccg_ranked": q_ccg_ranked,
     "published_detail": q_published_detail,
     "published_csv_roundtrip": q_published_csv_roundtrip,
+    "ccg_published_csv": q_ccg_published_csv,
+    "publish_after_failed_registry": q_publish_after_failed_registry,
+    "run_job": q_run_job,
+    "check_outcomes": q_check_outcomes,
     "archive_overwrite_roundtrip": q_archive_overwrite_roundtrip,
     "run_registry": q_run_registry,
     "coverage_check": q_coverage_check,
     "quality_report": q_quality_report,
     "permutation_null": q_permutation_null,
+    "permutation_null_multi": q_permutation_null_multi,
     "permutation_threshold": q_permutation_threshold,
     "order_brand_matrix": q_order_brand_matrix,
+    "month_part_matrix": q_month_part_matrix,
     "clicks_stream": q_clicks_stream,
 }

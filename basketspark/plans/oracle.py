@@ -90,12 +90,12 @@ baskets AS (
 
 SALES_CTES = f"""
 sku_sales AS (
-  SELECT upper(i.sku) AS prod_id, CAST(sum(i.amt) AS DECIMAL(18,2)) AS sales
+  SELECT upper(i.sku) AS prod_id, CAST(sum(i.amt) AS DECIMAL(38,2)) AS sales
   FROM invoices i JOIN products p ON p.sku = i.sku
   WHERE i.dt_key < {HI} AND i.dt_key >= {LO} AND i.sku IS NOT NULL AND p.stk_type_cd <> 'D'
   GROUP BY upper(i.sku)),
 sku_sales_all AS (
-  SELECT upper(sku) AS prod_id, CAST(sum(amt) AS DECIMAL(18,2)) AS sales FROM invoices
+  SELECT upper(sku) AS prod_id, CAST(sum(amt) AS DECIMAL(38,2)) AS sales FROM invoices
   WHERE dt_key < {HI} AND dt_key >= {LO} AND sku IS NOT NULL GROUP BY upper(sku)),
 viewed AS (SELECT DISTINCT prod_id FROM clicks_grouped),
 sales_viewed AS (SELECT * FROM sku_sales WHERE prod_id IN (SELECT prod_id FROM viewed)),
@@ -103,14 +103,14 @@ sales_grouped AS (
   SELECT s.prod_id, s.sales, coalesce(k.coupon, s.prod_id) AS coupon, k.coupon_key
   FROM sales_viewed s LEFT JOIN group_keys k ON s.prod_id = k.prod_id),
 group_sales AS (
-  SELECT coupon, coupon_key, CAST(sum(sales) AS DECIMAL(18,2)) AS coupon_sales FROM sales_grouped
+  SELECT coupon, coupon_key, CAST(sum(sales) AS DECIMAL(38,2)) AS coupon_sales FROM sales_grouped
   GROUP BY coupon, coupon_key HAVING sum(sales) > 0),
 sales_all_viewed AS (SELECT * FROM sku_sales_all WHERE prod_id IN (SELECT prod_id FROM viewed)),
 sales_grouped_inner AS (
   SELECT s.prod_id, s.sales, coalesce(k.coupon, s.prod_id) AS coupon, k.coupon_key
   FROM sales_all_viewed s JOIN group_keys k ON s.prod_id = k.prod_id),
 group_sales_inner AS (
-  SELECT coupon, coupon_key, CAST(sum(sales) AS DECIMAL(18,2)) AS coupon_sales FROM sales_grouped_inner
+  SELECT coupon, coupon_key, CAST(sum(sales) AS DECIMAL(38,2)) AS coupon_sales FROM sales_grouped_inner
   GROUP BY coupon, coupon_key HAVING sum(sales) > 0)"""
 
 
@@ -149,8 +149,8 @@ sku_basket_counts AS (
 sku_pairs_scored AS (
   SELECT m.*, px.prod_id AS sku_X, coalesce(px.sku_basket_count, 0) AS sku_basket_count_X,
          py.prod_id AS sku_Y, coalesce(py.sku_basket_count, 0) AS sku_basket_count_Y,
-         coalesce(sx.sales, CAST(0 AS DECIMAL(18,2))) AS sku_sales_X,
-         coalesce(sy.sales, CAST(0 AS DECIMAL(18,2))) AS sku_sales_Y,
+         coalesce(sx.sales, CAST(0 AS DECIMAL(38,2))) AS sku_sales_X,
+         coalesce(sy.sales, CAST(0 AS DECIMAL(38,2))) AS sku_sales_Y,
          coalesce(py.sku_basket_count, 0) * m.confidence AS cvm_score
   FROM pairs_confident m
   LEFT JOIN sku_basket_counts px ON m.coupon_key_X = px.coupon_key
@@ -186,8 +186,8 @@ ccg_pairs AS (
 ccg_scored AS (
   SELECT m.*, px.prod_id AS sku_X, coalesce(px.sku_basket_count, 0) AS sku_basket_count_X,
          py.prod_id AS sku_Y, coalesce(py.sku_basket_count, 0) AS sku_basket_count_Y,
-         coalesce(sx.sales, CAST(0 AS DECIMAL(18,2))) AS sku_sales_X,
-         coalesce(sy.sales, CAST(0 AS DECIMAL(18,2))) AS sku_sales_Y,
+         coalesce(sx.sales, CAST(0 AS DECIMAL(38,2))) AS sku_sales_X,
+         coalesce(sy.sales, CAST(0 AS DECIMAL(38,2))) AS sku_sales_Y,
          coalesce(py.sku_basket_count, 0) * m.confidence AS cvm_score
   FROM ccg_pairs m
   LEFT JOIN sku_basket_counts px ON m.coupon_key_X = px.coupon_key
@@ -199,15 +199,17 @@ ccg_ranked AS (
                  ORDER BY cvm_score DESC, sku_basket_count_Y DESC, sku_sales_Y DESC) AS BIGINT) AS cvm_rank
   FROM ccg_scored)"""
 
-PERMUTATION_CTES = """
-perm_left AS (SELECT basket_key, row_number() OVER (ORDER BY basket_key, prod_id, coupon_key) AS idx FROM baskets),
-perm_right AS (
+def permutation_ctes(p: str, seed: int) -> str:
+    return f"""
+{p}left AS (SELECT basket_key, row_number() OVER (ORDER BY basket_key, prod_id, coupon_key) AS idx FROM baskets),
+{p}right AS (
   SELECT prod_id, coupon_key, coupon,
-         row_number() OVER (ORDER BY md5('42|' || CAST(basket_key AS VARCHAR) || '|' || prod_id || '|' || CAST(coupon_key AS VARCHAR)),
+         row_number() OVER (ORDER BY md5('{seed}|' || CAST(basket_key AS VARCHAR) || '|' || prod_id || '|' || CAST(coupon_key AS VARCHAR)),
                             basket_key, prod_id, coupon_key) AS idx
   FROM baskets),
-perm_baskets AS (
-  SELECT l.basket_key, r.prod_id, r.coupon_key, r.coupon FROM perm_left l JOIN perm_right r ON l.idx = r.idx)"""
+{p}baskets AS (
+  SELECT l.basket_key, r.prod_id, r.coupon_key, r.coupon FROM {p}left l JOIN {p}right r ON l.idx = r.idx)"""
+
 
 ORDER_BRAND_CTES = """
 ob_rows AS (
@@ -216,6 +218,12 @@ ob_rows AS (
 ob_keys AS (SELECT coupon, dense_rank() OVER (ORDER BY coupon) AS coupon_key FROM (SELECT DISTINCT coupon FROM ob_rows)),
 ob_baskets AS (SELECT r.basket_key, r.prod_id, r.coupon, k.coupon_key FROM ob_rows r JOIN ob_keys k ON r.coupon = k.coupon)"""
 
+MONTH_PART_CTES = """
+mp_baskets AS (
+  SELECT CAST(l_suppkey * 1000000 + year(l_shipdate) * 100 + month(l_shipdate) AS BIGINT) AS basket_key,
+         CAST(l_partkey AS VARCHAR) AS prod_id, 'P' || CAST(l_partkey AS VARCHAR) AS coupon, CAST(l_partkey AS BIGINT) AS coupon_key
+  FROM lineitem)"""
+
 ALL_CTES = ",".join(
     [
         FIXTURE_CTES,
@@ -224,8 +232,11 @@ ALL_CTES = ",".join(
         matrix_ctes("", "baskets"),
         RECOMMEND_CTES,
         CCG_CTES,
-        PERMUTATION_CTES,
+        permutation_ctes("perm_", 42),
         matrix_ctes("perm_", "perm_baskets"),
+        *[x for k in (1, 2) for x in (permutation_ctes(f"perm{k}_", 42 + k), matrix_ctes(f"perm{k}_", f"perm{k}_baskets"))],
+        MONTH_PART_CTES,
+        matrix_ctes("mp_", "mp_baskets"),
         ORDER_BRAND_CTES,
         matrix_ctes("ob_", "ob_baskets"),
     ]
@@ -277,10 +288,34 @@ def oracle_sql() -> dict[str, str]:
     )
     q["run_registry"] = _with(
         f"""SELECT CAST(1 AS BIGINT) AS master_id, 'CVM' AS model_type, 'CVM_v1.0' AS model_subtype,
-       -2190 AS time_prd_val, 'LSG' AS division, 'cvm_recommendations' AS table_name,
+       -2190 AS time_prd_val, 'LSG' AS division, 'recommendations' AS table_name,
        180 AS train_period, 14 AS predict_period, '{HI}' AS start_predict_date,
        (SELECT count(*) FROM sku_topk) AS record_count"""
     )
+    q["publish_after_failed_registry"] = _with(" UNION ALL ".join(f"SELECT * FROM ({detail_select(n)})" for n in (1, 2, 3)))
+    q["run_job"] = q["published_detail"]
+    q["ccg_published_csv"] = _with("SELECT sku_X, coupon_X, sku_Y, coupon_Y, basket_count_XY, cvm_rank FROM ccg_ranked")
+    q["sku_sales_fine"] = _with(
+        f"""SELECT 'P' || CAST(l_partkey AS VARCHAR) AS prod_id,
+       CAST(sum(CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(5,2)) AS DECIMAL(18,4))) AS DECIMAL(38,4)) AS sales
+FROM lineitem JOIN products ON products.sku = 'P' || CAST(l_partkey AS VARCHAR)
+WHERE stk_type_cd <> 'D' AND l_shipdate >= DATE '1995-01-03' AND l_shipdate < DATE '2001-01-01' GROUP BY 1"""
+    )
+    q["check_outcomes"] = _with(
+        """SELECT check_name, CASE WHEN ok THEN 'passed' ELSE error END AS outcome FROM (
+  SELECT 'group_map' AS check_name, EXISTS (SELECT 1 FROM group_map) AS ok, 'DataValidityError' AS error
+  UNION ALL SELECT 'group_map_empty', EXISTS (SELECT 1 FROM prod_feature WHERE size_grp = 'T' AND size_grp <> 'T'), 'DataValidityError'
+  UNION ALL SELECT 'sales', EXISTS (SELECT 1 FROM sales_viewed), 'OutputOutOfBoundError'
+  UNION ALL SELECT 'sales_empty', false, 'OutputOutOfBoundError'
+  UNION ALL SELECT 'coverage', (SELECT min(dt_key) <= 19950102 AND max(dt_key) >= 20001231 FROM hits), 'CoverageError'
+  UNION ALL SELECT 'coverage_short', (SELECT min(dt_key) <= 19950102 FROM hits WHERE dt_key >= 19950103), 'CoverageError'
+  UNION ALL SELECT 'division', 'XYZ' IN ('LSG', 'CCG'), 'InputNotValidError'
+  UNION ALL SELECT 'start_date', try_cast('2001-13-01' AS DATE) IS NOT NULL, 'InputNotValidError')"""
+    )
+    q["permutation_null_multi"] = _with(
+        " UNION ALL ".join(f"SELECT {k} AS perm_id, {MATRIX_COLS} FROM perm{k or ''}_pair_matrix" for k in range(3))
+    )
+    q["month_part_matrix"] = _with("SELECT * FROM mp_pair_matrix")
     q["coverage_check"] = _with(
         """SELECT 'hits' AS table_name, CAST(min(dt_key) AS BIGINT) AS min_key, CAST(max(dt_key) AS BIGINT) AS max_key,
        CAST(19950102 AS BIGINT) AS required_lo, CAST(20001231 AS BIGINT) AS required_hi,

@@ -4,77 +4,120 @@ from __future__ import annotations
 
 import dataclasses
 import logging
+from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
 from basketspark.config import RunConfig
 from basketspark.errors import CoverageError
 from basketspark.operators import affinity, clicks, publish, quality, recommend, sales
-from basketspark.runtime import materialize
+from basketspark.runtime import discard, materialize, recorded_scratch
 from basketspark.sources.readers import Sources
 
 log = logging.getLogger("basketspark")
 
 
-@dataclasses.dataclass
-class JobFrames:
-    baskets: DataFrame
-    viewed: DataFrame
-    keys: DataFrame
-    group_map: DataFrame
-    sku_sales: DataFrame
-    group_sales: DataFrame
-    affinity: affinity.Affinity | None = None
-    pairs: DataFrame | None = None
-    ranked: DataFrame | None = None
-    prod_views: DataFrame | None = None
-    lists: DataFrame | None = None
-    confidence_obs: Observation | None = None
-
-
-def build_inputs(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
-    """Clicks, baskets, group keys and sales. With ``pin`` the reused frames are written
-    once to the shared checkpoint folder (grouped clicks, group keys, baskets, SKU sales)."""
-    window = cfg.window
-    baskets, viewed, keys, _, gmap = clicks.build_clicks(sources, window, cfg.max_groups_per_basket, pin)
-    per_sku, _, per_group = sales.build_sales(
-        sources, window, viewed, keys, cfg.exclude_discontinued_sales, cfg.sales_group_join, pin
-    )
-    return JobFrames(baskets, viewed, keys, gmap, per_sku, per_group)
+class Job:
+    """The frames of one job. Each is built when it is first asked for, with what it needs
+    and nothing else. With ``pin`` the reused ones are written once to the shared
+    checkpoint folder."""
+
+    def __init__(self, sources: Sources, cfg: RunConfig, pin: bool = True):
+        self.sources, self.cfg, self.pin = sources, cfg, pin
+
+    @cached_property
+    def _clicks(self):
+        return clicks.build_clicks(self.sources, self.cfg.window, self.cfg.max_groups_per_basket, self.pin)
+
+    @property
+    def baskets(self) -> DataFrame:
+        return self._clicks[0]
+
+    @property
+    def viewed(self) -> DataFrame:
+        return self._clicks[1]
+
+    @property
+    def keys(self) -> DataFrame:
+        return self._clicks[2]
+
+    @property
+    def keyed_clicks(self) -> DataFrame:
+        return self._clicks[3]
+
+    @property
+    def group_map(self) -> DataFrame:
+        return self._clicks[4]
+
+    @cached_property
+    def _sales(self):
+        cfg = self.cfg
+        return sales.build_sales(
+            self.sources, cfg.window, self.viewed, self.keys, cfg.exclude_discontinued_sales, cfg.sales_group_join, self.pin
+        )
+
+    @property
+    def sku_sales(self) -> DataFrame:
+        return self._sales[0]
 
+    @property
+    def group_sales(self) -> DataFrame:
+        return self._sales[2]
 
-def build_outputs(frames: JobFrames, cfg: RunConfig, pin: bool = True) -> JobFrames:
-    """Pair matrix, ranked SKU pairs and lists. With ``pin`` the matrix is written once (its
-    write also fills the confidence-bound counts) and the published rows are written once
-    while they get their record number."""
-    aff = affinity.pair_matrix(frames.baskets, t=cfg.percentile_t, method=cfg.pair_method, pin=pin)
-    matrix = aff.matrix
-    if pin:
-        matrix, frames.confidence_obs = quality.observe_confidence(matrix)
-        matrix = materialize(matrix, "pair-matrix")
-        aff = dataclasses.replace(aff, matrix=matrix)
-    pairs = recommend.confident_pairs(matrix, frames.group_sales, cfg.min_confidence)
-    ranked, prod_views = recommend.recommend(pairs, frames.baskets, frames.sku_sales, cfg.top_k, cfg.prune_candidates)
-    if pin:
-        ranked = publish.number_records(ranked)
-    frames.affinity, frames.pairs, frames.ranked, frames.prod_views = aff, pairs, ranked, prod_views
-    frames.lists = recommend.rec_lists(ranked) if cfg.publish_list else None
-    return frames
+    @cached_property
+    def _affinity(self) -> tuple[affinity.Affinity, Observation | None]:
+        aff = affinity.pair_matrix(self.baskets, t=self.cfg.percentile_t, method=self.cfg.pair_method, pin=self.pin)
+        if not self.pin:
+            return aff, None
+        matrix, observed = quality.observe_confidence(aff.matrix)  # counted while it is written
+        return dataclasses.replace(aff, matrix=materialize(matrix, "pair-matrix")), observed
 
+    @property
+    def affinity(self) -> affinity.Affinity:
+        return self._affinity[0]
 
-def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> JobFrames:
-    """All frames of the job (no checks, no publishing)."""
-    return build_outputs(build_inputs(sources, cfg, pin), cfg, pin)
+    @property
+    def confidence_obs(self) -> Observation | None:
+        return self._affinity[1]
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return recommend.confident_pairs(self.affinity.matrix, self.group_sales, self.cfg.min_confidence)
+
+    @cached_property
+    def prod_views(self) -> DataFrame:
+        return recommend.sku_basket_counts(self.baskets)
+
+    @cached_property
+    def unnumbered(self) -> DataFrame:
+        """The ranked SKU pairs."""
+        rank = recommend.top_k_pruned if self.cfg.prune_candidates else recommend.rank_expanded
+        return rank(self.pairs, self.prod_views, self.sku_sales, self.cfg.top_k)
+
+    @cached_property
+    def ranked(self) -> DataFrame:
+        """The ranked SKU pairs as they are published: numbered and written once."""
+        return publish.number_records(self.unnumbered) if self.pin else self.unnumbered
+
+    def output_rows(self, ranked: DataFrame) -> DataFrame:
+        """What the files hold: a joined list per SKU, or (CCG) the ranked rows themselves."""
+        return recommend.rec_lists(ranked) if self.cfg.publish_list else ranked.drop("record_id")
+
+    @cached_property
+    def lists(self) -> DataFrame:
+        return self.output_rows(self.ranked)
+
+
+def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> Job:
+    """The job's frames (no checks, no publishing)."""
+    return Job(sources, cfg, pin)
 
 
 def check_coverage(sources: Sources, cfg: RunConfig) -> None:
     for name, df in (("hits", sources.hits), ("invoices", sources.invoices)):
-        row = quality.coverage_report(df, "dt_key", cfg.window, name).first()
-        if not row["covered"]:
-            raise CoverageError(
-                f"{name} holds days {row['min_key']}..{row['max_key']}, "
-                f"the run needs {row['required_lo']}..{row['required_hi']}"
-            )
+        missing = quality.uncovered_days(df, "dt_key", cfg.window)
+        if missing:
+            raise CoverageError(f"{name} has no rows at or beyond the days {missing} that the run needs")
 
 
 def run(
@@ -82,34 +125,44 @@ def run(
     sources: Sources,
     cfg: RunConfig,
     out_root: str | None = None,
-    registry: DataFrame | None = None,
-) -> tuple[JobFrames, DataFrame, dict]:
-    """Validate, compute and (with ``out_root``) publish. Returns frames, detail, report.
+    keep_frames: bool = True,
+) -> tuple[Job | None, DataFrame | None, dict]:
+    """Validate, compute and (with ``out_root``) publish. Returns job, detail, report.
 
     Checks run where the original job ran them: coverage and the group map before any
-    heavy work, empty sales before the pair matrix, confidence bounds after it.
+    heavy work, empty sales before the pair matrix, confidence bounds after it. Without
+    ``keep_frames`` what the run wrote to the checkpoint folder is deleted at its end,
+    whether it succeeds or not, and no frames are returned.
     """
+    with recorded_scratch() as written:
+        try:
+            job, detail, report = _run(spark, sources, cfg, out_root)
+            return (job, detail, report) if keep_frames else (None, None, report)
+        finally:
+            if not keep_frames:
+                discard(spark, written)
+
+
+def _run(spark: SparkSession, sources: Sources, cfg: RunConfig, out_root: str | None):
     if cfg.check_coverage:
         check_coverage(sources, cfg)
-    quality.require_not_empty_map(clicks.read_group_map(sources.prod_feature))
-    frames = build_inputs(sources, cfg)
+    quality.require_not_empty_map(sources.prod_feature)
+    job = build(sources, cfg)
     if cfg.division == "LSG":
-        quality.require_sales(frames.sku_sales)
-    frames = build_outputs(frames, cfg)
-    report = dict(frames.confidence_obs.get)
+        quality.require_sales(job.sku_sales)
+    job.affinity
+    report = dict(job.confidence_obs.get)
     quality.check_confidence(report)
     # Row counts for the run log: the frames are written tables, so these read little.
     report.update(
-        basket_rows=frames.baskets.count(),
-        sku_sales_rows=frames.sku_sales.count(),
-        published_rows=frames.ranked.count(),
+        basket_rows=job.baskets.count(),
+        sku_sales_rows=job.sku_sales.count(),
+        published_rows=job.ranked.count(),
     )
-    if out_root is not None and registry is None:
-        registry = publish.read_if_exists(spark, f"{out_root.rstrip('/')}/model_master")
-    master_id = publish.next_run_id(registry)
-    detail = publish.stamp_detail(frames.ranked, master_id, cfg)
+    master_id = publish.next_run_id(spark, cfg, out_root) if out_root is not None else 1
+    detail = publish.stamp_detail(job.ranked, master_id, cfg)
     report["master_id"] = master_id
     if out_root is not None:
-        report["paths"] = publish.publish(spark, detail, frames.lists, master_id, cfg, out_root)
+        report["paths"] = publish.publish(spark, detail, job.lists, master_id, cfg, out_root)
     log.info("run %s: %s", cfg, report)
-    return frames, detail, report
+    return job, detail, report

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+_RECORDS: list[list[str]] = []
+
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and job outputs.
 
     Read from the session (``spark.checkpoint.dir`` or the context's checkpoint dir).
-    Only when neither is set - local tests - a private temporary folder is created.
+    Only a local master may go without: there a private temporary folder is made. On a
+    cluster each executor would write to its own disk, so the lack of a shared one raises.
     """
     try:
         sc = spark.sparkContext
@@ -26,7 +31,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:  # local tests only
+    if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {sc.master} share")
         configured = tempfile.mkdtemp(prefix="basketspark-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
@@ -35,7 +42,47 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+    for written in _RECORDS:
+        written.append(path)
+    return path
+
+
+@contextlib.contextmanager
+def recorded_scratch() -> Iterator[list[str]]:
+    """Collects the scratch folders taken inside the block."""
+    written: list[str] = []
+    _RECORDS.append(written)
+    try:
+        yield written
+    finally:
+        _RECORDS[:] = [r for r in _RECORDS if r is not written]
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop_path
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def rename(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a name that must not exist, in the file system of the folder."""
+    fs, p = _file_system(spark, source)
+    to = spark._jvm.org.apache.hadoop.fs.Path(target)
+    fs.mkdirs(to.getParent())
+    if fs.exists(to) or not fs.rename(p, to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def discard(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders that this library wrote."""
+    for path in paths:
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
 
 
 def materialize(df: DataFrame, name: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketspark.functions.columns import day_key_of
-from basketspark.sources.readers import Sources, spread_narrow_scan
+from basketspark.sources.readers import Sources
 
 TABLES = ("lineitem", "orders", "part")
 
@@ -109,8 +109,18 @@ def invoices_view(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def fixture_sources(spark: SparkSession, sf_dir: str) -> Sources:
-    lineitem = spread_narrow_scan(read_testdata(spark, sf_dir, "lineitem"))
+def of_days(lineitem: DataFrame, window: tuple[int, int]) -> DataFrame:
+    """The window as bounds on the stored date, which reach the scan (the day key of the views
+    is computed above it)."""
+    day = lambda key: F.to_date(F.lit(str(key)), "yyyyMMdd").cast("timestamp_ntz")
+    return lineitem.where((F.col("l_shipdate") >= day(window[0])) & (F.col("l_shipdate") < day(window[1])))
+
+
+def fixture_sources(spark: SparkSession, sf_dir: str, window: tuple[int, int] | None = None) -> Sources:
+    """The views; with ``window`` only its days are read of the lines."""
+    lineitem = read_testdata(spark, sf_dir, "lineitem")
+    if window:
+        lineitem = of_days(lineitem, window)
     orders = read_testdata(spark, sf_dir, "orders")
     part = read_testdata(spark, sf_dir, "part")
     return Sources(

@@ -23,13 +23,6 @@ CANONICAL_COLUMNS = {
     "invoices": ("sku", "amt", "dt_key"),
 }
 
-# Warehouse column names of the original job mapped to the canonical names.
-WAREHOUSE_COLUMNS = {
-    "hits": {"hit_time_gmt_ts": "time_stamp", "hit_time_gmt_dt_key": "dt_key"},
-    "invoices": {"prod_prc_ref_sku": "sku", "ext_net_sls_pmar_amt": "amt", "invc_dt_key": "dt_key"},
-}
-
-
 def load(spark: SparkSession, ref: DataFrame | str, fmt: str = "parquet") -> DataFrame:
     """Resolve a source: a DataFrame as is, a path (read with ``fmt``) or a table name."""
     if isinstance(ref, DataFrame):
@@ -39,24 +32,26 @@ def load(spark: SparkSession, ref: DataFrame | str, fmt: str = "parquet") -> Dat
     return spark.read.table(ref)
 
 
-def spread_narrow_scan(df: DataFrame) -> DataFrame:
-    """Round-robin a source whose scan has fewer partitions than the cluster has cores.
-
-    A large source on a cluster splits into many scan tasks and is returned unchanged;
-    a few big unsplittable files (one row group each) would otherwise run the whole
-    parse chain up to the first shuffle in a handful of tasks.
+def read_jdbc(
+    spark: SparkSession,
+    url: str,
+    table: str,
+    properties: Mapping[str, str] | None = None,
+    column: str | None = None,
+    lower: int | str | None = None,
+    upper: int | str | None = None,
+    partitions: int | None = None,
+) -> DataFrame:
+    """A JDBC table; filters and projections applied later are pushed into its query.
+
+    With ``column`` (numeric, date or timestamp), bounds and a number of partitions, that many
+    tasks read ranges of the column; the bounds only set the stride, no row is left out.
     """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # no RDD view (remote session): leave the scan as it is
-        return df
-    return df.repartition(target) if narrow else df
-
-
-def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str, str] | None = None) -> DataFrame:
-    """A JDBC table; filters and projections applied later are pushed into its query."""
-    return spark.read.jdbc(url, table, properties=dict(properties or {}))
+    given = [v is not None for v in (column, lower, upper, partitions)]
+    if any(given) != all(given):
+        raise ValueError("a partitioned read needs column, lower, upper and partitions")
+    split = dict(column=column, lowerBound=lower, upperBound=upper, numPartitions=partitions) if column else {}
+    return spark.read.jdbc(url, table, properties=dict(properties or {}), **split)
 
 
 def _rename(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
@@ -79,9 +74,10 @@ class Sources:
         cls,
         spark: SparkSession,
         refs: Mapping[str, DataFrame | str],
-        columns: Mapping[str, Mapping[str, str]] = WAREHOUSE_COLUMNS,
+        columns: Mapping[str, Mapping[str, str]],
         fmt: str = "parquet",
     ) -> "Sources":
+        """``columns`` maps, per relation, the source's own column names to those above."""
         frames = {}
         for name in CANONICAL_COLUMNS:
             df = _rename(load(spark, refs[name], fmt), columns.get(name, {}))

@@ -1,9 +1,10 @@
 """Clean web hits incrementally as they land, into the click table the batch job reads.
 
 Same operators as the batch step (``pull_hits`` and ``explode_products``); the session
-table is a static side of a stream-static left join. The row de-duplication is stateful,
-so it runs under an event-time watermark: state for a timestamp is dropped once the
-watermark passes it, and the delay must cover how late a duplicate hit can arrive.
+table is a static side of a stream-static left join. Rows are de-duplicated by a keyed merge
+on write, not under a watermark: each micro-batch is made distinct and only rows that no
+earlier batch wrote are added, however late they land. A batch that is run again replaces its
+own folder, so the output is the same after a failure.
 """
 
 from __future__ import annotations
@@ -15,23 +16,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from basketspark.operators.clicks import CLICK_COLUMNS, explode_products, pull_hits
+from basketspark.operators.publish import read_if_exists
 
 
-def clean_clicks_stream(
-    hits_stream: DataFrame,
-    visit_sessions: DataFrame,
-    window: tuple[int, int],
-    watermark_delay: str = "30 days",
-) -> DataFrame:
-    rows = explode_products(pull_hits(hits_stream, visit_sessions, window), dedupe=False)
-    # Watermarks need a zoned timestamp; the event time is a function of time_stamp, so
-    # adding it to the de-duplication key does not change which rows are duplicates.
-    rows = rows.withColumn("_event_time", F.col("time_stamp").cast("timestamp"))
-    return (
-        rows.withWatermark("_event_time", watermark_delay)
-        .dropDuplicates([*CLICK_COLUMNS, "_event_time"])
-        .drop("_event_time")
-    )
+def merge_clicks(rows: DataFrame, batch_id: int, out_path: str) -> None:
+    """Write the rows of a batch that no earlier batch holds (nulls compare equal)."""
+    new = rows.select(*CLICK_COLUMNS).distinct()
+    written = read_if_exists(rows.sparkSession, out_path)
+    if written is not None:
+        seen = written.where(F.col("batch") < batch_id).select(*[F.col(c).alias(f"_{c}") for c in CLICK_COLUMNS])
+        same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in CLICK_COLUMNS]
+        new = new.join(seen, same, "left_anti")
+    new.write.mode("overwrite").parquet(f"{out_path}/batch={batch_id}")
 
 
 def start_clicks_stream(
@@ -45,25 +41,17 @@ def start_clicks_stream(
     checkpoint_path: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
-    file_glob: str | None = None,
-    watermark_delay: str = "30 days",
 ) -> StreamingQuery:
-    """Read new parquet files of ``source_path`` and append cleaned clicks to ``out_path``.
+    """Read new parquet files of ``source_path`` and merge cleaned clicks into ``out_path``.
 
     ``to_hits`` maps the landed files to the hit columns (identity for a hit feed).
-    Exactly-once output comes from the file sink's log and the checkpoint folder.
     """
     reader = spark.readStream.schema(source_schema)
-    if file_glob:  # only files of the landing folder whose name matches
-        reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    cleaned = clean_clicks_stream(to_hits(reader.parquet(source_path)), visit_sessions, window, watermark_delay)
-    writer = (
-        cleaned.writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint_path)
+    rows = explode_products(pull_hits(to_hits(reader.parquet(source_path)), visit_sessions, window), dedupe=False)
+    writer = rows.writeStream.option("checkpointLocation", checkpoint_path).foreachBatch(
+        lambda batch, batch_id: merge_clicks(batch, batch_id, out_path)
     )
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()

@@ -43,16 +43,65 @@ def test_invariants(spark, sf_small):
     assert frames.lists.count() == frames.ranked.select("sku_X").distinct().count()
 
 
-def test_ccg_run_publishes_without_list(spark, sf_small):
+def test_ccg_default_has_no_cut_off_and_publishes_its_rows(spark, sf_small):
     from basketspark.config import RunConfig
     from basketspark.sources.fixtures import FIXTURE_PERIOD_DAYS, FIXTURE_START_DATE
 
-    cfg = RunConfig.for_division("CCG", start_date=FIXTURE_START_DATE, period_days=FIXTURE_PERIOD_DAYS)
+    cfg = RunConfig(division="CCG", start_date=FIXTURE_START_DATE, period_days=FIXTURE_PERIOD_DAYS)
+    assert cfg.top_k is None and RunConfig(division="LSG", start_date=FIXTURE_START_DATE).top_k == 35
+    assert RunConfig(division="CCG", start_date=FIXTURE_START_DATE, top_k=5).top_k == 5
     root = scratch_path(spark, "test-publish-ccg")
-    frames, detail, report = pipeline.run(spark, fixture_sources(spark, sf_small), cfg, out_root=root)
-    assert frames.lists is None and not any(k.startswith("csv_") for k in report["paths"])
+    _, _, report = pipeline.run(spark, fixture_sources(spark, sf_small), cfg, out_root=root)
     table = spark.read.parquet(report["paths"]["table"])
-    assert table.count() == report["published_rows"] > 0
-    # no cut-off: every confident pair of SKUs is ranked
-    assert table.agg(F.max("CVM_RANK")).first()[0] >= 1
+    files = spark.read.option("header", True).csv(report["paths"]["csv_QA"])
+    assert table.count() == report["published_rows"] == files.count() > 0
+    assert table.agg(F.max("CVM_RANK")).first()[0] > 35
     assert table.select("RECORD_ID").distinct().count() == table.count()
+
+
+def test_empty_tables_are_not_archived_and_ids_move_on(spark, sf_small):
+    from basketspark.operators import publish
+
+    cfg = fixture_config()
+    root = scratch_path(spark, "test-publish-empty")
+    detail = publish.stamp_detail(pipeline.build(fixture_sources(spark, sf_small), cfg).ranked, 1, cfg)
+    publish.replace_table(spark, detail.limit(0), None, 1, cfg, root)
+    paths, n = publish.replace_table(spark, detail, None, 1, cfg, root)
+    assert "archive" not in paths and n > 0
+    assert publish.next_run_id(spark, cfg, root) == 2
+
+
+def test_runs_can_discard_what_they_wrote(spark, sf_small):
+    from basketspark.runtime import exists, recorded_scratch
+
+    with recorded_scratch() as written:
+        _, _, report = pipeline.run(
+            spark, fixture_sources(spark, sf_small), fixture_config(), out_root=scratch_path(spark, "keep"), keep_frames=False
+        )
+    assert [p for p in written if exists(spark, p) and "/keep-" not in p] == []
+    assert spark.read.parquet(report["paths"]["table"]).count() == report["published_rows"]
+
+
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    import pytest
+
+    from basketspark import runtime
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError):
+        runtime.checkpoint_root(Session())

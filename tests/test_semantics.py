@@ -100,7 +100,7 @@ def _baskets(spark, sets):
     return spark.createDataFrame(rows, "basket_key bigint, prod_id string, coupon string, coupon_key bigint")
 
 
-@pytest.mark.parametrize("method", ["sets", "join"])
+@pytest.mark.parametrize("method", ["half", "join"])
 def test_pair_matrix_by_hand(spark, method):
     b = _baskets(spark, {1: "AB", 2: "ABC", 3: "AC", 4: "B"})
     aff = affinity.pair_matrix(b, t=0, method=method)
@@ -221,23 +221,30 @@ def test_hot_session_and_hot_group(spark):
             for y in s & freq:
                 if x != y:
                     want[(x, y)] = want.get((x, y), 0) + 1
-    for method in ("sets", "join"):
+    for method in ("half", "join"):
         got = {(r.coupon_X, r.coupon_Y): (r.basket_count_XY, r.support) for r in affinity.pair_matrix(df, method=method).matrix.collect()}
         assert got == {k: (v, v / n) for k, v in want.items()}
 
 
-def test_big_baskets_are_paired_in_slices(spark):
-    """Sets above the split size take the sliced path; counts equal the self-join form."""
+def test_big_baskets_equal_the_self_join(spark):
+    """Baskets of very different sizes go through one plan; counts equal the self-join form."""
     import random
 
     rnd = random.Random(5)
-    groups = [f"G{i:02d}" for i in range(24)]
-    sets = {b: set(rnd.sample(groups, rnd.randint(1, 20))) for b in range(1, 80)}
+    groups = [f"G{i:03d}" for i in range(120)]
+    sets = {b: set(rnd.sample(groups, rnd.choice((1, 3, 20, 110)))) for b in range(1, 60)}
     b = _baskets(spark, {k: sorted(v) for k, v in sets.items()})
     ref = {tuple(r) for r in affinity.pair_matrix(b, t=10, method="join").matrix.collect()}
-    for split in (2, 3, 7, 64):
-        got = {tuple(r) for r in affinity.pair_matrix(b, t=10, method="sets", split_above=split).matrix.collect()}
-        assert got == ref
+    assert {tuple(r) for r in affinity.pair_matrix(b, t=10).matrix.collect()} == ref
+
+
+def test_sales_are_summed_at_source_scale(spark):
+    from basketspark.operators import sales
+
+    rows = [("P1", Decimal("0.0040"), 20200105)] * 1000 + [("p1", Decimal("10.0050"), 20200105)] * 2
+    invoices = spark.createDataFrame(rows, "sku string, amt decimal(18,4), dt_key int")
+    got = sales.sku_sales(invoices, None, (20200101, 20200201), exclude_discontinued=False).collect()
+    assert [(r.prod_id, r.sales) for r in got] == [("P1", Decimal("24.0100"))]
 
 
 def test_sources_bind_by_name(spark):
@@ -247,16 +254,17 @@ def test_sources_bind_by_name(spark):
     spark.createDataFrame(
         [("A|", "P1", 0, "V1", T0, 20200105)],
         "demandbase string, prod_list string, visit_return_count bigint, post_visid_combined string, "
-        "hit_time_gmt_ts timestamp_ntz, hit_time_gmt_dt_key int",
+        "event_at timestamp_ntz, event_day int",
     ).write.parquet(f"{root}/hits")
-    spark.createDataFrame([("P1", Decimal("1.00"), 20200105)], "prod_prc_ref_sku string, ext_net_sls_pmar_amt decimal(18,2), invc_dt_key int").write.parquet(f"{root}/inv")
+    spark.createDataFrame([("P1", Decimal("1.00"), 20200105)], "item string, net decimal(18,2), bill_day int").write.parquet(f"{root}/inv")
     other = {
         "visit_sessions": spark.createDataFrame([(0, "V1", 1)], VS_SCHEMA),
         "products": spark.createDataFrame([("P1", "S")], "sku string, stk_type_cd string"),
         "prod_feature": spark.createDataFrame([("P1", "G1")], "sku_nbr string, size_grp string"),
     }
-    src = Sources.from_refs(spark, {"hits": f"{root}/hits", "invoices": f"{root}/inv", **other})
+    names = {"hits": {"event_at": "time_stamp", "event_day": "dt_key"}, "invoices": {"item": "sku", "net": "amt", "bill_day": "dt_key"}}
+    src = Sources.from_refs(spark, {"hits": f"{root}/hits", "invoices": f"{root}/inv", **other}, names)
     assert {"time_stamp", "dt_key"} <= set(src.hits.columns)
     assert {"sku", "amt", "dt_key"} <= set(src.invoices.columns)
     with pytest.raises(ValueError):
-        Sources.from_refs(spark, {"hits": other["products"], "invoices": f"{root}/inv", **other})
+        Sources.from_refs(spark, {"hits": other["products"], "invoices": f"{root}/inv", **other}, names)

@@ -14,7 +14,7 @@ def test_stream_two_batches_with_duplicates(spark, sf_small):
     sessions = visit_sessions_view(read_testdata(spark, sf_small, "orders"))
     window = fixture_config().window
     landing = scratch_path(spark, "landing")
-    # Two files: open lines, then closed lines plus all open lines again (duplicate hits).
+    # Two files: open (newest) lines, then all lines, older ones and the same hits again.
     lineitem.where(F.col("l_linestatus") == "O").coalesce(1).write.parquet(f"{landing}/part1")
     lineitem.coalesce(1).write.parquet(f"{landing}/part2")
     files = sorted(
@@ -32,7 +32,6 @@ def test_stream_two_batches_with_duplicates(spark, sf_small):
         out,
         ckpt,
         max_files_per_trigger=1,
-        watermark_delay="36500 days",
     )
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"] > 0]) == 2
