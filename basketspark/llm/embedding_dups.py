@@ -29,8 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from basketspark.llm.components import connected_components
-from basketspark.llm.text import renamed
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, renamed
 
 BLOCK_ROWS = 1024
 #: Vectors from which the principal axes are fitted, at most about so many.
@@ -107,7 +106,7 @@ def _blocks(vectors: DataFrame, axes: dict[int, np.ndarray], block_rows: int) ->
         .withColumn("row", F.monotonically_increasing_id())
     )
     # A block is a run of one range partition's rows; label and dim are part of its key.
-    return materialize(ranged.withColumn("block", (F.col("row") / block_rows).cast("long")).drop("row"), "blocks")
+    return pinned(ranged.withColumn("block", (F.col("row") / block_rows).cast("long")).drop("row"), "blocks")
 
 
 def _spanning(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
@@ -175,9 +174,9 @@ def embedding_near_dups(
     """One row per vector row: vec_id, n_links (other vectors linked directly), component_id
     (smallest vec_id reachable, itself included), kept (vec_id is the component_id)."""
     src = renamed(vectors, {vec_id: "vec_id", label: "label", embedding: "vector"})
-    checked = materialize(_checked(src), "vectors")
+    checked = pinned(_checked(src), "vectors")
     usable = checked.where("key is not null")
-    distinct = materialize(
+    distinct = pinned(
         usable.groupBy("key").agg(
             F.first("label").alias("label"), F.first("dim").alias("dim"), F.count(F.lit(1)).alias("n"), F.first("raw").alias("raw"), F.min("vec_id").alias("least")
         ),
@@ -195,11 +194,11 @@ def embedding_near_dups(
     tiles = tiles.select("label", "dim", "a", "b", F.explode(ends_of).alias("block"))
     rows = blocks.join(tiles, ["label", "dim", "block"]).select("label", "dim", "a", "b", "block", "key", "n", "raw")
     found = rows.groupBy("label", "dim", "a", "b").applyInPandas(_compare(axes, threshold), "key binary, links long, root binary")
-    found = materialize(found, "tile-links")
+    found = pinned(found, "tile-links")
     roots = connected_components(found, "key", "root")
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     members = distinct.select("key", "n", "least").join(links, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
-    members = materialize(members.withColumn("root", F.coalesce("root", "key")), "members")
+    members = pinned(members.withColumn("root", F.coalesce("root", "key")), "members")
     named = members.groupBy("root").agg(F.min("least").alias("component"))
     members = members.join(named, "root").select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component")
     joined = checked.select("vec_id", "key").join(members, "key", "left")

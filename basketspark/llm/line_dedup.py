@@ -21,8 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.text import text_keys
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, text_keys
 
 #: The characters stripped from a line's ends.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -49,7 +48,7 @@ def common_lines(docs: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     keys = F.filter(F.array_distinct(line_keys(F.col("_text"))), lambda k: F.length(k) >= min_chars)
     rows = docs.select("_doc", F.explode(F.transform(keys, _hashed)).alias("h"))
     counted = rows.groupBy("h.h1", "h.h2").agg(F.count(F.lit(1)).alias("n"), F.max("_doc").alias("holder"))
-    return materialize(counted.where(F.col("n") >= min_docs).select("h1", "h2", "holder"), "common-lines")
+    return pinned(counted.where(F.col("n") >= min_docs).select("h1", "h2", "holder"), "common-lines")
 
 
 def dropped_positions(docs: DataFrame, common: DataFrame, min_chars: int) -> DataFrame:
@@ -70,7 +69,7 @@ def dedup_lines(
     k1, k2 = text_keys(F.col(f"`{text}`"))
     keyed = docs.select(F.col(f"`{doc_id}`").alias("_doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_text"), k1.alias("_k1"), k2.alias("_k2"))
     common = common_lines(keyed, min_chars, min_docs)
-    drop = materialize(dropped_positions(keyed, common, min_chars), "dropped-lines")
+    drop = pinned(dropped_positions(keyed, common, min_chars), "dropped-lines")
     side = drop.select(F.struct("_doc", "_k1", "_k2", "drop").alias("__lost"))
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), k1.alias("__k1"), k2.alias("__k2"))
     same = F.col("__row")[doc_id].eqNullSafe(F.col("__lost._doc")) & (F.col("__k1") == F.col("__lost._k1")) & (F.col("__k2") == F.col("__lost._k2"))

@@ -30,8 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketspark.llm import wordpieces
-from basketspark.llm.text import renamed, slices
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, renamed, slices
 
 CAPACITY = 2048
 END_ID = 0
@@ -66,7 +65,7 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, e
 
     src = renamed(docs, {doc_id: "doc_id", text: "text"})
     schema = f"doc_id {dict(src.dtypes)['doc_id']}, piece int, start long, length long, ids_crc32 long, task int, place long"
-    return materialize(src.mapInArrow(rows, schema), "pieces")
+    return pinned(src.mapInArrow(rows, schema), "pieces")
 
 
 def length_patterns(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -170,7 +169,7 @@ def _plan_table(spark: SparkSession, kinds: list[Kind]) -> DataFrame:
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """The pieces with sequence_id and offset. pieces: length, task, place and other columns."""
-    counts = materialize(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
+    counts = pinned(pieces.groupBy("length", "task").agg(F.count(F.lit(1)).alias("n")), "piece-counts")
     histogram = np.zeros(capacity + 1, np.int64)
     for row in counts.groupBy("length").agg(F.sum("n").alias("n")).collect():  # capacity rows at most
         histogram[row.length] = row.n

@@ -20,8 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.text import renamed, slices
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, renamed, slices
 
 #: The characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -83,12 +82,12 @@ def measure(docs: DataFrame, cfg: RuleConfig = RuleConfig(), doc_id="doc_id", te
     kinds = dict(src.dtypes)
     schema = f"doc_id {kinds['doc_id']}, host {kinds['host']}, " + ", ".join(f"{m} long" for m in MEASURES)
     failed = (F.col("n_words") < cfg.min_words) | (100 * F.col("n_repeat_words") > cfg.max_repeat_pct * F.col("n_words"))
-    return materialize(src.mapInArrow(rows, schema).withColumn("base_failed", failed), "measures")
+    return pinned(src.mapInArrow(rows, schema).withColumn("base_failed", failed), "measures")
 
 
 def host_verdicts(measured: DataFrame, cfg: RuleConfig = RuleConfig()) -> DataFrame:
     """One row per host: host, host_docs, host_failed, host_rate (shrunk), host_kept."""
-    hosts = materialize(
+    hosts = pinned(
         measured.where("host is not null")
         .groupBy("host")
         .agg(F.count(F.lit(1)).alias("host_docs"), F.sum(F.col("base_failed").cast("long")).alias("host_failed")),

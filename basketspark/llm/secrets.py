@@ -23,8 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketspark.llm.text import text_keys
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, text_keys
 
 #: Kind, role, pattern (group 1: the value), least length of the value, what the
 #: value must hold besides. The first three are strong and in the order in which equal starts
@@ -105,12 +104,12 @@ def find_secrets(docs: DataFrame, text="text", scope_chars: int = SCOPE_CHARS) -
     # Texts without any find end here; copies of a text are scanned once.
     able = docs.select(t.alias("text")).where(F.col("text").rlike(strong) | F.col("text").rlike(weak))
     able = able.groupBy(*text_keys(F.col("text"))).agg(F.first("text").alias("text"))
-    able = materialize(able, "texts-with-parts")
-    parts = materialize(find_parts(able, STRONG + WEAK), "secret-parts")
+    able = pinned(able, "texts-with-parts")
+    parts = pinned(find_parts(able, STRONG + WEAK), "secret-parts")
     strong_parts = parts.where(F.col("kind").isin([k for k, *_ in STRONG]))
     rank = F.create_map(*[F.lit(x) for pair in ORDER.items() for x in pair])
     spans = strong_parts.unionByName(link_parts(parts, scope_chars)).select("k1", "k2", F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "stop").alias("span"))
-    return materialize(spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("span")).alias("spans")), "secret-spans")
+    return pinned(spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("span")).alias("spans")), "secret-spans")
 
 
 def with_spans(docs: DataFrame, spans: DataFrame, text="text") -> DataFrame:

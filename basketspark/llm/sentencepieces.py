@@ -26,8 +26,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 
 from basketspark.llm.merges import MergeTable, code_points, encode_parts, merge_words, split_ids
-from basketspark.llm.text import renamed, slices
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, renamed, slices
 
 MARK = "▁"
 #: Fixed values of the model file's format: piece types that take part in merges, and bytes.
@@ -151,7 +150,7 @@ def encode_texts(docs: DataFrame, model_path: str, doc_id="doc_id", text="text")
 
 def encode_digests(docs: DataFrame, model_path: str, doc_id="doc_id", text="text") -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) per document row. Written once."""
-    return materialize(_run(docs, model_path, doc_id, text, digest=True), "piece-digests")
+    return pinned(_run(docs, model_path, doc_id, text, digest=True), "piece-digests")
 
 
 def _run(docs: DataFrame, model_path: str, doc_id: str, text: str, digest: bool) -> DataFrame:

@@ -32,8 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from basketspark.llm.components import connected_components
-from basketspark.llm.text import renamed, slices
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned, renamed, slices
 
 SEED = 42
 SEGMENT_BITS = 16
@@ -68,7 +67,7 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, doc_id="doc_id", text=
                 yield pa.RecordBatch.from_arrays([ids, pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     src = renamed(docs, {doc_id: "doc_id", text: "text"})
-    return materialize(src.mapInArrow(rows, f"doc_id {dict(src.dtypes)['doc_id']}, fp long"), "fingerprints")
+    return pinned(src.mapInArrow(rows, f"doc_id {dict(src.dtypes)['doc_id']}, fp long"), "fingerprints")
 
 
 def _ball(fp: Column, radius: int) -> Column:
@@ -99,10 +98,10 @@ def simhash_near_dups(docs: DataFrame, shingle_words: int = 3, max_distance: int
     """One row per document row: doc_id, fingerprint (16 hex digits), component_id (smallest
     doc_id reachable over links, itself included), n_copies (rows with the same fingerprint)."""
     prints = fingerprints(docs, shingle_words, doc_id, text)
-    distinct = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies")), "distinct-prints")
+    distinct = pinned(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n_copies")), "distinct-prints")
     roots = connected_components(fingerprint_links(distinct, max_distance), "a", "b")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = materialize(rooted, "rooted")
+    rooted = pinned(rooted, "rooted")
     named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     members = rooted.join(named, "root").select("fp", "component_id", "n_copies")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")

@@ -31,8 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.text import CHUNK_BYTES, package_path, range_hashes, slices, text_keys, word_hashes
-from basketspark.runtime import materialize
+from basketspark.llm.text import CHUNK_BYTES, package_path, pinned, range_hashes, slices, text_keys, word_hashes
 
 #: Hashes that one range of the hash space holds on average, and ranges at least.
 RANGE_HASHES = 500_000
@@ -120,6 +119,12 @@ def _chunk_ids() -> Iterator[int]:
         n += 1
 
 
+def _each(batch: pa.RecordBatch, *columns: str) -> Iterator[tuple]:
+    """The values of the columns, row by row: one chunk at a time becomes Python objects."""
+    for i in range(batch.num_rows):
+        yield tuple(batch.column(c)[i].as_py() for c in columns)
+
+
 _DOC = "struct<doc_id:{}, k1:long, k2:long, n_words:long, sha:string>"
 
 
@@ -144,7 +149,7 @@ def _level_one(src: DataFrame, window: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, names=["chunk", "docs", "hashes", "places"])
 
     schema = f"chunk long, docs array<{_DOC.format(kind)}>, hashes binary, places binary"
-    return materialize(src.mapInArrow(rows, schema), "short-windows")
+    return pinned(src.mapInArrow(rows, schema), "short-windows")
 
 
 def _survivors(chunks: DataFrame, kind: str) -> DataFrame:
@@ -153,7 +158,7 @@ def _survivors(chunks: DataFrame, kind: str) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for docs, hashes, places, marks in zip(*[batch.column(c).to_pylist() for c in ("docs", "hashes", "places", "marks")]):
+            for docs, hashes, places, marks in _each(batch, "docs", "hashes", "places", "marks"):
                 at = np.frombuffer(places, np.int32)[_is_repeated(np.frombuffer(hashes, np.uint64), marks)]
                 first = np.concatenate([[0], np.cumsum([d["n_words"] for d in docs])])
                 cuts = np.searchsorted(at, first)
@@ -175,7 +180,7 @@ def _level_two(texts: DataFrame) -> DataFrame:
                 lists = [pa.array([part.column(c).to_pylist()], pa.list_(t)) for c, t in (("k1", pa.int64()), ("k2", pa.int64()), ("places", pa.binary()))]
                 yield pa.RecordBatch.from_arrays([pa.array([next(ids)], pa.int64()), *lists, pa.array([found], pa.list_(pa.binary()))], names=["chunk", "k1", "k2", "places", "texts"])
 
-    return materialize(texts.mapInArrow(rows, "chunk long, k1 array<long>, k2 array<long>, places array<binary>, texts array<binary>"), "long-windows")
+    return pinned(texts.mapInArrow(rows, "chunk long, k1 array<long>, k2 array<long>, places array<binary>, texts array<binary>"), "long-windows")
 
 
 def _candidates(texts: list[bytes], places: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -192,7 +197,7 @@ def _candidates(texts: list[bytes], places: list[bytes], window: int) -> tuple[n
 def _long_hashes(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, texts, places in zip(*[batch.column(c).to_pylist() for c in ("chunk", "texts", "places")]):
+            for chunk, texts, places in _each(batch, "chunk", "texts", "places"):
                 hashes = _candidates(texts, places, window)[0]
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([hashes.tobytes()])], names=["chunk", "hashes"])
 
@@ -203,7 +208,7 @@ def _cut(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for texts, places, marks, k1, k2 in zip(*[batch.column(c).to_pylist() for c in ("texts", "places", "marks", "k1", "k2")]):
+            for texts, places, marks, k1, k2 in _each(batch, "texts", "places", "marks", "k1", "k2"):
                 hashes, starts, first = _candidates(texts, places, window)
                 starts = starts[_is_repeated(hashes, marks)]
                 edge = np.zeros(first[-1] + window + 1, np.int64)
@@ -237,7 +242,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, doc_id="doc_id", text="t
     found = _survivors(marked.select("docs", "hashes", "places", "marks"), kind)
     # One row per text: of copies the one with the smallest id stands for all of them.
     reps = found.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("places").alias("places"))
-    reps = materialize(reps.select(F.col("k1").alias("a"), F.col("k2").alias("b"), "rep", "places"), "repeated-windows")
+    reps = pinned(reps.select(F.col("k1").alias("a"), F.col("k2").alias("b"), "rep", "places"), "repeated-windows")
     same = (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("rep"))
     two = _level_two(src.join(reps, same).select("k1", "k2", "places", "text"))
     n_long = two.agg(F.sum(F.size("texts"))).first()[0] or 0
@@ -249,7 +254,7 @@ def dedup_substrings(docs: DataFrame, window: int = 35, doc_id="doc_id", text="t
         cut = cut.mapInArrow(_cut(window), "k1 long, k2 long, n_removed long, kept_sha256 string, kept binary")
         cut = cut if with_text else cut.drop("kept")
         # Rows repeated with the same id and text were cut alike.
-        lost = materialize(cut.dropDuplicates(["k1", "k2"]), "cut-texts")
+        lost = pinned(cut.dropDuplicates(["k1", "k2"]), "cut-texts")
     copies = base.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"))
     if lost is None:
         lost = copies.sparkSession.createDataFrame([], "k1 long, k2 long, n_removed long, kept_sha256 string, kept binary")

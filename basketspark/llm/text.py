@@ -14,8 +14,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text that one in-memory step works on at a time (one document at least).
-CHUNK_BYTES = 4 << 20
+from basketspark.runtime import materialize
+
+#: Bytes of text that one in-memory step works on at a time (one document at least), and of the
+#: Arrow batches between Spark and its Python workers.
+CHUNK_BYTES = 2 << 20
+BATCH_BYTES = "16m"
 
 
 def text_keys(text: Column) -> list[Column]:
@@ -40,6 +44,17 @@ def renamed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return package_path(df).select(*[F.col(f"`{c}`").alias(n) for c, n in columns.items()])
 
 
+def pinned(df: DataFrame, name: str) -> DataFrame:
+    """``materialize`` with batches to Python workers of ``BATCH_BYTES``, which bounds their memory."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = conf.get(key)
+    conf.set(key, BATCH_BYTES)
+    try:
+        return materialize(df, name)
+    finally:
+        conf.set(key, before)
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, list[bytes]]]:
     """Runs of rows (begin, end, their texts as UTF-8) of about ``limit`` bytes; null is empty."""
     values = batch.column(column).cast(pa.large_binary())
@@ -69,7 +84,7 @@ _POWERS: dict[str, np.ndarray] = {}
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) < n:
-        size = 1 << (n - 1).bit_length()
+        size = n + n // 8
         for name, base in (("up", _BASE), ("down", _INVERSE)):
             p = np.full(size, base, np.uint64)
             p[0] = 1

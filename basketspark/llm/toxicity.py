@@ -28,8 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.text import mix, package_path, renamed, slices
-from basketspark.runtime import materialize
+from basketspark.llm.text import mix, package_path, pinned, renamed, slices
 
 PREFIXES = (3, 4, 5, 6, 8)
 BUCKET_BITS = 18
@@ -91,13 +90,13 @@ def _labelled_sample(docs: DataFrame, labels: DataFrame, categories, cfg: ChainC
     """(text, fold, y: array of 0/1) of about ``sample_rows`` labelled documents. Written once."""
     truth = [F.max(F.expr(rule).cast("int")).alias(name) for name, rule in categories]
     ys = labels.groupBy(F.col("doc_id").alias("id")).agg(*truth).where(" and ".join(f"{n} is not null" for n, _ in categories) + " and id is not null")
-    ys = materialize(ys, "label-rows")
+    ys = pinned(ys, "label-rows")
     share = min(1.0, cfg.sample_rows / max(1, ys.count()))
     draw = F.pmod(F.xxhash64(F.lit(11), F.col("id")), F.lit(1 << 20))
     chosen = ys.where(draw < int(share * (1 << 20)) + 1).select("id", F.array(*[n for n, _ in categories]).alias("y"))
     fold = F.pmod(F.xxhash64(F.lit(5), F.col("id")), F.lit(cfg.folds)).cast("int").alias("fold")
     # The sample's labels are bounded by sample_rows, so they may be broadcast.
-    return materialize(docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("id")).select("text", "y", fold), "label-sample")
+    return pinned(docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("id")).select("text", "y", fold), "label-sample")
 
 
 def _feature_counts(sample: DataFrame, n_categories: int, folds: int, min_docs: int) -> np.ndarray:
