@@ -4,8 +4,8 @@ left is packed into sequences.
 
 Each stage is a function of (spark, docs, sf_dir) and calls one operator of basketspark.llm;
 its result is written as Parquet and reread as the next stage's docs. All but the last return
-the columns of documents; n_chars follows the text. Rows without a doc_id cannot be told
-apart, so the near-duplicate stage leaves them; of rows equal in doc_id and text it leaves one.
+the columns of documents; n_chars follows the text. Null ids and texts pass; of rows equal in
+doc_id and text the near-duplicate stage leaves one.
 """
 
 from __future__ import annotations
@@ -36,11 +36,14 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = simhash.simhash_near_dups(docs, shingle_words=3, max_distance=2)
-    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone"), "fingerprint").select("__gone").distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("__gone"), "left_anti")
-    k1, k2 = text_keys(F.col("text"))
-    return left.withColumns({"__k1": k1, "__k2": k2}).dropDuplicates(["doc_id", "__k1", "__k2"]).drop("__k1", "__k2")
+    # Id and text name a row: rows with an id come first, so a group's smallest id stays, and a
+    # group without any id keeps one of its rows, too.
+    name = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), *text_keys(F.col("text")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), name.alias("__name"))
+    found = simhash.simhash_near_dups(rows.select("__name", F.col("__row.text").alias("text")), shingle_words=3, max_distance=2, doc_id="__name")
+    gone = found.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__gone")).distinct()
+    left = rows.join(gone, F.col("__name") == F.col("__gone"), "left_anti").dropDuplicates(["__name"])
+    return left.select(*[F.col("__row")[c].alias(c) for c in docs.columns])
 
 
 def blank_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -98,9 +98,9 @@ def test_pipeline_stages(spark, sf_small, texts, tmp_path):
 
 
 def test_pipeline_keeps_one_of_repeated_rows(spark, sf_small):
-    made = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b c d e f"), (None, "q"), (3, None), (4, "")]
+    made = [(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (1, "other words"), (None, "a b c d e f"), (None, "q"), (3, None), (4, "")]
     docs = spark.createDataFrame(made, "doc_id long, text string")
     left = corpus_pipeline.keep_one_of_near_copies(spark, docs, sf_small).collect()
-    assert sorted((r.doc_id or -1, r.text) for r in left if r.text) == [(-1, "a b c d e f"), (-1, "q"), (1, "a b c d e f")]
-    assert sum(1 for r in left if not r.text) == 1
+    assert sorted((r.doc_id or -1, r.text) for r in left if r.text) == [(-1, "q"), (1, "a b c d e f"), (1, "other words")]
+    assert [r.doc_id for r in left if not r.text] == [3]
     assert simhash.fingerprint(b"") == 0
