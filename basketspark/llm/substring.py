@@ -258,7 +258,8 @@ def dedup_substrings(docs: DataFrame, window: int = 35, doc_id="doc_id", text="t
     copies = base.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("copies"))
     if lost is None:
         lost = copies.sparkSession.createDataFrame([], "k1 long, k2 long, n_removed long, kept_sha256 string, kept binary")
-    texts = copies.join(lost, ["k1", "k2"], "left")
+    # Written, so that a text with very many copies is a plain skewed key of the next join.
+    texts = pinned(copies.join(lost, ["k1", "k2"], "left"), "text-results")
     out = base.join(texts, ["k1", "k2"], "left")
     whole = (F.col("copies") > 1) & (F.col("n_words") >= window)
     removed = F.when(whole, F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0)))
