@@ -199,7 +199,8 @@ def embedding_near_dups(
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     members = distinct.select("key", "n", "least").join(links, "key", "left").join(roots.withColumnRenamed("node", "key"), "key", "left")
     members = pinned(members.withColumn("root", F.coalesce("root", "key")), "members")
-    named = members.groupBy("root").agg(F.min("least").alias("component"))
+    # Written, so that the root of a very large component is a plain skewed key of the join.
+    named = pinned(members.groupBy("root").agg(F.min("least").alias("component")), "component-names")
     members = members.join(named, "root").select("key", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component")
     joined = checked.select("vec_id", "key").join(members, "key", "left")
     component = F.when(F.col("key").isNull(), F.col("vec_id")).otherwise(F.col("component"))
