@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.runtime import materialize
+from basketspark.llm.text import pinned
+
 
 MAX_ROUNDS = 60
 
@@ -22,19 +23,21 @@ def connected_components(edges: DataFrame, src: str, dst: str) -> DataFrame:
     Null ends and self-links are ignored; repeated and reversed edges are the same link.
     """
     e = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where("a is not null and b is not null and a != b")
-    e = materialize(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "links")
-    labels = materialize(e.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")), "labels")
+    # Both directions from one row, so that the edges are worked out once.
+    ways = F.explode(F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))).alias("w")
+    e = pinned(e.select(ways).select("w.*").distinct(), "links")
+    labels = pinned(e.groupBy(F.col("a").alias("node")).agg(F.least(F.col("a"), F.min("b")).alias("root")), "labels")
     for _ in range(MAX_ROUNDS):
         seen = labels.select(F.col("node").alias("b"), "root")
         near = e.join(seen, "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
         # A node tells its own root, too, of a smaller label next to it.
         told = labels.join(near, "node").select("node", "root", F.least("root", "near").alias("near"))
         offers = told.select(F.explode(F.array(F.struct("node", "near"), F.struct(F.col("root").alias("node"), "near"))).alias("o"))
-        hooked = materialize(offers.groupBy("o.node").agg(F.min("o.near").alias("root")), "hooked")
+        hooked = pinned(offers.groupBy("o.node").agg(F.min("o.near").alias("root")), "hooked")
         up = hooked.select(F.col("node").alias("root"), F.col("root").alias("next"))
         jumped = hooked.join(up, "root").select("node", F.col("next").alias("root"))
         was = labels.select("node", F.col("root").alias("was"))
-        labels = materialize(jumped.join(was, "node").select("node", "root", (F.col("root") != F.col("was")).alias("moved")), "labels")
+        labels = pinned(jumped.join(was, "node").select("node", "root", (F.col("root") != F.col("was")).alias("moved")), "labels")
         moved = labels.where("moved").limit(1).count()
         labels = labels.select("node", "root")
         if not moved:

@@ -102,7 +102,8 @@ def simhash_near_dups(docs: DataFrame, shingle_words: int = 3, max_distance: int
     roots = connected_components(fingerprint_links(distinct, max_distance), "a", "b")
     rooted = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     rooted = pinned(rooted, "rooted")
-    named = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    # Written, so that the root of a very large component is a plain skewed key of the join.
+    named = pinned(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "component-names")
     members = rooted.join(named, "root").select("fp", "component_id", "n_copies")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
     return prints.join(members, "fp").select("doc_id", hexed, "component_id", "n_copies")
