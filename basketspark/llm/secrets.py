@@ -46,7 +46,9 @@ MARK = "[SECRET]"
 
 def _matches(text: Column, pattern: str) -> Column:
     """For each match of the pattern in order: length of the gap before and of the match, and its value."""
-    gaps, matches, values = [F.regexp_extract_all(text, F.lit(f"(?s)(.*?)({pattern})"), F.lit(g)) for g in (1, 2, 3)]
+    # The end of the text ends the last gap: without it every place after the last match would
+    # be tried as the beginning of a gap that leads nowhere.
+    gaps, matches, values = [F.regexp_extract_all(text, F.lit(f"(?s)(.*?)(?:({pattern})|\\z)"), F.lit(g)) for g in (1, 2, 3)]
     of = lambda x, i: F.struct(F.length(x).alias("gap"), F.length(F.get(matches, i)).alias("all"), F.get(values, i).alias("value"))
     return F.transform(gaps, of)
 
