@@ -1,21 +1,27 @@
 """License scans by Dice coefficient over word bigrams (operator 4), DataFrame functions only.
 
-Lines and blank-line-separated paragraphs are normalised (ASCII lower case, words of letters
-and digits) and compared with licence templates: Dice = 2 |A and B| / (|A| + |B|) over sets of
-word bigrams. Bigrams are joined to an inverted index of the templates, and a template is a
-candidate only if its size lies within the bounds that the threshold allows, so sizes prune
-before anything is counted.
-
-The templates are a parameter of fixed size and the only side that is broadcast.
-
-Defined cases: a null or empty text has no licence; each row is scanned by itself, so repeated
-rows and ids give their rows again; of equal finds of a licence in a document the earliest unit
-is reported; a unit of one word has no bigram and matches nothing; an empty table gives an
-empty result; other columns are ignored.
+The words of the whole text (ASCII lower case, letters and digits) are numbered, and runs of
+words are compared with licence templates wherever they begin, so a notice is found inside a
+longer line, in a comment block or over several lines: Dice = 2 |A and B| / (|A| + |B|) over
+sets of word bigrams. A best run begins and ends with a bigram of the template; a template is
+looked at only in texts that hold as many of its bigrams as the threshold needs, and only where
+so many of them lie within the longest run that the threshold allows.
+
+Of runs that overlap, a template keeps those of the largest Dice.
+
+The templates are a parameter of fixed size. Each row is worked on by itself; only finds are shuffled.
+
+Defined cases: a null or empty text has no licence; repeated rows and ids give their rows again;
+of equal finds of a licence in a document the earliest unit is reported; a text of one word has
+no bigram and matches nothing; a run is at most (2 - t) / t times as long as its template, counted
+in words; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,36 +47,101 @@ TEMPLATES = (
 )
 
 
-def bigrams(text: Column) -> Column:
-    """The set of word bigrams, each as 'one two'."""
-    words = F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.size(words)), lambda a, b: F.concat(a, F.lit(" "), b))
-    return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
+def _words(text: Column) -> Column:
+    return F.split(F.lower(text), "[^a-z0-9]+")
+
+
+def _known(templates, threshold: float) -> list[dict]:
+    """What is asked of a run for each template that has a bigram."""
+    out = []
+    for license_, body in templates:
+        words = re.findall("[a-z0-9]+", body.lower())
+        b = list(dict.fromkeys(f"{x} {y}" for x, y in zip(words, words[1:])))
+        if b:
+            # Dice >= t needs |A and B| >= t / (2 - t) |B|, and |A| <= (2 - t) / t |B|.
+            need = math.ceil(threshold / (2 - threshold) * len(b) - 1e-9)
+            longest = int((2 - threshold) / threshold * (len(words) - 1) + 1e-9)
+            out.append({"license": license_, "b": b, "need": max(need, 1), "longest": longest})
+    return out
+
+
+def _literal(value) -> Column:
+    if isinstance(value, dict):
+        return F.struct(*[_literal(v).alias(k) for k, v in value.items()])
+    if isinstance(value, list):
+        return F.array(*map(_literal, value)) if value else F.array().cast("array<string>")
+    return F.lit(value)
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value being worked out once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _once(df: DataFrame, **made: Column) -> DataFrame:
+    """Adds columns behind a generator, so that no later step works them out again."""
+    return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in made.items()]))))
+
+
+def _overlap(a: Column, b: Column) -> Column:
+    return (a["begin"] <= b["stop"]) & (b["begin"] <= a["stop"])
+
+
+def _runs(k: Column, hits: Column, threshold: float) -> Column:
+    """The finds of the template ``k`` in a text, whose pairs of words at ``hits`` are the template's."""
+    pairs = F.col("pairs")
+
+    def scored(a, b):
+        sized = _let(F.array_distinct(F.slice(pairs, a + 1, b - a + 1)), lambda s: F.struct(F.size(s).alias("n"), F.size(F.array_intersect(s, k["b"])).alias("both")))
+        dice = lambda x: 2.0 * x["both"] / (x["n"] + F.size(k["b"]))
+        return _let(sized, lambda x: F.struct(dice(x).alias("dice"), (-a).alias("early"), (-b).alias("short"), x["both"].alias("shared"), a.alias("begin"), b.alias("stop"), k["license"].alias("license")))
+
+    def best(a, i):
+        ends = F.filter(F.slice(hits, i + k["need"], k["longest"]), lambda b: b - a < k["longest"])
+        return F.array_max(F.filter(F.transform(ends, lambda b: scored(a, b)), lambda x: x["dice"] >= threshold))
+
+    found = F.transform(hits, lambda a, i: F.when(F.get(hits, i + k["need"] - 1) - a < k["longest"], best(a, i)))
+
+    def apart(runs):
+        near = lambda i: F.slice(runs, F.greatest(i + 1 - k["longest"], F.lit(1)), 2 * k["longest"])  # one run a begin
+        return F.filter(runs, lambda r, i: ~F.exists(near(i), lambda o: _overlap(o, r) & (o > r)))
+
+    return _let(F.filter(found, lambda r: r.isNotNull()), apart)
+
+
+def _part_of(counts: Column, word: Column) -> Column:
+    """The number of the part that holds the word, the parts having ``counts`` words."""
+    state = lambda left, at: F.struct(left.cast("int").alias("left"), at.cast("int").alias("at"))
+    step = lambda s, c: F.when(s["left"] >= c, state(s["left"] - c, s["at"] + 1)).otherwise(state(F.lit(-1), s["at"]))
+    return F.aggregate(counts, state(word, F.lit(0)), step)["at"]
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, doc_id="doc_id", text="text") -> DataFrame:
-    """One row per document row and licence found: doc_id, license, unit (the number of the
-    line, then of the paragraph counted on), dice."""
-    spark = docs.sparkSession
-    known = spark.createDataFrame([(i, n, t) for i, (n, t) in enumerate(templates)], "template int, license string, body string")
-    known = known.select("template", "license", bigrams(F.col("body")).alias("b")).withColumn("size_b", F.size("b"))
-    index = F.broadcast(known.select("template", "license", "size_b", F.explode("b").alias("bigram")))
+    """One row per document row and licence found: doc_id, license, unit, dice. The unit is the
+    number of the line; of a find over several lines, that of the blank-line-separated paragraph
+    it begins in, of those with several lines and counted on from the lines (or the line it
+    begins in, where that paragraph is one line)."""
+    known = _known(templates, threshold)
+    every = sorted({b for k in known for b in k["b"]})
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    lines = F.split(t, "\n", -1)
-    paragraphs = F.filter(F.split(t, "\n[ \t\r]*\n", -1), lambda p: F.contains(p, F.lit("\n")))
-    # The number of a row is taken before its units are exploded, so all of them share it.
-    numbered = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.monotonically_increasing_id().alias("row"), F.concat(lines, paragraphs).alias("units"))
-    units = numbered.select("doc_id", "row", F.posexplode("units").alias("unit", "part"))
-    sized = units.select("doc_id", "row", "unit", bigrams(F.col("part")).alias("a")).withColumn("size_a", F.size("a"))
-    # Dice >= t needs t / (2 - t) <= |A| / |B| <= (2 - t) / t.
-    least, most = threshold / (2 - threshold), (2 - threshold) / threshold
-    sizes = [len_ for (len_,) in known.select("size_b").collect()]  # one number per template
-    sized = sized.where(F.col("size_a").between(int(min(sizes) * least), int(max(sizes) * most) + 1) & (F.col("size_a") > 0))
-    rows = sized.select("doc_id", "row", "unit", "size_a", F.explode("a").alias("bigram"))
-    bounds = (F.col("size_a") >= least * F.col("size_b") - 1e-9) & (F.col("size_a") <= most * F.col("size_b") + 1e-9)
-    shared = rows.join(index, "bigram").where(bounds)
-    scored = shared.groupBy("row", "doc_id", "unit", "size_a", "template", "license", "size_b").agg(F.count(F.lit(1)).alias("n"))
-    dice = 2.0 * F.col("n") / (F.col("size_a") + F.col("size_b"))
-    found = scored.withColumn("dice", dice).where(F.col("dice") >= threshold)
-    best = found.groupBy("row", "doc_id", "license").agg(F.max(F.struct("dice", (-F.col("unit")).alias("u"))).alias("m"))
+    rows = _once(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), t.alias("t")), words=_words(F.col("t")))
+    # Of the words only the first and the last can be empty, and no template has such a pair.
+    rows = _once(rows, pairs=F.transform("words", lambda w, i: F.concat(w, F.lit(" "), F.get(F.col("words"), i + 1))))
+    rows = _once(rows, at=F.filter(F.transform("pairs", lambda p, i: F.when(p.isin(every), i)), lambda i: i.isNotNull()))
+    rows = _once(rows, held=F.array_distinct(F.transform("at", lambda i: F.get(F.col("pairs"), i))))
+    able = F.filter(_literal(known), lambda k: F.size(F.array_intersect(k["b"], F.col("held"))) >= k["need"])
+    rows = _once(rows, able=able).where(F.size("able") > 0)
+    hits = lambda k: F.filter(F.col("at"), lambda i: F.array_contains(k["b"], F.get(F.col("pairs"), i)))
+    rows = _once(rows, runs=F.flatten(F.transform("able", lambda k: _let(hits(k), lambda h: _runs(k, h, threshold))))).where(F.size("runs") > 0)
+    counts = lambda parts: F.transform(parts, lambda p: F.size(F.filter(_words(p), lambda w: w != "")))
+    lines, paragraphs = F.split("t", "\n", -1), F.split("t", "\n[ \t\r]*\n", -1)
+    several = F.transform(paragraphs, lambda p: F.contains(p, F.lit("\n")))
+    lead = (F.col("words")[0] == "").cast("int")
+    rows = _once(rows, lines=counts(lines), paragraphs=counts(paragraphs), several=several, lead=lead, kept=F.col("runs"))
+    finds = rows.withColumn("row", F.monotonically_increasing_id()).select("*", F.explode("kept").alias("f"))
+    first, last = (_part_of(F.col("lines"), w - F.col("lead")) for w in (F.col("f.begin"), F.col("f.stop") + 1))
+    finds = _once(finds, first=first, last=last, paragraph=_part_of(F.col("paragraphs"), F.col("f.begin") - F.col("lead")))
+    before = F.size(F.filter(F.slice("several", 1, F.col("paragraph")), lambda x: x))
+    unit = F.when((F.col("first") < F.col("last")) & F.get("several", F.col("paragraph")), F.size("lines") + before).otherwise(F.col("first"))
+    best = finds.select("row", "doc_id", "f.license", "f.dice", unit.alias("unit")).groupBy("row", "doc_id", "license").agg(F.max(F.struct("dice", (-F.col("unit")).alias("u"))).alias("m"))
     return best.select("doc_id", "license", (-F.col("m.u")).cast("int").alias("unit"), F.col("m.dice").alias("dice"))

@@ -152,6 +152,27 @@ def test_licenses(spark, docs):
     assert got == bag([(1, "MIT"), (2, "GPL-3.0"), (7, "Apache-2.0"), (7, "Apache-2.0"), (None, "proprietary")])
 
 
+def licenses_of(spark, made):
+    df = spark.createDataFrame(list(enumerate(made)), "doc_id int, text string")
+    return sorted((r.doc_id, r.license, r.unit, round(r.dice, 3)) for r in licenses.scan_licenses(df).collect())
+
+
+def test_licenses_inside_longer_lines_and_comment_blocks(spark):
+    notice = next(t for n, t in licenses.TEMPLATES if n == "MIT" and len(t) > 100).split()
+    block = "/*\n * Copyright (c) 2020 Acme Corp.\n *\n" + "".join(f" * {' '.join(notice[i : i + 10])}\n" for i in range(0, len(notice), 10))
+    block += " *\n * The above copyright notice shall be included in all copies of the Software.\n */\nint x;"
+    made = [
+        "Copyright 2020 Acme Corp. All rights reserved.", "x\nThis package is licensed under the MIT License.",
+        "This project is released under the MIT License, see LICENSE.", block, "one line\n\n" + block.replace(" *", "#"),
+        "-- " + "words of a long line " * 400 + "licensed under CC BY-NC 4.0, all rights reserved " + "and more " * 400,
+    ]
+    lines = block.count("\n") + 1
+    assert licenses_of(spark, made) == [
+        (0, "proprietary", 0, 1.0), (1, "MIT", 1, 1.0), (2, "MIT", 0, 1.0), (3, "MIT", lines, 1.0), (4, "MIT", lines + 2, 1.0),
+        (5, "CC-BY-NC-4.0", 0, 1.0), (5, "proprietary", 0, 1.0),
+    ]
+
+
 def test_secrets(docs, rows):
     found = secrets.scan_secrets(docs).collect()
     strong = [k for k, *_ in secrets.STRONG]
