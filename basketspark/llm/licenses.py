@@ -7,7 +7,11 @@ sets of word bigrams. A best run begins and ends with a bigram of the template;
 looked at only in texts that hold as many of its bigrams as the threshold needs, and only where
 so many of them lie within the longest run that the threshold allows.
 
-Of runs that overlap, a template keeps those of the largest Dice.
+Sibling licences: a run must hold the words of its template that tell licences apart (names,
+numbers, variants) and no variant that the template lacks; the opening of the BSD licences goes
+by the clause on endorsement that follows it, and stands for both where no clause follows. Of
+runs that overlap, a template keeps those of the largest Dice, and of different licences the one
+with most common bigrams (then Dice) stays, ties both.
 
 The templates are a parameter of fixed size. Each row is worked on by itself; only finds are shuffled.
 
@@ -46,6 +50,31 @@ TEMPLATES = (
     ("proprietary", "All rights reserved."),
 )
 
+#: Sibling licences of those above.
+SIBLINGS = (
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
+    ("LGPL-2.0", "This work is licensed under the GNU Library General Public License, version 2."),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("LGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("LGPL-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("LGPL-2.0", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("AGPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    *((f"CC-{short}-4.0", f"Licensed under CC {short} 4.0.") for short in ("BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")),
+    *((f"CC-{short}-4.0", f"This work is licensed under a Creative Commons Attribution-{long} 4.0 International License.") for short, long in (("BY-ND", "NoDerivatives"), ("BY-NC-SA", "NonCommercial-ShareAlike"), ("BY-NC-ND", "NonCommercial-NoDerivatives"))),
+    ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+)
+#: Words that tell licences apart, besides numbers: a run holds those of its template, and no
+#: variant that the template does not have.
+NAMES = ("mit", "apache", "gnu", "mozilla", "creative", "cc", "reserved")
+VARIANTS = ("lesser", "library", "affero", "noncommercial", "nc", "sharealike", "sa", "noderivatives", "noderivs", "nd")
+#: The BSD licences begin alike: three clauses have the second word within so many words, two
+#: only the first.
+CLAUSES = ("disclaimer", "endorse")
+CLAUSE_WORDS = 160
+
 
 def _words(text: Column) -> Column:
     return F.split(F.lower(text), "[^a-z0-9]+")
@@ -61,7 +90,10 @@ def _known(templates, threshold: float) -> list[dict]:
             # Dice >= t needs |A and B| >= t / (2 - t) |B|, and |A| <= (2 - t) / t |B|.
             need = math.ceil(threshold / (2 - threshold) * len(b) - 1e-9)
             longest = int((2 - threshold) / threshold * (len(words) - 1) + 1e-9)
-            out.append({"license": license_, "b": b, "need": max(need, 1), "longest": longest})
+            tell = sorted({w for w in words if w.isdigit() or w in NAMES + VARIANTS})
+            clauses = {"BSD-2-Clause": 2, "BSD-3-Clause": 3}.get(license_, 0) if "redistribution" in words else 0
+            others = [w for w in VARIANTS if w not in words]
+            out.append({"license": license_, "b": b, "need": max(need, 1), "longest": longest, "tell": tell, "others": others, "clauses": clauses})
     return out
 
 
@@ -89,7 +121,14 @@ def _overlap(a: Column, b: Column) -> Column:
 
 def _runs(k: Column, hits: Column, threshold: float) -> Column:
     """The finds of the template ``k`` in a text, whose pairs of words at ``hits`` are the template's."""
-    pairs = F.col("pairs")
+    pairs, words = F.col("pairs"), F.col("words")
+
+    def right(a, b):
+        held = F.slice(words, a + 1, b - a + 2)
+        ahead = F.slice(words, b + 3, F.lit(CLAUSE_WORDS))
+        two, three = (F.array_contains(ahead, w) for w in CLAUSES)
+        clauses = F.when(k["clauses"] == 3, three | ~two).when(k["clauses"] == 2, ~three).otherwise(F.lit(True))
+        return (F.size(F.array_except(k["tell"], held)) == 0) & ~F.arrays_overlap(held, k["others"]) & clauses
 
     def scored(a, b):
         sized = _let(F.array_distinct(F.slice(pairs, a + 1, b - a + 1)), lambda s: F.struct(F.size(s).alias("n"), F.size(F.array_intersect(s, k["b"])).alias("both")))
@@ -97,7 +136,7 @@ def _runs(k: Column, hits: Column, threshold: float) -> Column:
         return _let(sized, lambda x: F.struct(dice(x).alias("dice"), (-a).alias("early"), (-b).alias("short"), x["both"].alias("shared"), a.alias("begin"), b.alias("stop"), k["license"].alias("license")))
 
     def best(a, i):
-        ends = F.filter(F.slice(hits, i + k["need"], k["longest"]), lambda b: b - a < k["longest"])
+        ends = F.filter(F.slice(hits, i + k["need"], k["longest"]), lambda b: (b - a < k["longest"]) & right(a, b))
         return F.array_max(F.filter(F.transform(ends, lambda b: scored(a, b)), lambda x: x["dice"] >= threshold))
 
     found = F.transform(hits, lambda a, i: F.when(F.get(hits, i + k["need"] - 1) - a < k["longest"], best(a, i)))
@@ -109,6 +148,16 @@ def _runs(k: Column, hits: Column, threshold: float) -> Column:
     return _let(F.filter(found, lambda r: r.isNotNull()), apart)
 
 
+def _best_licenses(runs: Column) -> Column:
+    """The runs that no better run of another licence overlaps, taken from the best on."""
+    ranked = F.transform(runs, lambda r: F.struct(r["shared"].alias("shared"), r["dice"].alias("dice"), r["begin"].alias("begin"), r["stop"].alias("stop"), r["license"].alias("license")))
+    better = lambda o, r: (o["license"] != r["license"]) & ((o["shared"] > r["shared"]) | (o["dice"] > r["dice"]))
+    add = lambda kept, r: F.when(F.exists(kept, lambda o: _overlap(o, r) & better(o, r)), kept).otherwise(F.concat(kept, F.array(r)))
+    taken = _let(F.sort_array(ranked, asc=False), lambda x: F.aggregate(x, F.slice(x, 1, 0), add))
+    several = F.size(F.array_distinct(F.transform(runs, lambda r: r["license"]))) > 1
+    return F.when(several, taken).otherwise(ranked)
+
+
 def _part_of(counts: Column, word: Column) -> Column:
     """The number of the part that holds the word, the parts having ``counts`` words."""
     state = lambda left, at: F.struct(left.cast("int").alias("left"), at.cast("int").alias("at"))
@@ -116,7 +165,7 @@ def _part_of(counts: Column, word: Column) -> Column:
     return F.aggregate(counts, state(word, F.lit(0)), step)["at"]
 
 
-def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, doc_id="doc_id", text="text") -> DataFrame:
+def scan_licenses(docs: DataFrame, templates=TEMPLATES + SIBLINGS, threshold: float = THRESHOLD, doc_id="doc_id", text="text") -> DataFrame:
     """One row per document row and licence found: doc_id, license, unit, dice. The unit is the
     number of the line; of a find over several lines, that of the blank-line-separated paragraph
     it begins in, of those with several lines and counted on from the lines (or the line it
@@ -137,7 +186,7 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES, threshold: float = THRES
     lines, paragraphs = F.split("t", "\n", -1), F.split("t", "\n[ \t\r]*\n", -1)
     several = F.transform(paragraphs, lambda p: F.contains(p, F.lit("\n")))
     lead = (F.col("words")[0] == "").cast("int")
-    rows = _once(rows, lines=counts(lines), paragraphs=counts(paragraphs), several=several, lead=lead, kept=F.col("runs"))
+    rows = _once(rows, lines=counts(lines), paragraphs=counts(paragraphs), several=several, lead=lead, kept=_best_licenses(F.col("runs")))
     finds = rows.withColumn("row", F.monotonically_increasing_id()).select("*", F.explode("kept").alias("f"))
     first, last = (_part_of(F.col("lines"), w - F.col("lead")) for w in (F.col("f.begin"), F.col("f.stop") + 1))
     finds = _once(finds, first=first, last=last, paragraph=_part_of(F.col("paragraphs"), F.col("f.begin") - F.col("lead")))

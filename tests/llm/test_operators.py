@@ -173,6 +173,18 @@ def test_licenses_inside_longer_lines_and_comment_blocks(spark):
     ]
 
 
+def test_sibling_licenses_are_told_apart(spark):
+    known = licenses.TEMPLATES + licenses.SIBLINGS
+    bsd = next(t for n, t in known if n == "BSD-2-Clause")
+    two = bsd + " 1. Redistributions must retain this list of conditions and the following disclaimer. 2. And so on."
+    made = [t for n, t in known if not n.startswith("BSD")] + [bsd, two, two + " 3. Neither name may be used to endorse products."]
+    made += ["This work is licensed under the GNU General Public License, version 7.", "Licensed under the Apache License, Version 1.1."]
+    made += ["Licensed under CC BY 3.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 International License."]
+    want = [(i, n) for i, n in enumerate(n for n, _ in known if not n.startswith("BSD"))]
+    want += [(len(want), "BSD-2-Clause"), (len(want), "BSD-3-Clause"), (len(want) + 1, "BSD-2-Clause"), (len(want) + 2, "BSD-3-Clause")]
+    assert [f[:2] for f in licenses_of(spark, made)] == want
+
+
 def test_secrets(docs, rows):
     found = secrets.scan_secrets(docs).collect()
     strong = [k for k, *_ in secrets.STRONG]
