@@ -4,9 +4,13 @@ Categories are predicted one after another by linear models; each later model al
 logits of the earlier categories' probabilities. So that these inputs mean the same in training
 as in use, the later models are trained on out-of-fold predictions of the earlier ones.
 
-Features are word prefixes: the first 3, 4, 5, 6 and 8 bytes of each ASCII-lower-cased word (a
-shorter word as a whole), hashed, present or absent. For each category and fold the features
-that tell most (chi-square on documents outside the fold) are kept.
+Features of each ASCII-lower-cased word (a run of letters) are the word as a whole, its first 3,
+4, 5, 6 and 8 bytes if it is longer than these, and n-grams of code points over all of it, so
+that scripts without spaces are read to the last character: of 2, 3, 4 and 6 if it has a character
+from U+0800 on, of 4 and 6 if it is another word over 8 bytes. They are hashed, present or
+absent. All characters beyond ASCII count as letters but Latin-1, general, ideographic and
+full-width punctuation. For each category and fold the
+features that tell most (chi-square on documents outside the fold) are kept.
 
 Training reads a bounded sample: about ``sample_rows`` labelled documents, chosen by a hash of
 their id. Their feature counts are summed by Spark; only the chosen features of the sample and
@@ -28,9 +32,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.text import mix, package_path, pinned, renamed, slices
+from basketspark.llm.text import mix, package_path, pinned, range_hashes, renamed, slices
 
 PREFIXES = (3, 4, 5, 6, 8)
+#: Code points of the n-grams of dense words (with a character from U+0800 on), and of other words
+#: longer than the longest prefix.
+GRAMS = (2, 3, 4, 6)
+LONG_GRAMS = (4, 6)
 BUCKET_BITS = 18
 #: Categories in the order of the chain: name and when a row of labels has it.
 CATEGORIES = (("low_quality", "quality = 0"), ("toxic", "toxic = 1"))
@@ -60,28 +68,75 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
+_SPREAD = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+#: Ranges of punctuation beyond ASCII, and the first bytes of their characters.
+_MARKS = ((0x80, 0xA9), (0xAB, 0xB4), (0xB6, 0xB9), (0xBB, 0xBF), (0x2000, 0x200B), (0x2010, 0x206F), (0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF01, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+_FIRST = np.isin(np.arange(256), [0xC2, 0xE2, 0xE3, 0xEF])
+
+
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Which bytes belong to letters. The data ends with two zero bytes at least."""
+    letter = _LETTER[data]
+    at = np.flatnonzero(_FIRST[data])
+    one, two, three = (data[at + k].astype(np.int32) for k in range(3))
+    short = one == 0xC2
+    point = np.where(short, (one & 31) << 6 | two & 63, (one & 15) << 12 | (two & 63) << 6 | three & 63)
+    mark = np.zeros(len(at), bool)
+    for low, high in _MARKS:
+        mark |= (point >= low) & (point <= high)
+    letter[at[mark]] = letter[at[mark] + 1] = False
+    letter[at[mark & ~short] + 2] = False
+    return letter
+
+
+def _grams(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(code points, begins, ends, word numbers) of the n-grams that words have as features."""
+    high = np.concatenate([[0], np.cumsum(data >= 0xE0)])
+    dense = high[end] > high[begin]
+    some = np.flatnonzero(dense | (end - begin > PREFIXES[-1]))
+    edge = np.zeros(len(data), np.int8)
+    edge[begin[some]] = 1
+    edge[end[some]] = -1  # a word is followed by another byte at least, so no word begins there
+    start = np.flatnonzero((np.cumsum(edge, dtype=np.int8) > 0) & (data & 0xC0 != 0x80))
+    word = np.searchsorted(begin, start, "right") - 1
+    for n in sorted({*GRAMS, *LONG_GRAMS}):
+        first = np.flatnonzero(word[: len(word) - n + 1] == word[n - 1 :]) if len(word) >= n else np.zeros(0, np.int64)
+        first = first[np.where(dense[word[first]], n in GRAMS, n in LONG_GRAMS)]
+        after = np.minimum(first + n, max(0, len(word) - 1))
+        inside = (first + n < len(word)) & (word[after] == word[first])
+        yield n, start[first], np.where(inside, start[after], end[word[first]]), word[first]
+
+
 def prefix_features(texts: list[bytes], keep: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(text number, bucket) of the distinct features of each text; only those in ``keep``."""
     data = np.frombuffer(b"\n".join(texts) + b"\n" + bytes(8), np.uint8)
-    letter = _LETTER[data]
+    letter = _letters(data)
     begin = np.flatnonzero(letter & ~np.concatenate([[False], letter[:-1]]))
     end = np.flatnonzero(letter & ~np.concatenate([letter[1:], [False]])) + 1
     owner = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), begin, "right")
     size = end - begin
     low = _LOWER[data]
+    out: list[np.ndarray] = []
+
+    def add(keys: np.ndarray, where: np.ndarray) -> None:
+        bucket = (mix(keys) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
+        if keep is not None:
+            some = keep[bucket]
+            bucket, where = bucket[some], where[some]
+        out.append(np.unique(where << BUCKET_BITS | bucket))
+
     word = np.zeros(len(begin), np.uint64)
-    out, last = [], 0
+    last = 0
     for p in PREFIXES:
         for k in range(last, p):
             word |= np.where(size > k, low[np.minimum(begin + k, len(data) - 1)], 0).astype(np.uint64) << np.uint64(8 * k)
         last = p
-        able = size >= p if p > PREFIXES[0] else size > 0
-        bucket = (mix(word[able] * np.uint64(16) + np.uint64(p)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
-        where = owner[able]
-        if keep is not None:
-            some = keep[bucket]
-            bucket, where = bucket[some], where[some]
-        out.append(np.unique(where << BUCKET_BITS | bucket))
+        able = size > p
+        add(word[able] * np.uint64(16) + np.uint64(p), owner[able])
+    parts = [(0, begin, end, np.arange(len(begin))), *_grams(data, begin, end)]
+    hashes = range_hashes(_SPREAD[low], np.concatenate([x[1] for x in parts]), np.concatenate([x[2] for x in parts]))
+    for (n, first, _, of), keys in zip(parts, np.split(hashes, np.cumsum([len(x[1]) for x in parts])[:-1])):
+        add(keys + np.uint64(n), owner[of])
     both = np.unique(np.concatenate(out))
     return both >> BUCKET_BITS, both & ((1 << BUCKET_BITS) - 1)
 

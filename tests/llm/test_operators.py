@@ -321,6 +321,29 @@ def test_toxicity(spark):
     assert not next(r for r in got if r.doc_id == 600).is_toxic
 
 
+def test_toxic_term_deep_inside_a_run(spark):
+    rnd = random.Random(5)
+    signs = [chr(c) for c in range(0x4E00, 0x4E00 + 400)]
+    run = lambda n: "".join(rnd.choice(signs) for _ in range(n))
+    made = [(i, run(30) + ("垃圾" if i % 4 == 0 else run(2)) + run(rnd.randrange(9, 40))) for i in range(800)]
+    docs = spark.createDataFrame(made, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2, int(i % 4 == 0)) for i in range(600)], "doc_id long, quality int, toxic int")
+    got = toxicity.score_toxicity(docs, toxicity.fit_chain(docs, labels)).where("doc_id >= 600").collect()
+    assert sum(r.is_toxic == (r.doc_id % 4 == 0) for r in got) >= 0.97 * len(got)
+
+
+def test_words_are_read_to_their_end():
+    features = lambda t: set(toxicity.prefix_features([t.encode()])[1].tolist())
+    for a, b in (("abcdefg", "abcdefh"), ("abcdefghij", "abcdefghik"), ("привет", "привес"), ("abc", "abcd"), ("x", "y")):
+        assert features(a) != features(b)
+    inside = features("很长的句子里面有坏词在这里") - features("很长的句子里面有") - features("在这里")
+    assert features("坏词") & inside and features("坏词") == features("坏词。") == features("「坏词」")
+    assert features("ругательство") & features("многословноругательствотут") and features("somuchinsultinone") & features("verylonginsulthere")
+    texts = ["", "a", "é", "ends in 日本", "日本", "x" * 20, "«mot» — “word”…", "naïve Straße\n"]
+    number, bucket = toxicity.prefix_features([t.encode() for t in texts])
+    assert [set(bucket[number == i].tolist()) for i in range(len(texts))] == [features(t) for t in texts]
+
+
 def test_toxic_documents_go_and_columns_stay(spark):
     made, labels, docs, truth = labelled(spark)
     wide = docs.withColumns({c: F.lit(c) for c in CLASH})
