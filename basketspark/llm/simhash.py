@@ -3,12 +3,12 @@
 A fingerprint has bit b set if b is set in over half of the XXH64 values (seed 42) of the
 text's word shingles. Fingerprints link at ``max_distance`` or fewer differing bits.
 
-Search: the 64 bits are cut into segments; within each segment every value of the Hamming
-ball of radius ``ceil(max_distance / 2)`` is enumerated, the other segments staying as they
-are, and looked up in a table that holds the balls of radius ``floor(max_distance / 2)``
-likewise. Two fingerprints within the distance always meet in a key (half of the differing
-bits are turned on either side), and every match's whole distance is verified. A table keyed
-by one segment alone would list all pairs of a segment value that many fingerprints share;
+Search: of every fingerprint the whole 64-bit values of the Hamming ball of radius
+``ceil(max_distance / 2)`` are enumerated and looked up in a table that holds the balls of
+radius ``floor(max_distance / 2)`` likewise. Two fingerprints within the distance always meet in
+a key (half of the differing bits are turned on either side), and the distance of every match is
+verified (up to distance 2 at radius 1 none can fail). This stands in place of a table per
+16-bit segment, which would list all pairs of a segment value that many fingerprints share;
 here a key holds at most 65 fingerprints whatever the data, so no bucket needs a cap. At an
 even distance all fingerprints that meet in a key are within the distance of each other, so
 linking them to the smallest one keeps every connection without listing the pairs.
@@ -35,7 +35,6 @@ from basketspark.llm.components import connected_components
 from basketspark.llm.text import pinned, renamed, slices
 
 SEED = 42
-SEGMENT_BITS = 16
 _BITS_AT_ONCE = 1 << 16
 
 
@@ -71,11 +70,11 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, doc_id="doc_id", text=
 
 
 def _ball(fp: Column, radius: int) -> Column:
-    """All values within ``radius`` flips inside one segment each time, the word itself first."""
+    """All values within ``radius`` flips of any of the 64 bits, the word itself first."""
     word = [fp.cast("long")]
     if radius == 0:
         return F.array(*word)
-    flip = [fp.bitwiseXOR(F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long")) for s in range(0, 64, SEGMENT_BITS) for b in range(s, s + SEGMENT_BITS)]
+    flip = [fp.bitwiseXOR(F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long")) for b in range(64)]
     once = F.array(*word, *flip)
     return once if radius == 1 else F.array_distinct(F.flatten(F.transform(once, lambda x: _ball(x, radius - 1))))
 

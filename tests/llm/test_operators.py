@@ -152,6 +152,12 @@ def test_licenses(spark, docs):
     assert got == bag([(1, "MIT"), (2, "GPL-3.0"), (7, "Apache-2.0"), (7, "Apache-2.0"), (None, "proprietary")])
 
 
+def test_simhash_probes_whole_keys(spark):
+    assert not hasattr(simhash, "SEGMENT_BITS")
+    keys = spark.createDataFrame([(0,)], "fp long").select(F.explode(simhash._ball(F.col("fp"), 1)).alias("k"))
+    assert {r.k % (1 << 64) for r in keys.collect()} == {0, *(1 << b for b in range(64))}
+
+
 def licenses_of(spark, made):
     df = spark.createDataFrame(list(enumerate(made)), "doc_id int, text string")
     return sorted((r.doc_id, r.license, r.unit, round(r.dice, 3)) for r in licenses.scan_licenses(df).collect())
