@@ -272,6 +272,25 @@ def test_sentencepieces(docs, rows):
     assert full.decoded == dict(rows)[44] and list(full.ids) == library.encode(dict(rows)[44])
 
 
+def test_long_parts_merge_alike_by_rounds_and_by_queue(monkeypatch):
+    import numpy as np
+
+    from basketspark.llm import merges
+
+    rnd = random.Random(9)
+    pairs = {}
+    while len(pairs) < 300:  # symbols 0 to 5; merge i makes symbol 6 + i of any two made before
+        pairs.setdefault((rnd.randrange(6 + len(pairs) // 3), rnd.randrange(6 + len(pairs) // 3)), len(pairs))
+    table = merges.MergeTable(*np.array([(a, b, i, 6 + i) for (a, b), i in pairs.items()], np.int64).T)
+    counts = np.array([merges.LONG_WORD + d for d in (-1, 0, 1, 2)])
+    symbols = np.array([rnd.randrange(6) for _ in range(counts.sum())], np.int32)
+    by_size = merges.merge_words(symbols, counts, table)
+    for bound in (0, 1 << 30):  # all by the queue, all by rounds
+        monkeypatch.setattr(merges, "LONG_WORD", bound)
+        assert [x.tolist() for x in merges.merge_words(symbols, counts, table)] == [x.tolist() for x in by_size]
+    assert by_size[1].max() < counts.min()
+
+
 def test_merges_equal_the_libraries():
     import sentencepiece
     from tokenizers import Tokenizer
