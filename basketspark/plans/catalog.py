@@ -288,7 +288,7 @@ def q_order_brand_matrix(spark, sf_dir):
 
 
 def q_month_part_matrix(spark, sf_dir):
-    """Uncapped baskets: all lines of a supplier and ship month together, each part a group."""
+    """Baskets without the session filter: all lines of a supplier and ship month, each part a group."""
     month = F.year("l_shipdate") * 100 + F.month("l_shipdate")
     rows = read_testdata(spark, sf_dir, "lineitem").select(
         (F.col("l_suppkey") * 1000000 + month).cast("bigint").alias("basket_key"),
@@ -299,6 +299,22 @@ def q_month_part_matrix(spark, sf_dir):
     return affinity.pair_matrix(rows).matrix
 
 
+def day_part_baskets(spark, sf_dir) -> DataFrame:
+    """All lines of a ship day together, each part a group: a basket grows with the input."""
+    day = F.year("l_shipdate") * 10000 + F.month("l_shipdate") * 100 + F.dayofmonth("l_shipdate")
+    return read_testdata(spark, sf_dir, "lineitem").select(
+        day.cast("bigint").alias("basket_key"),
+        F.col("l_partkey").cast("string").alias("prod_id"),
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("coupon"),
+        F.col("l_partkey").cast("bigint").alias("coupon_key"),
+    )
+
+
+def q_day_part_matrix(spark, sf_dir):
+    """Uncapped baskets: the pair matrix on the parts of each ship day."""
+    return affinity.pair_matrix(day_part_baskets(spark, sf_dir)).matrix
+
+
 def q_clicks_stream(spark, sf_dir):
     """The click-cleaning step as a stream: the lines land in three parts, newest first, and
     each part is a micro-batch of its own (or several)."""
@@ -351,5 +367,6 @@ QUERIES: dict[str, Query] = {
     "permutation_threshold": q_permutation_threshold,
     "order_brand_matrix": q_order_brand_matrix,
     "month_part_matrix": q_month_part_matrix,
+    "day_part_matrix": q_day_part_matrix,
     "clicks_stream": q_clicks_stream,
 }

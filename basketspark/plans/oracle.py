@@ -224,6 +224,12 @@ mp_baskets AS (
          CAST(l_partkey AS VARCHAR) AS prod_id, 'P' || CAST(l_partkey AS VARCHAR) AS coupon, CAST(l_partkey AS BIGINT) AS coupon_key
   FROM lineitem)"""
 
+DAY_PART_CTES = """
+dp_baskets AS (
+  SELECT CAST(year(l_shipdate) * 10000 + month(l_shipdate) * 100 + day(l_shipdate) AS BIGINT) AS basket_key,
+         CAST(l_partkey AS VARCHAR) AS prod_id, 'P' || CAST(l_partkey AS VARCHAR) AS coupon, CAST(l_partkey AS BIGINT) AS coupon_key
+  FROM lineitem)"""
+
 ALL_CTES = ",".join(
     [
         FIXTURE_CTES,
@@ -316,6 +322,7 @@ WHERE stk_type_cd <> 'D' AND l_shipdate >= DATE '1995-01-03' AND l_shipdate < DA
         " UNION ALL ".join(f"SELECT {k} AS perm_id, {MATRIX_COLS} FROM perm{k or ''}_pair_matrix" for k in range(3))
     )
     q["month_part_matrix"] = _with("SELECT * FROM mp_pair_matrix")
+    q["day_part_matrix"] = f"WITH {DAY_PART_CTES},{matrix_ctes('dp_', 'dp_baskets')}\nSELECT * FROM dp_pair_matrix"
     q["coverage_check"] = _with(
         """SELECT 'hits' AS table_name, CAST(min(dt_key) AS BIGINT) AS min_key, CAST(max(dt_key) AS BIGINT) AS max_key,
        CAST(19950102 AS BIGINT) AS required_lo, CAST(20001231 AS BIGINT) AS required_hi,
