@@ -11,7 +11,8 @@ endpoint, an endpoint needs both an identifier and a secret.
 Positions come from regular expressions only: a lazy prefix and the pattern, taken repeatedly,
 give the gap and the length of each match, and running sums of those give its place.
 
-Defined cases: a null or empty text has no finds; each row is scanned by itself, so repeated
+Defined cases: a null or empty text has no finds; a text of any length is scanned whole, in time
+that grows with its length and its finds; each row is scanned by itself, so repeated
 rows and ids, null ids and ties change nothing; positions count code points, ends are
 exclusive; an empty table gives an empty result; other columns are kept by ``redact_secrets``
 and ignored by the digest.
@@ -44,27 +45,34 @@ SCOPE_CHARS = 200
 MARK = "[SECRET]"
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """For each match of the pattern in order: length of the gap before and of the match, and its value."""
+def _matches(text: Column, pattern: str, own_value: bool) -> Column:
+    """For each match of the pattern in order: the gap before it, the match and its value. The
+    arrays are worked out once a text, before anything looks at one match."""
     # The end of the text ends the last gap: without it every place after the last match would
     # be tried as the beginning of a gap that leads nowhere.
-    gaps, matches, values = [F.regexp_extract_all(text, F.lit(f"(?s)(.*?)(?:({pattern})|\\z)"), F.lit(g)) for g in (1, 2, 3)]
-    of = lambda x, i: F.struct(F.length(x).alias("gap"), F.length(F.get(matches, i)).alias("all"), F.get(values, i).alias("value"))
-    return F.transform(gaps, of)
+    group = lambda g: F.regexp_extract_all(text, F.lit(f"(?s)(.*?)(?:({pattern})|\\z)"), F.lit(g))
+    named = [group(1).alias("gap"), group(2).alias("all")] + ([group(3).alias("value")] if own_value else [])
+    return F.arrays_zip(*named)
 
 
 def find_parts(texts: DataFrame, kinds) -> DataFrame:
-    """(k1, k2, kind, start, stop) of all finds of the kinds. texts: k1, k2, text, distinct."""
+    """(k1, k2, kind, start, stop, first, last) of all finds of the kinds, in code points and
+    (first, last) in bytes. texts: k1, k2, text, distinct."""
     found = []
     for kind, _, pattern, least, holds in kinds:
-        some = texts.where(F.col("text").rlike(pattern)).select("k1", "k2", F.posexplode(_matches(F.col("text"), pattern)).alias("i", "m"))
+        own_value = not (pattern.startswith("(") and pattern.endswith(")"))  # else the value is the match
+        some = texts.where(F.col("text").rlike(pattern)).select("k1", "k2", F.posexplode(_matches(F.col("text"), pattern, own_value)).alias("i", "m"))
         before = Window.partitionBy("k1", "k2").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        stop = F.sum(F.col("m.gap") + F.col("m.all")).over(before)
-        placed = some.select("k1", "k2", F.lit(kind).alias("kind"), (stop - F.col("m.all")).cast("long").alias("start"), stop.cast("long").alias("stop"), F.col("m.value").alias("value"))
-        right = placed.where(F.length("value") >= least)
+        up_to = lambda size: F.sum(size("m.gap") + size("m.all")).over(before).cast("long")
+        sized = some.select("k1", "k2", F.lit(kind).alias("kind"), "m", up_to(F.length).alias("stop"), up_to(F.octet_length).alias("last"))
+        value = F.col("m.value" if own_value else "m.all")
+        right = sized.where(F.length(value) >= least)
         for need in holds:
-            right = right.where(F.col("value").rlike(need))
-        found.append(right.drop("value"))
+            right = right.where(value.rlike(need))
+        found.append(right.select(
+            "k1", "k2", "kind", (F.col("stop") - F.length("m.all")).alias("start"), "stop",
+            (F.col("last") - F.octet_length("m.all")).alias("first"), "last",
+        ))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -88,18 +96,18 @@ def link_parts(parts: DataFrame, scope_chars: int = SCOPE_CHARS) -> DataFrame:
     any_of = lambda c: F.max(c.cast("int")) == 1
     has = lambda r: any_of(apart & (F.col("other") == r))
     over = any_of(~apart & F.col("strong"))  # a weak find on a strong one adds nothing
-    seen = met.groupBy("k1", "k2", "kind", "role", "start", "stop").agg(has("identity").alias("i"), has("secret").alias("s"), has("endpoint").alias("e"), over.alias("over"))
+    seen = met.groupBy("k1", "k2", "kind", "role", "start", "stop", "first", "last").agg(has("identity").alias("i"), has("secret").alias("s"), has("endpoint").alias("e"), over.alias("over"))
     ok = (
         ((F.col("role") == "identity") & F.col("s"))
         | ((F.col("role") == "secret") & (F.col("i") | F.col("e")))
         | ((F.col("role") == "endpoint") & F.col("i") & F.col("s"))
     )
-    return seen.where(ok & ~F.col("over")).select("k1", "k2", "kind", "start", "stop")
+    return seen.where(ok & ~F.col("over")).select("k1", "k2", "kind", "start", "stop", "first", "last")
 
 
 def find_secrets(docs: DataFrame, text="text", scope_chars: int = SCOPE_CHARS) -> DataFrame:
-    """(k1, k2, spans): for each distinct text with finds its spans (start, rank, kind, stop),
-    sorted. k1 and k2 identify the text. Written once."""
+    """(k1, k2, spans): for each distinct text with finds its spans (start, rank, kind, stop and
+    the first and last byte), sorted. k1 and k2 identify the text. Written once."""
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     strong = "|".join(f"(?:{p})" for _, _, p, *_ in STRONG)
     weak = "|".join(f"(?:{p})" for _, _, p, *_ in WEAK)
@@ -110,7 +118,7 @@ def find_secrets(docs: DataFrame, text="text", scope_chars: int = SCOPE_CHARS) -
     parts = pinned(find_parts(able, STRONG + WEAK), "secret-parts")
     strong_parts = parts.where(F.col("kind").isin([k for k, *_ in STRONG]))
     rank = F.create_map(*[F.lit(x) for pair in ORDER.items() for x in pair])
-    spans = strong_parts.unionByName(link_parts(parts, scope_chars)).select("k1", "k2", F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "stop").alias("span"))
+    spans = strong_parts.unionByName(link_parts(parts, scope_chars)).select("k1", "k2", F.struct("start", rank[F.col("kind")].alias("rank"), "kind", "stop", "first", "last").alias("span"))
     return pinned(spans.groupBy("k1", "k2").agg(F.sort_array(F.collect_set("span")).alias("spans")), "secret-spans")
 
 
@@ -131,24 +139,38 @@ def of_kinds(spans: Column, kinds: list[str]) -> Column:
     return F.filter(spans, lambda s: s["kind"].isin(kinds))
 
 
+def _covered(spans: DataFrame) -> DataFrame:
+    """(k1, k2, spans): the bytes (first, last) that the spans of a text cover, overlapping
+    ones as one, in order."""
+    each = spans.select("k1", "k2", F.explode("spans").alias("s")).select("k1", "k2", "s.first", "s.last")
+    order = Window.partitionBy("k1", "k2").orderBy("first", "last")
+    reached = F.max("last").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    part = F.sum((F.coalesce(reached, F.lit(-1)) <= F.col("first")).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = each.withColumn("part", part).groupBy("k1", "k2", "part").agg(F.min("first").alias("first"), F.max("last").alias("last"))
+    return pinned(runs.groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("spans")), "covered-bytes")
+
+
 def redact_secrets(docs: DataFrame, text="text", mark: str = MARK, scope_chars: int = SCOPE_CHARS) -> DataFrame:
     """The documents with every span replaced by ``mark``; overlapping spans become one."""
-    joined = with_spans(docs, find_secrets(docs, text, scope_chars), text)
+    joined = with_spans(docs, _covered(find_secrets(docs, text, scope_chars)), text)
     t, spans = F.col("__row")[text], F.col("__spans")
-    empty = F.struct(F.lit("").alias("done"), F.lit(0).cast("long").alias("at"))
+    # Bound to a name, the bytes and the spans are fetched once a text; a piece of the bytes is cut
+    # in the time of its own length.
+    piece = lambda raw, a, b: F.substring(raw, (a + 1).cast("int"), (b - a).cast("int")).cast("string")
 
-    def cut(acc: Column, s: Column) -> Column:
-        gap = F.substring(t, acc["at"].cast("int") + 1, (s["start"] - acc["at"]).cast("int"))
-        new = F.when(s["start"] >= acc["at"], F.concat(gap, F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.concat(acc["done"], new).alias("done"), F.greatest(acc["at"], s["stop"]).alias("at"))
+    def pieces(x: Column) -> Column:
+        raw, held, size = x["raw"], x["spans"], F.size(x["spans"])
+        end = lambda i: F.coalesce(F.get(held, i - 1)["last"], F.lit(0))
+        return F.transform(F.sequence(F.lit(0), size), lambda i: piece(raw, end(i), F.coalesce(F.get(held, i)["first"], x["size"])))
 
-    ended = lambda acc: F.concat(acc["done"], F.substring(t, acc["at"].cast("int") + 1, F.length(t)))
-    new = F.when(F.size(spans) == 0, t).otherwise(F.aggregate(spans, empty, cut, ended))
+    bound = F.array(F.struct(t.cast("binary").alias("raw"), spans.alias("spans"), F.octet_length(t).cast("long").alias("size")))
+    new = F.when(F.size(spans) == 0, t).otherwise(F.array_join(F.transform(bound, pieces)[0], mark))
     return joined.select(*[new.alias(c) if c == text else F.col("__row")[c].alias(c) for c in docs.columns])
 
 
 def scan_secrets(docs: DataFrame, doc_id="doc_id", text="text", scope_chars: int = SCOPE_CHARS) -> DataFrame:
-    """One row per document row: doc_id, spans (array of start, rank, kind, stop in order)."""
+    """One row per document row: doc_id, spans (array of start, rank, kind, stop, and first and
+    last byte, in order)."""
     narrow = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     found = with_spans(narrow, find_secrets(narrow, "text", scope_chars), "text")
     return found.select(F.col("__row.doc_id").alias("doc_id"), F.col("__spans").alias("spans"))
