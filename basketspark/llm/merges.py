@@ -1,25 +1,24 @@
 """Vectorised byte-pair merges: many words at once on flat numpy symbol arrays.
 
 Each round takes the smallest pair rank of every word (a segmented minimum), merges its
-leftmost occurrence in all words simultaneously, compacts the arrays, and drops the words in
-which no pair is left. One merge per word and round is exactly the sequential order, whatever
-the ranks, so the result equals that of a merge queue.
+occurrences from the left in all words simultaneously, compacts the arrays, and drops the words
+in which no pair is left. All occurrences of a word are merged in one round where no pair that a
+merge makes, before or after its right neighbour is merged, ranks as low as the merged ones: then
+a merge queue would take them one after another, too. Else the word's leftmost one is merged
+alone. The result equals that of a merge queue, whatever the ranks.
 """
 
 from __future__ import annotations
 
-import heapq
-
 import numpy as np
 
-from basketspark.llm.text import mix, range_hashes
+from basketspark.llm.text import range_keys
 
 NONE = np.int32(2**31 - 1)
 _SHIFT = np.uint64(21)  # symbols are below 2**21
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
-#: Symbols worked on at once; words longer than the second bound go through a merge queue.
+#: Symbols worked on at once (one word at least).
 SYMBOLS_AT_ONCE = 60_000
-LONG_WORD = 4096
 
 
 class MergeTable:
@@ -66,35 +65,32 @@ class MergeTable:
         return out
 
 
-def _queue(symbols: list[int], table: MergeTable) -> list[int]:
-    """One long word by a queue of pairs: smallest rank first, leftmost if equal."""
-    n = len(symbols)
-    before, after, alive = list(range(-1, n - 1)), [*range(1, n), -1], [True] * n
-    a = np.array(symbols, np.int64)
-    found = table.find(a[:-1], a[1:])
-    heap = [(int(table.rank[f]), i, int(a[i]), int(a[i + 1])) for i, f in enumerate(found.tolist()) if table.rank[f] != NONE]
-    heapq.heapify(heap)
-    sym = list(symbols)
-
-    def offer(i: int) -> None:
-        if i >= 0 and after[i] >= 0:
-            f = table.find(np.array([sym[i]]), np.array([sym[after[i]]]))[0]
-            if table.rank[f] != NONE:
-                heapq.heappush(heap, (int(table.rank[f]), i, sym[i], sym[after[i]]))
-
-    while heap:
-        _, i, left, right = heapq.heappop(heap)
-        j = after[i]
-        if not alive[i] or j < 0 or sym[i] != left or sym[j] != right:
-            continue
-        sym[i] = int(table.merged[table.find(np.array([left]), np.array([right]))[0]])
-        alive[j] = False
-        after[i] = after[j]
-        if after[j] >= 0:
-            before[after[j]] = i
-        offer(before[i])
-        offer(i)
-    return [s for s, x in zip(sym, alive) if x]
+def _merging(sym: np.ndarray, word: np.ndarray, rank: np.ndarray, least: np.ndarray, table: MergeTable) -> tuple[np.ndarray, np.ndarray]:
+    """(where a pair is merged in this round, the symbols it becomes)."""
+    hit = rank == least
+    at = np.flatnonzero(hit)
+    # Of pairs that overlap every other one, from the left.
+    run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(at) > 1]), np.arange(len(at)), 0))
+    at = at[(np.arange(len(at)) - run) % 2 == 0]
+    merged = table.merged[table.find(sym[at], sym[at + 1])]
+    first = np.concatenate([[True], word[at[1:]] != word[at[:-1]]])
+    if first.all():
+        return at, merged
+    # Symbols next to each merge: on the left as it is once merged, on the right as it was.
+    after = sym.copy()
+    after[at] = merged
+    left = at - 1
+    left = np.where(first | (np.concatenate([[-2], at[:-1]]) + 1 < left), left, left - 1)  # the pair before is one symbol
+    right = at + 2
+    lowest = np.full(len(at), NONE, np.int32)
+    for own, new in ((left, True), (right, False)):
+        inside = np.flatnonzero((own >= 0) & (own < len(sym)) & (word[np.clip(own, 0, len(sym) - 1)] == word[at]))
+        pair = (after[own[inside]], merged[inside]) if new else (merged[inside], sym[own[inside]])
+        lowest[inside] = np.minimum(lowest[inside], table.rank[table.find(*pair)])
+    begin = np.flatnonzero(first)
+    safe = np.minimum.reduceat(np.where(lowest > least[at], 1, 0), begin) == 1
+    taken = first | np.repeat(safe, np.diff(np.append(begin, len(at))))
+    return at[taken], merged[taken]
 
 
 def _rounds(symbols: np.ndarray, counts: np.ndarray, table: MergeTable) -> tuple[np.ndarray, np.ndarray]:
@@ -116,13 +112,12 @@ def _rounds(symbols: np.ndarray, counts: np.ndarray, table: MergeTable) -> tuple
             sym, word, rank, least, size = sym[~out], word[~out], rank[~out], least[~done], size[~done]
             if not len(sym):
                 break
-        at = np.flatnonzero(rank == np.repeat(least, size))
-        at = at[np.concatenate([[True], word[at[1:]] != word[at[:-1]]])]  # leftmost of each word
-        sym[at] = table.merged[table.find(sym[at], sym[at + 1])]
+        at, merged = _merging(sym, word, rank, np.repeat(least, size), table)
+        sym[at] = merged
         stay = np.ones(len(sym), bool)
         stay[at + 1] = False
         sym, word, rank = sym[stay], word[stay], rank[stay]
-        at -= np.arange(len(at))  # one symbol went for each merge further left
+        at = at - np.arange(len(at))  # one symbol went for each merge further left
         again = np.concatenate([at, at[at > 0] - 1])
         end = (again + 1 >= len(sym)) | (word[np.minimum(again + 1, len(sym) - 1)] != word[again])
         rank[again[end]] = NONE
@@ -145,16 +140,10 @@ def merge_words(symbols: np.ndarray, counts: np.ndarray, table: MergeTable) -> t
     parts: list[tuple[np.ndarray, np.ndarray]] = []
     at = 0
     while at < len(order):
-        if counts[order[at]] > LONG_WORD:
-            which = order[at : at + 1]
-            left = np.array(_queue(symbols[first[which[0]] : first[which[0] + 1]].tolist(), table), np.int32)
-            n = np.array([len(left)])
-        else:
-            total = np.cumsum(counts[order[at : at + SYMBOLS_AT_ONCE]])
-            take = max(1, int(np.searchsorted(total, SYMBOLS_AT_ONCE)))
-            which = order[at : at + take]
-            which = which[counts[which] <= LONG_WORD]
-            left, n = _rounds(gather(symbols, first, which), counts[which], table)
+        total = np.cumsum(counts[order[at : at + SYMBOLS_AT_ONCE]])
+        take = max(1, int(np.searchsorted(total, SYMBOLS_AT_ONCE)))
+        which = order[at : at + take]
+        left, n = _rounds(gather(symbols, first, which), counts[which], table)
         left_counts[which] = n
         parts.append((which, left))
         at += len(which)
@@ -184,13 +173,26 @@ def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 
 def encode_parts(points: np.ndarray, begin: np.ndarray, end: np.ndarray, encode) -> tuple[np.ndarray, np.ndarray]:
-    """(ids of all parts points[begin:end], one after another; ids per part). Each distinct
-    part, by a 64-bit hash and its length, is encoded once by ``encode(points, counts)``."""
+    """(ids of all parts points[begin:end], one after another; ids per part). Each distinct part
+    is encoded once by ``encode(points, counts)``; parts are told by a hash, and every one is
+    compared with the part that stands for it."""
     if not len(begin):
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
     counts = end - begin
-    keys = range_hashes(mix(points.astype(np.uint64) + np.uint64(1)), begin, end) ^ mix(counts.astype(np.uint64))
+    points = np.ascontiguousarray(points, np.uint32)
+    (keys,) = range_keys(points.view(np.uint8), 4 * begin, 4 * end)
     _, index, which = np.unique(keys, return_index=True, return_inverse=True)
+    stands = index[which]
+    other = counts != counts[stands]
+    alike = np.flatnonzero(~other)
+    own, as_own = (points[spread(b[alike], counts[alike])] for b in (begin, begin[stands]))
+    differs = np.flatnonzero(own != as_own)
+    if len(differs):  # of another part with the same hash
+        other[alike[np.searchsorted(np.cumsum(counts[alike]), differs, "right")]] = True
+    if other.any():
+        alone = np.flatnonzero(other)
+        index, which = np.concatenate([index, alone]), which.copy()
+        which[alone] = len(index) - len(alone) + np.arange(len(alone))
     ids, n = encode(points[spread(begin[index], counts[index])], counts[index])
     return gather(ids, np.concatenate([[0], np.cumsum(n)]), which), n[which]
 

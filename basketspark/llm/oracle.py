@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, written independently of the Spark code.
 
-Without an oracle are those on XXH64 fingerprints, trained models and tokenizer files (2, 7, 8
-and 9); ``tests/llm`` compares them with plain versions instead.
+Without an oracle are those on XXH64 fingerprints, trained models, tokenizer files, least-cost
+edits and rolling hashes (2, 7, 8, 9, 11 and 13); ``tests/llm`` compares them with plain versions instead.
 """
 
 from __future__ import annotations
@@ -139,6 +139,30 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
 FROM m GROUP BY doc_id
 """
 
+_PHRASES = """
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+g AS (
+  SELECT lang, 1 AS k, unnest(ws) AS phrase FROM w
+  UNION ALL SELECT lang, 2, unnest(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) FROM w
+  UNION ALL SELECT lang, 3, unnest(list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2])) FROM w),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, k)) AS cut FROM c),
+s AS (
+  SELECT c.*, x.f AS l, y.f AS r, (1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1 : c.cut], ' ')
+    JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1 : c.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inner_pairs AS (SELECT lang, a AS longer, unnest([ws[1] || ' ' || ws[2], ws[2] || ' ' || ws[3]]) AS phrase FROM c WHERE k = 3),
+gone AS (SELECT DISTINCT b.lang, b.phrase FROM b JOIN inner_pairs i ON b.lang = i.lang AND b.phrase = i.phrase WHERE 100 * i.longer >= 50 * b.a),
+kept AS (SELECT b.* FROM b ANTI JOIN gone USING (lang, phrase)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
+
 ORACLES: dict[str, str] = {
     "op1_quality_rules": _QUALITY,
     "op3_embedding_dups": _EMBEDDINGS,
@@ -146,4 +170,5 @@ ORACLES: dict[str, str] = {
     "op5_secret_scan": _SECRETS,
     "op6_substring_dedup": _SUBSTRINGS,
     "op10_line_dedup": _LINES,
+    "op12_collocations": _PHRASES,
 }

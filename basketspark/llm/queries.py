@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from basketspark.llm import embedding_dups, licenses, line_dedup, packing, quality_rules, secrets, sentencepieces, simhash, substring, toxicity
+from basketspark.llm import collocations, conversations, embedding_dups, licenses, line_dedup, packing, piecewise, quality_rules, secrets, sentencepieces, simhash, substring, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -72,10 +72,29 @@ def op10_line_dedup(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    rows = _table(spark, sf_dir, "conversations")
+    found = conversations.repair_conversations(conversations.damage(rows)).withColumnRenamed("conv_id", "c")
+    every = rows.select("conv_id").distinct()  # a conversation may have lost all of its rows
+    out = every.join(found, F.col("conv_id").eqNullSafe(F.col("c")), "left")
+    counts = [F.coalesce(n, F.lit(0)).cast("long").alias(n) for n in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    sha = F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256")
+    return out.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), sha)
+
+
+def op12_collocations(spark, sf_dir):
+    return collocations.mine_phrases(_table(spark, sf_dir, "documents"), max_words=3, min_count=10, covered_percent=50, top=2000)
+
+
+def op13_fingerprints(spark, sf_dir):
+    return piecewise.edited_neighbours(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_simhash, op3_embedding_dups, op4_license_scan, op5_secret_scan,
         op6_substring_dedup, op7_packing, op8_toxicity, op9_sentencepiece, op10_line_dedup,
+        op11_conversation_repair, op12_collocations, op13_fingerprints,
     )
 }

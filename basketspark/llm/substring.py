@@ -1,22 +1,24 @@
 """Substring deduplication by level-wise doubling (operator 6).
 
-Windows of half the asked length are looked at first; only where they repeat are they
-extended to twice their length (the asked length at last), until no candidates survive.
+Short windows of words are looked at first; a long window goes on only if one that it holds occurs
+elsewhere, and is then looked at by windows of twice the length, and so on, the asked length at
+last (``levels``), until no candidates survive.
 
-Level 1 needs one short window per long one: its smallest by hash (leftmost if equal), which
-equal long windows share, so about two short windows in ``window / 2`` words are compared.
-Level 2 hashes the long windows whose short window repeats. Longer levels would not change
-which words are covered, so the doubling ends at the asked length.
+A long window is looked at by its smallest window of a level's length (by hash, leftmost if
+equal), which equal long windows share, so on the first level about two short windows in every
+half of a long one are compared, and later levels hash only what is left. Windows longer than the
+asked length would not change which words are covered, so the doubling ends there.
 
-At either level the windows' hashes are compared without a row per window: documents are
+On every level the windows' hashes are compared without a row per window: documents are
 gathered in chunks, each chunk sends its distinct hashes as sorted runs to ranges of the hash
 space, and gets back one bit per hash. A passage that a third of all documents share is one
-entry per chunk. Texts are shuffled once, to meet the level-1 results. Equality is that of
-64-bit hashes of mixed 64-bit word hashes.
+entry per chunk. Texts are shuffled once, to meet the results of the first level. Windows are
+told by 128 bits: two independent hashes of words, joined pairwise while the length doubles.
 
-Defined cases: a null text has no words; a text shorter than the window loses nothing; repeated
-rows and copies repeat each other's windows wholly; null and repeated ids are allowed, the
-text identifies the work; an empty table gives an empty result; other columns are ignored.
+Defined cases: a null text has no words; a text shorter than the window loses nothing; texts of
+any length are worked on whole; repeated rows and copies repeat each other's windows wholly; null
+and repeated ids are allowed, the text identifies the work; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,16 +33,22 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from basketspark.llm.text import CHUNK_BYTES, package_path, pinned, range_hashes, slices, text_keys, word_hashes
+from basketspark.llm.text import CHUNK_BYTES, joined_keys, package_path, pinned, slices, text_keys, word_keys
 
 #: Hashes that one range of the hash space holds on average, and ranges at least.
 RANGE_HASHES = 500_000
 MIN_RANGES = 64
+#: The first level's windows have between so many words and half as many more than that.
+FIRST_WORDS = 8
 
 
 def levels(window: int) -> list[int]:
-    """The window lengths looked at: half of the asked length (rounded up), then all of it."""
-    return [(window + 1) // 2, window]
+    """The window lengths looked at, shortest first: each is half of the next (rounded up), the
+    last is the asked length."""
+    out = [window]
+    while out[0] >= 2 * FIRST_WORDS:
+        out.insert(0, (out[0] + 1) // 2)
+    return out
 
 
 def _starts(first: np.ndarray, length: int) -> np.ndarray:
@@ -49,22 +57,48 @@ def _starts(first: np.ndarray, length: int) -> np.ndarray:
     return np.repeat(begin - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
 
 
-def short_windows(words: np.ndarray, first: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(starts of the long windows, start of each one's smallest short window, hash of the
-    short window at each word, zero where none begins)."""
-    short = levels(window)[0]
-    grams = np.zeros(len(words) + 1, np.uint64)
-    at = _starts(first, short)
-    grams[at] = range_hashes(words, at, at + short)
-    starts = _starts(first, window)
-    # Smallest of the `width` short windows in each long one, by doubling the span compared.
-    width, span = window - short + 1, 1
-    best = np.arange(len(grams))
-    better = lambda a, b: np.where(grams[b] < grams[a], b, a)
+def window_keys(words: list[np.ndarray], length: int) -> np.ndarray:
+    """Two hashes of the ``length`` words from each word on (n + 1 rows; those at which no such
+    window begins mean nothing)."""
+    n = len(words[0])
+    out = np.zeros((n + 1, 2), np.uint64)
+    for lane, w in enumerate(words):
+        h, size = w, 1
+        while 2 * size <= length:
+            h, size = joined_keys(h[: max(0, len(h) - size)], h[size:], lane), 2 * size
+        if size < length:  # two windows that overlap and cover all words
+            rest = length - size
+            h = joined_keys(h[: max(0, len(h) - rest)], h[rest:], lane)
+        out[: len(h), lane] = h
+    return out
+
+
+def smallest_windows(keys: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
+    """For each start the place of the smallest of ``width`` windows from there on, by their
+    first hash, leftmost if equal."""
+    first = keys[:, 0]
+    # By doubling the span compared.
+    span, best, at = 1, np.arange(len(first)), np.arange(len(first))
+    better = lambda a, b: np.where(first[b] < first[a], b, a)
     while 2 * span <= width:
-        best = better(best, best[np.minimum(np.arange(len(grams)) + span, len(grams) - 1)])
+        best = better(best, best[np.minimum(at + span, len(first) - 1)])
         span *= 2
-    return starts, better(best[starts], best[starts + width - span]), grams
+    return better(best[starts], best[starts + width - span])
+
+
+def distinct_keys(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct rows in order, the row's number for each row, how often each occurs)."""
+    order = np.lexsort((keys[:, 1], keys[:, 0]))
+    ranked = keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (ranked[1:] != ranked[:-1]).any(axis=1)
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return ranked[new], number, np.diff(np.append(np.flatnonzero(new), len(keys)))
+
+
+def _keys_of(raw: bytes) -> np.ndarray:
+    return np.frombuffer(raw, np.uint64).reshape(-1, 2)
 
 
 def _runs(ranges: int):
@@ -74,8 +108,8 @@ def _runs(ranges: int):
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             for chunk, raw in zip(pdf["chunk"], pdf["hashes"]):
-                h, n = np.unique(np.frombuffer(raw, np.uint64), return_counts=True)
-                cuts = np.searchsorted(((h >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
+                h, _, n = distinct_keys(_keys_of(raw))
+                cuts = np.searchsorted(((h[:, 0] >> np.uint64(32)) * np.uint64(ranges)) >> np.uint64(32), np.arange(ranges + 1))
                 some = np.flatnonzero(np.diff(cuts))
                 yield pd.DataFrame({
                     "bucket": some.astype(np.int32), "chunk": chunk,
@@ -87,17 +121,17 @@ def _runs(ranges: int):
 
 
 def _marks(pdf: pd.DataFrame) -> pd.DataFrame:
-    runs = [np.frombuffer(r, np.uint64) for r in pdf["run"]]
+    runs = [_keys_of(r) for r in pdf["run"]]
     twice = [np.unpackbits(np.frombuffer(t, np.uint8), count=len(r)) for t, r in zip(pdf["twice"], runs)]
-    _, where = np.unique(np.concatenate(runs), return_inverse=True)
+    _, where, _ = distinct_keys(np.concatenate(runs))
     count = np.bincount(where, 1.0 + np.concatenate(twice))
     marks = np.split(count[where] > 1, np.cumsum([len(r) for r in runs])[:-1])
     return pd.DataFrame({"chunk": pdf["chunk"], "bucket": pdf["bucket"], "n": [len(r) for r in runs], "marks": [np.packbits(m).tobytes() for m in marks]})
 
 
 def repeated_hashes(chunks: DataFrame, total: int) -> DataFrame:
-    """(chunk, marks): for each chunk (chunk, hashes: binary uint64) which of its distinct
-    hashes, sorted, occur twice or more over all chunks. total: hashes in all, about."""
+    """(chunk, marks): for each chunk (chunk, hashes: binary, two uint64 each) which of its
+    distinct hashes, sorted, occur twice or more over all chunks. total: hashes in all, about."""
     ranges = max(MIN_RANGES, -(-total // RANGE_HASHES))
     runs = chunks.mapInPandas(_runs(ranges), "bucket int, chunk long, run binary, twice binary")
     marks = runs.groupBy("bucket").applyInPandas(_marks, "chunk long, bucket int, n int, marks binary")
@@ -108,7 +142,7 @@ def _is_repeated(hashes: np.ndarray, marks: list[dict]) -> np.ndarray:
     if not len(hashes):
         return np.zeros(0, bool)
     bits = np.concatenate([np.unpackbits(np.frombuffer(m["marks"], np.uint8), count=m["n"]) for m in marks]).astype(bool)
-    return bits[np.unique(hashes, return_inverse=True)[1]]
+    return bits[distinct_keys(hashes)[1]]
 
 
 def _chunk_ids() -> Iterator[int]:
@@ -136,16 +170,17 @@ def _level_one(src: DataFrame, window: int) -> DataFrame:
         ids = _chunk_ids()
         for batch in batches:
             for begin, end, texts in slices(batch, "text"):
-                words, first = word_hashes(texts)
-                _, least, grams = short_windows(words, first, window)
-                at = np.unique(least)
+                words, first = word_keys(texts)
+                length = levels(window)[0]
+                keys = window_keys(words, length)
+                at = np.unique(smallest_windows(keys, _starts(first, window), window - length + 1))
                 part = batch.slice(begin, end - begin)
                 sha = [hashlib.sha256(b" ".join(t.split())).hexdigest() for t in texts]
                 docs = pa.StructArray.from_arrays(
                     [part.column("doc_id"), part.column("k1"), part.column("k2"), pa.array(np.diff(first), pa.int64()), pa.array(sha)],
                     names=["doc_id", "k1", "k2", "n_words", "sha"],
                 )
-                columns = [pa.array([next(ids)], pa.int64()), pa.ListArray.from_arrays([0, len(docs)], docs), pa.array([grams[at].tobytes()]), pa.array([at.astype(np.int32).tobytes()])]
+                columns = [pa.array([next(ids)], pa.int64()), pa.ListArray.from_arrays([0, len(docs)], docs), pa.array([keys[at].tobytes()]), pa.array([at.astype(np.int32).tobytes()])]
                 yield pa.RecordBatch.from_arrays(columns, names=["chunk", "docs", "hashes", "places"])
 
     schema = f"chunk long, docs array<{_DOC.format(kind)}>, hashes binary, places binary"
@@ -159,7 +194,7 @@ def _survivors(chunks: DataFrame, kind: str) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for docs, hashes, places, marks in _each(batch, "docs", "hashes", "places", "marks"):
-                at = np.frombuffer(places, np.int32)[_is_repeated(np.frombuffer(hashes, np.uint64), marks)]
+                at = np.frombuffer(places, np.int32)[_is_repeated(_keys_of(hashes), marks)]
                 first = np.concatenate([[0], np.cumsum([d["n_words"] for d in docs])])
                 cuts = np.searchsorted(at, first)
                 out += [(d["k1"], d["k2"], d["doc_id"], (at[a:b] - f).astype(np.int32).tobytes()) for d, a, b, f in zip(docs, cuts, cuts[1:], first) if a < b]
@@ -169,7 +204,7 @@ def _survivors(chunks: DataFrame, kind: str) -> DataFrame:
     return chunks.mapInArrow(rows, f"k1 long, k2 long, doc_id {kind}, places binary")
 
 
-def _level_two(texts: DataFrame) -> DataFrame:
+def _candidate_texts(texts: DataFrame) -> DataFrame:
     """Chunks of candidate texts (chunk, k1, k2, texts, places: arrays). Written once."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,45 +215,69 @@ def _level_two(texts: DataFrame) -> DataFrame:
                 lists = [pa.array([part.column(c).to_pylist()], pa.list_(t)) for c, t in (("k1", pa.int64()), ("k2", pa.int64()), ("places", pa.binary()))]
                 yield pa.RecordBatch.from_arrays([pa.array([next(ids)], pa.int64()), *lists, pa.array([found], pa.list_(pa.binary()))], names=["chunk", "k1", "k2", "places", "texts"])
 
-    return pinned(texts.mapInArrow(rows, "chunk long, k1 array<long>, k2 array<long>, places array<binary>, texts array<binary>"), "long-windows")
+    return pinned(texts.mapInArrow(rows, "chunk long, k1 array<long>, k2 array<long>, places array<binary>, texts array<binary>"), "candidate-texts")
 
 
-def _candidates(texts: list[bytes], places: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hashes and starts of the long windows whose short window repeats, first word of each text)."""
-    words, first = word_hashes(texts)
-    starts, least, _ = short_windows(words, first, window)
-    able = np.zeros(len(words) + 1, bool)
+def _first_starts(words: list[np.ndarray], first: np.ndarray, places: list[bytes], window: int) -> np.ndarray:
+    """Beginnings of the long windows whose smallest first-level window repeats."""
+    length = levels(window)[0]
+    starts = _starts(first, window)
+    able = np.zeros(len(words[0]) + 1, bool)
     for p, f in zip(places, first):
         able[np.frombuffer(p, np.int32) + f] = True
-    starts = starts[able[least]]
-    return range_hashes(words, starts, starts + window), starts, first
+    return starts[able[smallest_windows(window_keys(words, length), starts, window - length + 1)]]
+
 
+def _seen_at(texts: list[bytes], places: list[bytes], starts: bytes | None, length: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes of the distinct windows of ``length`` words by which the long windows are seen,
+    beginnings of the long windows, which of the hashes each one has)."""
+    words, first = word_keys(texts)
+    begin = _first_starts(words, first, places, window) if starts is None else np.frombuffer(starts, np.int32).astype(np.int64)
+    keys = window_keys(words, length)
+    at, which = np.unique(smallest_windows(keys, begin, window - length + 1), return_inverse=True)
+    return keys[at], begin, which
 
-def _long_hashes(window: int):
+
+def _level_hashes(length: int, window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk, texts, places in _each(batch, "chunk", "texts", "places"):
-                hashes = _candidates(texts, places, window)[0]
+            for chunk, texts, places, starts in _each(batch, "chunk", "texts", "places", "starts"):
+                hashes = _seen_at(texts, places, starts, length, window)[0]
                 yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([hashes.tobytes()])], names=["chunk", "hashes"])
 
     return rows
 
 
+def _level_survivors(length: int, window: int):
+    """(chunk, starts): the long windows that are left, per chunk that has any."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, texts, places, starts, marks in _each(batch, "chunk", "texts", "places", "starts", "marks"):
+                hashes, begin, which = _seen_at(texts, places, starts, length, window)
+                left = begin[_is_repeated(hashes, marks)[which]]
+                if len(left):
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([left.astype(np.int32).tobytes()])], names=["chunk", "starts"])
+
+    return rows
+
+
 def _cut(window: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[tuple] = []
-            for texts, places, marks, k1, k2 in _each(batch, "texts", "places", "marks", "k1", "k2"):
-                hashes, starts, first = _candidates(texts, places, window)
-                starts = starts[_is_repeated(hashes, marks)]
+            for texts, raw, k1, k2 in _each(batch, "texts", "starts", "k1", "k2"):
+                starts = np.frombuffer(raw, np.int32)
+                split = [t.split() for t in texts]
+                first = np.concatenate([[0], np.cumsum([len(w) for w in split])]).astype(np.int64)
                 edge = np.zeros(first[-1] + window + 1, np.int64)
                 edge[starts] += 1
                 edge[starts + window] -= 1
                 gone = np.cumsum(edge)[: first[-1]] > 0
-                for i, t in enumerate(texts):
+                for i, words in enumerate(split):
                     lost = gone[first[i] : first[i + 1]]
                     if lost.any():
-                        kept = b" ".join(w for w, x in zip(t.split(), lost.tolist()) if not x)
+                        kept = b" ".join(w for w, x in zip(words, lost.tolist()) if not x)
                         out.append((k1[i], k2[i], int(lost.sum()), hashlib.sha256(kept).hexdigest(), kept))
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(kinds)], names=["k1", "k2", "n_removed", "kept_sha256", "kept"])
@@ -226,6 +285,19 @@ def _cut(window: int):
     return rows
 
 
+def _surviving_windows(two: DataFrame, window: int, n_words: int) -> DataFrame | None:
+    """(chunk, starts) after the levels that follow the first, or None if no candidates survive."""
+    alive = None
+    for n, length in enumerate(levels(window)[1:] or [window]):
+        held = two.withColumn("starts", F.lit(None).cast("binary")) if alive is None else two.join(alive, "chunk")
+        hashes = held.mapInArrow(_level_hashes(length, window), "chunk long, hashes binary")
+        marks = repeated_hashes(hashes, n_words // (4 if length == window else window // 2))
+        alive = pinned(held.join(marks, "chunk").mapInArrow(_level_survivors(length, window), "chunk long, starts binary"), f"windows-{n}")
+        if alive.isEmpty():
+            return None
+    return alive
+
+
 def dedup_substrings(docs: DataFrame, window: int = 35, doc_id="doc_id", text="text", with_text: bool = False) -> DataFrame:
     """One row per document row: doc_id, n_words, n_removed, kept_sha256 (of the kept words
     joined by a space); with_text adds kept_text of the documents that lost words (null for
@@ -238,20 +310,18 @@ def dedup_substrings(docs: DataFrame, window: int = 35, doc_id="doc_id", text="t
     one = _level_one(src, window)
     base = one.select(F.explode("docs").alias("d")).select("d.*")
     hashes_of = lambda df: df.agg(F.sum(F.octet_length("hashes"))).first()[0] or 0
-    marked = one.join(repeated_hashes(one.select("chunk", "hashes"), hashes_of(one) // 8), "chunk")
+    marked = one.join(repeated_hashes(one.select("chunk", "hashes"), hashes_of(one) // 16), "chunk")
     found = _survivors(marked.select("docs", "hashes", "places", "marks"), kind)
     # One row per text: of copies the one with the smallest id stands for all of them.
     reps = found.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.first("places").alias("places"))
     reps = pinned(reps.select(F.col("k1").alias("a"), F.col("k2").alias("b"), "rep", "places"), "repeated-windows")
     same = (F.col("k1") == F.col("a")) & (F.col("k2") == F.col("b")) & F.col("doc_id").eqNullSafe(F.col("rep"))
-    two = _level_two(src.join(reps, same).select("k1", "k2", "places", "text"))
-    n_long = two.agg(F.sum(F.size("texts"))).first()[0] or 0
-    lost = None
-    if n_long:  # else no candidates survive
-        long_chunks = two.mapInArrow(_long_hashes(window), "chunk long, hashes binary")
-        words = base.agg(F.sum("n_words")).first()[0] or 0
-        cut = two.join(repeated_hashes(long_chunks, words // 4), "chunk", "left")
-        cut = cut.mapInArrow(_cut(window), "k1 long, k2 long, n_removed long, kept_sha256 string, kept binary")
+    two = _candidate_texts(src.join(reps, same).select("k1", "k2", "places", "text"))
+    alive, lost = None, None
+    if not two.isEmpty():
+        alive = _surviving_windows(two, window, base.agg(F.sum("n_words")).first()[0] or 0)
+    if alive is not None:
+        cut = two.join(alive, "chunk").mapInArrow(_cut(window), "k1 long, k2 long, n_removed long, kept_sha256 string, kept binary")
         cut = cut if with_text else cut.drop("kept")
         # Rows repeated with the same id and text were cut alike.
         lost = pinned(cut.dropDuplicates(["k1", "k2"]), "cut-texts")

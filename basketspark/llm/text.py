@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,7 +95,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def range_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Hash of ``values[begin:end]`` for many ranges at once: a polynomial modulo 2**64 over
-    the values (uint64), read off one running sum, then mixed."""
+    the values (uint64), read off one running sum, then mixed. Long regular ranges can collide, so
+    it serves as a feature number only; identities are told by ``range_keys``."""
     n = len(values) + 1
     up, down = _powers(n)
     total = np.zeros(n, np.uint64)
@@ -102,16 +104,49 @@ def range_hashes(values: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.n
     return mix((total[end] - total[begin]) * up[begin])
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each word, index of each text's first word and, at last, the word count)."""
+_LANES = ((0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93), (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+_MASKS = np.array([(1 << 8 * r) - 1 for r in range(9)], np.uint64)
+#: Ranges of more bytes than this are hashed one by one by the xxhash library.
+_LONG_RANGE = 512
+
+
+def range_keys(data: np.ndarray, begin: np.ndarray, end: np.ndarray, lanes: int = 1) -> list[np.ndarray]:
+    """One or two independent 64-bit hashes of ``data[begin:end]`` (bytes) for many ranges at
+    once: all ranges take in their next eight bytes and are mixed, step by step."""
+    size = end - begin
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))  # the eight bytes from each place
+    out = [mix(size.astype(np.uint64) * np.uint64(a) + np.uint64(b)) for a, b in _LANES[:lanes]]
+    left = np.flatnonzero((size > 0) & (size <= _LONG_RANGE))
+    done = 0
+    while len(left):
+        block = blocks[begin[left] + done] & _MASKS[np.minimum(size[left] - done, 8)]
+        for h, (a, b) in zip(out, _LANES):
+            h[left] = mix(h[left] * np.uint64(b) + block * np.uint64(a))
+        done += 8
+        left = left[size[left] > done]
+    for i in np.flatnonzero(size > _LONG_RANGE).tolist():
+        raw = data[begin[i] : end[i]].tobytes()
+        for lane, h in enumerate(out):
+            h[i] = xxhash.xxh64_intdigest(raw, lane)
+    return out
+
+
+def joined_keys(a: np.ndarray, b: np.ndarray, lane: int) -> np.ndarray:
+    """Hash of two parts in order from their hashes of the same lane."""
+    k, m = _LANES[lane]
+    return mix(a * np.uint64(k) + b * np.uint64(m))
+
+
+def word_keys(texts: list[bytes], lanes: int = 2) -> tuple[list[np.ndarray], np.ndarray]:
+    """(hashes of each word, index of each text's first word and, at last, the word count)."""
     joined = [b" ".join(t.split()) for t in texts]
     counts = np.array([j.count(b" ") + 1 if j else 0 for j in joined], np.int64)
     first = np.concatenate([[0], np.cumsum(counts)])
     data = np.frombuffer(b" ".join(j for j in joined if j), np.uint8)
     if not len(data):
-        return np.zeros(0, np.uint64), first
+        return [np.zeros(0, np.uint64)] * lanes, first
     gaps = np.flatnonzero(data == 32)
     begin = np.concatenate([[0], gaps + 1])
     end = np.concatenate([gaps, [len(data)]])
-    spread = mix(np.arange(1, 257, dtype=np.uint64) * _BASE)
-    return range_hashes(spread[data], begin, end) ^ (end - begin).astype(np.uint64), first
+    return range_keys(data, begin, end, lanes), first
