@@ -39,6 +39,8 @@ WEAK = (
     ("opaque", "secret", r"([A-Za-z0-9+/_=-]{20,})", 20, ("[0-9]", "[A-Z]", "[a-z]")),
     ("endpoint", "endpoint", r"((?:https?|ftp|ssh|postgres(?:ql)?|mysql|redis|mongodb|amqps?)://[^\s\"'<>]+)", 10, ()),
 )
+#: Kinds whose value follows a name.
+NAMED = ("assign", "user")
 ORDER = {kind: i for i, (kind, *_) in enumerate(STRONG + WEAK)}
 ROLE = {kind: role for kind, role, *_ in STRONG + WEAK}
 SCOPE_CHARS = 200
@@ -60,7 +62,7 @@ def find_parts(texts: DataFrame, kinds) -> DataFrame:
     (first, last) in bytes. texts: k1, k2, text, distinct."""
     found = []
     for kind, _, pattern, least, holds in kinds:
-        own_value = not (pattern.startswith("(") and pattern.endswith(")"))  # else the value is the match
+        own_value = kind in NAMED  # else the value is the match
         some = texts.where(F.col("text").rlike(pattern)).select("k1", "k2", F.posexplode(_matches(F.col("text"), pattern, own_value)).alias("i", "m"))
         before = Window.partitionBy("k1", "k2").orderBy("i").rowsBetween(Window.unboundedPreceding, Window.currentRow)
         up_to = lambda size: F.sum(size("m.gap") + size("m.all")).over(before).cast("long")

@@ -3,15 +3,13 @@
 A fingerprint has bit b set if b is set in over half of the XXH64 values (seed 42) of the
 text's word shingles. Fingerprints link at ``max_distance`` or fewer differing bits.
 
-Search: of every fingerprint the whole 64-bit values of the Hamming ball of radius
-``ceil(max_distance / 2)`` are enumerated and looked up in a table that holds the balls of
-radius ``floor(max_distance / 2)`` likewise. Two fingerprints within the distance always meet in
-a key (half of the differing bits are turned on either side), and the distance of every match is
-verified (up to distance 2 at radius 1 none can fail). This stands in place of a table per
-16-bit segment, which would list all pairs of a segment value that many fingerprints share;
-here a key holds at most 65 fingerprints whatever the data, so no bucket needs a cap. At an
-even distance all fingerprints that meet in a key are within the distance of each other, so
-linking them to the smallest one keeps every connection without listing the pairs.
+Search: a fingerprint has two segments of 32 bits, and a table per segment holds all fingerprints
+under the value of their segment. Two fingerprints within ``d`` bits differ by ``d // 2`` or fewer in
+one segment at least (at even ``d``: in the first, or by one less in the second), so all values in
+that small Hamming ball of a segment are looked up in its table, and the complete distance of every
+match is verified. A segment value that more than ``CROWD`` fingerprints share is split by the other
+segment, not capped: both sides enumerate half of the distance around the other segment and meet
+there, so one key holds few fingerprints whatever the data.
 
 Defined cases: a null or word-less text has fingerprint zero, linked like any other; a text
 of fewer words than a shingle is one shingle; exact copies and repeated rows share one
@@ -29,13 +27,15 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from basketspark.llm.components import connected_components
 from basketspark.llm.text import pinned, renamed, slices
 
 SEED = 42
 _BITS_AT_ONCE = 1 << 16
+#: Bits of a segment, and the fingerprints of one segment value from which on it is split.
+SEGMENT_BITS = 32
+CROWD = 256
 
 
 def fingerprint(text: bytes, shingle_words: int = 3) -> int:
@@ -69,28 +69,53 @@ def fingerprints(docs: DataFrame, shingle_words: int = 3, doc_id="doc_id", text=
     return pinned(src.mapInArrow(rows, f"doc_id {dict(src.dtypes)['doc_id']}, fp long"), "fingerprints")
 
 
-def _ball(fp: Column, radius: int) -> Column:
-    """All values within ``radius`` flips of any of the 64 bits, the word itself first."""
-    word = [fp.cast("long")]
+def _segment(fp: Column, number: int) -> Column:
+    return F.shiftrightunsigned(fp, SEGMENT_BITS * number).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1).cast("long"))
+
+
+def _ball(value: Column, radius: int) -> Column:
+    """All values of a segment within ``radius`` flipped bits, the value itself first."""
     if radius == 0:
-        return F.array(*word)
-    flip = [fp.bitwiseXOR(F.lit((1 << b) - (1 << 64 if b == 63 else 0)).cast("long")) for b in range(64)]
-    once = F.array(*word, *flip)
+        return F.array(value)
+    once = F.array(value, *[value.bitwiseXOR(F.lit(1 << b).cast("long")) for b in range(SEGMENT_BITS)])
     return once if radius == 1 else F.array_distinct(F.flatten(F.transform(once, lambda x: _ball(x, radius - 1))))
 
 
+def radii(max_distance: int) -> dict[int, int]:
+    """The radius to search in each segment's table (a segment without one isn't searched)."""
+    each, more = divmod(max_distance, 2)
+    return {0: each} | ({1: each} if more else {1: each - 1} if each else {})
+
+
 def fingerprint_links(fps: DataFrame, max_distance: int = 2) -> DataFrame:
-    """Links (a, b) between distinct fingerprints that connect all within ``max_distance``."""
+    """Links (a, b) between distinct fingerprints within ``max_distance``, each once."""
     if not 0 <= max_distance <= 3:
         raise ValueError("max_distance must be 0 to 3: larger balls need more memory than they save")
-    distance = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
-    probe = fps.select(F.col("fp").alias("a"), F.explode(_ball(F.col("fp"), (max_distance + 1) // 2)).alias("key"))
-    if max_distance % 2 == 0:
-        met = probe.withColumn("b", F.min("a").over(Window.partitionBy("key")))  # 65 rows a key at most
-    else:
-        table = fps.select(F.col("fp").alias("b"), F.explode(_ball(F.col("fp"), max_distance // 2)).alias("key"))
-        met = probe.join(table, "key")
-    return met.where((F.col("a") != F.col("b")) & (distance <= max_distance)).select("a", "b")
+    fp = F.col("fp")
+
+    def keyed(number: int, radius: int) -> Column:
+        rest = _segment(fp, 1 - number)
+        return F.transform(_ball(_segment(fp, number), radius), lambda v: F.struct(F.lit(number).alias("segment"), v.alias("value"), rest.alias("rest")))
+
+    searched = radii(max_distance)
+    table = fps.select(fp.alias("b"), F.explode(F.concat(*[keyed(s, 0) for s in searched])).alias("t")).select("b", "t.*")
+    probe = fps.select(fp.alias("a"), F.explode(F.concat(*[keyed(s, r) for s, r in searched.items()])).alias("t")).select("a", "t.*")
+    key = ["segment", "value"]
+    crowded = pinned(table.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > CROWD).select(*key), "crowded-segments")
+
+    def met(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        right = right.select("b", *[F.col(c).alias(f"t_{c}") for c in on])
+        same = [F.col(c) == F.col(f"t_{c}") for c in on]
+        near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_distance
+        return left.join(right, [*same, F.col("a") < F.col("b"), near]).select("a", "b")
+
+    def around(rows: DataFrame, radius: int) -> DataFrame:
+        split = rows.join(crowded, key, "left_semi")
+        return split.withColumn("rest", F.explode(_ball(F.col("rest"), radius)))
+
+    plain = met(probe.join(crowded, key, "left_anti"), table, key)
+    split = met(around(probe, (max_distance + 1) // 2), around(table, max_distance // 2), [*key, "rest"])
+    return plain.unionByName(split).distinct()
 
 
 def simhash_near_dups(docs: DataFrame, shingle_words: int = 3, max_distance: int = 2, doc_id="doc_id", text="text") -> DataFrame:

@@ -152,10 +152,29 @@ def test_licenses(spark, docs):
     assert got == bag([(1, "MIT"), (2, "GPL-3.0"), (7, "Apache-2.0"), (7, "Apache-2.0"), (None, "proprietary")])
 
 
-def test_simhash_probes_whole_keys(spark):
-    assert not hasattr(simhash, "SEGMENT_BITS")
-    keys = spark.createDataFrame([(0,)], "fp long").select(F.explode(simhash._ball(F.col("fp"), 1)).alias("k"))
-    assert {r.k % (1 << 64) for r in keys.collect()} == {0, *(1 << b for b in range(64))}
+def test_simhash_searches_every_way_that_the_bits_can_fall():
+    rnd = random.Random(6)
+    for distance in range(4):
+        found = simhash.radii(distance)
+        for _ in range(500):
+            bits = rnd.sample(range(64), rnd.randint(0, distance))
+            apart = {s: sum(b // 32 == s for b in bits) for s in (0, 1)}
+            assert any(apart[s] <= r for s, r in found.items())
+
+
+@pytest.mark.parametrize("crowd", [0, 3, 256])
+def test_crowded_segments_are_split_and_lose_no_link(spark, monkeypatch, crowd):
+    monkeypatch.setattr(simhash, "CROWD", crowd)
+    rnd = random.Random(12)
+    low, high = rnd.getrandbits(32), rnd.getrandbits(32)
+    flip = lambda x, n: x ^ sum(1 << b for b in rnd.sample(range(32), n))
+    fps = {rnd.getrandbits(64) for _ in range(60)} | {high << 32 | flip(low, rnd.randint(0, 3)) for _ in range(150)} | {flip(high, rnd.randint(0, 2)) << 32 | low for _ in range(150)}
+    signed = lambda x: x - (x >> 63 << 64)
+    for distance in range(4):
+        df = spark.createDataFrame([(signed(x),) for x in fps], "fp long")
+        got = [(r.a, r.b) for r in simhash.fingerprint_links(df, distance).collect()]
+        want = {tuple(sorted((signed(x), signed(y)))) for x in fps for y in fps if x < y and (x ^ y).bit_count() <= distance}
+        assert len(got) == len(set(got)) and set(got) == want
 
 
 def licenses_of(spark, made):
@@ -215,6 +234,29 @@ def test_substrings(docs, rows, window):
     assert bag((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got) == bag((i, *w) for (i, _), w in zip(rows, want))
 
 
+def test_windows_are_told_apart_within_regular_text(spark):
+    """41 words each, alike but for the middle one, which a polynomial modulo 2**64 can't tell."""
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    around = " ".join(f"w{i}" for i in range(20)), " ".join(f"v{i}" for i in range(20))
+    made = [(i, f"{around[0]} {w} {around[1]}") for i, w in enumerate([word, word.translate(str.maketrans("ab", "ba"))])]
+    got = substring.dedup_substrings(spark.createDataFrame(made, "doc_id long, text string"), window=35).collect()
+    assert [r.n_removed for r in got] == [0, 0]
+
+
+@pytest.mark.parametrize("window", [2, 15, 16, 17, 35, 100])
+def test_levels_double_up_to_the_window(spark, window):
+    found = substring.levels(window)
+    assert found[-1] == window and all(b <= 2 * a for a, b in zip(found, found[1:])) and found == sorted(set(found))
+    rnd = random.Random(window)
+    words = [f"w{i}" for i in range(60)]
+    passage = " ".join(rnd.choice(words) for _ in range(window + 3))
+    made = [(i, " ".join([*rnd.choices(words, k=rnd.randint(0, 90)), *([passage] if i % 3 == 0 else []), *rnd.choices(words, k=20)])) for i in range(25)] + [(90, passage), (91, passage), (92, None)]
+    got = {r.doc_id: (r.n_words, r.n_removed, r.kept_sha256) for r in substring.dedup_substrings(spark.createDataFrame(made, "doc_id long, text string"), window=window).collect()}
+    assert got == {i: w for (i, _), w in zip(made, brute.substrings([t for _, t in made], window))}
+
+
 def test_packing(spark, docs, rows):
     from tokenizers import Tokenizer
 
@@ -272,23 +314,72 @@ def test_sentencepieces(docs, rows):
     assert full.decoded == dict(rows)[44] and list(full.ids) == library.encode(dict(rows)[44])
 
 
-def test_long_parts_merge_alike_by_rounds_and_by_queue(monkeypatch):
+def plain_merges(symbols, pairs):
+    """One merge after another: the lowest rank, leftmost if equal."""
+    symbols = list(symbols)
+    while True:
+        found = [(pairs[p], i) for i, p in enumerate(zip(symbols, symbols[1:])) if p in pairs]
+        if not found:
+            return symbols
+        (_, made), i = min(found)
+        symbols[i : i + 2] = [made]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_merge_rounds_equal_single_merges(seed):
+    """Tables in which a merged pair may rank before those it's made of, and ranks may tie."""
     import numpy as np
 
     from basketspark.llm import merges
 
-    rnd = random.Random(9)
+    rnd = random.Random(seed)
     pairs = {}
-    while len(pairs) < 300:  # symbols 0 to 5; merge i makes symbol 6 + i of any two made before
-        pairs.setdefault((rnd.randrange(6 + len(pairs) // 3), rnd.randrange(6 + len(pairs) // 3)), len(pairs))
-    table = merges.MergeTable(*np.array([(a, b, i, 6 + i) for (a, b), i in pairs.items()], np.int64).T)
-    counts = np.array([merges.LONG_WORD + d for d in (-1, 0, 1, 2)])
-    symbols = np.array([rnd.randrange(6) for _ in range(counts.sum())], np.int32)
-    by_size = merges.merge_words(symbols, counts, table)
-    for bound in (0, 1 << 30):  # all by the queue, all by rounds
-        monkeypatch.setattr(merges, "LONG_WORD", bound)
-        assert [x.tolist() for x in merges.merge_words(symbols, counts, table)] == [x.tolist() for x in by_size]
-    assert by_size[1].max() < counts.min()
+    while len(pairs) < 200:  # symbols 0 to 3; merges make symbols from 4 on
+        pair = rnd.randrange(4 + len(pairs) // 2), rnd.randrange(4 + len(pairs) // 2)
+        pairs.setdefault(pair, (rnd.randrange(60) if seed % 2 else len(pairs), 4 + len(pairs)))
+    table = merges.MergeTable(*np.array([(a, b, r, m) for (a, b), (r, m) in pairs.items()], np.int64).T)
+    made = [[rnd.randrange(4) for _ in range(rnd.choice([1, 2, 5, 40, 300]))] for _ in range(150)] + [[0] * 99, [1, 0] * 120, [2, 2, 1] * 70]
+    left, n = merges.merge_words(np.concatenate([np.array(m, np.int32) for m in made]), np.array([len(m) for m in made]), table)
+    assert [x.tolist() for x in np.split(left, np.cumsum(n)[:-1])] == [plain_merges(m, pairs) for m in made]
+
+
+def test_parts_that_hash_alike_are_told_apart(monkeypatch):
+    """The Thue-Morse word and its complement, which equal each other under a polynomial modulo 2**64,
+    and, with all hashes made equal, any parts."""
+    import numpy as np
+    import sentencepiece
+    from tokenizers import Tokenizer
+
+    from basketspark.llm import merges, wordpieces
+
+    word = "a"
+    while len(word) < 2048:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    made = [f"{word[:n]} {other[:n]}" for n in (1024, 2048)] + ["one two three one two"]
+    path = tokenizer_file("piece_bpe_32k.model")
+    with open(path, "rb") as f:
+        model = sentencepieces.PieceModel(f.read())
+    with open(tokenizer_file("word_bpe_49k.json"), encoding="utf-8") as f:
+        words = wordpieces.WordModel(f.read())
+    ids = sentencepiece.SentencePieceProcessor(model_file=path).encode(made)
+    library = [e.ids for e in Tokenizer.from_file(tokenizer_file("word_bpe_49k.json")).encode_batch(made, add_special_tokens=False)]
+    for same in (False, True):
+        if same:
+            monkeypatch.setattr(merges, "range_keys", lambda data, begin, end: [np.zeros(len(begin), np.uint64)])
+        assert [x.tolist() for x in model.encode(made)] == ids
+        assert [x.tolist() for x in words.encode(made)] == library
+
+
+def test_long_words_take_few_rounds():
+    import time
+
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        model = sentencepieces.PieceModel(f.read())
+    model.encode(["warm"])
+    begin = time.time()
+    model.encode(["ab" * 100_000])
+    assert time.time() - begin < 5  # by a queue 15 seconds
 
 
 def test_merges_equal_the_libraries():
@@ -311,6 +402,28 @@ def test_merges_equal_the_libraries():
     assert [x.tolist() for x in words.encode(made)] == [e.ids for e in library.encode_batch(made, add_special_tokens=False)]
 
 
+def test_dense_secrets_take_time_in_proportion(spark):
+    """Texts of which every line has five finds: scanned and blanked, at two sizes."""
+    import time
+
+    line = 'user: alice%d password="hunter%d2hunter2" https://db%d.example.org/x Ab3xK9zQw8LmN7pRt5Vs \u00e9\u65e5\n'
+    took = []
+    for n in (500, 4000, 40_000):
+        text = "".join(line % (i, i, i) for i in range(n))
+        df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        begin = time.time()
+        (found,), (blank,) = secrets.scan_secrets(df).collect(), secrets.redact_secrets(df).collect()
+        took.append(time.time() - begin)
+        assert [(s.start, s.rank, s.kind, s.stop) for s in found.spans if s.rank < 3] == brute.secrets(text)[4]
+        out, at = [], 0
+        for start, stop in sorted((s.start, s.stop) for s in found.spans):
+            if start >= at:
+                out.append(text[at:start] + secrets.MARK)
+            at = max(at, stop)
+        assert blank.text == "".join(out) + text[at:]
+    assert took[2] < 10 * took[1] + 20  # the first, small one warms up
+
+
 def test_lines(docs, rows):
     got = line_dedup.dedup_lines(docs, counts=("lines_in", "lines_out")).select("doc_id", "lines_in", "lines_out", F.sha2(F.coalesce("text", F.lit("")), 256)).collect()
     assert bag(tuple(r) for r in got) == bag((i, *w) for (i, _), w in zip(rows, brute.lines(rows)))
