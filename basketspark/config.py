@@ -86,7 +86,7 @@ class RunConfig:
     predict_period_days: int = PREDICT_PERIOD_DAYS
     table_name: str = "recommendations"
     check_coverage: bool = True
-    pair_method: str = "half"  # "half" (pruned half pairs) or "join" (the original self-join)
+    pair_method: str = "blocks"  # or "half" (pruned half pairs by a join), "join" (the original self-join)
     prune_candidates: bool = True  # rank per group before expanding to SKUs
 
     def __post_init__(self):
@@ -94,8 +94,8 @@ class RunConfig:
             raise InputNotValidError(f"Division {self.division!r} is not defined; use one of {DIVISIONS}")
         if not 0 <= self.percentile_t <= 100:
             raise InputNotValidError("percentile_t must be within [0, 100]")
-        if self.pair_method not in ("half", "join"):
-            raise InputNotValidError("pair_method must be 'half' or 'join'")
+        if self.pair_method not in ("blocks", "half", "join"):
+            raise InputNotValidError("pair_method must be 'blocks', 'half' or 'join'")
         if self.top_k is Preset.DIVISION:
             object.__setattr__(self, "top_k", TOP_K if self.division == "LSG" else None)
         date_window(self.start_date, self.period_days)  # validates the date

@@ -4,16 +4,20 @@ Input contract: ``basket_key``, ``coupon`` (group name) and ``coupon_key`` (inte
 one per name), plus optional ``by`` columns that split the input into independent runs
 (e.g. ``perm_id`` for permutations). Rows with a null basket or group key are ignored.
 
-Two physical forms with equal results:
+Three physical forms with equal results:
 
-* ``half`` (default): the distinct (basket, group) rows are written once (``pin``); groups at
-  or below the threshold are removed; the rest meets itself on the basket with ``x < y``, and
-  the half pairs are counted with map-side partial aggregation, then mirrored. Pairs are rows,
-  never an array of a whole basket, and a basket with very many groups is a skewed join key
-  that adaptive execution splits.
+* ``blocks`` (default): the distinct (basket, group) rows are written once (``pin``) and pruned to
+  the groups above the threshold. A basket's groups are cut into blocks of about
+  ``BLOCK_GROUPS``, blocks meet in the upper triangle of block pairs, one row per block pair, and
+  the pairs of a row are made in one task with ``x < y``. Each pair of a basket is made once and
+  nothing is joined with itself; a basket of very many groups is as many rows as it has block
+  pairs, dealt over all tasks by their hash, with or without adaptive execution.
+* ``half``: the pruned rows meet themselves on the basket with ``x < y``.
 * ``join``: the original form - distinct (group, basket) rows, a self-join on the basket
   with ``key_X != key_Y``, and a distinct count per pair. Kept as the reference form.
 
+``confident_pairs_pushed`` takes the minimum confidence into the counting.
+
 Scalars (basket total, percentile threshold) stay on the cluster: scalar subqueries when
 ``by`` is empty, otherwise one row per ``by`` group joined back.
 """
@@ -44,6 +48,11 @@ MATRIX_COLUMNS = (
 )
 
 
+#: Groups of a basket in one block, about; larger baskets have several blocks.
+BLOCK_GROUPS = 64
+_SALTS = 16
+
+
 @dataclasses.dataclass(frozen=True)
 class Affinity:
     counts: DataFrame  # by, coupon_key, coupon, basket_count  (all groups)
@@ -76,13 +85,13 @@ def pair_matrix(
     baskets: DataFrame,
     t: float = RARE_GROUP_PERCENTILE,
     by: Sequence[str] = (),
-    method: str = "half",
+    method: str = "blocks",
     pin: bool = True,
 ) -> Affinity:
     by = list(by)
     rows = _clean(baskets, by)
-    if method == "half":
-        return _half_pairs(rows, t, by, pin)
+    if method in ("blocks", "half"):
+        return _half_pairs(rows, t, by, pin, method)
     if method == "join":
         return _pairs_from_join(rows, t, by)
     raise ValueError(f"unknown method {method!r}")
@@ -138,7 +147,17 @@ def _assemble(counts, thresholds, frequent, totals, pair_counts, by: list[str],
     return Affinity(counts=counts, frequent=frequent, totals=totals, thresholds=thresholds, matrix=matrix)
 
 
-def _half_pairs(rows: DataFrame, t: float, by: list[str], pin: bool) -> Affinity:
+@dataclasses.dataclass(frozen=True)
+class _Groups:
+    rows: DataFrame  # by, basket_key, coupon_key, coupon, distinct
+    counts: DataFrame
+    frequent: DataFrame
+    totals: DataFrame
+    thresholds: DataFrame
+    side: DataFrame  # by, basket_key, coupon_key of the frequent groups
+
+
+def _groups(rows: DataFrame, t: float, by: list[str], pin: bool) -> _Groups:
     rows = rows.distinct()
     if pin:  # read by the group counts, the total and both sides of the pairs
         rows = materialize(rows, "basket-groups")
@@ -148,15 +167,109 @@ def _half_pairs(rows: DataFrame, t: float, by: list[str], pin: bool) -> Affinity
     totals = (rows.groupBy(*by) if by else rows).agg(F.count_distinct("basket_key").alias("total_basket_count"))
     thresholds, frequent = _frequent(counts, t, by)
     side = rows.join(frequent.select(*by, "coupon_key"), [*by, "coupon_key"], "left_semi").select(*by, "basket_key", "coupon_key")
+    return _Groups(rows, counts, frequent, totals, thresholds, side)
+
+
+def _half_pairs(rows: DataFrame, t: float, by: list[str], pin: bool, method: str) -> Affinity:
+    g = _groups(rows, t, by, pin)
+    pairs = block_pairs(g.side, by, pin) if method == "blocks" else _joined_pairs(g.side, by)
+    half = pairs.groupBy(*by, "coupon_key_X", "coupon_key_Y").agg(F.count(F.lit(1)).alias("basket_count_XY"))
+    return _assemble(g.counts, g.thresholds, g.frequent, g.totals, half, by, mirrored=True)
+
+
+def _joined_pairs(side: DataFrame, by: list[str]) -> DataFrame:
     x = side.withColumnRenamed("coupon_key", "coupon_key_X")
     y = side.withColumnRenamed("coupon_key", "coupon_key_Y")
-    half = (
-        x.join(y, [*by, "basket_key"], "inner")
-        .where(F.col("coupon_key_X") < F.col("coupon_key_Y"))
-        .groupBy(*by, "coupon_key_X", "coupon_key_Y")
-        .agg(F.count(F.lit(1)).alias("basket_count_XY"))
-    )
-    return _assemble(counts, thresholds, frequent, totals, half, by, mirrored=True)
+    return x.join(y, [*by, "basket_key"], "inner").where(F.col("coupon_key_X") < F.col("coupon_key_Y"))
+
+
+def _all_pairs(xs: Column, ys: Column | None = None) -> Column:
+    """Every (x, y) of two blocks, or of one with itself once, the smaller first."""
+    pair = lambda a, b: F.struct(a.alias("x"), b.alias("y"))
+    if ys is None:  # sorted
+        return F.flatten(F.transform(xs, lambda x, i: F.transform(F.slice(xs, i + 2, F.size(xs)), lambda y: pair(x, y))))
+    return F.flatten(F.transform(xs, lambda x: F.transform(ys, lambda y: pair(F.least(x, y), F.greatest(x, y)))))
+
+
+def block_pairs(side: DataFrame, by: Sequence[str] = (), pin: bool = True, block_groups: int = 0) -> DataFrame:
+    """(by, coupon_key_X, coupon_key_Y) of every basket, X < Y, each pair of a basket once.
+    side: distinct (by, basket_key, coupon_key)."""
+    width = block_groups or BLOCK_GROUPS
+    basket = [*by, "basket_key"]
+    # The number of blocks is joined to the rows of large baskets only, over salts, so that the
+    # rows of one basket are spread before they are dealt to its blocks.
+    large = side.groupBy(*basket).agg(F.count(F.lit(1)).alias("groups")).where(F.col("groups") > width)
+    sized = large.select(*basket, F.ceil(F.col("groups") / width).cast("int").alias("blocks"), F.explode(F.sequence(F.lit(0), F.lit(_SALTS - 1))).alias("salt"))
+    hashed = side.withColumn("salt", F.pmod(F.xxhash64("coupon_key"), F.lit(_SALTS)).cast("int"))
+    dealt = hashed.join(sized, [*basket, "salt"], "left")
+    block = F.when(F.col("blocks").isNull(), 0).otherwise(F.pmod(F.xxhash64(F.lit(1), "coupon_key"), F.col("blocks"))).cast("int")
+    held = dealt.groupBy(*basket, F.coalesce("blocks", F.lit(1)).alias("blocks"), block.alias("block")).agg(F.sort_array(F.collect_list("coupon_key")).alias("held"))
+    if pin:  # read for the pairs inside a block and for those between blocks
+        held = materialize(held, "basket-blocks")
+    inside = held.select(*by, F.explode(_all_pairs(F.col("held"))).alias("p"))
+    # A block goes to every pair of blocks that it is in: pair (i, j), i < j.
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: j != F.col("block"))).alias("other")
+    sent = held.where(F.col("blocks") > 1).select(*basket, "block", "held", other)
+    ends = [F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")]
+    met = sent.groupBy(*basket, *ends).agg(F.collect_list("held").alias("two")).where(F.size("two") == 2)  # a block may be empty
+    between = met.select(*by, F.explode(_all_pairs(F.col("two")[0], F.col("two")[1])).alias("p"))
+    return inside.unionByName(between).select(*by, F.col("p.x").alias("coupon_key_X"), F.col("p.y").alias("coupon_key_Y"))
+
+
+def confident_pairs_pushed(
+    baskets: DataFrame,
+    min_confidence: float,
+    kept_keys: DataFrame | None = None,
+    t: float = RARE_GROUP_PERCENTILE,
+    small_groups: int = 0,
+    pin: bool = True,
+) -> DataFrame:
+    """The rows of the pair matrix with ``confidence >= min_confidence`` (both groups among
+    ``kept_keys``, if given), without counting pairs that cannot get there.
+
+    Pairs are counted in the small baskets (up to ``small_groups`` groups). The large baskets, which
+    hold the most pairs, can add ``min(large_X, large_Y)`` to a count at most, the baskets among
+    them that hold X and those that hold Y. Only pairs that may reach the confidence with that are
+    looked up in the large baskets, each from its own two groups; pairs that no small basket holds
+    are made there only for groups X which the large baskets alone may carry.
+    """
+    width = small_groups or BLOCK_GROUPS
+    g = _groups(_clean(baskets, []), t, [], pin)
+    side = g.side if kept_keys is None else g.side.join(kept_keys.select("coupon_key").distinct(), ["coupon_key"], "left_semi")
+    sizes = side.groupBy("basket_key").agg(F.count(F.lit(1)).alias("groups"))
+    large = sizes.where(F.col("groups") > width).select("basket_key")
+    in_large = side.join(large, ["basket_key"], "left_semi")
+    in_small = side.join(large, ["basket_key"], "left_anti")
+    if pin:
+        in_large = materialize(in_large, "large-baskets")
+    per_group = in_large.groupBy("coupon_key").agg(F.count(F.lit(1)).alias("large"))
+    groups = side.select("coupon_key").distinct().join(g.frequent, ["coupon_key"]).join(per_group, ["coupon_key"], "left")
+    groups = groups.select("coupon_key", "coupon", "basket_count", F.coalesce("large", F.lit(0)).alias("large"))
+    if pin:
+        groups = materialize(groups, "kept-groups")
+
+    def of(tag: str) -> DataFrame:
+        return groups.select(*[F.col(c).alias(f"{c}_{tag}") for c in groups.columns])
+
+    may = lambda known: confidence(known + F.least("large_X", "large_Y"), "basket_count_X") >= min_confidence
+    half = block_pairs(in_small, [], pin, width).groupBy("coupon_key_X", "coupon_key_Y").agg(F.count(F.lit(1)).alias("small"))
+    both = F.explode(F.array(F.struct("coupon_key_X", "coupon_key_Y"), F.struct(F.col("coupon_key_Y").alias("coupon_key_X"), F.col("coupon_key_X").alias("coupon_key_Y")))).alias("o")
+    counted = half.select("small", both).select("o.*", "small").join(of("X"), ["coupon_key_X"]).join(of("Y"), ["coupon_key_Y"])
+    counted = counted.where(may(F.col("small")))
+    hopeful = counted.select("coupon_key_X", "coupon_key_Y", "small")
+    # Groups that the large baskets may carry alone, with the groups they meet there.
+    carried = of("X").where(confidence("large_X", "basket_count_X") >= min_confidence)
+    x = in_large.withColumnRenamed("coupon_key", "coupon_key_X")
+    y = in_large.withColumnRenamed("coupon_key", "coupon_key_Y")
+    heavy = x.join(carried.select("coupon_key_X", "basket_count_X", "large_X"), ["coupon_key_X"]).join(y, ["basket_key"]).where(F.col("coupon_key_X") != F.col("coupon_key_Y"))
+    heavy = heavy.join(of("Y").select("coupon_key_Y", "large_Y"), ["coupon_key_Y"]).where(may(F.lit(0)))
+    heavy = heavy.groupBy("coupon_key_X", "coupon_key_Y").agg(F.count(F.lit(1)).alias("more"))
+    light = counted.where(~may(F.lit(0))).select("coupon_key_X", "coupon_key_Y")  # the others are among the heavy ones
+    looked = light.join(x, ["coupon_key_X"]).join(y, ["basket_key", "coupon_key_Y"]).groupBy("coupon_key_X", "coupon_key_Y").agg(F.count(F.lit(1)).alias("more"))
+    parts = hopeful.select("coupon_key_X", "coupon_key_Y", F.col("small").alias("n")).unionByName(looked.unionByName(heavy).withColumnRenamed("more", "n"))
+    full = parts.groupBy("coupon_key_X", "coupon_key_Y").agg(F.sum("n").alias("basket_count_XY"))
+    matrix = _assemble(g.counts, g.thresholds, g.frequent, g.totals, full, [], mirrored=False).matrix
+    return matrix.where(F.col("confidence") >= min_confidence)
 
 
 def _pairs_from_join(rows: DataFrame, t: float, by: list[str]) -> Affinity:

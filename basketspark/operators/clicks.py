@@ -17,12 +17,13 @@ from basketspark.runtime import materialize
 CLICK_COLUMNS = ("session_key", "visit_id", "visit_number", "time_stamp", "account_no", "prod_id")
 
 
-def pull_hits(hits: DataFrame, visit_sessions: DataFrame, window: tuple[int, int]) -> DataFrame:
+def pull_hits(hits: DataFrame, visit_sessions: DataFrame, window: tuple[int, int], keep: tuple[str, ...] = ()) -> DataFrame:
     """Hits of the window with their session, normalised list and account number.
 
     Filters bind to the raw columns, so they reach the scan. A hit whose raw list has
     the lower-case ``shipping-handling`` marker is dropped whole. The session is a left
-    join: hits without a session keep a null ``session_key``.
+    join: hits without a session keep a null ``session_key``. ``keep`` names further columns of
+    the hits to carry along.
     """
     lo, hi = window
     acct = account_no("demandbase")
@@ -39,6 +40,7 @@ def pull_hits(hits: DataFrame, visit_sessions: DataFrame, window: tuple[int, int
         normalised_list("prod_list").alias("prod_list"),
         "time_stamp",
         acct.alias("account_no"),
+        *keep,
     )
     vs = visit_sessions.select("visit_return_count", "post_visid_combined", F.col("visit_session_key").alias("session_key"))
     return h.join(vs, ["visit_return_count", "post_visid_combined"], "left").select(
@@ -48,10 +50,11 @@ def pull_hits(hits: DataFrame, visit_sessions: DataFrame, window: tuple[int, int
         "prod_list",
         "time_stamp",
         "account_no",
+        *keep,
     )
 
 
-def explode_products(pulled: DataFrame, dedupe: bool = True) -> DataFrame:
+def explode_products(pulled: DataFrame, dedupe: bool = True, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per product of the comma list, trimmed, empties dropped, rows de-duplicated."""
     rows = (
         pulled.select(
@@ -60,6 +63,7 @@ def explode_products(pulled: DataFrame, dedupe: bool = True) -> DataFrame:
             "visit_number",
             "time_stamp",
             "account_no",
+            *keep,
             F.explode(F.transform(F.split("prod_list", ","), trimmed)).alias("prod_id"),
         )
         .where(F.col("prod_id").isNotNull() & (F.col("prod_id") != ""))
@@ -142,19 +146,20 @@ def to_baskets(clicks: DataFrame, kept: DataFrame) -> DataFrame:
     return clicks.join(kept, ["session_key"], "inner").withColumnRenamed("session_key", "basket_key")
 
 
-def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET, pin: bool = True):
+def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET, pin: bool = True, counts: dict | None = None):
     """The whole click step. Returns (baskets, viewed SKUs, group keys, keyed clicks, group map).
 
     With ``pin`` the grouped clicks are written once to the shared checkpoint folder (the
     group numbering, the session statistics and the baskets read them instead of parsing
-    the hits again), and so are the baskets (the session statistics run once).
+    the hits again), and so are the baskets (the session statistics run once); ``counts`` then
+    takes the rows of the clicks and the baskets, counted as they are written.
     """
     parsed = parse_hits(sources.hits, sources.visit_sessions, window)
     active = drop_discontinued(parsed, sources.products)
     gmap = read_group_map(sources.prod_feature)
     grouped = assign_groups(active, gmap)
     if pin:
-        grouped = materialize(grouped, "clicks")
+        grouped = materialize(grouped, "clicks", counts)
     keys = group_keys(gmap, grouped)
     if pin:  # one row per (SKU, group): read by the clicks and by the sales
         keys = materialize(keys, "group-keys")
@@ -162,5 +167,5 @@ def build_clicks(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_
     seen = keyed.where(F.col("session_key").isNotNull())  # no session, no basket
     baskets = to_baskets(seen, keep_sessions(session_stats(seen), max_groups))
     if pin:  # read by the pair matrix, the SKU counts and the permutation test
-        baskets = materialize(baskets, "baskets")
+        baskets = materialize(baskets, "baskets", counts)
     return baskets, viewed_skus(grouped), keys, keyed, gmap

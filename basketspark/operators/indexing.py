@@ -39,6 +39,7 @@ def global_index(
     name: str = "idx",
     partition_by: Sequence[str] = (),
     num_partitions: int | None = None,
+    counts: dict | None = None,
 ) -> DataFrame:
     """Add ``name``: the 1-based position of each row in ``order`` (within ``partition_by``).
 
@@ -53,7 +54,7 @@ def global_index(
         .withColumns({_PID: pid, _POS: F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)})
     )
     # Pin partition ids and local positions: written once, then read twice.
-    ranged = materialize(ranged, "index")
+    ranged = materialize(ranged, "index", counts)
 
     # Rows of one group are contiguous inside a partition (the sort starts with the group),
     # so a row's position in its group is its local position minus the group's first one

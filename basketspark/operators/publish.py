@@ -1,15 +1,24 @@
-"""Publishing: the stamped detail table, the run registry, archive and CSV list output."""
+"""Publishing: the stamped detail table, run ids, versions of the table, files, the registry.
+
+Every run writes its rows to a folder of its own. What the table is at a time is said by the
+newest of small numbered files that name a run's folder; each is created under a number that
+must be free, as a whole. So a reader finds a whole table at any time, whichever step a run
+stops at, no folder is ever moved, and earlier runs stay where they are as the archive. A run's
+id is reserved in the same way, so that runs at the same time have ids of their own.
+"""
 
 from __future__ import annotations
 
+import json
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from basketspark.config import RunConfig, date_window
 from basketspark.operators.indexing import global_index
-from basketspark.runtime import discard, exists, rename
+from basketspark.runtime import counted, create_exclusive, exists, list_files, read_small
 
 DETAIL_COLUMNS = (
     "MASTER_ID",
@@ -55,24 +64,47 @@ def _table_path(root: str, cfg: RunConfig) -> str:
     return f"{root.rstrip('/')}/tables/{cfg.table_name}"
 
 
-def _archive_path(root: str, cfg: RunConfig) -> str:
-    return f"{root.rstrip('/')}/archive/{cfg.table_name}"
+def _ids_path(root: str, cfg: RunConfig) -> str:
+    return f"{root.rstrip('/')}/ids/{cfg.table_name}"
+
+
+def table_versions(spark: SparkSession, cfg: RunConfig, root: str) -> list[dict]:
+    """The versions of the table, oldest first: number, folder, master_id, rows. One small file
+    a run is listed and read."""
+    folder = f"{_table_path(root, cfg)}/versions"
+    return [json.loads(read_small(spark, f"{folder}/{name}")) for name in list_files(spark, folder) if name.isdigit()]
+
+
+def read_table(spark: SparkSession, cfg: RunConfig, root: str, master_id: int | None = None) -> DataFrame:
+    """The newest version of the table, or the one that a run published."""
+    found = [v for v in table_versions(spark, cfg, root) if master_id is None or v["master_id"] == master_id]
+    if not found:
+        raise FileNotFoundError(f"no version of {cfg.table_name} below {root}" + ("" if master_id is None else f" by run {master_id}"))
+    return spark.read.parquet(found[-1]["folder"])
 
 
 def next_run_id(spark: SparkSession, cfg: RunConfig, root: str) -> int:
-    """One more than the largest id in the registry, the table or the archive (1 at first), so
-    an id is never used again, wherever an earlier run stopped. Collects one value each."""
-    seen = [0]
-    for path, column in ((f"{root.rstrip('/')}/model_master", "master_id"), (_table_path(root, cfg), "MASTER_ID"), (_archive_path(root, cfg), "MASTER_ID")):
-        found = read_if_exists(spark, path)
-        if found is not None and column.lower() in [c.lower() for c in found.columns]:
-            seen.append(found.agg(F.max(column).alias("m")).first()["m"] or 0)
+    """One more than the largest id that is reserved, registered or published (1 at first), so
+    an id is never used again, wherever an earlier run stopped. Collects one value."""
+    seen = [0, *(v["master_id"] for v in table_versions(spark, cfg, root))]
+    seen += [int(name) for name in list_files(spark, _ids_path(root, cfg)) if name.isdigit()]
+    registry = read_if_exists(spark, f"{root.rstrip('/')}/model_master")
+    if registry is not None:
+        seen.append(registry.agg(F.max("master_id").alias("m")).first()["m"] or 0)
     return int(max(seen)) + 1
 
 
-def number_records(ranked: DataFrame) -> DataFrame:
+def reserve_run_id(spark: SparkSession, cfg: RunConfig, root: str) -> int:
+    """The next id, held by a file that only one run can create; on a conflict the one after."""
+    master_id = next_run_id(spark, cfg, root)
+    while not create_exclusive(spark, f"{_ids_path(root, cfg)}/{master_id:010d}"):
+        master_id += 1
+    return master_id
+
+
+def number_records(ranked: DataFrame, counts: dict | None = None) -> DataFrame:
     """Add ``record_id``: the position in the published order, numbered distributed."""
-    return global_index(ranked, list(RECORD_ORDER), "record_id")
+    return global_index(ranked, list(RECORD_ORDER), "record_id", counts=counts)
 
 
 def stamp_detail(ranked: DataFrame, master_id: int, cfg: RunConfig) -> DataFrame:
@@ -133,48 +165,63 @@ def registry_row(spark: SparkSession, master_id: int, cfg: RunConfig, record_cou
     return spark.createDataFrame([row], schema)
 
 
-def replace_table(
+#: The steps of publishing, in order.
+STEPS = ("rows", "version", "files", "registry")
+
+
+def publish_steps(
     spark: SparkSession, detail: DataFrame, lists: DataFrame | None, master_id: int, cfg: RunConfig, root: str, csv_targets: tuple[str, ...] = ("QA", "DEV")
-) -> tuple[dict[str, str], int]:
-    """``publish`` up to the registry row. Returns the paths written and the rows published."""
+) -> Iterator[tuple[str, dict]]:
+    """Publishes step by step: yields the name of each step once it is done, with the paths
+    written and the rows published so far."""
     root = root.rstrip("/")
     table = _table_path(root, cfg)
-    paths = {"table": table}
-    staged = f"{root}/staging/{cfg.table_name}-{uuid.uuid4().hex[:12]}"
-    detail.write.mode("errorifexists").parquet(staged)
-    record_count = spark.read.parquet(staged).count()
-    old = read_if_exists(spark, table)
-    if old is not None:
-        last = old.agg(F.max("MASTER_ID").alias("m")).first()["m"]
-        if last is None:
-            discard(spark, [table])
-        else:
-            paths["archive"] = f"{_archive_path(root, cfg)}/master_id={last}"
-            rename(spark, table, paths["archive"])
-    rename(spark, staged, table)
-    spark.catalog.refreshByPath(table)
+    done: dict = {"paths": {}}
+    folder = f"{table}/runs/{master_id:010d}-{uuid.uuid4().hex[:12]}"
+    counts: dict[str, int] = {}
+    with counted(detail, counts, "published") as rows:
+        rows.write.mode("errorifexists").parquet(folder)
+    done["rows"] = counts["published"]
+    yield "rows", done
+    versions = table_versions(spark, cfg, root)
+    number = versions[-1]["number"] + 1 if versions else 1
+    named = lambda n: json.dumps({"number": n, "folder": folder, "master_id": master_id, "rows": done["rows"]})
+    while not create_exclusive(spark, f"{table}/versions/{number:010d}", named(number)):
+        number += 1  # another run came first; this one is newer
+    done["paths"]["table"] = folder
+    if versions and versions[-1]["rows"]:  # an empty table is nothing to keep
+        done["paths"]["archive"] = versions[-1]["folder"]
+    yield "version", done
     if lists is not None:
         _, hi = date_window(cfg.start_date, cfg.period_days)
         for target in csv_targets:
             path = f"{root}/csv/{target}/CSV_Pipes_{hi}.csv"
             lists.write.mode("overwrite").option("header", True).csv(path)
-            paths[f"csv_{target}"] = path
-    return paths, record_count
+            done["paths"][f"csv_{target}"] = path
+    yield "files", done
+    done["paths"]["registry"] = f"{root}/model_master"
+    registry_row(spark, master_id, cfg, done["rows"]).write.mode("append").parquet(done["paths"]["registry"])
+    yield "registry", done
+
+
+def replace_table(
+    spark: SparkSession, detail: DataFrame, lists: DataFrame | None, master_id: int, cfg: RunConfig, root: str, csv_targets: tuple[str, ...] = ("QA", "DEV")
+) -> tuple[dict[str, str], int]:
+    """``publish`` up to the registry row. Returns the paths written and the rows published."""
+    for step, done in publish_steps(spark, detail, lists, master_id, cfg, root, csv_targets):
+        if step == "files":
+            return done["paths"], done["rows"]
+    raise AssertionError("publishing has a step for the files")
 
 
 def publish(
     spark: SparkSession, detail: DataFrame, lists: DataFrame | None, master_id: int, cfg: RunConfig, root: str, csv_targets: tuple[str, ...] = ("QA", "DEV")
-) -> dict[str, str]:
-    """Archive the current table, replace it, write the files, append the registry row.
-
-    Layout below ``root``: ``tables/<name>``, ``archive/<name>/master_id=<n>``,
-    ``csv/<target>/CSV_Pipes_<start>.csv``, ``model_master``. The new rows are written to a
-    staging folder first; then the current table is moved to the archive, under its own id and
-    never over rows archived before, and the staged one takes its place. A run that stops at
-    any point leaves the earlier rows in the table or in the archive. An empty table has no
-    id and nothing to archive.
+) -> tuple[dict[str, str], int]:
+    """Write the rows, name them the table's newest version, write the files, append the registry
+    row. Returns the paths written and the rows published.
+
+    Layout below ``root``: ``tables/<name>/runs/<id>-<unique>``, ``tables/<name>/versions/<number>``,
+    ``ids/<name>/<id>``, ``csv/<target>/CSV_Pipes_<start>.csv``, ``model_master``.
     """
-    paths, record_count = replace_table(spark, detail, lists, master_id, cfg, root, csv_targets)
-    paths["registry"] = f"{root.rstrip('/')}/model_master"
-    registry_row(spark, master_id, cfg, record_count).write.mode("append").parquet(paths["registry"])
-    return paths
+    *_, (_, done) = publish_steps(spark, detail, lists, master_id, cfg, root, csv_targets)
+    return done["paths"], done["rows"]

@@ -46,7 +46,7 @@ def group_sales(grouped_sales: DataFrame) -> DataFrame:
 
 
 def build_sales(
-    sources, window, viewed: DataFrame, keys: DataFrame, exclude_discontinued: bool = True, how: str = "left", pin: bool = True
+    sources, window, viewed: DataFrame, keys: DataFrame, exclude_discontinued: bool = True, how: str = "left", pin: bool = True, counts: dict | None = None
 ):
     """The whole sales step. Returns (per-SKU sales of viewed SKUs, SKU sales with groups, per-group sales).
 
@@ -55,7 +55,7 @@ def build_sales(
     """
     per_sku = restrict_to_viewed(sku_sales(sources.invoices, sources.products, window, exclude_discontinued), viewed)
     if pin:
-        per_sku = materialize(per_sku, "sku-sales")
+        per_sku = materialize(per_sku, "sku-sales", counts)
     grouped = attach_groups(per_sku, keys, how)
     if how == "inner":  # SKUs without a group leave the per-SKU sales too
         per_sku = per_sku.join(keys.select("prod_id"), ["prod_id"], "left_semi")

@@ -6,6 +6,7 @@ operators as the job. ``basketspark.plans.oracle`` holds the equivalent SQL.
 
 from __future__ import annotations
 
+import dataclasses
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,9 @@ from pyspark.sql import functions as F
 from basketspark.config import RunConfig
 from basketspark.errors import BasketError
 from basketspark.functions.columns import day_key_of
-from basketspark.operators import affinity, clicks, indexing, publish, quality, recommend, sales, significance
+from basketspark.operators import affinity, clicks, incremental, indexing, publish, quality, recommend, sales, significance
 from basketspark.plans import pipeline
-from basketspark.runtime import materialize, scratch_path
+from basketspark.runtime import exists, materialize, scratch_path
 from basketspark.sources.fixtures import FIXTURE_PERIOD_DAYS, FIXTURE_START_DATE, fixture_sources, hits_view, read_testdata
 from basketspark.streaming.clicks_stream import start_clicks_stream
 
@@ -121,6 +122,13 @@ def q_pairs_confident(spark, sf_dir):
     return _job(spark, sf_dir).pairs
 
 
+def q_pairs_confident_pushed(spark, sf_dir):
+    """The same pairs with the confidence taken into the counting: baskets above the average size
+    are looked into for pairs only that may still reach it."""
+    job = _job(spark, sf_dir)
+    return affinity.confident_pairs_pushed(job.baskets, job.cfg.min_confidence, job.group_sales, job.cfg.percentile_t, small_groups=6)
+
+
 def q_sku_basket_counts(spark, sf_dir):
     return _job(spark, sf_dir).prod_views
 
@@ -158,7 +166,7 @@ def _published(spark, sf_dir, cfg: RunConfig, root: str | None = None, runs: int
     root = root or scratch_path(spark, "publish")
     job = pipeline.build(_sources(spark, sf_dir), cfg)
     for _ in range(runs):
-        master_id = publish.next_run_id(spark, cfg, root)
+        master_id = publish.reserve_run_id(spark, cfg, root)
         detail = publish.stamp_detail(job.ranked, master_id, cfg)
         steps = publish.publish if registered else publish.replace_table
         steps(spark, detail, job.lists, master_id, cfg, root, csv_targets=("QA",))
@@ -181,9 +189,9 @@ def q_ccg_published_csv(spark, sf_dir):
 
 
 def _archive_and_table(spark, root: str, cfg: RunConfig, archived: int) -> DataFrame:
-    out = spark.read.parquet(f"{root}/tables/{cfg.table_name}")
+    out = publish.read_table(spark, cfg, root)
     for n in range(1, archived + 1):
-        out = out.unionByName(spark.read.parquet(f"{root}/archive/{cfg.table_name}/master_id={n}"))
+        out = out.unionByName(publish.read_table(spark, cfg, root, master_id=n))
     return out
 
 
@@ -198,6 +206,35 @@ def q_publish_after_failed_registry(spark, sf_dir):
     return _archive_and_table(spark, _published(spark, sf_dir, cfg, runs=3, registered=False), cfg, 2)
 
 
+def q_publish_stopped_anywhere(spark, sf_dir):
+    """A first run, then one run after another that stops after each of the steps of publishing:
+    what a reader of the table then gets, a whole run's rows every time."""
+    cfg, root = fixture_config(), scratch_path(spark, "publish-stops")
+    job = pipeline.build(_sources(spark, sf_dir), cfg)
+    seen = None
+    for number, stop in enumerate((None, *publish.STEPS)):
+        master_id = publish.reserve_run_id(spark, cfg, root)
+        detail = publish.stamp_detail(job.ranked, master_id, cfg)
+        for step, _ in publish.publish_steps(spark, detail, job.lists, master_id, cfg, root, csv_targets=("QA",)):
+            if step == stop:
+                break
+        read = publish.read_table(spark, cfg, root).select(F.lit(number).alias("run"), F.lit(stop or "none").alias("stopped_after"), "MASTER_ID", "RECORD_ID", "SKU_X", "SKU_Y")
+        seen = read if seen is None else seen.unionByName(read)
+    return seen
+
+
+def q_publish_interleaved(spark, sf_dir):
+    """Two runs take their ids and publish at the same time, step by step in turn: each has its own
+    id, the rows of both remain."""
+    cfg, root = fixture_config(), scratch_path(spark, "publish-two")
+    job = pipeline.build(_sources(spark, sf_dir), cfg)
+    ids = [publish.reserve_run_id(spark, cfg, root) for _ in range(2)]
+    runs = [publish.publish_steps(spark, publish.stamp_detail(job.ranked, n, cfg), job.lists, n, cfg, root, csv_targets=("QA",)) for n in ids]
+    for _ in zip(*runs):
+        pass
+    return publish.read_table(spark, cfg, root, master_id=ids[0]).unionByName(publish.read_table(spark, cfg, root, master_id=ids[1]))
+
+
 def q_run_registry(spark, sf_dir):
     return spark.read.parquet(f"{_published(spark, sf_dir, fixture_config())}/model_master")
 
@@ -235,6 +272,47 @@ def q_check_outcomes(spark, sf_dir):
     return spark.createDataFrame([(name, outcome(case)) for name, case in cases.items()], "check_name string, outcome string")
 
 
+def q_guard_outcomes(spark, sf_dir):
+    """Frames with the checks in their plans, written from the test tables and from tables cut so
+    that a check must fail: what is raised, and whether the write was committed."""
+    src, cfg = fixture_sources(spark, sf_dir), fixture_config()
+    job, none = _job(spark, sf_dir), F.lit(False)
+    read = lambda **cut: quality.guard_sources(dataclasses.replace(src, **cut), cfg)
+    pulled = lambda s: clicks.pull_hits(s.hits, s.visit_sessions, cfg.window)
+    billed = lambda s: sales.sku_sales(s.invoices, s.products, cfg.window)
+    of_window = _sources(spark, sf_dir)  # has no day before the window
+    cases = {
+        "hits": pulled(read()),
+        "group_map_empty": pulled(read(prod_feature=src.prod_feature.where(F.col("size_grp") == "T"))),
+        "hits_short": pulled(read(hits=of_window.hits)),
+        "invoices": billed(read()),
+        "invoices_none": billed(read(invoices=src.invoices.where(F.col("amt") < -(10**12)))),
+        "sales": quality.guard_sales(job.pairs, job.sku_sales),
+        "sales_none": quality.guard_sales(job.pairs, job.sku_sales.where(none)),
+        "confidence": quality.guard_confidence(job.affinity.matrix),
+        "confidence_high": quality.guard_confidence(job.affinity.matrix.withColumn("confidence", F.col("confidence") + 1.0)),
+        "confidence_low": quality.guard_confidence(job.affinity.matrix.withColumn("confidence", -F.col("confidence"))),
+    }
+
+    def written(name: str, df: DataFrame) -> tuple[str, str, bool]:
+        path, outcome = scratch_path(spark, f"guard-{name}"), "passed"
+        try:
+            with quality.checks():
+                df.write.parquet(path)
+        except BasketError as error:
+            outcome = type(error).__name__
+        return name, outcome, exists(spark, f"{path}/_SUCCESS")
+
+    return spark.createDataFrame([written(*c) for c in cases.items()], "check_name string, outcome string, committed boolean")
+
+
+def q_run_report(spark, sf_dir):
+    """The counts of the checked run, all observed while its frames are written."""
+    _, _, report = pipeline.run(spark, fixture_sources(spark, sf_dir), fixture_config(), keep_frames=False)
+    names = ("pairs", "confidence_above_1", "confidence_below_0", "basket_rows", "sku_sales_rows", "published_rows")
+    return spark.createDataFrame([tuple(report[n] for n in names)], ", ".join(f"{n} bigint" for n in names))
+
+
 def q_coverage_check(spark, sf_dir):
     src = fixture_sources(spark, sf_dir)
     window = fixture_config().window
@@ -272,6 +350,34 @@ def q_permutation_threshold(spark, sf_dir):
     return significance.significance_threshold(q_permutation_null(spark, sf_dir), 0.05)
 
 
+#: Three positions of a window of five years: the second adds and retires a day, the third a month.
+WINDOW_POSITIONS = ((19950103, 20000103), (19950104, 20000104), (19950203, 20000203))
+
+
+def _daily(spark, sf_dir) -> str:
+    """The daily table of all hits, stored by day."""
+    src = fixture_sources(spark, sf_dir)
+    pulled = clicks.pull_hits(src.hits, src.visit_sessions, (0, 99999999), keep=("dt_key",))
+    return incremental.store_days(spark, incremental.daily_clicks(pulled, src.products, src.prod_feature))
+
+
+def q_window_positions(spark, sf_dir):
+    """The pair matrix of a window that moves twice, each time by signed counts of the sessions
+    that the added and retired days touch."""
+    daily, state, out = spark.read.parquet(_daily(spark, sf_dir)), None, None
+    for position, window in enumerate(WINDOW_POSITIONS):
+        state = incremental.move_state(state, daily, window) if state else incremental.build_state(daily, window)
+        matrix = incremental.state_matrix(state).select(F.lit(position).alias("position"), "*")
+        out = matrix if out is None else out.unionByName(matrix)
+    return out
+
+
+def q_window_clicks_by_day(spark, sf_dir):
+    """Clicks a day in the last position's first month, read from the folders of those days."""
+    days = incremental.read_days(spark, _daily(spark, sf_dir), (19950203, 19950303))
+    return days.groupBy("dt_key").agg(F.count(F.lit(1)).alias("clicks"), F.count_distinct("session_key").alias("sessions"))
+
+
 def _order_brands(spark, sf_dir, basket) -> DataFrame:
     lines = read_testdata(spark, sf_dir, "lineitem").select(basket.alias("basket_key"), "l_partkey")
     part = read_testdata(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -315,6 +421,11 @@ def q_day_part_matrix(spark, sf_dir):
     return affinity.pair_matrix(day_part_baskets(spark, sf_dir)).matrix
 
 
+def q_day_pairs_confident(spark, sf_dir):
+    """Confident pairs of parts on uncapped baskets; those above 16 parts hold nearly all pairs."""
+    return affinity.confident_pairs_pushed(day_part_baskets(spark, sf_dir), 0.1, small_groups=16)
+
+
 def q_clicks_stream(spark, sf_dir):
     """The click-cleaning step as a stream: the lines land in three parts, newest first, and
     each part is a micro-batch of its own (or several)."""
@@ -346,6 +457,7 @@ QUERIES: dict[str, Query] = {
     "pair_matrix": q_pair_matrix,
     "pair_matrix_selfjoin": q_pair_matrix_selfjoin,
     "pairs_confident": q_pairs_confident,
+    "pairs_confident_pushed": q_pairs_confident_pushed,
     "sku_basket_counts": q_sku_basket_counts,
     "sku_pairs_scored": q_sku_pairs_scored,
     "sku_topk": q_sku_topk,
@@ -356,8 +468,12 @@ QUERIES: dict[str, Query] = {
     "published_csv_roundtrip": q_published_csv_roundtrip,
     "ccg_published_csv": q_ccg_published_csv,
     "publish_after_failed_registry": q_publish_after_failed_registry,
+    "publish_stopped_anywhere": q_publish_stopped_anywhere,
+    "publish_interleaved": q_publish_interleaved,
     "run_job": q_run_job,
     "check_outcomes": q_check_outcomes,
+    "guard_outcomes": q_guard_outcomes,
+    "run_report": q_run_report,
     "archive_overwrite_roundtrip": q_archive_overwrite_roundtrip,
     "run_registry": q_run_registry,
     "coverage_check": q_coverage_check,
@@ -365,8 +481,11 @@ QUERIES: dict[str, Query] = {
     "permutation_null": q_permutation_null,
     "permutation_null_multi": q_permutation_null_multi,
     "permutation_threshold": q_permutation_threshold,
+    "window_positions": q_window_positions,
+    "window_clicks_by_day": q_window_clicks_by_day,
     "order_brand_matrix": q_order_brand_matrix,
     "month_part_matrix": q_month_part_matrix,
     "day_part_matrix": q_day_part_matrix,
+    "day_pairs_confident": q_day_pairs_confident,
     "clicks_stream": q_clicks_stream,
 }

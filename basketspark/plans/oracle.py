@@ -259,6 +259,12 @@ MATRIX_COLS = (
 )
 
 
+def window_ctes(lo: int, hi: int) -> str:
+    """The CTEs up to the pair matrix for another window."""
+    clicks = CLICK_CTES.replace(str(HI), str(hi)).replace(str(LO), str(lo))
+    return ",".join([FIXTURE_CTES, clicks, matrix_ctes("", "baskets")])
+
+
 def oracle_sql() -> dict[str, str]:
     q = {
         name: _with(f"SELECT * FROM {name}")
@@ -286,6 +292,7 @@ def oracle_sql() -> dict[str, str]:
         )
     }
     q["pair_matrix_selfjoin"] = q["pair_matrix"]
+    q["pairs_confident_pushed"] = q["pairs_confident"]
     q["sku_topk_full_expansion"] = q["sku_topk"]
     q["published_detail"] = _with(detail_select(1))
     q["published_csv_roundtrip"] = q["rec_lists"]
@@ -299,6 +306,15 @@ def oracle_sql() -> dict[str, str]:
        (SELECT count(*) FROM sku_topk) AS record_count"""
     )
     q["publish_after_failed_registry"] = _with(" UNION ALL ".join(f"SELECT * FROM ({detail_select(n)})" for n in (1, 2, 3)))
+    # Stops: none, after the rows are written, after the version is named, after the files, after the
+    # registry row. A run is read from the version's name on.
+    stops = [(0, "none", 1), (1, "rows", 1), (2, "version", 3), (3, "files", 4), (4, "registry", 5)]
+    q["publish_stopped_anywhere"] = _with(
+        " UNION ALL ".join(
+            f"SELECT {run} AS run, '{stop}' AS stopped_after, MASTER_ID, RECORD_ID, SKU_X, SKU_Y FROM ({detail_select(n)})" for run, stop, n in stops
+        )
+    )
+    q["publish_interleaved"] = q["archive_overwrite_roundtrip"]
     q["run_job"] = q["published_detail"]
     q["ccg_published_csv"] = _with("SELECT sku_X, coupon_X, sku_Y, coupon_Y, basket_count_XY, cvm_rank FROM ccg_ranked")
     q["sku_sales_fine"] = _with(
@@ -318,11 +334,38 @@ WHERE stk_type_cd <> 'D' AND l_shipdate >= DATE '1995-01-03' AND l_shipdate < DA
   UNION ALL SELECT 'division', 'XYZ' IN ('LSG', 'CCG'), 'InputNotValidError'
   UNION ALL SELECT 'start_date', try_cast('2001-13-01' AS DATE) IS NOT NULL, 'InputNotValidError')"""
     )
+    q["guard_outcomes"] = _with(
+        """SELECT check_name, CASE WHEN ok THEN 'passed' ELSE error END AS outcome, ok AS committed FROM (
+  SELECT 'hits' AS check_name, (SELECT min(dt_key) <= 19950102 AND max(dt_key) >= 20001231 FROM hits) AND EXISTS (SELECT 1 FROM group_map) AS ok, 'CoverageError' AS error
+  UNION ALL SELECT 'group_map_empty', EXISTS (SELECT 1 FROM prod_feature WHERE size_grp = 'T' AND size_grp <> 'T'), 'DataValidityError'
+  UNION ALL SELECT 'hits_short', (SELECT min(dt_key) <= 19950102 FROM hits WHERE dt_key >= 19950103 AND dt_key < 20010101), 'CoverageError'
+  UNION ALL SELECT 'invoices', (SELECT min(dt_key) <= 19950102 AND max(dt_key) >= 20001231 FROM invoices), 'CoverageError'
+  UNION ALL SELECT 'invoices_none', false, 'CoverageError'
+  UNION ALL SELECT 'sales', EXISTS (SELECT 1 FROM sales_viewed), 'OutputOutOfBoundError'
+  UNION ALL SELECT 'sales_none', false, 'OutputOutOfBoundError'
+  UNION ALL SELECT 'confidence', NOT EXISTS (SELECT 1 FROM pair_matrix WHERE confidence < 0 OR confidence > 1), 'OutputOutOfBoundError'
+  UNION ALL SELECT 'confidence_high', NOT EXISTS (SELECT 1 FROM pair_matrix WHERE confidence + 1 > 1), 'OutputOutOfBoundError'
+  UNION ALL SELECT 'confidence_low', NOT EXISTS (SELECT 1 FROM pair_matrix WHERE -confidence < 0), 'OutputOutOfBoundError')"""
+    )
+    q["run_report"] = _with(
+        """SELECT (SELECT count(*) FROM pair_matrix) AS pairs, (SELECT count(*) FROM pair_matrix WHERE confidence > 1.0) AS confidence_above_1,
+       (SELECT count(*) FROM pair_matrix WHERE confidence < 0.0) AS confidence_below_0, (SELECT count(*) FROM baskets) AS basket_rows,
+       (SELECT count(*) FROM sales_viewed) AS sku_sales_rows, (SELECT count(*) FROM sku_topk) AS published_rows"""
+    )
+    q["window_positions"] = " UNION ALL ".join(
+        f"SELECT {n} AS position, * FROM (WITH {window_ctes(lo, hi)}\nSELECT coupon_X, coupon_Y, basket_count_X, basket_count_Y, basket_count_XY, confidence, lift, support FROM pair_matrix)"
+        for n, (lo, hi) in enumerate(((19950103, 20000103), (19950104, 20000104), (19950203, 20000203)))
+    )
+    q["window_clicks_by_day"] = f"""WITH {window_ctes(0, 99999999)}
+SELECT CAST(year(time_stamp) * 10000 + month(time_stamp) * 100 + day(time_stamp) AS INTEGER) AS dt_key, count(DISTINCT (session_key, prod_id, coupon)) AS clicks,
+       count(DISTINCT session_key) AS sessions
+FROM clicks_grouped WHERE session_key IS NOT NULL AND time_stamp >= DATE '1995-02-03' AND time_stamp < DATE '1995-03-03' GROUP BY 1"""
     q["permutation_null_multi"] = _with(
         " UNION ALL ".join(f"SELECT {k} AS perm_id, {MATRIX_COLS} FROM perm{k or ''}_pair_matrix" for k in range(3))
     )
     q["month_part_matrix"] = _with("SELECT * FROM mp_pair_matrix")
     q["day_part_matrix"] = f"WITH {DAY_PART_CTES},{matrix_ctes('dp_', 'dp_baskets')}\nSELECT * FROM dp_pair_matrix"
+    q["day_pairs_confident"] = f"WITH {DAY_PART_CTES},{matrix_ctes('dp_', 'dp_baskets')}\nSELECT * FROM dp_pair_matrix WHERE confidence >= 0.1"
     q["coverage_check"] = _with(
         """SELECT 'hits' AS table_name, CAST(min(dt_key) AS BIGINT) AS min_key, CAST(max(dt_key) AS BIGINT) AS max_key,
        CAST(19950102 AS BIGINT) AS required_lo, CAST(20001231 AS BIGINT) AS required_hi,

@@ -20,14 +20,18 @@ log = logging.getLogger("basketspark")
 class Job:
     """The frames of one job. Each is built when it is first asked for, with what it needs
     and nothing else. With ``pin`` the reused ones are written once to the shared
-    checkpoint folder."""
+    checkpoint folder and ``counts`` has their rows, counted as they are written. With
+    ``guards`` the checks are part of the plans, which fail before they commit."""
 
-    def __init__(self, sources: Sources, cfg: RunConfig, pin: bool = True):
-        self.sources, self.cfg, self.pin = sources, cfg, pin
+    def __init__(self, sources: Sources, cfg: RunConfig, pin: bool = True, guards: bool = False):
+        self.sources, self.cfg, self.pin, self.guards = sources, cfg, pin, guards
+        self.counts: dict[str, int] = {}
+        if guards:
+            self.sources = quality.guard_sources(sources, cfg)
 
     @cached_property
     def _clicks(self):
-        return clicks.build_clicks(self.sources, self.cfg.window, self.cfg.max_groups_per_basket, self.pin)
+        return clicks.build_clicks(self.sources, self.cfg.window, self.cfg.max_groups_per_basket, self.pin, self.counts)
 
     @property
     def baskets(self) -> DataFrame:
@@ -53,7 +57,7 @@ class Job:
     def _sales(self):
         cfg = self.cfg
         return sales.build_sales(
-            self.sources, cfg.window, self.viewed, self.keys, cfg.exclude_discontinued_sales, cfg.sales_group_join, self.pin
+            self.sources, cfg.window, self.viewed, self.keys, cfg.exclude_discontinued_sales, cfg.sales_group_join, self.pin, self.counts
         )
 
     @property
@@ -70,6 +74,7 @@ class Job:
         if not self.pin:
             return aff, None
         matrix, observed = quality.observe_confidence(aff.matrix)  # counted while it is written
+        matrix = quality.guard_confidence(matrix) if self.guards else matrix
         return dataclasses.replace(aff, matrix=materialize(matrix, "pair-matrix")), observed
 
     @property
@@ -97,7 +102,10 @@ class Job:
     @cached_property
     def ranked(self) -> DataFrame:
         """The ranked SKU pairs as they are published: numbered and written once."""
-        return publish.number_records(self.unnumbered) if self.pin else self.unnumbered
+        rows = self.unnumbered
+        if self.guards and self.cfg.division == "LSG":
+            rows = quality.guard_sales(rows, self.sku_sales)
+        return publish.number_records(rows, self.counts) if self.pin else rows
 
     def output_rows(self, ranked: DataFrame) -> DataFrame:
         """What the files hold: a joined list per SKU, or (CCG) the ranked rows themselves."""
@@ -108,9 +116,9 @@ class Job:
         return self.output_rows(self.ranked)
 
 
-def build(sources: Sources, cfg: RunConfig, pin: bool = True) -> Job:
-    """The job's frames (no checks, no publishing)."""
-    return Job(sources, cfg, pin)
+def build(sources: Sources, cfg: RunConfig, pin: bool = True, guards: bool = False) -> Job:
+    """The job's frames (no publishing; checks with ``guards`` only)."""
+    return Job(sources, cfg, pin, guards)
 
 
 def check_coverage(sources: Sources, cfg: RunConfig) -> None:
@@ -129,14 +137,16 @@ def run(
 ) -> tuple[Job | None, DataFrame | None, dict]:
     """Validate, compute and (with ``out_root``) publish. Returns job, detail, report.
 
-    Checks run where the original job ran them: coverage and the group map before any
-    heavy work, empty sales before the pair matrix, confidence bounds after it. Without
-    ``keep_frames`` what the run wrote to the checkpoint folder is deleted at its end,
+    The checks are in the plans: coverage and the group map in those that read the hits and
+    the invoices, the confidence bounds in the pair matrix, the sales in the ranked rows. All
+    counts of the report are observed while frames are written. Without ``keep_frames`` what
+    the run wrote to the checkpoint folder is deleted at its end,
     whether it succeeds or not, and no frames are returned.
     """
     with recorded_scratch() as written:
         try:
-            job, detail, report = _run(spark, sources, cfg, out_root)
+            with quality.checks():
+                job, detail, report = _run(spark, sources, cfg, out_root)
             return (job, detail, report) if keep_frames else (None, None, report)
         finally:
             if not keep_frames:
@@ -144,25 +154,18 @@ def run(
 
 
 def _run(spark: SparkSession, sources: Sources, cfg: RunConfig, out_root: str | None):
-    if cfg.check_coverage:
-        check_coverage(sources, cfg)
-    quality.require_not_empty_map(sources.prod_feature)
-    job = build(sources, cfg)
+    job = build(sources, cfg, guards=True)
     if cfg.division == "LSG":
-        quality.require_sales(job.sku_sales)
+        job.sku_sales  # written before the pair matrix, its rows counted on the way
+        quality.check_sales(job.counts)
     job.affinity
     report = dict(job.confidence_obs.get)
-    quality.check_confidence(report)
-    # Row counts for the run log: the frames are written tables, so these read little.
-    report.update(
-        basket_rows=job.baskets.count(),
-        sku_sales_rows=job.sku_sales.count(),
-        published_rows=job.ranked.count(),
-    )
-    master_id = publish.next_run_id(spark, cfg, out_root) if out_root is not None else 1
+    job.ranked
+    report.update(basket_rows=job.counts["baskets"], sku_sales_rows=job.counts["sku-sales"], published_rows=job.counts["index"])
+    master_id = publish.reserve_run_id(spark, cfg, out_root) if out_root is not None else 1
     detail = publish.stamp_detail(job.ranked, master_id, cfg)
     report["master_id"] = master_id
     if out_root is not None:
-        report["paths"] = publish.publish(spark, detail, job.lists, master_id, cfg, out_root)
+        report["paths"], _ = publish.publish(spark, detail, job.lists, master_id, cfg, out_root)
     log.info("run %s: %s", cfg, report)
     return job, detail, report

@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 _RECORDS: list[list[str]] = []
 
@@ -69,13 +71,51 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move a folder to a name that must not exist, in the file system of the folder."""
-    fs, p = _file_system(spark, source)
-    to = spark._jvm.org.apache.hadoop.fs.Path(target)
-    fs.mkdirs(to.getParent())
-    if fs.exists(to) or not fs.rename(p, to):
-        raise OSError(f"cannot move {source} to {target}")
+def create_exclusive(spark: SparkSession, path: str, text: str = "") -> bool:
+    """Create a small file that must not exist; False if another one was first.
+
+    On a local disk the file is linked into place, elsewhere it is created without overwriting,
+    which shared file systems do for one writer only.
+    """
+    fs, p = _file_system(spark, path)
+    jvm = spark._jvm
+    raw = bytearray(text.encode())
+    try:
+        if p.toUri().getScheme() in (None, "file"):
+            files, nio = jvm.java.nio.file.Files, jvm.java.io.File
+            target = nio(p.toUri().getPath()).toPath()
+            files.createDirectories(target.getParent(), spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0))
+            draft = nio(f"{target.getParent()}/.{uuid.uuid4().hex}").toPath()
+            files.write(draft, raw, spark.sparkContext._gateway.new_array(jvm.java.nio.file.OpenOption, 0))
+            try:
+                files.createLink(target, draft)  # whole at once, or not at all
+            finally:
+                files.delete(draft)
+            return True
+        out = fs.create(p, False)
+        out.write(raw)
+        out.close()
+        return True
+    except Py4JJavaError as error:
+        if fs.exists(p):
+            return False
+        raise error
+
+
+def list_files(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, sorted; none if the folder does not exist."""
+    fs, p = _file_system(spark, folder)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, p = _file_system(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
 
 
 def discard(spark: SparkSession, paths: list[str]) -> None:
@@ -85,14 +125,28 @@ def discard(spark: SparkSession, paths: list[str]) -> None:
         fs.delete(p, True)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+@contextlib.contextmanager
+def counted(df: DataFrame, counts: dict[str, int] | None, name: str) -> Iterator[DataFrame]:
+    """The frame with its rows counted while it is written inside the block; the count is in
+    ``counts`` afterwards (no counting where that is None)."""
+    if counts is None:
+        yield df
+        return
+    seen = Observation(f"{name}-{uuid.uuid4().hex[:8]}")
+    yield df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    counts[name] = seen.get["rows"]
+
+
+def materialize(df: DataFrame, name: str, counts: dict[str, int] | None = None) -> DataFrame:
     """Write the frame once as parquet below the shared checkpoint root and read it back.
 
     Cuts the lineage (a lost executor re-reads files instead of replaying the plan) and
     keeps later plans small. Unlike an eager ``checkpoint()`` the input is computed once.
+    With ``counts`` the rows are counted on the way, under the frame's name.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with counted(df, counts, name) as rows:
+        rows.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
