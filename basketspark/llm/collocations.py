@@ -8,12 +8,15 @@ into words. Everything is counted per language.
    are one word shorter may be frequent (the Apriori rule), which a bitmap of the hashes that
    reached ``min_count`` tells. Equal hashes or bits of different phrases only let more through,
    so no frequent phrase is lost.
-2. The phrases themselves at the places that are left are the candidates, each once.
-3. Candidates are dealt by hash to shards of at most about ``SHARD_BYTES`` of text. A shard becomes
-   a double-array trie over bytes in one task and is broadcast; every task starts at the root of
-   its language at all word beginnings of a chunk, advances all states by one byte a step with
-   numpy, drops those without a transition, and bincounts the accepting states that end a word.
-   Spark sums the counts of all chunks. These counts are exact: bytes are compared, not hashes.
+2. The phrases themselves at the places that are left are the candidates, each once (inside a
+   batch they are told by 128 bits).
+3. Candidates are dealt by a hash of their first word to shards of about ``SHARD_BYTES`` of text (a
+   first word with more phrases than that is split further). A shard becomes a double-array trie
+   over bytes in one task, the ends that only one phrase has as plain bytes behind it, and is
+   broadcast; every task starts at the root of its language at all words of a chunk whose hash is
+   the shard's, advances all states by one byte a step with numpy, drops those without a
+   transition, and bincounts the accepting states that end a word. Spark sums the counts of all
+   chunks. These counts are exact: bytes are compared, not hashes.
 
 The bitmap is bounded by ``MOST_BITS``, a shard by ``SHARD_BYTES``; more candidates mean more
 shards, one after another, never larger ones. Scores are exact in 38-digit decimals.
@@ -35,11 +38,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketspark.llm.text import mix, pinned, range_keys, renamed, slices
+from basketspark.llm.text import joined_keys, mix, pinned, range_keys, renamed, slices
 
 UNKNOWN = "und"
 #: Text bytes of the candidates in one shard, about, and bits of the largest bitmap.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 12 << 20
 MOST_BITS = 1 << 30
 _LEAST_BITS, _BLOCK_BITS, _BITS_EACH = 1 << 22, 1 << 18, 64
 _SPACE, _BREAK = 32, 10
@@ -61,6 +64,7 @@ class Chunk:
         edge = np.flatnonzero(np.diff(gap, prepend=True))
         self.data, self.begin, self.end = data, edge[::2], edge[1::2]
         self.piece = np.cumsum(data == _BREAK)[self.begin]
+        self.own: list[np.ndarray] = []
 
     def phrases(self, words: int) -> np.ndarray:
         """Numbers of the words at which a phrase of so many words of one piece begins."""
@@ -69,13 +73,19 @@ class Chunk:
             return np.zeros(0, np.int64)
         return np.flatnonzero(self.piece[:n] == self.piece[words - 1 :][:n])
 
-    def hashes(self, lang: str, words: int) -> np.ndarray:
+    def words(self, lane: int = 0) -> np.ndarray:
+        """A hash of each word, worked out once."""
+        if len(self.own) <= lane:
+            self.own = range_keys(self.data, self.begin, self.end, lane + 1)
+        return self.own[lane]
+
+    def hashes(self, lang: str, words: int, lane: int = 0) -> np.ndarray:
         """A hash of the phrase of so many words at each word (whatever follows a piece's end)."""
-        own = range_keys(self.data, self.begin, self.end)[0]
+        own = self.words(lane)
         start = np.uint64(int.from_bytes(lang.encode()[:8].ljust(8), "little") ^ (words * 0x9E3779B97F4A7C15 & 2**64 - 1))
         h = mix(own ^ start)
         for k in range(1, words):
-            h = mix(h[: len(own) - k] + own[k:] * np.uint64(0x9E3779B97F4A7C15)) if len(own) > k else h[:0]
+            h = joined_keys(h[: max(0, len(own) - k)], own[k:], lane)
         return h
 
     def texts(self, at: np.ndarray, words: int) -> list[bytes]:
@@ -137,39 +147,54 @@ def _able(chunk: Chunk, lang: str, words: int, maps: list[Bitmap]) -> np.ndarray
 
 
 def _hash_counts(texts: DataFrame, words: int, maps: list) -> DataFrame:
-    """(lang, h, n): how often each hash of a phrase of so many words occurs in a batch."""
+    """(h, n): how often each hash of a phrase of so many words (and its language) occurs in a batch."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [m.value for m in maps]
         for batch in batches:
-            per_lang: dict[str, list[np.ndarray]] = {}
-            for lang, chunk in _by_language(batch):
-                per_lang.setdefault(lang, []).append(chunk.hashes(lang, words)[_able(chunk, lang, words, known)])
-            for lang, found in per_lang.items():
-                h, n = np.unique(np.concatenate(found), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "h", "n"])
+            found = [chunk.hashes(lang, words)[_able(chunk, lang, words, known)] for lang, chunk in _by_language(batch)]
+            h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+
+    return texts.mapInArrow(rows, "h long, n long")
+
+
+def _word_totals(texts: DataFrame) -> DataFrame:
+    """(lang, n): words in all."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = [(lang, len(chunk.begin)) for lang, chunk in _by_language(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in n], pa.string()), pa.array([x[1] for x in n], pa.int64())], names=["lang", "n"])
 
-    return texts.mapInArrow(rows, "lang string, h long, n long")
+    return texts.mapInArrow(rows, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
 
 
 def _candidates(texts: DataFrame, maps: list) -> DataFrame:
-    """(lang, words, phrase: binary): the distinct phrases that may be frequent."""
+    """(lang, words, first, phrase: binary): the distinct phrases that may be frequent, first being
+    a hash of the first word."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [m.value for m in maps]
         for batch in batches:
+            seen: dict[tuple[str, int], np.ndarray] = {}
             for lang, chunk in _by_language(batch):
                 for words, able in enumerate(known, 1):
                     at = _able(chunk, lang, words, known)
                     h = chunk.hashes(lang, words)[at]
-                    at, h = at[able.has(h)], h[able.has(h)]
-                    # One place of each phrase: different phrases of one hash are told by their bytes.
-                    _, first, which = np.unique(h, return_index=True, return_inverse=True)
-                    phrases = chunk.texts(at, words)
-                    found = sorted(set(phrases)) if any(p != phrases[first[w]] for p, w in zip(phrases, which.tolist())) else [phrases[i] for i in first.tolist()]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array([words] * len(found), pa.int32()), pa.array(found, pa.binary())], names=["lang", "words", "phrase"])
+                    at = at[able.has(h)]
+                    keys = np.stack([chunk.hashes(lang, words, lane)[at] for lane in (0, 1)], axis=1)
+                    both = np.ascontiguousarray(keys).view("V16").ravel()
+                    _, one = np.unique(both, return_index=True)
+                    if (lang, words) in seen:
+                        one = one[~np.isin(both[one], seen[lang, words], assume_unique=True)]
+                    before = seen.get((lang, words), both[:0])
+                    seen[lang, words] = np.concatenate([before, both[one]])
+                    at = at[one]
+                    columns = [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), words), pa.int32()), pa.array(chunk.words()[at].view(np.int64))]
+                    yield pa.RecordBatch.from_arrays([*columns, pa.array(chunk.texts(at, words), pa.binary())], names=["lang", "words", "first", "phrase"])
 
-    return texts.mapInArrow(rows, "lang string, words int, phrase binary").distinct()
+    return texts.mapInArrow(rows, "lang string, words int, first long, phrase binary").distinct()
 
 
 # --- double-array tries ---
@@ -177,26 +202,47 @@ def _candidates(texts: DataFrame, maps: list) -> DataFrame:
 
 class Trie:
     """Phrases as bytes: the child of state s by byte c is base[s] + c if check there says s.
-    ``accept`` has the number of the phrase that ends at a state, or -1."""
-
-    def __init__(self, base: np.ndarray, check: np.ndarray, accept: np.ndarray, roots: dict[str, int], phrases: int):
-        self.base, self.check, self.accept, self.roots, self.phrases = base, check, accept, roots, phrases
-
-    def counts(self, lang: str, chunk: Chunk) -> np.ndarray:
-        """Occurrences of each phrase: all beginnings of words advance together, byte by byte."""
-        out = np.zeros(self.phrases + 1, np.int64)
+    ``accept`` has the number of the phrase that ends at a state. Where one phrase only is left,
+    its number is in ``alone`` and its other bytes are compared with ``text``, in which all phrases
+    stand one after another, phrase n from ``place[n]`` on."""
+
+    def __init__(self, base: np.ndarray, check: np.ndarray, accept: np.ndarray, alone: np.ndarray, depth: np.ndarray, phrases: list[bytes], roots: dict[str, int]):
+        self.base, self.check, self.accept, self.alone, self.depth, self.roots = base, check, accept, alone, depth, roots
+        self.count = len(phrases)
+        self.text = np.frombuffer(b"\n".join(phrases) + b"\n", np.uint8)  # a break ends a phrase
+        self.place = np.concatenate([[0], np.cumsum([len(p) + 1 for p in phrases])[:-1]]).astype(np.int32)
+
+    def counts(self, lang: str, chunk: Chunk, at: np.ndarray) -> np.ndarray:
+        """Occurrences of each phrase at the words beginning at ``at``: all of them advance
+        together, byte by byte."""
+        out = np.zeros(self.count + 1, np.int64)
         if lang not in self.roots:
             return out[:-1]
-        at = chunk.begin
         state = np.full(len(at), self.roots[lang], np.int32)
         gap = (chunk.data == _SPACE) | (chunk.data == _BREAK)
         last = len(self.check) - 1
-        while len(at):
-            to = np.minimum(self.base[state] + chunk.data[at], last)
-            on = np.flatnonzero(self.check[to] == state)
-            state, at = to[on], at[on] + 1
-            ended = gap[at]  # a text ends with a break
-            out += np.bincount(self.accept[state[ended]], minlength=self.phrases + 1)
+        number, byte, place = (np.zeros(0, np.int32) for _ in range(3))  # of phrases that are alone
+        while len(at) or len(place):
+            if len(at):
+                single = self.alone[state]
+                on = np.flatnonzero(single >= 0)
+                if len(on):
+                    n = single[on]
+                    number, place = np.concatenate([number, n]), np.concatenate([place, at[on].astype(np.int32)])
+                    byte = np.concatenate([byte, self.place[n] + self.depth[state[on]]])
+                    on = np.flatnonzero(single < 0)
+                    state, at = state[on], at[on]
+                to = np.minimum(self.base[state] + chunk.data[at], last)
+                on = np.flatnonzero(self.check[to] == state)
+                state, at = to[on], at[on] + 1
+                ended = gap[at]  # a text ends with a break
+                out += np.bincount(self.accept[state[ended]], minlength=self.count + 1)
+            if len(place):
+                wanted = self.text[byte]
+                done = wanted == _BREAK
+                out += np.bincount(number[done & gap[place]], minlength=self.count + 1)
+                on = np.flatnonzero(~done & (wanted == chunk.data[place]))
+                number, byte, place = number[on], byte[on] + 1, place[on] + 1
             # A break has no transition, and nothing is read beyond the last one.
         return out[:-1]
 
@@ -227,10 +273,14 @@ def build_trie(langs: list[str], phrases: list[bytes]) -> Trie:
         level.append((free, begin, end, 0))
         begin, free = end, free + 1
     ends: dict[int, int] = {}
+    alone: dict[int, tuple[int, int]] = {}  # state -> the only phrase left, bytes read
     wide = top = free
     while level:
         after: list[tuple[int, int, int, int]] = []
         for state, lo, hi, depth in level:
+            if hi - lo == 1 and depth:
+                alone[state] = lo, depth
+                continue
             if len(phrases[lo]) == depth:
                 ends[state] = lo
                 lo += 1
@@ -287,27 +337,41 @@ def build_trie(langs: list[str], phrases: list[bytes]) -> Trie:
     check_a[states] = [p for _, p in placed.values()]
     accept_a[np.fromiter(ends, np.int64, len(ends))] = list(ends.values())
     accept_a[accept_a < 0] = len(phrases)  # counted and thrown away
-    return Trie(base_a, check_a, accept_a, roots, len(phrases))
+    alone_a, depth_a = np.full(size, -1, np.int32), np.zeros(size, np.int32)
+    lonely = np.fromiter(alone, np.int64, len(alone))
+    alone_a[lonely] = [n for n, _ in alone.values()]
+    depth_a[lonely] = [d for _, d in alone.values()]
+    return Trie(base_a, check_a, accept_a, alone_a, depth_a, phrases, roots)
+
+
+_ARRAYS = ("base", "check", "accept", "alone", "depth")
 
 
 def _shard_rows(frame: pd.DataFrame) -> pd.DataFrame:
     """One shard's trie. The phrases' numbers are their positions in the order of language, bytes."""
     order = sorted(zip(frame["lang"], map(bytes, frame["phrase"])))
     trie = build_trie([x[0] for x in order], [x[1] for x in order])
-    cells = [[a.tobytes()] for a in (trie.base, trie.check, trie.accept)]
+    cells = {c: [getattr(trie, c).tobytes()] for c in _ARRAYS}
     roots = ",".join(f"{lang.encode().hex()}:{state}" for lang, state in trie.roots.items())
-    return pd.DataFrame({"shard": frame["shard"].iloc[:1], "base": cells[0], "check": cells[1], "accept": cells[2], "roots": [roots], "phrases": [trie.phrases]})
+    return pd.DataFrame({"part": frame["part"].iloc[:1], "shard": frame["shard"].iloc[:1], **cells, "phrases": [trie.text.tobytes()], "roots": [roots]})
+
+
+def _trie_of(row) -> Trie:
+    roots = {bytes.fromhex(a).decode(): int(b) for a, b in (x.split(":") for x in row["roots"].split(","))}
+    arrays = [np.frombuffer(bytes(row[c]), np.int32) for c in _ARRAYS]
+    return Trie(*arrays, bytes(row["phrases"])[:-1].split(b"\n"), roots)
 
 
-def _shard_counts(texts: DataFrame, shard: int, trie) -> DataFrame:
+def _shard_counts(texts: DataFrame, part: int, parts: int, shard: int, trie) -> DataFrame:
     """(shard, number, n) of the phrases of one shard, per batch."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = trie.value
         for batch in batches:
-            total = np.zeros(known.phrases, np.int64)
+            total = np.zeros(known.count, np.int64)
             for lang, chunk in _by_language(batch):
-                total += known.counts(lang, chunk)
+                at = chunk.begin if parts == 1 else chunk.begin[(chunk.words() >> np.uint64(1)) % np.uint64(parts) == part]
+                total += known.counts(lang, chunk, at)
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard), pa.int32()), pa.array(some.astype(np.int32)), pa.array(total[some])], names=["shard", "number", "n"])
 
@@ -320,29 +384,34 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     spark = docs.sparkSession
     src = renamed(docs, {lang: "lang", text: "text"})
     src = src.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-    maps, totals = [], None
+    maps = []
     for words in range(1, max_words + 1):
-        counts = _hash_counts(src, words, maps).groupBy("lang", "h").agg(F.sum("n").alias("n"))
-        if words == 1:
-            counts = pinned(counts, "word-hashes")
-            totals = counts.groupBy("lang").agg(F.sum("n").alias("n"))
-        frequent = pinned(counts.where(F.col("n") >= min_count).select("h").distinct(), "frequent-hashes")
+        counts = _hash_counts(src, words, maps).groupBy("h").agg(F.sum("n").alias("n"))
+        frequent = pinned(counts.where(F.col("n") >= min_count).select("h"), "frequent-hashes")
         maps.append(spark.sparkContext.broadcast(bitmap_of(frequent)))
     found = pinned(_candidates(src, maps), "phrase-candidates")
     size = found.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
-    n_shards = -(-size // SHARD_BYTES)
-    shard = F.pmod(F.xxhash64("lang", "phrase"), F.lit(max(n_shards, 1))).cast("int").alias("shard")
-    dealt = found.select("lang", "words", "phrase", shard)
-    tries = pinned(dealt.groupBy("shard").applyInPandas(_shard_rows, "shard int, base binary, check binary, accept binary, roots string, phrases int"), "tries")
+    parts = max(1, -(-size // SHARD_BYTES))  # parts of the first words
+    # A part that some first words make larger is several shards.
+    part = F.pmod(F.shiftrightunsigned("first", 1), F.lit(parts)).cast("int").alias("part")
+    placed = found.select("lang", "words", "phrase", part)
+    each = placed.groupBy("part").agg(F.ceil(F.sum(F.octet_length("phrase")) / F.lit(2 * SHARD_BYTES)).cast("int").alias("pieces"))
+    many = {r["part"]: r["pieces"] for r in each.where("pieces > 1").collect()}  # at most as many as shards
+    pieces = F.coalesce(F.create_map(*[F.lit(x) for kv in many.items() for x in kv])[F.col("part")], F.lit(1)) if many else F.lit(1)
+    first = np.concatenate([[0], np.cumsum([many.get(p, 1) for p in range(parts)])]).tolist()
+    begins = F.lit(0) if not many else F.element_at(F.array(*map(F.lit, first)), F.col("part") + 1)
+    number = F.col("part") if not many else begins + F.pmod(F.xxhash64("phrase"), pieces)
+    dealt = placed.select("lang", "words", "phrase", "part", number.cast("int").alias("shard"))
+    schema = "part int, shard int, " + ", ".join(f"{c} binary" for c in (*_ARRAYS, "phrases")) + ", roots string"
+    tries = pinned(dealt.groupBy("shard").applyInPandas(_shard_rows, schema), "tries") if size else None
     counted = None
-    for s in range(n_shards):
-        row = tries.where(F.col("shard") == s).first()  # one shard: bounded
+    for shard in range(first[-1] if size else 0):
+        row = tries.where(F.col("shard") == shard).first()  # one shard: bounded
         if row is None:
             continue
-        roots = {bytes.fromhex(a).decode(): int(b) for a, b in (x.split(":") for x in row["roots"].split(","))}
-        arrays = [np.frombuffer(bytes(row[c]), np.int32) for c in ("base", "check", "accept")]
-        sent = spark.sparkContext.broadcast(Trie(*arrays, roots, row["phrases"]))
-        some = pinned(_shard_counts(src, s, sent).groupBy("shard", "number").agg(F.sum("n").alias("f")).where(F.col("f") >= min_count), "shard-counts")
+        sent = spark.sparkContext.broadcast(_trie_of(row))
+        sums = _shard_counts(src, row["part"], parts, shard, sent).groupBy("shard", "number").agg(F.sum("n").alias("f"))
+        some = pinned(sums.where(F.col("f") >= min_count), "shard-counts")
         sent.destroy()
         counted = some if counted is None else counted.unionByName(some)
     for m in maps:
@@ -350,7 +419,7 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     if counted is None:
         counted = spark.createDataFrame([], "shard int, number int, f long")
     numbered = dealt.groupBy("shard").applyInPandas(_number_rows, "shard int, number int, lang string, words int, phrase string")
-    return pinned(numbered.join(counted, ["shard", "number"]).select("lang", "words", "phrase", "f"), "phrase-counts"), totals
+    return pinned(numbered.join(counted, ["shard", "number"]).select("lang", "words", "phrase", "f"), "phrase-counts"), _word_totals(src)
 
 
 def _number_rows(frame: pd.DataFrame) -> pd.DataFrame:

@@ -108,7 +108,7 @@ def chatter():
 PHRASE = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-@pytest.mark.parametrize("shard_bytes", [6 << 20, 400])
+@pytest.mark.parametrize("shard_bytes", [12 << 20, 3000])
 def test_collocations(spark, monkeypatch, shard_bytes):
     monkeypatch.setattr(collocations, "SHARD_BYTES", shard_bytes)
     df = clashing(spark.createDataFrame(chatter(), "lang string, text string").repartition(3))
@@ -135,8 +135,9 @@ def test_trie_against_a_dictionary():
             words = [w for w in words if w]
             count.update(b" ".join(words[i : i + k]) for k in (1, 2, 3) for i in range(len(words) - k + 1))
     trie = collocations.build_trie(["de"] * 3 + ["en"] * len(phrases), phrases[:3] + phrases)
-    assert trie.counts("en", collocations.Chunk(texts)).tolist() == [0, 0, 0] + [count[p] for p in phrases]
-    assert trie.counts("fr", collocations.Chunk(texts)).sum() == 0
+    chunk = collocations.Chunk(texts)
+    assert trie.counts("en", chunk, chunk.begin).tolist() == [0, 0, 0] + [count[p] for p in phrases]
+    assert trie.counts("fr", chunk, chunk.begin).sum() == 0
 
 
 # --- 13 ---
