@@ -1,11 +1,14 @@
 """From group pairs to ranked SKU recommendations.
 
 confident_pairs -> (expand_to_skus -> rank_top_k)  or  top_k_pruned -> rec_lists
+                or  factorise -> write_factorised / read_factorised -> expand
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import dataclasses
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -116,6 +119,61 @@ def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: i
     return rank_top_k(expanded, k)
 
 
+@dataclasses.dataclass(frozen=True)
+class Factorised:
+    """The ranked SKU pairs as two tables. SKUs that sit in the same groups have the same
+    candidates in the same ranks, so the ranks are held once for all of them: the tables grow
+    with the groups' candidates and with the SKUs, not with their product."""
+
+    ranks: DataFrame  # class_sku, and all columns of a ranked pair but those of SKU X
+    members: DataFrame  # class_sku, coupon_key_X, sku_X, sku_basket_count_X, sku_sales_X
+
+    def expand(self) -> DataFrame:
+        """The ranked pairs, as ``rank_expanded`` gives them."""
+        rows = self.ranks.join(self.members, ["class_sku", "coupon_key_X"])
+        return rows.select(*SKU_PAIR_COLUMNS, "cvm_rank")
+
+    def of_sku(self, sku: str) -> DataFrame:
+        """The ranked pairs of one viewed SKU; only its own rows are expanded."""
+        return dataclasses.replace(self, members=self.members.where(F.col("sku_X") == sku)).expand()
+
+
+def factorise(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K) -> Factorised:
+    """Ranks for one SKU, the smallest, of each class of SKUs that sit in the same groups.
+
+    A class is told by the number of its groups and two sums of 64-bit hashes of their keys. A
+    SKU's groups are those that are X of some pair.
+    """
+    able = prod_views.join(pairs.select(F.col("coupon_key_X").alias("coupon_key")).distinct(), ["coupon_key"], "left_semi")
+    digest = lambda seed: F.expr(f"bit_xor(xxhash64({seed}, coupon_key))")
+    per_sku = able.groupBy("prod_id").agg(F.count(F.lit(1)).alias("n"), digest(1).alias("h1"), digest(2).alias("h2"))
+    classes = per_sku.groupBy("n", "h1", "h2").agg(F.min("prod_id").alias("class_sku"))
+    named = per_sku.join(classes, ["n", "h1", "h2"]).select("prod_id", "class_sku")
+    of_class = able.join(classes.select(F.col("class_sku").alias("prod_id")), ["prod_id"], "left_semi")
+    cand = _with_sku(pairs, prod_views, sales, "Y").withColumn("cvm_score", cvm_score("sku_basket_count_Y", "confidence"))
+    side = of_class.select(F.col("coupon_key").alias("coupon_key_X"), F.col("prod_id").alias("sku_X"))
+    ranked = rank_top_k(cand.join(side, ["coupon_key_X"]), k)
+    own = [c for c in SKU_PAIR_COLUMNS if c not in ("sku_X", "sku_basket_count_X", "sku_sales_X")]
+    members = able.join(named, ["prod_id"]).join(sales.select("prod_id", F.col("sales").alias("sku_sales_X")), ["prod_id"], "left")
+    zero = F.lit(0).cast(sales.schema["sales"].dataType)
+    return Factorised(
+        ranks=ranked.select(F.col("sku_X").alias("class_sku"), *own, "cvm_rank"),
+        members=members.select(
+            "class_sku", F.col("coupon_key").alias("coupon_key_X"), F.col("prod_id").alias("sku_X"),
+            F.col("sku_basket_count").alias("sku_basket_count_X"), F.coalesce("sku_sales_X", zero).alias("sku_sales_X"),
+        ),
+    )
+
+
+def write_factorised(found: Factorised, path: str) -> None:
+    found.ranks.write.parquet(f"{path}/ranks")
+    found.members.write.parquet(f"{path}/members")
+
+
+def read_factorised(spark: SparkSession, path: str) -> Factorised:
+    return Factorised(spark.read.parquet(f"{path}/ranks"), spark.read.parquet(f"{path}/members"))
+
+
 def rec_lists(ranked: DataFrame) -> DataFrame:
     """(sku_X, recs): recommended SKUs joined by '|', in rank order then SKU."""
     ordered = F.array_sort(F.collect_list(F.struct("cvm_rank", "sku_Y")))

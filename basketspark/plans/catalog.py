@@ -151,6 +151,14 @@ def q_ccg_ranked(spark, sf_dir):
     return _job(spark, sf_dir, division="CCG").unnumbered
 
 
+def q_ccg_factorised(spark, sf_dir):
+    """The second division's ranked rows from their stored form: ranks held once for all SKUs of the
+    same groups, and the SKUs; expanded when they are read."""
+    job, path = _job(spark, sf_dir, division="CCG"), scratch_path(spark, "factorised")
+    recommend.write_factorised(recommend.factorise(job.pairs, job.prod_views, job.sku_sales, None), path)
+    return recommend.read_factorised(spark, path).expand()
+
+
 def q_rec_lists(spark, sf_dir):
     job = _job(spark, sf_dir)
     return job.output_rows(job.unnumbered)
@@ -464,6 +472,7 @@ QUERIES: dict[str, Query] = {
     "sku_topk_full_expansion": q_sku_topk_full_expansion,
     "rec_lists": q_rec_lists,
     "ccg_ranked": q_ccg_ranked,
+    "ccg_factorised": q_ccg_factorised,
     "published_detail": q_published_detail,
     "published_csv_roundtrip": q_published_csv_roundtrip,
     "ccg_published_csv": q_ccg_published_csv,

@@ -314,6 +314,7 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT {run} AS run, '{stop}' AS stopped_after, MASTER_ID, RECORD_ID, SKU_X, SKU_Y FROM ({detail_select(n)})" for run, stop, n in stops
         )
     )
+    q["ccg_factorised"] = q["ccg_ranked"]
     q["publish_interleaved"] = q["archive_overwrite_roundtrip"]
     q["run_job"] = q["published_detail"]
     q["ccg_published_csv"] = _with("SELECT sku_X, coupon_X, sku_Y, coupon_Y, basket_count_XY, cvm_rank FROM ccg_ranked")
