@@ -3,7 +3,8 @@
 The words of the whole text (ASCII lower case, letters and digits) are numbered, and runs of
 words are compared with licence templates wherever they begin, so a notice is found inside a
 longer line, in a comment block or over several lines: Dice = 2 |A and B| / (|A| + |B|) over
-sets of word bigrams. A best run begins and ends with a bigram of the template; a template is
+bags of word bigrams (A and B: the places of the run that hold a bigram of the template, the
+template's length at most). A best run begins and ends with a bigram of the template; a template is
 looked at only in texts that hold as many of its bigrams as the threshold needs, and only where
 so many of them lie within the longest run that the threshold allows.
 
@@ -13,9 +14,14 @@ by the clause on endorsement that follows it, and stands for both where no claus
 runs that overlap, a template keeps those of the largest Dice, and of different licences the one
 with most common bigrams (then Dice) stays, ties both.
 
-The templates are a parameter of fixed size. Each row is worked on by itself; only finds are shuffled.
+"All rights reserved." says nothing beside a licence: ``proprietary`` is reported only where
+nothing else is found.
 
-Defined cases: a null or empty text has no licence; repeated rows and ids give their rows again;
+The templates are a parameter of fixed size. A text's bigrams are gone through once, each hit
+looking no further than the longest run; choosing among overlapping runs and finding their lines is
+done on rows of finds, sorted by place, so the work grows with the text and its finds.
+
+Defined cases: a null or empty text has no licence; a text of any length is scanned whole; repeated rows and ids give their rows again;
 of equal finds of a licence in a document the earliest unit is reported; a text of one word has
 no bigram and matches nothing; a run is at most (2 - t) / t times as long as its template, counted
 in words; an empty table gives an empty result; other columns are ignored.
@@ -28,6 +34,9 @@ import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from basketspark.llm.text import pinned
 
 THRESHOLD = 0.8
 
@@ -65,10 +74,25 @@ SIBLINGS = (
     *((f"CC-{short}-4.0", f"Licensed under CC {short} 4.0.") for short in ("BY", "BY-SA", "BY-ND", "BY-NC-SA", "BY-NC-ND")),
     *((f"CC-{short}-4.0", f"This work is licensed under a Creative Commons Attribution-{long} 4.0 International License.") for short, long in (("BY-ND", "NoDerivatives"), ("BY-NC-SA", "NonCommercial-ShareAlike"), ("BY-NC-ND", "NonCommercial-NoDerivatives"))),
     ("BSD-2-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
+    ("Zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain."),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"),
+    ("EPL-1.0", "All rights reserved. This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work."),
+    ("CC0-1.0", "This work is dedicated to the public domain under CC0 1.0 Universal."),
+    ("OFL-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    *((name, f"SPDX-License-Identifier: {name}") for name in (
+        "MIT", "Apache-2.0", "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+        "LGPL-3.0-or-later", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "ISC", "Zlib", "Unlicense", "BSL-1.0", "EPL-1.0", "EPL-2.0",
+        "CC0-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-NC-4.0", "OFL-1.1",
+    )),
 )
+PROPRIETARY = "proprietary"
 #: Words that tell licences apart, besides numbers: a run holds those of its template, and no
 #: variant that the template does not have.
-NAMES = ("mit", "apache", "gnu", "mozilla", "creative", "cc", "reserved")
+NAMES = ("mit", "apache", "gnu", "mozilla", "creative", "cc", "reserved", "zlib", "boost", "eclipse", "cc0", "isc", "bsd", "bsl", "epl", "mpl", "ofl", "gpl", "lgpl", "agpl", "unlicense", "only", "later")
 VARIANTS = ("lesser", "library", "affero", "noncommercial", "nc", "sharealike", "sa", "noderivatives", "noderivs", "nd")
 #: The BSD licences begin alike: three clauses have the second word within so many words, two
 #: only the first.
@@ -77,7 +101,7 @@ CLAUSE_WORDS = 160
 
 
 def _words(text: Column) -> Column:
-    return F.split(F.lower(text), "[^a-z0-9]+")
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
 
 
 def _known(templates, threshold: float) -> list[dict]:
@@ -88,12 +112,12 @@ def _known(templates, threshold: float) -> list[dict]:
         b = list(dict.fromkeys(f"{x} {y}" for x, y in zip(words, words[1:])))
         if b:
             # Dice >= t needs |A and B| >= t / (2 - t) |B|, and |A| <= (2 - t) / t |B|.
-            need = math.ceil(threshold / (2 - threshold) * len(b) - 1e-9)
+            need = math.ceil(threshold / (2 - threshold) * (len(words) - 1) - 1e-9)
             longest = int((2 - threshold) / threshold * (len(words) - 1) + 1e-9)
             tell = sorted({w for w in words if w.isdigit() or w in NAMES + VARIANTS})
             clauses = {"BSD-2-Clause": 2, "BSD-3-Clause": 3}.get(license_, 0) if "redistribution" in words else 0
             others = [w for w in VARIANTS if w not in words]
-            out.append({"license": license_, "b": b, "need": max(need, 1), "longest": longest, "tell": tell, "others": others, "clauses": clauses})
+            out.append({"license": license_, "b": b, "size": len(words) - 1, "least": math.ceil(threshold / (2 - threshold) * len(b) - 1e-9), "need": max(need, 1), "longest": longest, "tell": tell, "others": others, "clauses": clauses})
     return out
 
 
@@ -119,9 +143,10 @@ def _overlap(a: Column, b: Column) -> Column:
     return (a["begin"] <= b["stop"]) & (b["begin"] <= a["stop"])
 
 
-def _runs(k: Column, hits: Column, threshold: float) -> Column:
-    """The finds of the template ``k`` in a text, whose pairs of words at ``hits`` are the template's."""
-    pairs, words = F.col("pairs"), F.col("words")
+def _runs(text: Column, k: Column, hits: Column, threshold: float) -> Column:
+    """The finds of the template ``k`` in a text (its ``words`` and ``pairs``), whose pairs of words
+    at ``hits`` are the template's. All arrays are bound, so a slice costs its own length."""
+    pairs, words = text["pairs"], text["words"]
 
     def right(a, b):
         held = F.slice(words, a + 1, b - a + 2)
@@ -130,14 +155,15 @@ def _runs(k: Column, hits: Column, threshold: float) -> Column:
         clauses = F.when(k["clauses"] == 3, three | ~two).when(k["clauses"] == 2, ~three).otherwise(F.lit(True))
         return (F.size(F.array_except(k["tell"], held)) == 0) & ~F.arrays_overlap(held, k["others"]) & clauses
 
-    def scored(a, b):
-        sized = _let(F.array_distinct(F.slice(pairs, a + 1, b - a + 1)), lambda s: F.struct(F.size(s).alias("n"), F.size(F.array_intersect(s, k["b"])).alias("both")))
-        dice = lambda x: 2.0 * x["both"] / (x["n"] + F.size(k["b"]))
-        return _let(sized, lambda x: F.struct(dice(x).alias("dice"), (-a).alias("early"), (-b).alias("short"), x["both"].alias("shared"), a.alias("begin"), b.alias("stop"), k["license"].alias("license")))
+    def scored(a, i, b, j):
+        shared = F.least(k["need"] + j, k["size"])  # hits from the i-th on
+        dice = 2.0 * shared / (b - a + 1 + k["size"])
+        found = F.struct(dice.alias("dice"), (-a).alias("early"), (-b).alias("short"), shared.alias("shared"), a.alias("begin"), b.alias("stop"), k["license"].alias("license"))
+        return F.when((b - a < k["longest"]) & (dice >= threshold), found)
 
     def best(a, i):
-        ends = F.filter(F.slice(hits, i + k["need"], k["longest"]), lambda b: (b - a < k["longest"]) & right(a, b))
-        return F.array_max(F.filter(F.transform(ends, lambda b: scored(a, b)), lambda x: x["dice"] >= threshold))
+        ends = F.transform(F.slice(hits, i + k["need"], k["longest"]), lambda b, j: scored(a, i, b, j))
+        return F.array_max(F.filter(ends, lambda x: x.isNotNull() & right(a, x["stop"])))
 
     found = F.transform(hits, lambda a, i: F.when(F.get(hits, i + k["need"] - 1) - a < k["longest"], best(a, i)))
 
@@ -158,11 +184,32 @@ def _best_licenses(runs: Column) -> Column:
     return F.when(several, taken).otherwise(ranked)
 
 
-def _part_of(counts: Column, word: Column) -> Column:
-    """The number of the part that holds the word, the parts having ``counts`` words."""
-    state = lambda left, at: F.struct(left.cast("int").alias("left"), at.cast("int").alias("at"))
-    step = lambda s, c: F.when(s["left"] >= c, state(s["left"] - c, s["at"] + 1)).otherwise(state(F.lit(-1), s["at"]))
-    return F.aggregate(counts, state(word, F.lit(0)), step)["at"]
+def _places(found: DataFrame) -> DataFrame:
+    """(row, pos, line, before, several, lines): where each line of a text begins, in words; the
+    paragraphs of several lines before its own, and whether its own is one; lines in all."""
+    parts = found.select("row", F.posexplode(F.split("t", "\n[ \t\r]*\n", -1)).alias("p", "part")).select("row", "p", F.split("part", "\n", -1).alias("lines"))
+    so_far = Window.partitionBy("row").orderBy("p").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy("row")
+    several = F.size("lines") > 1
+    parts = parts.select(
+        "row", "lines", several.alias("several"), F.coalesce(F.sum(several.cast("int")).over(so_far), F.lit(0)).alias("before"),
+        F.coalesce(F.sum(F.size("lines") + 1).over(so_far), F.lit(0)).alias("first"), (F.sum(F.size("lines") + 1).over(whole) - 1).alias("all"),
+    )
+    lines = parts.select("row", "several", "before", "first", "all", F.posexplode("lines").alias("i", "line")).select(
+        "row", "several", "before", "all", (F.col("first") + F.col("i")).alias("line"), F.size(_words(F.col("line"))).alias("n"))
+    until = Window.partitionBy("row").orderBy("line").rowsBetween(Window.unboundedPreceding, -1)
+    return lines.select("row", F.coalesce(F.sum("n").over(until), F.lit(0)).alias("pos"), F.struct("line", "before", "several", "all").alias("place"))
+
+
+def _kept_runs(found: DataFrame) -> DataFrame:
+    """(row, shared, dice, begin, stop, license): of overlapping runs the best licence's. Runs
+    that don't overlap, directly or through others, are chosen apart from each other."""
+    each = found.select("row", F.explode("runs").alias("r")).select("row", "r.*")
+    order = Window.partitionBy("row").orderBy("begin", "stop")
+    reached = F.max("stop").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    island = F.sum((F.col("begin") > F.coalesce(reached, F.lit(-1))).cast("int")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    met = each.withColumn("island", island).groupBy("row", "island").agg(F.collect_list(F.struct("dice", "early", "short", "shared", "begin", "stop", "license")).alias("runs"))
+    return met.select("row", F.explode(_best_licenses(F.col("runs"))).alias("f")).select("row", "f.*")
 
 
 def scan_licenses(docs: DataFrame, templates=TEMPLATES + SIBLINGS, threshold: float = THRESHOLD, doc_id="doc_id", text="text") -> DataFrame:
@@ -174,23 +221,28 @@ def scan_licenses(docs: DataFrame, templates=TEMPLATES + SIBLINGS, threshold: fl
     every = sorted({b for k in known for b in k["b"]})
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     rows = _once(docs.select(F.col(f"`{doc_id}`").alias("doc_id"), t.alias("t")), words=_words(F.col("t")))
-    # Of the words only the first and the last can be empty, and no template has such a pair.
     rows = _once(rows, pairs=F.transform("words", lambda w, i: F.concat(w, F.lit(" "), F.get(F.col("words"), i + 1))))
     rows = _once(rows, at=F.filter(F.transform("pairs", lambda p, i: F.when(p.isin(every), i)), lambda i: i.isNotNull()))
-    rows = _once(rows, held=F.array_distinct(F.transform("at", lambda i: F.get(F.col("pairs"), i))))
-    able = F.filter(_literal(known), lambda k: F.size(F.array_intersect(k["b"], F.col("held"))) >= k["need"])
+    rows = _once(rows.where(F.size("at") > 0), held=F.array_distinct(F.transform("at", lambda i: F.get(F.col("pairs"), i))))
+    able = F.filter(_literal(known), lambda k: F.size(F.array_intersect(k["b"], F.col("held"))) >= k["least"])
     rows = _once(rows, able=able).where(F.size("able") > 0)
-    hits = lambda k: F.filter(F.col("at"), lambda i: F.array_contains(k["b"], F.get(F.col("pairs"), i)))
-    rows = _once(rows, runs=F.flatten(F.transform("able", lambda k: _let(hits(k), lambda h: _runs(k, h, threshold))))).where(F.size("runs") > 0)
-    counts = lambda parts: F.transform(parts, lambda p: F.size(F.filter(_words(p), lambda w: w != "")))
-    lines, paragraphs = F.split("t", "\n", -1), F.split("t", "\n[ \t\r]*\n", -1)
-    several = F.transform(paragraphs, lambda p: F.contains(p, F.lit("\n")))
-    lead = (F.col("words")[0] == "").cast("int")
-    rows = _once(rows, lines=counts(lines), paragraphs=counts(paragraphs), several=several, lead=lead, kept=_best_licenses(F.col("runs")))
-    finds = rows.withColumn("row", F.monotonically_increasing_id()).select("*", F.explode("kept").alias("f"))
-    first, last = (_part_of(F.col("lines"), w - F.col("lead")) for w in (F.col("f.begin"), F.col("f.stop") + 1))
-    finds = _once(finds, first=first, last=last, paragraph=_part_of(F.col("paragraphs"), F.col("f.begin") - F.col("lead")))
-    before = F.size(F.filter(F.slice("several", 1, F.col("paragraph")), lambda x: x))
-    unit = F.when((F.col("first") < F.col("last")) & F.get("several", F.col("paragraph")), F.size("lines") + before).otherwise(F.col("first"))
-    best = finds.select("row", "doc_id", "f.license", "f.dice", unit.alias("unit")).groupBy("row", "doc_id", "license").agg(F.max(F.struct("dice", (-F.col("unit")).alias("u"))).alias("m"))
-    return best.select("doc_id", "license", (-F.col("m.u")).cast("int").alias("unit"), F.col("m.dice").alias("dice"))
+    plain = lambda c: F.transform(c, lambda x: x)
+    of = lambda x, k: F.filter(x["at"], lambda i: F.array_contains(k["b"], F.get(x["pairs"], i)))
+    bound = F.struct(plain("words").alias("words"), plain("pairs").alias("pairs"), plain("at").alias("at"))
+    runs = _let(bound, lambda x: F.flatten(F.transform("able", lambda k: _let(of(x, k), lambda h: _runs(x, k, h, threshold)))))
+    rows = _once(rows.select("doc_id", "t", "words", "pairs", "at", "able"), runs=runs).where(F.size("runs") > 0)
+    found = pinned(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "t", "runs"), "license-runs")
+    finds = _kept_runs(found).withColumn("find", F.struct("license", "dice", "begin", "stop"))
+    # Lines and finds in the order of their words: a word is on the last line that began before it.
+    asked = finds.select("row", "find", F.explode(F.array(F.struct(F.col("begin").alias("pos"), F.lit(1).alias("end")), F.struct((F.col("stop") + 1).alias("pos"), F.lit(2).alias("end")))).alias("a"))
+    asked = asked.select("row", F.col("a.pos").cast("long").alias("pos"), F.lit(None).alias("place"), F.col("a.end").alias("end"), "find")
+    places = _places(found).select("row", F.col("pos").cast("long").alias("pos"), "place", F.lit(0).alias("end"), F.lit(None).alias("find"))
+    order = Window.partitionBy("row").orderBy("pos", F.col("end") > 0, "place.line").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    told = places.unionByName(asked).withColumn("at", F.last("place", ignorenulls=True).over(order)).where("end > 0")
+    ends = told.groupBy("row", "find").agg(F.max(F.when(F.col("end") == 1, F.col("at"))).alias("a"), F.max(F.when(F.col("end") == 2, F.col("at.line"))).alias("last"))
+    unit = F.when((F.col("a.line") < F.col("last")) & F.col("a.several"), F.col("a.all") + F.col("a.before")).otherwise(F.col("a.line"))
+    best = ends.groupBy("row", F.col("find.license").alias("license")).agg(F.max(F.struct(F.col("find.dice").alias("dice"), (-unit).alias("u"))).alias("m"))
+    others = Window.partitionBy("row")
+    best = best.withColumn("open", F.max(F.col("license") != PROPRIETARY).over(others)).where((F.col("license") != PROPRIETARY) | ~F.col("open"))
+    named = best.join(found.select("row", "doc_id"), "row")
+    return named.select("doc_id", "license", (-F.col("m.u")).cast("int").alias("unit"), F.col("m.dice").alias("dice"))

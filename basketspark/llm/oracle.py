@@ -71,7 +71,8 @@ x AS (SELECT doc_id, unit, len(a) AS size_a, unnest(a) AS bigram FROM ub),
 s AS (SELECT doc_id, unit, license, template, 2.0::DOUBLE * count(*) / (size_a + size_b) AS dice
   FROM x JOIN ti USING (bigram) GROUP BY doc_id, unit, license, template, size_a, size_b),
 r AS (SELECT *, row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, unit) AS n FROM s WHERE dice >= 0.8)
-SELECT doc_id, license, CAST(unit AS INTEGER) AS unit, dice FROM r WHERE n = 1
+SELECT doc_id, license, CAST(unit AS INTEGER) AS unit, dice FROM r
+WHERE n = 1 AND (license <> 'proprietary' OR doc_id NOT IN (SELECT doc_id FROM r WHERE license <> 'proprietary'))
 """
 
 #: kind, rank, role, strong, least length, pattern, further condition on the value.

@@ -290,3 +290,38 @@ def neighbours(texts):
         changed = piecewise(edited)
         out.append((len(t), sha(edited), prints[i], changed, likeness(prints[i], changed), likeness(prints[i], prints[j])))
     return out
+
+
+def licenses(text, known, clauses, clause_words, threshold=0.8):
+    """(license, dice) of the finds that stay in a text; known: what the operator asks of a run."""
+    words = re.findall("[a-z0-9]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text))
+    pairs = [f"{a} {b}" for a, b in zip(words, words[1:])]
+    runs = []
+    for k in known:
+        if len(set(pairs) & set(k["b"])) < k["least"]:
+            continue
+        hits, found = [i for i, p in enumerate(pairs) if p in k["b"]], []
+        for n, a in enumerate(hits):
+            best = None
+            for shared, b in enumerate(hits[n + k["need"] - 1 :], k["need"]):
+                held, ahead = words[a : b + 2], words[b + 2 : b + 2 + clause_words]
+                two, three = (c in ahead for c in clauses)
+                fits = not set(k["tell"]) - set(held) and not set(held) & set(k["others"])
+                fits = fits and (k["clauses"] != 3 or three or not two) and (k["clauses"] != 2 or not three)
+                if b - a < k["longest"] and fits:
+                    shared = min(shared, k["size"])
+                    run = 2.0 * shared / (b - a + 1 + k["size"]), -a, -b, shared, a, b, k["license"]
+                    best = max(best or run, run) if run[0] >= threshold else best
+            found += [best] if best else []
+        over = lambda x, y: x[4] <= y[5] and y[4] <= x[5]
+        runs += [r for r in found if not any(over(o, r) and o > r for o in found)]
+    kept = []
+    for r in sorted(runs, key=lambda r: (r[3], r[0], r[4], r[5], r[6]), reverse=True):
+        if not any(o[6] != r[6] and over(o, r) and (o[3] > r[3] or o[0] > r[0]) for o in kept):
+            kept.append(r)
+    best = {}
+    for r in kept:
+        best[r[6]] = max(best.get(r[6], 0), r[0])
+    if len(best) > 1:
+        best.pop("proprietary", None)
+    return sorted(best.items())

@@ -194,7 +194,7 @@ def test_licenses_inside_longer_lines_and_comment_blocks(spark):
     lines = block.count("\n") + 1
     assert licenses_of(spark, made) == [
         (0, "proprietary", 0, 1.0), (1, "MIT", 1, 1.0), (2, "MIT", 0, 1.0), (3, "MIT", lines, 1.0), (4, "MIT", lines + 2, 1.0),
-        (5, "CC-BY-NC-4.0", 0, 1.0), (5, "proprietary", 0, 1.0),
+        (5, "CC-BY-NC-4.0", 0, 1.0),  # the rights reserved say nothing beside a licence
     ]
 
 
@@ -402,6 +402,48 @@ def test_merges_equal_the_libraries():
     assert [x.tolist() for x in words.encode(made)] == [e.ids for e in library.encode_batch(made, add_special_tokens=False)]
 
 
+def test_licenses_equal_the_plain_rule(spark):
+    """Runs, siblings, overlaps and clauses: whole and damaged notices in any order and nearness."""
+    rnd = random.Random(17)
+    bodies = [t for _, t in licenses.TEMPLATES + licenses.SIBLINGS]
+    made = ["", "MIT", "Copyright (c) 2020, Acme. All rights reserved.\n\n" + dict(licenses.TEMPLATES)["BSD-3-Clause"] + "\n1. ... this disclaimer.\n3. Neither ... endorse or promote"]
+    for _ in range(40):
+        parts = []
+        for _ in range(rnd.randint(1, 4)):
+            words = rnd.choice(bodies).split()
+            words = [w for w in words if rnd.random() > rnd.choice([0, 0, 0.03, 0.1])]
+            parts.append(" ".join(words) if rnd.random() < 0.6 else "\n".join(" ".join(words[i : i + 7]) for i in range(0, len(words), 7)))
+            parts.append(" ".join(rnd.choice(["word", "the", "license", "disclaimer", "endorse", "2.0"]) for _ in range(rnd.choice([0, 1, 5, 40]))))
+        made.append(rnd.choice([" ", "\n", "\n\n", ". "]).join(parts))
+    known = licenses._known(licenses.TEMPLATES + licenses.SIBLINGS, licenses.THRESHOLD)
+    got = {}
+    for r in licenses.scan_licenses(spark.createDataFrame(list(enumerate(made)), "doc_id int, text string").repartition(4)).collect():
+        got.setdefault(r.doc_id, []).append((r.license, r.dice))
+    for i, t in enumerate(made):
+        assert sorted(got.get(i, [])) == brute.licenses(t, known, licenses.CLAUSES, licenses.CLAUSE_WORDS), t
+    assert [x for x, _ in got[2]] == ["BSD-3-Clause"]
+
+
+def test_license_tags_and_further_licenses(spark):
+    made = ["// SPDX-License-Identifier: MIT", "# SPDX-License-Identifier: GPL-2.0-or-later", "/* SPDX-License-Identifier: BSD-3-Clause */", "This is free and unencumbered software released into the public domain.",
+            "SPDX-License-Identifier: LGPL-2.1-only", "SPDX-License-Identifier: Apache-2.0", "Distributed under the Boost Software License, Version 1.0."]
+    assert [(i, x) for i, x, *_ in licenses_of(spark, made)] == list(enumerate(["MIT", "GPL-2.0-or-later", "BSD-3-Clause", "Unlicense", "LGPL-2.1-only", "Apache-2.0", "BSL-1.0"]))
+
+
+def test_dense_notices_take_time_in_proportion(spark):
+    import time
+
+    body = next(t for n, t in licenses.TEMPLATES if n == "GPL-3.0" and len(t) > 100)
+    took = []
+    for n in (50, 500, 5000):  # the largest has 1.3 MB
+        text = "\n\n".join(f"File {i}\n{body}\nint x{i};" for i in range(n))
+        begin = time.time()
+        (found,) = licenses.scan_licenses(spark.createDataFrame([(1, text)], "doc_id int, text string")).collect()
+        took.append(time.time() - begin)
+        assert found.license == "GPL-3.0" and found.dice == 1.0
+    assert took[2] < 12 * took[1] + 20
+
+
 def test_dense_secrets_take_time_in_proportion(spark):
     """Texts of which every line has five finds: scanned and blanked, at two sizes."""
     import time
