@@ -65,6 +65,7 @@ class Chunk:
         self.data, self.begin, self.end = data, edge[::2], edge[1::2]
         self.piece = np.cumsum(data == _BREAK)[self.begin]
         self.own: list[np.ndarray] = []
+        self.made: dict[tuple[int, int], np.ndarray] = {}
 
     def phrases(self, words: int) -> np.ndarray:
         """Numbers of the words at which a phrase of so many words of one piece begins."""
@@ -75,18 +76,22 @@ class Chunk:
 
     def words(self, lane: int = 0) -> np.ndarray:
         """A hash of each word, worked out once."""
-        if len(self.own) <= lane:
+        if len(self.own) <= lane:  # both are made if the second is asked for
             self.own = range_keys(self.data, self.begin, self.end, lane + 1)
         return self.own[lane]
 
     def hashes(self, lang: str, words: int, lane: int = 0) -> np.ndarray:
-        """A hash of the phrase of so many words at each word (whatever follows a piece's end)."""
-        own = self.words(lane)
-        start = np.uint64(int.from_bytes(lang.encode()[:8].ljust(8), "little") ^ (words * 0x9E3779B97F4A7C15 & 2**64 - 1))
-        h = mix(own ^ start)
-        for k in range(1, words):
-            h = joined_keys(h[: max(0, len(own) - k)], own[k:], lane)
-        return h
+        """A hash of the phrase of so many words at each word (whatever follows a piece's end),
+        worked out once, from those of one word less."""
+        if (words, lane) not in self.made:
+            own = self.words(lane)
+            if words == 1:
+                h = mix(own ^ np.uint64(int.from_bytes(lang.encode()[:8].ljust(8), "little")))
+            else:
+                n = max(0, len(own) - words + 1)
+                h = joined_keys(self.hashes(lang, words - 1, lane)[:n], own[words - 1 :], lane)
+            self.made[words, lane] = h
+        return self.made[words, lane]
 
     def texts(self, at: np.ndarray, words: int) -> list[bytes]:
         raw = self.data.tobytes()
@@ -179,6 +184,7 @@ def _candidates(texts: DataFrame, maps: list) -> DataFrame:
         for batch in batches:
             seen: dict[tuple[str, int], np.ndarray] = {}
             for lang, chunk in _by_language(batch):
+                chunk.words(1)
                 for words, able in enumerate(known, 1):
                     at = _able(chunk, lang, words, known)
                     h = chunk.hashes(lang, words)[at]
