@@ -29,6 +29,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -258,37 +259,39 @@ _TRIES = 16  # places looked at for a state's children before they are put behin
 
 def build_trie(langs: list[str], phrases: list[bytes]) -> Trie:
     """The trie of phrases sorted by language and bytes, breadth first."""
-    roots, base, check, accept = {}, [0], [-2], [-1]
-    used = bytearray(1)
+    # Flat arrays, not objects a state: a shard has millions of states.
+    roots: dict[str, int] = {}
+    used, base, check = bytearray(1), array("i", [0]), array("i", [-1])
+    ends, alone = (array("i"), array("i")), (array("i"), array("i"), array("i"))  # states, phrases, bytes read
 
     def room(size: int) -> None:
         if size > len(used):
-            more = max(size, 2 * len(used)) - len(used)
+            more = max(size, len(used) + len(used) // 2) - len(used)
             used.extend(bytes(more))
+            base.frombytes(bytes(4 * more))
+            check.frombytes(b"\xff" * (4 * more))
 
-    level: list[tuple[int, int, int, int]] = []  # state, first and last phrase of it, depth
-    placed: dict[int, tuple[int, int]] = {}  # state -> (base, parent)
+    def note(lists: tuple[array, ...], *values: int) -> None:
+        for one, value in zip(lists, values):
+            one.append(value)
+
+    level = array("i"), array("i"), array("i")  # states, and the first and last phrase of each
     free = 1
     begin = 0
     for lang in sorted(set(langs)):
         end = begin + langs.count(lang)
         room(free + 1)
-        used[free] = 1
+        used[free], check[free] = 1, -2
         roots[lang] = free
-        placed[free] = (0, -2)
-        level.append((free, begin, end, 0))
+        note(level, free, begin, end)
         begin, free = end, free + 1
-    ends: dict[int, int] = {}
-    alone: dict[int, tuple[int, int]] = {}  # state -> the only phrase left, bytes read
     wide = top = free
-    while level:
-        after: list[tuple[int, int, int, int]] = []
-        for state, lo, hi, depth in level:
-            if hi - lo == 1 and depth:
-                alone[state] = lo, depth
-                continue
+    depth = 0
+    while level[0]:
+        after = array("i"), array("i"), array("i")
+        for state, lo, hi in zip(*level):
             if len(phrases[lo]) == depth:
-                ends[state] = lo
+                note(ends, state, lo)
                 lo += 1
             if lo == hi:
                 continue
@@ -330,24 +333,24 @@ def build_trie(langs: list[str], phrases: list[bytes]) -> Trie:
             elif place == free or place < least + _TRIES:
                 free = max(free, used.find(0, free))
             top = max(top, at + children[-1] + 1)
-            placed[state] = (at, placed[state][1])
+            base[state] = at
             for c, a, b in zip(children, cuts, cuts[1:]):
-                used[at + c] = 1
-                placed[at + c] = (0, state)
-                after.append((at + c, a, b, depth + 1))
+                used[at + c], check[at + c] = 1, state
+                if b - a == 1:
+                    note(alone, at + c, a, depth + 1)
+                else:
+                    note(after, at + c, a, b)
         level = after
-    size = max(placed) + 2
-    base_a, check_a, accept_a = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
-    states = np.fromiter(placed, np.int64, len(placed))
-    base_a[states] = [b for b, _ in placed.values()]
-    check_a[states] = [p for _, p in placed.values()]
-    accept_a[np.fromiter(ends, np.int64, len(ends))] = list(ends.values())
-    accept_a[accept_a < 0] = len(phrases)  # counted and thrown away
+        depth += 1
+    del used
+    size = top + 1
+    flat = lambda a: np.frombuffer(a, np.int32) if len(a) else np.zeros(0, np.int32)
+    accept = np.full(size, len(phrases), np.int32)  # counted there and thrown away
+    accept[flat(ends[0])] = flat(ends[1])
     alone_a, depth_a = np.full(size, -1, np.int32), np.zeros(size, np.int32)
-    lonely = np.fromiter(alone, np.int64, len(alone))
-    alone_a[lonely] = [n for n, _ in alone.values()]
-    depth_a[lonely] = [d for _, d in alone.values()]
-    return Trie(base_a, check_a, accept_a, alone_a, depth_a, phrases, roots)
+    alone_a[flat(alone[0])] = flat(alone[1])
+    depth_a[flat(alone[0])] = flat(alone[2])
+    return Trie(flat(base)[:size], flat(check)[:size], accept, alone_a, depth_a, phrases, roots)
 
 
 _ARRAYS = ("base", "check", "accept", "alone", "depth")
