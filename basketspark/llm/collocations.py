@@ -8,10 +8,10 @@ into words. Everything is counted per language.
    are one word shorter may be frequent (the Apriori rule), which a bitmap of the hashes that
    reached ``min_count`` tells. Equal hashes or bits of different phrases only let more through,
    so no frequent phrase is lost.
-2. The phrases themselves at the places that are left are the candidates, each once (inside a
-   batch they are told by 128 bits).
-3. Candidates are dealt by a hash of their first word to shards of about ``SHARD_BYTES`` of text (a
-   first word with more phrases than that is split further). A shard becomes a double-array trie
+2. The phrases themselves at the places that are left are the candidates, each once (what a task
+   gave lately is told by 128 bits).
+3. Candidates are dealt by a hash of their first word's first bytes to shards of about ``SHARD_BYTES`` of text (a
+   hash with more phrases than that is split further). A shard becomes a double-array trie
    over bytes in one task, the ends that only one phrase has as plain bytes behind it, and is
    broadcast; every task starts at the root of its language at all words of a chunk whose hash is
    the shard's, advances all states by one byte a step with numpy, drops those without a
@@ -30,16 +30,18 @@ empty result; other columns are ignored.
 from __future__ import annotations
 
 from array import array
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from basketspark.llm.text import joined_keys, mix, pinned, range_keys, renamed, slices
+from basketspark.llm.text import head_keys, joined_keys, mix, pinned, range_keys, renamed, slices
 
 UNKNOWN = "und"
 #: Text bytes of the candidates in one shard, about, and bits of the largest bitmap.
@@ -60,11 +62,11 @@ class Chunk:
         joined = b"\n".join(t.lower().translate(_SEPARATORS) for t in texts) + b"\n"  # bytes.lower() changes A-Z only
         data = np.frombuffer(joined, np.uint8)
         blank = data == _SPACE
-        data = data[~(blank & np.concatenate([[False], blank[:-1]]))]
+        data = np.delete(data, np.flatnonzero(blank[1:] & blank[:-1]))
         gap = (data == _SPACE) | (data == _BREAK)
         edge = np.flatnonzero(np.diff(gap, prepend=True))
         self.data, self.begin, self.end = data, edge[::2], edge[1::2]
-        self.piece = np.cumsum(data == _BREAK)[self.begin]
+        self.piece = np.cumsum(data == _BREAK, dtype=np.int32)[self.begin]
         self.own: list[np.ndarray] = []
         self.made: dict[tuple[int, int], np.ndarray] = {}
 
@@ -81,6 +83,10 @@ class Chunk:
             self.own = range_keys(self.data, self.begin, self.end, lane + 1)
         return self.own[lane]
 
+    def heads(self) -> np.ndarray:
+        """A hash of the first bytes of each word, by which phrases are dealt to shards."""
+        return head_keys(self.data, self.begin, self.end)
+
     def hashes(self, lang: str, words: int, lane: int = 0) -> np.ndarray:
         """A hash of the phrase of so many words at each word (whatever follows a piece's end),
         worked out once, from those of one word less."""
@@ -153,52 +159,61 @@ def _able(chunk: Chunk, lang: str, words: int, maps: list[Bitmap]) -> np.ndarray
 
 
 def _hash_counts(texts: DataFrame, words: int, maps: list) -> DataFrame:
-    """(h, n): how often each hash of a phrase of so many words (and its language) occurs in a batch."""
+    """(lang, h, n): how often each hash of a phrase of so many words (and its language) occurs in a
+    batch, lang being null; and for single words, h being null, the words of each language in all."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [m.value for m in maps]
+        names = ["lang", "h", "n"]
         for batch in batches:
-            found = [chunk.hashes(lang, words)[_able(chunk, lang, words, known)] for lang, chunk in _by_language(batch)]
-            h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=["h", "n"])
+            found, totals = [np.zeros(0, np.uint64)], Counter()
+            for lang, chunk in _by_language(batch):
+                found.append(chunk.hashes(lang, words)[_able(chunk, lang, words, known)])
+                totals[lang] += len(chunk.begin)
+            h, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=names)
+            if words == 1:
+                some = {lang: n for lang, n in totals.items() if n}
+                yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.string()), pa.nulls(len(some), pa.int64()), pa.array(list(some.values()), pa.int64())], names=names)
 
-    return texts.mapInArrow(rows, "h long, n long")
+    return texts.mapInArrow(rows, "lang string, h long, n long")
 
 
-def _word_totals(texts: DataFrame) -> DataFrame:
-    """(lang, n): words in all."""
+class Given:
+    """The phrases that a task has given lately, by 128 bits each. A phrase takes the place of the
+    one before it there, which at worst is given again."""
 
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n = [(lang, len(chunk.begin)) for lang, chunk in _by_language(batch)]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in n], pa.string()), pa.array([x[1] for x in n], pa.int64())], names=["lang", "n"])
+    def __init__(self, slots: int = 1 << 21):
+        self.a, self.b = np.zeros(slots, np.uint64), np.zeros(slots, np.uint64)
 
-    return texts.mapInArrow(rows, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")).where("n > 0")
+    def others(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Where phrases stand that were not given lately, each once; they count as given now."""
+        slot = (a & np.uint64(len(self.a) - 1)).astype(np.int64)
+        new = np.flatnonzero((self.a[slot] != a) | (self.b[slot] != b))
+        new = new[np.argsort(a[new])]
+        if len(new):
+            own, other = a[new], b[new]
+            new = new[np.concatenate([[True], (own[1:] != own[:-1]) | (other[1:] != other[:-1])])]
+        self.a[slot[new]], self.b[slot[new]] = a[new], b[new]
+        return new
 
 
 def _candidates(texts: DataFrame, maps: list) -> DataFrame:
     """(lang, words, first, phrase: binary): the distinct phrases that may be frequent, first being
-    a hash of the first word."""
+    a hash of the first bytes of the first word."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [m.value for m in maps]
+        given = Given()
         for batch in batches:
-            seen: dict[tuple[str, int], np.ndarray] = {}
             for lang, chunk in _by_language(batch):
                 chunk.words(1)
+                own, heads = np.uint64(xxhash.xxh64_intdigest(lang)), chunk.heads().view(np.int64)
                 for words, able in enumerate(known, 1):
                     at = _able(chunk, lang, words, known)
-                    h = chunk.hashes(lang, words)[at]
-                    at = at[able.has(h)]
-                    keys = np.stack([chunk.hashes(lang, words, lane)[at] for lane in (0, 1)], axis=1)
-                    both = np.ascontiguousarray(keys).view("V16").ravel()
-                    _, one = np.unique(both, return_index=True)
-                    if (lang, words) in seen:
-                        one = one[~np.isin(both[one], seen[lang, words], assume_unique=True)]
-                    before = seen.get((lang, words), both[:0])
-                    seen[lang, words] = np.concatenate([before, both[one]])
-                    at = at[one]
-                    columns = [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), words), pa.int32()), pa.array(chunk.words()[at].view(np.int64))]
+                    at = at[able.has(chunk.hashes(lang, words)[at])]
+                    at = at[given.others(chunk.hashes(lang, words)[at] ^ own, chunk.hashes(lang, words, 1)[at])]
+                    columns = [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), words), pa.int32()), pa.array(heads[at])]
                     yield pa.RecordBatch.from_arrays([*columns, pa.array(chunk.texts(at, words), pa.binary())], names=["lang", "words", "first", "phrase"])
 
     return texts.mapInArrow(rows, "lang string, words int, first long, phrase binary").distinct()
@@ -222,9 +237,9 @@ class Trie:
     def counts(self, lang: str, chunk: Chunk, at: np.ndarray) -> np.ndarray:
         """Occurrences of each phrase at the words beginning at ``at``: all of them advance
         together, byte by byte."""
-        out = np.zeros(self.count + 1, np.int64)
         if lang not in self.roots:
-            return out[:-1]
+            return np.zeros(self.count, np.int64)
+        met = []  # numbers of the phrases that ended, step by step
         state = np.full(len(at), self.roots[lang], np.int32)
         gap = (chunk.data == _SPACE) | (chunk.data == _BREAK)
         last = len(self.check) - 1
@@ -243,15 +258,15 @@ class Trie:
                 on = np.flatnonzero(self.check[to] == state)
                 state, at = to[on], at[on] + 1
                 ended = gap[at]  # a text ends with a break
-                out += np.bincount(self.accept[state[ended]], minlength=self.count + 1)
+                met.append(self.accept[state[ended]])
             if len(place):
                 wanted = self.text[byte]
                 done = wanted == _BREAK
-                out += np.bincount(number[done & gap[place]], minlength=self.count + 1)
+                met.append(number[done & gap[place]])
                 on = np.flatnonzero(~done & (wanted == chunk.data[place]))
                 number, byte, place = number[on], byte[on] + 1, place[on] + 1
             # A break has no transition, and nothing is read beyond the last one.
-        return out[:-1]
+        return np.bincount(np.concatenate([np.zeros(0, np.int32), *met]), minlength=self.count + 1)[:-1]
 
 
 _TRIES = 16  # places looked at for a state's children before they are put behind all others
@@ -379,7 +394,7 @@ def _shard_counts(texts: DataFrame, part: int, parts: int, shard: int, trie) ->
         for batch in batches:
             total = np.zeros(known.count, np.int64)
             for lang, chunk in _by_language(batch):
-                at = chunk.begin if parts == 1 else chunk.begin[(chunk.words() >> np.uint64(1)) % np.uint64(parts) == part]
+                at = chunk.begin if parts == 1 else chunk.begin[(chunk.heads() >> np.uint64(1)) % np.uint64(parts) == part]
                 total += known.counts(lang, chunk, at)
             some = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), shard), pa.int32()), pa.array(some.astype(np.int32)), pa.array(total[some])], names=["shard", "number", "n"])
@@ -395,9 +410,11 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     src = src.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
     maps = []
     for words in range(1, max_words + 1):
-        counts = _hash_counts(src, words, maps).groupBy("h").agg(F.sum("n").alias("n"))
-        frequent = pinned(counts.where(F.col("n") >= min_count).select("h"), "frequent-hashes")
-        maps.append(spark.sparkContext.broadcast(bitmap_of(frequent)))
+        counts = _hash_counts(src, words, maps).groupBy("lang", "h").agg(F.sum("n").alias("n"))
+        frequent = pinned(counts.where(F.col("lang").isNotNull() | (F.col("n") >= min_count)), "frequent-hashes")
+        if words == 1:
+            totals = frequent.where("lang IS NOT NULL").select("lang", "n")
+        maps.append(spark.sparkContext.broadcast(bitmap_of(frequent.where("lang IS NULL").select("h"))))
     found = pinned(_candidates(src, maps), "phrase-candidates")
     size = found.agg(F.sum(F.octet_length("phrase"))).first()[0] or 0
     parts = max(1, -(-size // SHARD_BYTES))  # parts of the first words
@@ -428,7 +445,7 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     if counted is None:
         counted = spark.createDataFrame([], "shard int, number int, f long")
     numbered = dealt.groupBy("shard").applyInPandas(_number_rows, "shard int, number int, lang string, words int, phrase string")
-    return pinned(numbered.join(counted, ["shard", "number"]).select("lang", "words", "phrase", "f"), "phrase-counts"), _word_totals(src)
+    return pinned(numbered.join(counted, ["shard", "number"]).select("lang", "words", "phrase", "f"), "phrase-counts"), totals
 
 
 def _number_rows(frame: pd.DataFrame) -> pd.DataFrame:

@@ -8,6 +8,7 @@ import random
 import sys
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -140,6 +141,17 @@ def test_trie_against_a_dictionary():
     assert trie.counts("fr", chunk, chunk.begin).sum() == 0
 
 
+def test_phrases_given_lately_are_not_given_again():
+    a, b = (np.array(x, np.uint64) for x in ([1, 5, 1, 9, 1], [1, 1, 1, 1, 2]))  # 1, 5 and 9 take one place
+    given = collocations.Given(slots=4)
+    first = given.others(a, b)
+    assert sorted({*zip(a[first].tolist(), b[first].tolist())}) == [(1, 1), (1, 2), (5, 1), (9, 1)]
+    again = given.others(a, b)  # only the last one there is known
+    assert len({*zip(a[again].tolist(), b[again].tolist())}) == 3 and len(collocations.Given().others(a[:0], b[:0])) == 0
+    wide = collocations.Given()
+    assert len(wide.others(a[:4], b[:4])) == 3 and len(wide.others(a[:4], b[:4])) == 0
+
+
 # --- 13 ---
 
 
