@@ -56,6 +56,8 @@ BLOCK_GROUPS = 64
 #: Groups in one block of groups of the dense form, about, and baskets multiplied at once.
 DENSE_GROUPS = 2048
 _DENSE_BASKETS = 4096
+#: Rows that a task of the self-join's shuffles holds, about; their number of tasks follows from it.
+_JOIN_ROWS = 250_000
 _DENSE_SENT = 1 << 18  # pairs of a batch that a task returns, at most
 _SALTS = 16
 
@@ -401,6 +403,10 @@ def confident_pairs_pushed(
 
 
 def _pairs_from_join(rows: DataFrame, t: float, by: list[str]) -> Affinity:
+    # The tasks grow in number with the rows, not in what they hold.
+    least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = lambda n: max(least, -(-n // _JOIN_ROWS))
+    rows = rows.repartition(tasks(rows.count()), *by, "basket_key")
     coupon_data = rows.distinct()
     counts = rows.groupBy(*by, "coupon_key", "coupon").agg(F.count_distinct("basket_key").alias("basket_count"))
     totals = (rows.groupBy(*by) if by else rows).agg(F.count_distinct("basket_key").alias("total_basket_count"))
@@ -410,8 +416,12 @@ def _pairs_from_join(rows: DataFrame, t: float, by: list[str]) -> Affinity:
     y = side.select(*[F.col(c).alias(f"{c}_Y") for c in by], F.col("basket_key").alias("basket_key_Y"), F.col("coupon_key").alias("coupon_key_Y"))
     cond = [x["basket_key"] == y["basket_key_Y"], x["coupon_key_X"] != y["coupon_key_Y"]]
     cond += [x[c] == y[f"{c}_Y"] for c in by]
+    sizes = side.groupBy(*by, "basket_key").agg(F.count(F.lit(1)).alias("g"))
+    held = sizes.agg(F.coalesce(F.sum("g"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("g") * (F.col("g") - 1)), F.lit(0)).alias("pairs")).first()
+    x, y = x.repartition(tasks(held["rows"]), *by, "basket_key"), y.repartition(tasks(held["rows"]), *[f"{c}_Y" for c in by], "basket_key_Y")
     full = (
         x.join(y, cond, "inner")
+        .repartition(tasks(held["pairs"]), *by, "coupon_key_X", "coupon_key_Y")
         .groupBy(*by, "coupon_key_X", "coupon_key_Y")
         .agg(F.count_distinct("basket_key").alias("basket_count_XY"))
     )

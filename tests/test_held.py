@@ -1,5 +1,6 @@
 """Baskets held as one row each, pairs named before they are mirrored, permutations on counted rows."""
 
+import re
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -89,3 +90,14 @@ def test_dense_pairs_equal_the_reference_join(spark, monkeypatch):
         pushed = affinity.confident_pairs_pushed(rows, 0.4, small_groups=8)
     assert bag(pushed) == bag(want.where("confidence >= 0.4")) != Counter()
     assert not any("large-baskets" in path for path in written)  # counted by blocks of groups
+
+
+def test_self_join_has_more_tasks_for_more_rows(spark, monkeypatch):
+    rows = spark.createDataFrame([(b, f"G{g}", g) for b in range(40) for g in range(20) if (b + g) % (2 + g % 4)], "basket_key long, coupon string, coupon_key long")
+    want = bag(affinity.pair_matrix(rows).matrix)
+    monkeypatch.setattr(affinity, "_JOIN_ROWS", 20)
+    matrix = affinity.pair_matrix(rows, method="join").matrix
+    plan = matrix._jdf.queryExecution().toString()
+    sizes = [int(n) for n in re.findall(r"RepartitionByExpression \[[^]]*\], (\d+)", plan)]
+    assert max(sizes) > 100 and min(sizes) > 8
+    assert bag(matrix) == want != Counter()
