@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -68,8 +68,9 @@ def explode_products(pulled: DataFrame, dedupe: bool = True, keep: tuple[str, ..
             "time_stamp",
             "account_no",
             *keep,
-            F.explode(F.transform(F.split("prod_list", ","), trimmed)).alias("prod_id"),
+            F.explode(F.split("prod_list", ",")).alias("prod_id"),
         )
+        .withColumn("prod_id", trimmed("prod_id"))
         .where(F.col("prod_id").isNotNull() & (F.col("prod_id") != ""))
     )
     return rows.distinct() if dedupe else rows
@@ -209,24 +210,38 @@ def visit_skus(hits: DataFrame, visit_sessions: DataFrame, window: tuple[int, in
 def hold_baskets(clicks: DataFrame, max_groups: int = MAX_GROUPS_PER_BASKET) -> DataFrame:
     """The baskets of (session_key, prod_id, coupon_key, n) rows, one row each.
 
-    A session's rows are dealt once. Of sessions with more groups than a basket may have, each task
-    sends the rows of the first ``max_groups + 1`` only, enough to tell that they are too many.
+    A session's rows are dealt once and sorted once: its groups are counted and its items collected
+    in that order. Of sessions with more groups than a basket may have, each task sends the rows of
+    the first ``max_groups + 1`` only, enough to tell that they are too many.
     """
     in_session = Window.partitionBy("session_key").orderBy("coupon_key")
     few = clicks.withColumn("_g", F.dense_rank().over(in_session)).where(F.col("_g") <= max_groups + 1)
     # Rows of scrapers go before they are collected: their last group is one too many.
-    counted = few.withColumn("coupon_count", F.max("_g").over(Window.partitionBy("session_key"))).where(F.col("coupon_count").between(2, max_groups))
-    small = counted.groupBy("session_key", "prod_id", "coupon_key").agg(F.sum("n").alias("n"), F.max("coupon_count").alias("coupon_count"))
-    held = small.groupBy("session_key").agg(
+    last = F.max("_g").over(in_session.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    counted = few.withColumn("coupon_count", last).where(F.col("coupon_count").between(2, max_groups))
+    held = counted.groupBy("session_key").agg(
         F.max("coupon_count").cast("bigint").alias("coupon_count"),
-        F.sum("n").alias("clicks"),
         F.sort_array(F.collect_list(F.struct("prod_id", "coupon_key", "n"))).alias("items"),
     )
+    held = held.withColumn("items", _merged(F.col("items")))
     skus = F.size(F.array_distinct("items.prod_id")).cast("bigint")
-    named = held.select(F.col("session_key").alias("basket_key"), skus.alias("prod_count"), "coupon_count", "clicks", "items")
+    clicks_in = F.aggregate("items.n", F.lit(0).cast("bigint"), lambda total, n: total + n)
+    named = held.select(F.col("session_key").alias("basket_key"), skus.alias("prod_count"), "coupon_count", clicks_in.alias("clicks"), "items")
     return named.where(F.col("prod_count") > 1)
 
 
+def _merged(items: Column) -> Column:
+    """Sorted items with those of one SKU and group (a session of several visits has them) as one."""
+    which = lambda x: F.struct(x["prod_id"].alias("prod_id"), x["coupon_key"].alias("coupon_key"))
+    several = F.array_distinct(F.transform(items, which))
+
+    def summed(one):
+        same = F.filter(items, lambda x: which(x) == one)
+        return F.struct(one["prod_id"].alias("prod_id"), one["coupon_key"].alias("coupon_key"), F.aggregate(same, F.lit(0).cast("bigint"), lambda n, x: n + x["n"]).alias("n"))
+
+    return F.when(F.size(several) == F.size(items), items).otherwise(F.transform(several, summed))
+
+
 def build_baskets(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET, pin: bool = True, counts: dict | None = None) -> HeldBaskets:
     """The click step for the job: the same sessions and groups as ``build_clicks``, with a SKU's
     clicks in a session as one row. The keys are made for the viewed SKUs, not for each click, and
@@ -244,5 +259,6 @@ def build_baskets(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS
     keyed = seen.where(F.col("session_key").isNotNull()).join(keys.drop("coupon"), ["prod_id"])
     baskets = hold_baskets(keyed, max_groups)
     if pin:  # read by the pair matrix, the SKU counts and the permutation test
-        baskets = materialize(baskets, "baskets", counts, F.coalesce(F.sum("clicks"), F.lit(0)))
+        # Its rows come sorted by session: they are collected in that order, not sorted once more.
+        baskets = materialize(baskets, "baskets", counts, F.coalesce(F.sum("clicks"), F.lit(0)), {"spark.sql.execution.replaceHashWithSortAgg": "true"})
     return HeldBaskets(baskets, viewed, keys, gmap)

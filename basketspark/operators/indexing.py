@@ -41,35 +41,39 @@ def global_index(
     num_partitions: int | None = None,
     counts: dict | None = None,
     keep: Sequence[str] | None = None,
+    ranged: bool = False,
 ) -> DataFrame:
     """Add ``name``: the 1-based position of each row in ``order`` (within ``partition_by``).
 
     Equal to ``row_number() over (partition by ... order by ...)`` when the order is total;
     on distinct keys it is ``dense_rank``. With ``keep`` only these columns and ``partition_by`` remain;
-    the others serve the order and are not written.
+    the others serve the order and are not written. ``ranged`` rows are in range partitions of the
+    first columns of ``order`` already.
     """
     keys = [F.col(c).asc() for c in partition_by] + [_sort_col(c) for c in order]
     pid = F.spark_partition_id()
-    ranged = (
-        _by_range(df, keys, num_partitions)
+    dealt = (
+        (df if ranged else _by_range(df, keys, num_partitions))
         .sortWithinPartitions(*keys)
         .withColumns({_PID: pid, _POS: F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)})
     )
     if keep is not None:
-        ranged = ranged.select(*partition_by, *keep, _PID, _POS)
+        dealt = dealt.select(*partition_by, *keep, _PID, _POS)
     # Pin partition ids and local positions: written once, then read twice.
-    ranged = materialize(ranged, "index", counts)
+    dealt = materialize(dealt, "index", counts)
 
     # Rows of one group are contiguous inside a partition (the sort starts with the group),
     # so a row's position in its group is its local position minus the group's first one
     # in that partition, plus the sizes of the group in earlier partitions: a window over
     # one row per partition (and group).
-    sizes = ranged.groupBy(_PID, *partition_by).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
+    sizes = dealt.groupBy(_PID, *partition_by).agg(F.count(F.lit(1)).alias("_n"), F.min(_POS).alias("_first"))
     before = Window.partitionBy(*partition_by).orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")
     offsets = sizes.select(_PID, *partition_by, offset.alias(_OFF))
+    if not partition_by:  # one row per partition: without the hint the rows are dealt before that is known
+        offsets = F.broadcast(offsets)
     return (
-        ranged.join(offsets, [_PID, *partition_by], "inner")
+        dealt.join(offsets, [_PID, *partition_by], "inner")
         .withColumn(name, F.col(_OFF) + F.col(_POS) + F.lit(1))
         .drop(_PID, _POS, _OFF)
     )
@@ -94,7 +98,7 @@ def global_cumsum(
     earlier = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = totals.select(_PID, F.coalesce(F.sum("_t").over(earlier), F.lit(0)).alias(_OFF))
     return (
-        ranged.join(offsets, [_PID], "inner")
+        ranged.join(F.broadcast(offsets), [_PID], "inner")
         .withColumn(name, F.col(_OFF) + F.col("_bs_local"))
         .drop(_PID, _OFF, "_bs_local")
     )

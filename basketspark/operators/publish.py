@@ -102,9 +102,10 @@ def reserve_run_id(spark: SparkSession, cfg: RunConfig, root: str) -> int:
     return master_id
 
 
-def number_records(ranked: DataFrame, counts: dict | None = None) -> DataFrame:
-    """Add ``record_id``: the position in the published order, numbered distributed."""
-    return global_index(ranked, list(RECORD_ORDER), "record_id", counts=counts)
+def number_records(ranked: DataFrame, counts: dict | None = None, ranged: bool = False) -> DataFrame:
+    """Add ``record_id``: the position in the published order, numbered distributed. ``ranged`` rows
+    were ranked in range partitions of ``sku_X``."""
+    return global_index(ranked, list(RECORD_ORDER), "record_id", counts=counts, ranged=ranged)
 
 
 def stamp_detail(ranked: DataFrame, master_id: int, cfg: RunConfig) -> DataFrame:

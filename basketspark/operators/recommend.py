@@ -63,20 +63,21 @@ def held_sku_counts(items: DataFrame) -> DataFrame:
     return items.groupBy("prod_id", "coupon_key").agg(F.count(F.lit(1)).alias("sku_basket_count"))
 
 
-def _sku_side(prod_views: DataFrame, tag: str) -> DataFrame:
-    return prod_views.select(
+def _sku_side(prod_views: DataFrame, sales: DataFrame, tag: str) -> DataFrame:
+    """The SKUs of each group with their basket counts and sales, a row each: what pairs are expanded
+    with, so that no expanded row is dealt again to look up its sales."""
+    return prod_views.join(sales.select("prod_id", "sales"), ["prod_id"], "left").select(
         F.col("coupon_key").alias(f"coupon_key_{tag}"),
         F.col("prod_id").alias(f"sku_{tag}"),
         F.col("sku_basket_count").alias(f"sku_basket_count_{tag}"),
+        F.col("sales").alias(f"sku_sales_{tag}"),
     )
 
 
 def _with_sku(df: DataFrame, prod_views: DataFrame, sales: DataFrame, tag: str) -> DataFrame:
     """Expand a group side to its SKUs, with their basket counts and sales (0 when absent)."""
-    per_sku_sales = sales.select(F.col("prod_id").alias(f"sku_{tag}"), F.col("sales").alias(f"sku_sales_{tag}"))
     return (
-        df.join(_sku_side(prod_views, tag), [f"coupon_key_{tag}"], "left")
-        .join(per_sku_sales, [f"sku_{tag}"], "left")
+        df.join(_sku_side(prod_views, sales, tag), [f"coupon_key_{tag}"], "left")
         .withColumn(f"sku_basket_count_{tag}", F.coalesce(f"sku_basket_count_{tag}", F.lit(0).cast("bigint")))
         .withColumn(f"sku_sales_{tag}", F.coalesce(f"sku_sales_{tag}", F.lit(0).cast(sales.schema["sales"].dataType)))
     )
@@ -88,12 +89,14 @@ def expand_to_skus(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame) ->
     return expanded.withColumn("cvm_score", cvm_score("sku_basket_count_Y", "confidence")).select(*SKU_PAIR_COLUMNS)
 
 
-def rank_top_k(scored: DataFrame, k: int | None = TOP_K) -> DataFrame:
+def rank_top_k(scored: DataFrame, k: int | None = TOP_K, by_range: bool = False) -> DataFrame:
     """``cvm_rank`` = dense rank per ``sku_X``; ties at the cut-off are all kept.
 
     With a cut-off, Spark plans a partial window group limit before the shuffle, so a
-    viewed SKU with many candidates sends at most its top ranks from each task.
+    viewed SKU with many candidates sends at most its top ranks from each task. ``by_range`` deals the
+    rows to range partitions of ``sku_X``, in which they can be numbered without another shuffle.
     """
+    scored = scored.repartitionByRange("sku_X") if by_range else scored
     w = Window.partitionBy("sku_X").orderBy(*_rank_order())
     ranked = scored.withColumn("cvm_rank", F.dense_rank().over(w))
     if k is not None:
@@ -101,12 +104,12 @@ def rank_top_k(scored: DataFrame, k: int | None = TOP_K) -> DataFrame:
     return ranked.withColumn("cvm_rank", F.col("cvm_rank").cast("bigint"))
 
 
-def rank_expanded(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K) -> DataFrame:
+def rank_expanded(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K, by_range: bool = False) -> DataFrame:
     """The full expansion, ranked: the naive form of ``top_k_pruned``."""
-    return rank_top_k(expand_to_skus(pairs, prod_views, sales), k)
+    return rank_top_k(expand_to_skus(pairs, prod_views, sales), k, by_range)
 
 
-def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K) -> DataFrame:
+def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int | None = TOP_K, by_range: bool = False) -> DataFrame:
     """Same rows as ``rank_top_k(expand_to_skus(...), k)`` without the full expansion.
 
     For a fixed group X the order key of a candidate depends only on (group Y, SKU Y).
@@ -116,12 +119,12 @@ def top_k_pruned(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: i
     again per SKU.
     """
     if k is None:
-        return rank_expanded(pairs, prod_views, sales, None)
+        return rank_expanded(pairs, prod_views, sales, None, by_range)
     cand = _with_sku(pairs, prod_views, sales, "Y").withColumn("cvm_score", cvm_score("sku_basket_count_Y", "confidence"))
     per_group = Window.partitionBy("coupon_key_X").orderBy(*_rank_order())
     cand = cand.withColumn("_group_rank", F.dense_rank().over(per_group)).where(F.col("_group_rank") <= k).drop("_group_rank")
     expanded = _with_sku(cand, prod_views, sales, "X").select(*SKU_PAIR_COLUMNS)
-    return rank_top_k(expanded, k)
+    return rank_top_k(expanded, k, by_range)
 
 
 @dataclasses.dataclass(frozen=True)

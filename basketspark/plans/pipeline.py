@@ -76,7 +76,8 @@ class Job:
         return self._sales[2]
 
     @cached_property
-    def _affinity(self) -> tuple[affinity.Affinity, Observation | None]:
+    def _counted(self) -> tuple[affinity.Affinity, Observation | None]:
+        """The pair matrix as a plan that counts its confidence bounds when it is written."""
         cfg, held = self.cfg, self.held
         if cfg.pair_method == "blocks":
             totals = held.baskets.agg(F.count(F.lit(1)).alias("total_basket_count"))
@@ -88,37 +89,47 @@ class Job:
             return aff, None
         matrix, observed = quality.observe_confidence(aff.matrix)  # counted while it is written
         matrix = quality.guard_confidence(matrix) if self.guards else matrix
-        return dataclasses.replace(aff, matrix=materialize(matrix, "pair-matrix")), observed
+        return dataclasses.replace(aff, matrix=matrix), observed
 
-    @property
+    @cached_property
     def affinity(self) -> affinity.Affinity:
-        return self._affinity[0]
+        aff = self._counted[0]
+        return dataclasses.replace(aff, matrix=materialize(aff.matrix, "pair-matrix")) if self.pin else aff
 
     @property
     def confidence_obs(self) -> Observation | None:
-        return self._affinity[1]
+        return self._counted[1]
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return recommend.confident_pairs(self.affinity.matrix, self.group_sales, self.cfg.min_confidence)
+        """The confident pairs. Unless the matrix was written before, only they are: the whole matrix
+        is made and counted on the way."""
+        whole = not self.pin or "affinity" in self.__dict__
+        matrix = (self.affinity if whole else self._counted[0]).matrix
+        found = recommend.confident_pairs(matrix, self.group_sales, self.cfg.min_confidence)
+        return found if whole else materialize(found, "confident-pairs")
 
     @cached_property
     def prod_views(self) -> DataFrame:
-        return recommend.held_sku_counts(self.held.items())
+        found = recommend.held_sku_counts(self.held.items())
+        return materialize(found, "sku-counts") if self.pin else found  # read by both sides of the pairs
+
+    def _ranked(self, by_range: bool) -> DataFrame:
+        rank = recommend.top_k_pruned if self.cfg.prune_candidates else recommend.rank_expanded
+        return rank(self.pairs, self.prod_views, self.sku_sales, self.cfg.top_k, by_range)
 
     @cached_property
     def unnumbered(self) -> DataFrame:
         """The ranked SKU pairs."""
-        rank = recommend.top_k_pruned if self.cfg.prune_candidates else recommend.rank_expanded
-        return rank(self.pairs, self.prod_views, self.sku_sales, self.cfg.top_k)
+        return self._ranked(False)
 
     @cached_property
     def ranked(self) -> DataFrame:
         """The ranked SKU pairs as they are published: numbered and written once."""
-        rows = self.unnumbered
+        rows = self._ranked(by_range=self.pin)
         if self.guards and self.cfg.division == "LSG":
             rows = quality.guard_sales(rows, self.sku_sales)
-        return publish.number_records(rows, self.counts) if self.pin else rows
+        return publish.number_records(rows, self.counts, ranged=True) if self.pin else rows
 
     def output_rows(self, ranked: DataFrame) -> DataFrame:
         """What the files hold: a joined list per SKU, or (CCG) the ranked rows themselves."""
@@ -126,7 +137,9 @@ class Job:
 
     @cached_property
     def lists(self) -> DataFrame:
-        return self.output_rows(self.ranked)
+        """``output_rows`` of the published rows; lists are written once, for all files."""
+        rows = self.output_rows(self.ranked)
+        return materialize(rows, "lists") if self.pin and self.cfg.publish_list else rows
 
 
 def build(sources: Sources, cfg: RunConfig, pin: bool = True, guards: bool = False) -> Job:
@@ -171,7 +184,7 @@ def _run(spark: SparkSession, sources: Sources, cfg: RunConfig, out_root: str |
     if cfg.division == "LSG":
         job.sku_sales  # written before the pair matrix, its rows counted on the way
         quality.check_sales(job.counts)
-    job.affinity
+    job.pairs  # the whole matrix is made, checked and counted as they are written
     report = dict(job.confidence_obs.get)
     job.ranked
     report.update(basket_rows=job.counts["baskets"], sku_sales_rows=job.counts["sku-sales"], published_rows=job.counts["index"])
