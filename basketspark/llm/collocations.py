@@ -4,7 +4,7 @@ Texts (A-Z lower-cased) are split at punctuation and line ends into pieces and t
 into words. Everything is counted per language.
 
 1. Level by level (1 to ``max_words`` words) each task counts 64-bit hashes of the phrases at all
-   places of its texts; Spark sums them. A place takes part in a level only if both phrases that
+   places of its texts; the counts are summed by ranges of hashes. A place takes part in a level only if both phrases that
    are one word shorter may be frequent (the Apriori rule), which a bitmap of the hashes that
    reached ``min_count`` tells. Equal hashes or bits of different phrases only let more through,
    so no frequent phrase is lost.
@@ -48,6 +48,9 @@ UNKNOWN = "und"
 SHARD_BYTES = 12 << 20
 MOST_BITS = 1 << 30
 _LEAST_BITS, _BLOCK_BITS, _BITS_EACH = 1 << 22, 1 << 18, 64
+#: Hashes that a task puts together before it sums them, hashes that it holds at most before it sends
+#: them, and ranges of hashes a shuffle partition.
+_TALLY, _SENT, _RANGES = 1 << 19, 1 << 20, 8
 _SPACE, _BREAK = 32, 10
 _SEPARATORS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n" * 9 + b" ")
 
@@ -100,9 +103,12 @@ class Chunk:
             self.made[words, lane] = h
         return self.made[words, lane]
 
-    def texts(self, at: np.ndarray, words: int) -> list[bytes]:
-        raw = self.data.tobytes()
-        return [raw[a:b] for a, b in zip(self.begin[at].tolist(), self.end[at + words - 1].tolist())]
+    def texts(self, at: np.ndarray, words: int) -> pa.Array:
+        """The phrases of so many words at some words, copied as one run of bytes."""
+        begin, size = self.begin[at], self.end[at + words - 1] - self.begin[at]
+        place = np.concatenate([[0], np.cumsum(size)])
+        raw = self.data[np.arange(place[-1]) + np.repeat(begin - place[:-1], size)]
+        return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(place.astype(np.int32)), pa.py_buffer(raw)])
 
 
 def _by_language(batch: pa.RecordBatch) -> Iterator[tuple[str, Chunk]]:
@@ -158,25 +164,84 @@ def _able(chunk: Chunk, lang: str, words: int, maps: list[Bitmap]) -> np.ndarray
     return at
 
 
-def _hash_counts(texts: DataFrame, words: int, maps: list) -> DataFrame:
-    """(lang, h, n): how often each hash of a phrase of so many words (and its language) occurs in a
-    batch, lang being null; and for single words, h being null, the words of each language in all."""
+class _Tally:
+    """Hashes and how often each occurs, put together batch by batch."""
+
+    def __init__(self) -> None:
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.least = 0
+
+    def add(self, hashes: np.ndarray, counts: np.ndarray) -> None:
+        self.held.append((hashes, counts))
+        self.size += len(hashes)
+        if self.size > max(_TALLY, 2 * self.least):  # as one again, once it has doubled
+            self.held = [self.summed()]
+            self.size = self.least = len(self.held[0][0])
+
+    def summed(self) -> tuple[np.ndarray, np.ndarray]:
+        """(distinct hashes in order, count of each)."""
+        h, n = (np.concatenate([np.zeros(0, t), *(x[i] for x in self.held)]) for i, t in enumerate((np.uint64, np.int64)))
+        order = np.argsort(h)
+        h, n = h[order], n[order]
+        first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+        return h[first], np.add.reduceat(n, first) if len(h) else n
+
+
+def _hash_counts(texts: DataFrame, words: int, maps: list, min_count: int) -> DataFrame:
+    """(lang, h, n): how often each hash of a phrase of so many words (and its language) occurs, if
+    ``min_count`` times or more, lang being null; and for single words, h being null, the words of
+    each language in all.
+
+    A task deals its hashes to ranges of their values, as arrays, so that what Spark shuffles is a row
+    a range and not a row a hash; the ranges grow in number with the session's shuffle partitions.
+    """
+    ranges = _RANGES * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    names = ["lang", "at", "h", "n"]
+
+    def dealt(tally: _Tally) -> Iterator[pa.RecordBatch]:
+        h, n = tally.summed()
+        ends = np.searchsorted(h, _range_begins(ranges))
+        cuts = [(i, a, b) for i, (a, b) in enumerate(zip(ends.tolist(), [*ends[1:].tolist(), len(h)])) if a < b]
+        columns = [pa.array([x[a:b].tobytes() for _, a, b in cuts], pa.binary()) for x in (h, n)]
+        yield pa.RecordBatch.from_arrays([pa.nulls(len(cuts), pa.string()), pa.array([i for i, _, _ in cuts], pa.int32()), *columns], names=names)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = [m.value for m in maps]
-        names = ["lang", "h", "n"]
+        tally, totals = _Tally(), Counter()
         for batch in batches:
-            found, totals = [np.zeros(0, np.uint64)], Counter()
             for lang, chunk in _by_language(batch):
-                found.append(chunk.hashes(lang, words)[_able(chunk, lang, words, known)])
+                tally.add(*np.unique(chunk.hashes(lang, words)[_able(chunk, lang, words, known)], return_counts=True))
                 totals[lang] += len(chunk.begin)
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n.astype(np.int64))], names=names)
-            if words == 1:
-                some = {lang: n for lang, n in totals.items() if n}
-                yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.string()), pa.nulls(len(some), pa.int64()), pa.array(list(some.values()), pa.int64())], names=names)
+            if tally.size > _SENT:
+                yield from dealt(tally)
+                tally = _Tally()
+        yield from dealt(tally)
+        if words == 1:
+            some = {lang: n for lang, n in totals.items() if n}
+            columns = [pa.nulls(len(some), pa.binary()), pa.array([np.int64(n).tobytes() for n in some.values()], pa.binary())]
+            yield pa.RecordBatch.from_arrays([pa.array(list(some), pa.string()), pa.array([-1] * len(some), pa.int32()), *columns], names=names)
+
+    def summed(table: pa.Table) -> pa.Table:
+        h, n = ([np.frombuffer(x, t) for x in table[c].to_pylist() if x is not None] for c, t in (("h", np.uint64), ("n", np.int64)))
+        if table["at"][0].as_py() < 0:
+            totals: Counter = Counter()
+            for lang, count in zip(table["lang"].to_pylist(), n):
+                totals[lang] += int(count[0])
+            columns = [pa.array(list(totals), pa.string()), pa.nulls(len(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())]
+        else:
+            tally = _Tally()
+            tally.held = list(zip(h, n))
+            h, n = tally.summed()
+            h, n = h[n >= min_count], n[n >= min_count]
+            columns = [pa.nulls(len(h), pa.string()), pa.array(h.view(np.int64)), pa.array(n)]
+        return pa.Table.from_arrays(columns, names=["lang", "h", "n"])
+
+    return texts.mapInArrow(rows, "lang string, at int, h binary, n binary").groupBy("at").applyInArrow(summed, "lang string, h long, n long")
+
 
-    return texts.mapInArrow(rows, "lang string, h long, n long")
+def _range_begins(ranges: int) -> np.ndarray:
+    """Where each of so many ranges of 64-bit hashes begins."""
+    return np.array([(i << 64) // ranges for i in range(ranges)], np.uint64)
 
 
 class Given:
@@ -214,7 +279,7 @@ def _candidates(texts: DataFrame, maps: list) -> DataFrame:
                     at = at[able.has(chunk.hashes(lang, words)[at])]
                     at = at[given.others(chunk.hashes(lang, words)[at] ^ own, chunk.hashes(lang, words, 1)[at])]
                     columns = [pa.array([lang] * len(at), pa.string()), pa.array(np.full(len(at), words), pa.int32()), pa.array(heads[at])]
-                    yield pa.RecordBatch.from_arrays([*columns, pa.array(chunk.texts(at, words), pa.binary())], names=["lang", "words", "first", "phrase"])
+                    yield pa.RecordBatch.from_arrays([*columns, chunk.texts(at, words)], names=["lang", "words", "first", "phrase"])
 
     return texts.mapInArrow(rows, "lang string, words int, first long, phrase binary").distinct()
 
@@ -410,8 +475,7 @@ def phrase_counts(docs: DataFrame, max_words: int = 3, min_count: int = 10, lang
     src = src.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
     maps = []
     for words in range(1, max_words + 1):
-        counts = _hash_counts(src, words, maps).groupBy("lang", "h").agg(F.sum("n").alias("n"))
-        frequent = pinned(counts.where(F.col("lang").isNotNull() | (F.col("n") >= min_count)), "frequent-hashes")
+        frequent = pinned(_hash_counts(src, words, maps, min_count), "frequent-hashes")
         if words == 1:
             totals = frequent.where("lang IS NOT NULL").select("lang", "n")
         maps.append(spark.sparkContext.broadcast(bitmap_of(frequent.where("lang IS NULL").select("h"))))

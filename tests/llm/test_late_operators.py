@@ -109,6 +109,28 @@ def chatter():
 PHRASE = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
+@pytest.mark.parametrize(("tally", "sent"), [(1, 1), (64, 300), (1 << 19, 1 << 20)])
+def test_hash_counts_are_shuffled_as_ranges(spark, monkeypatch, tally, sent):
+    """All hashes that occur often enough, with exact counts, and the words of each language; what is
+    shuffled is a row a range of hashes and batch at most, not a row a hash."""
+    monkeypatch.setattr(collocations, "_TALLY", tally)
+    monkeypatch.setattr(collocations, "_SENT", sent)
+    rnd = random.Random(3)
+    texts = [(lang, " ".join(f"w{rnd.randrange(400)}" for _ in range(300))) for lang in ("de", "en", "de") * 5] + [("en", ""), ("fr", " . ")]
+    df = spark.createDataFrame(texts, "lang string, text string").repartition(3).selectExpr("lang", "cast(text AS binary) AS text")
+    counts = collocations._hash_counts(df, 1, [], 10)
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" not in plan and plan.count("Exchange hashpartitioning(at#") == 1
+    want, words = Counter(), Counter()
+    for lang, text in texts:
+        chunk = collocations.Chunk([text.encode()])
+        want.update(chunk.hashes(lang, 1).view(np.int64).tolist())
+        words[lang] += len(text.replace(".", "").split())
+    rows = counts.collect()
+    assert sorted((r.h, r.n) for r in rows if r.lang is None) == sorted((h, n) for h, n in want.items() if n >= 10)
+    assert sorted((r.lang, r.n) for r in rows if r.lang) == sorted((lang, n) for lang, n in words.items() if n)
+
+
 @pytest.mark.parametrize("shard_bytes", [12 << 20, 3000])
 def test_collocations(spark, monkeypatch, shard_bytes):
     monkeypatch.setattr(collocations, "SHARD_BYTES", shard_bytes)
