@@ -245,18 +245,20 @@ def _merged(items: Column) -> Column:
 def build_baskets(sources, window: tuple[int, int], max_groups: int = MAX_GROUPS_PER_BASKET, pin: bool = True, counts: dict | None = None) -> HeldBaskets:
     """The click step for the job: the same sessions and groups as ``build_clicks``, with a SKU's
     clicks in a session as one row. The keys are made for the viewed SKUs, not for each click, and
-    reach the clicks with the groups by one join. ``counts`` takes the click rows of the baskets."""
-    seen = drop_discontinued(visit_skus(sources.hits, sources.visit_sessions, window), sources.products)
+    reach the clicks with the groups by one join, with which the clicks on discontinued SKUs leave.
+    ``counts`` takes the click rows of the baskets."""
+    seen = visit_skus(sources.hits, sources.visit_sessions, window)
     if pin:
         seen = materialize(seen, "clicks")
-    viewed = seen.select("prod_id").distinct()
+    viewed = drop_discontinued(seen.select("prod_id").distinct(), sources.products)
     if pin:
         viewed = materialize(viewed, "viewed")
     gmap = read_group_map(sources.prod_feature)
     keys = group_keys(gmap, assign_groups(viewed, gmap))
     if pin:  # one row per (SKU, group): read by the clicks and by the sales
         keys = materialize(keys, "group-keys")
-    keyed = seen.where(F.col("session_key").isNotNull()).join(keys.drop("coupon"), ["prod_id"])
+    of_viewed = keys.drop("coupon").join(viewed, ["prod_id"], "left_semi")  # the map names others, too
+    keyed = seen.where(F.col("session_key").isNotNull()).join(of_viewed, ["prod_id"])
     baskets = hold_baskets(keyed, max_groups)
     if pin:  # read by the pair matrix, the SKU counts and the permutation test
         # Its rows come sorted by session: they are collected in that order, not sorted once more.
