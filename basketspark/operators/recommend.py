@@ -14,6 +14,7 @@ from pyspark.sql.window import Window
 
 from basketspark.config import MIN_CONFIDENCE, TOP_K
 from basketspark.functions.columns import cvm_score
+from basketspark.runtime import settings, wide
 
 SKU_PAIR_COLUMNS = (
     "coupon_key_X",
@@ -174,8 +175,10 @@ def factorise(pairs: DataFrame, prod_views: DataFrame, sales: DataFrame, k: int
 
 
 def write_factorised(found: Factorised, path: str) -> None:
-    found.ranks.write.parquet(f"{path}/ranks")
-    found.members.write.parquet(f"{path}/members")
+    spark = found.ranks.sparkSession
+    with settings(spark, wide(spark)):
+        found.ranks.write.parquet(f"{path}/ranks")
+        found.members.write.parquet(f"{path}/members")
 
 
 def read_factorised(spark: SparkSession, path: str) -> Factorised:
