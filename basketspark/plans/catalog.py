@@ -17,7 +17,7 @@ from basketspark.errors import BasketError
 from basketspark.functions.columns import day_key_of
 from basketspark.operators import affinity, clicks, incremental, indexing, publish, quality, recommend, sales, significance
 from basketspark.plans import pipeline
-from basketspark.runtime import exists, materialize, scratch_path
+from basketspark.runtime import exists, materialize, scratch_path, settings, wide
 from basketspark.sources.fixtures import FIXTURE_PERIOD_DAYS, FIXTURE_START_DATE, fixture_sources, hits_view, read_testdata
 from basketspark.streaming.clicks_stream import start_clicks_stream
 
@@ -306,7 +306,7 @@ def q_guard_outcomes(spark, sf_dir):
     def written(name: str, df: DataFrame) -> tuple[str, str, bool]:
         path, outcome = scratch_path(spark, f"guard-{name}"), "passed"
         try:
-            with quality.checks():
+            with quality.checks(), settings(spark, wide(spark)):
                 df.write.parquet(path)
         except BasketError as error:
             outcome = type(error).__name__
