@@ -103,11 +103,11 @@ def q_group_sales_inner(spark, sf_dir):
 
 
 def q_group_basket_counts(spark, sf_dir):
-    return affinity.pair_matrix(_job(spark, sf_dir).baskets).counts
+    return affinity.pair_matrix(_job(spark, sf_dir).held.rows()).counts
 
 
 def q_frequent_groups(spark, sf_dir):
-    return affinity.pair_matrix(_job(spark, sf_dir).baskets).frequent
+    return affinity.pair_matrix(_job(spark, sf_dir).held.rows()).frequent
 
 
 def q_pair_matrix(spark, sf_dir):
