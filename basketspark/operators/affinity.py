@@ -106,7 +106,7 @@ def pair_matrix(
     if method in ("blocks", "half"):
         return _half_pairs(rows, t, by, pin, method)
     if method == "join":
-        return _pairs_from_join(rows, t, by)
+        return _pairs_from_join(rows, t, by, pin)
     if method == "dense":
         if by:
             raise ValueError("the dense form has no runs")
@@ -448,23 +448,29 @@ def confident_pairs_pushed(
     return matrix.where(F.col("confidence") >= min_confidence)
 
 
-def _pairs_from_join(rows: DataFrame, t: float, by: list[str]) -> Affinity:
+def _pairs_from_join(rows: DataFrame, t: float, by: list[str], pin: bool = True) -> Affinity:
     # The tasks grow in number with the rows, not in what they hold.
     least = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = lambda n: max(least, -(-n // _JOIN_ROWS))
-    rows = rows.repartition(tasks(rows.count()), *by, "basket_key")
-    coupon_data = rows.distinct()
+    rows = rows.distinct()
+    if pin:  # read by the group counts, the total and both sides of the join
+        rows = materialize(rows, "basket-groups")
     counts = rows.groupBy(*by, "coupon_key", "coupon").agg(F.count_distinct("basket_key").alias("basket_count"))
+    if pin:  # one row per group: read by the threshold, the pruning and the matrix
+        counts = materialize(counts, "group-counts")
     totals = (rows.groupBy(*by) if by else rows).agg(F.count_distinct("basket_key").alias("total_basket_count"))
     thresholds, frequent = _frequent(counts, t, by)
-    side = coupon_data.join(frequent.select(*by, "coupon_key"), [*by, "coupon_key"], "left_semi")
-    x = side.select(*by, "basket_key", F.col("coupon_key").alias("coupon_key_X"))
-    y = side.select(*[F.col(c).alias(f"{c}_Y") for c in by], F.col("basket_key").alias("basket_key_Y"), F.col("coupon_key").alias("coupon_key_Y"))
-    cond = [x["basket_key"] == y["basket_key_Y"], x["coupon_key_X"] != y["coupon_key_Y"]]
-    cond += [x[c] == y[f"{c}_Y"] for c in by]
+    side = rows.join(frequent.select(*by, "coupon_key"), [*by, "coupon_key"], "left_semi")
+    side = side.select(*by, "basket_key", "coupon_key")
+    if pin:  # read for its sizes and dealt for the join
+        side = materialize(side, "join-side")
     sizes = side.groupBy(*by, "basket_key").agg(F.count(F.lit(1)).alias("g"))
     held = sizes.agg(F.coalesce(F.sum("g"), F.lit(0)).alias("rows"), F.coalesce(F.sum(F.col("g") * (F.col("g") - 1)), F.lit(0)).alias("pairs")).first()
-    x, y = x.repartition(tasks(held["rows"]), *by, "basket_key"), y.repartition(tasks(held["rows"]), *[f"{c}_Y" for c in by], "basket_key_Y")
+    dealt = side.repartition(tasks(held["rows"]), *by, "basket_key")  # once, for both sides
+    x = dealt.withColumnRenamed("coupon_key", "coupon_key_X")
+    y = dealt.select(*[F.col(c).alias(f"{c}_Y") for c in by], F.col("basket_key").alias("basket_key_Y"), F.col("coupon_key").alias("coupon_key_Y"))
+    cond = [x["basket_key"] == y["basket_key_Y"], x["coupon_key_X"] != y["coupon_key_Y"]]
+    cond += [x[c] == y[f"{c}_Y"] for c in by]
     full = (
         x.join(y, cond, "inner")
         .repartition(tasks(held["pairs"]), *by, "coupon_key_X", "coupon_key_Y")
