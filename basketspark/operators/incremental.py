@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 
 from basketspark.config import MAX_GROUPS_PER_BASKET, RARE_GROUP_PERCENTILE
 from basketspark.functions.columns import confidence, lift, support
-from basketspark.operators.affinity import block_pairs
-from basketspark.operators.clicks import assign_groups, discontinued_skus, explode_products, keep_sessions, read_group_map, session_stats
-from basketspark.runtime import materialize, scratch_path
+from basketspark.operators.affinity import pairs_of_blocks, whole_blocks
+from basketspark.operators.clicks import assign_groups, discontinued_skus, explode_products, hold_baskets, read_group_map
+from basketspark.runtime import discard_but, materialize, recorded_scratch, scratch_path
 
 #: Columns of the daily table, besides its day.
 DAILY = ("session_key", "prod_id", "coupon")
@@ -63,18 +63,18 @@ def read_days(spark: SparkSession, path: str, window: tuple[int, int]) -> DataFr
 
 
 def _baskets(rows: DataFrame, max_groups: int) -> DataFrame:
-    """(basket_key, coupon) of the sessions that make a basket, distinct."""
-    kept = keep_sessions(session_stats(rows), max_groups).select("session_key")
-    return rows.join(kept, ["session_key"], "left_semi").select(F.col("session_key").alias("basket_key"), "coupon").distinct()
+    """(basket_key, blocks, block, held) of the sessions that make a basket: its groups, held in blocks.
+    A session's rows are dealt once."""
+    clicks = rows.where(F.col("session_key").isNotNull()).select("session_key", "prod_id", F.col("coupon").alias("coupon_key"), F.lit(1).cast("bigint").alias("n"))
+    return whole_blocks(hold_baskets(clicks, max_groups), max_groups)
 
 
 def _counts(baskets: DataFrame, sign: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Signed numbers of baskets: in all, by group and by pair."""
     n = F.sum(sign).alias("n")
-    totals = baskets.groupBy("basket_key", sign).agg(F.count(F.lit(1)).alias("groups")).agg(F.coalesce(n, F.lit(0)).alias("n"))
-    groups = baskets.groupBy("coupon").agg(n)
-    side = baskets.withColumnRenamed("coupon", "coupon_key")
-    pairs = block_pairs(side, [sign]).groupBy(F.col("coupon_key_X").alias("coupon_X"), F.col("coupon_key_Y").alias("coupon_Y")).agg(n)
+    totals = baskets.select("basket_key", sign).distinct().agg(F.coalesce(n, F.lit(0)).alias("n"))
+    groups = baskets.select(sign, F.explode("held").alias("coupon")).groupBy("coupon").agg(n)
+    pairs = pairs_of_blocks(baskets, [sign]).groupBy(F.col("coupon_key_X").alias("coupon_X"), F.col("coupon_key_Y").alias("coupon_Y")).agg(n)
     return totals, groups, pairs
 
 
@@ -82,8 +82,15 @@ def build_state(daily: DataFrame, window: tuple[int, int], max_groups: int = MAX
     """The state of a whole window. ``daily`` may hold more days."""
     lo, hi = window
     rows = daily.where((F.col("dt_key") >= lo) & (F.col("dt_key") < hi))
-    baskets = materialize(_baskets(rows, max_groups).withColumn("sign", F.lit(1)), "window-baskets")
-    return _written(window, *_counts(baskets, "sign"))
+    with recorded_scratch() as written:
+        baskets = materialize(_baskets(rows, max_groups).withColumn("sign", F.lit(1)), "window-baskets")
+        return _only(written, _written(window, *_counts(baskets, "sign")))
+
+
+def _only(written: list[str], state: WindowState) -> WindowState:
+    """The state, with what led to it deleted."""
+    discard_but(state.pairs.sparkSession, written, state.totals, state.groups, state.pairs)
+    return state
 
 
 def _written(window: tuple[int, int], totals: DataFrame, groups: DataFrame, pairs: DataFrame) -> WindowState:
@@ -113,20 +120,21 @@ def move_state(state: WindowState, daily: DataFrame, window: tuple[int, int], ma
     changed = spans[0]
     for s in spans[1:]:
         changed = changed | s
-    touched = materialize(daily.where(changed).select("session_key").distinct(), "touched-sessions")
-    either = inside(state.window) | inside(window)
-    rows = materialize(daily.where(either).join(touched, ["session_key"], "left_semi"), "touched-clicks")
-    before = _baskets(rows.where(inside(state.window)), max_groups).withColumn("sign", F.lit(-1))
-    after = _baskets(rows.where(inside(window)), max_groups).withColumn("sign", F.lit(1))
-    # A group that a session had before and has again is in both; its signs cancel in the sums.
-    baskets = materialize(before.unionByName(after), "moved-baskets")
-    totals, groups, pairs = _counts(baskets, "sign")
 
     def summed(old: DataFrame, delta: DataFrame, *keys: str) -> DataFrame:
         both = old.select(*keys, "n").unionByName(delta.select(*keys, "n"))
         return (both.groupBy(*keys) if keys else both).agg(F.sum("n").alias("n"))
 
-    return _written(window, summed(state.totals, totals), summed(state.groups, groups, "coupon"), summed(state.pairs, pairs, "coupon_X", "coupon_Y"))
+    with recorded_scratch() as written:
+        touched = materialize(daily.where(changed).select("session_key").distinct(), "touched-sessions")
+        either = inside(state.window) | inside(window)
+        rows = materialize(daily.where(either).join(touched, ["session_key"], "left_semi"), "touched-clicks")
+        before = _baskets(rows.where(inside(state.window)), max_groups).withColumn("sign", F.lit(-1))
+        after = _baskets(rows.where(inside(window)), max_groups).withColumn("sign", F.lit(1))
+        # A group that a session had before and has again is in both; its signs cancel in the sums.
+        baskets = materialize(before.unionByName(after), "moved-baskets")
+        totals, groups, pairs = _counts(baskets, "sign")
+        return _only(written, _written(window, summed(state.totals, totals), summed(state.groups, groups, "coupon"), summed(state.pairs, pairs, "coupon_X", "coupon_Y")))
 
 
 def state_matrix(state: WindowState, t: float = RARE_GROUP_PERCENTILE) -> DataFrame:
@@ -134,9 +142,10 @@ def state_matrix(state: WindowState, t: float = RARE_GROUP_PERCENTILE) -> DataFr
     limit = state.groups.agg(F.greatest(F.percentile("n", F.lit(t / 100.0)), F.lit(1.0)).alias("limit")).scalar()
     frequent = state.groups.where(F.col("n") > limit)
     of = lambda tag: frequent.select(F.col("coupon").alias(f"coupon_{tag}"), F.col("n").alias(f"basket_count_{tag}"))
-    pair = lambda a, b: F.struct(F.col(a).alias("coupon_X"), F.col(b).alias("coupon_Y"))
-    both = state.pairs.select(F.explode(F.array(pair("coupon_X", "coupon_Y"), pair("coupon_Y", "coupon_X"))).alias("p"), F.col("n").alias("basket_count_XY"))
-    met = both.select("p.*", "basket_count_XY").join(of("X"), ["coupon_X"]).join(of("Y"), ["coupon_Y"])
+    half = state.pairs.select("coupon_X", "coupon_Y", F.col("n").alias("basket_count_XY")).join(of("X"), ["coupon_X"]).join(of("Y"), ["coupon_Y"])
+    # Both directions once the counts are there: half as many rows are dealt for them.
+    turned = lambda a, b: F.struct(*[F.col(f"{c}_{t}").alias(f"{c}_{u}") for t, u in ((a, "X"), (b, "Y")) for c in ("coupon", "basket_count")])
+    met = half.select("basket_count_XY", F.inline(F.array(turned("X", "Y"), turned("Y", "X"))))
     total = state.totals.select("n").scalar()
     known = met.withColumn("confidence", confidence("basket_count_XY", "basket_count_X"))
     known = known.withColumns({"lift": lift("confidence", "basket_count_Y", total), "support": support("basket_count_XY", total)})
